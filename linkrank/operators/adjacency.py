@@ -44,7 +44,7 @@ def adjacency_lists(
     lists = _collect(by_source.withColumn("part", F.floor((position - 1) / list_limit)))
 
     if heavy_edges is not None:
-        lists = lists.unionByName(_heavy_lists(heavy_edges, heavy, dedupe, list_limit))
+        lists = lists.unionByName(_heavy_lists(heavy_edges, dedupe, list_limit))
 
     empty = dangling_nodes(edges).select(
         "id",
@@ -60,12 +60,11 @@ def _collect(edges: DataFrame) -> DataFrame:
     )
 
 
-def _heavy_lists(
-    edges: DataFrame, heavy: DataFrame, dedupe: bool, list_limit: int
-) -> DataFrame:
+def _heavy_lists(edges: DataFrame, dedupe: bool, list_limit: int) -> DataFrame:
     """Lists of heavy sources: copies are counted first, then dealt out to the groups by hash.
 
-    An edge with many copies is cut into runs well below a list's length, and each run goes its own way.
+    An edge with many copies is cut into runs well below a list's length, and each run goes its own
+    way. The broadcast side has one row per heavy source, of which there are few by definition.
     """
     run_limit = max(1, list_limit // 16)
     copies = F.lit(1).cast("long") if dedupe else F.col("copies")
@@ -74,7 +73,7 @@ def _heavy_lists(
     runs = counted.select(
         "src", "dst", copies.alias("copies"), F.explode(F.sequence(F.lit(0), last_run)).alias("run")
     )
-    groups = heavy.select("src", F.ceil(F.col("edges") / list_limit).alias("groups"))
+    groups = counted.groupBy("src").agg(F.ceil(F.sum(copies) / list_limit).alias("groups"))
     in_run = F.least(F.lit(run_limit), F.col("copies") - F.col("run") * run_limit).cast("int")
     return (
         runs.join(F.broadcast(groups), "src")
@@ -102,6 +101,11 @@ def explode_adjacency(records: DataFrame) -> DataFrame:
     return records.select(F.col("id").alias("src"), F.explode("neighbors").alias("dst"))
 
 
+def list_parts(out_degree: Column, list_limit: int = LIST_LIMIT) -> Column:
+    """Upper bound of the number of records of a node."""
+    return F.greatest(F.ceil(out_degree / list_limit), F.lit(1))
+
+
 def validate_unique(records: DataFrame) -> None:
     """Raise if an id has more than one record: which one would count is not defined."""
     repeated = records.groupBy("id").count().where("count > 1").select("id")
