@@ -7,6 +7,7 @@ from linkrank.functions.text import (
     neighbor_list,
     parse_double,
     strip,
+    with_once,
 )
 
 __all__ = [
@@ -17,5 +18,6 @@ __all__ = [
     "parse_double",
     "scientific",
     "strip",
+    "with_once",
     "yes_no",
 ]

@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# ASCII white space, and the spellings accepted as a whole number or a decimal number.
+# ASCII white space, separators, and what counts as a whole or a decimal number.
 WHITESPACE = " \t\n\x0b\f\r"
 INTEGER_PATTERN = r"^[+-]?[0-9]+$"
+NEIGHBOR_SEPARATOR = r"\s*,\s*"
 DOUBLE_PATTERN = r"(?i)^[+-]?(([0-9]+\.?[0-9]*|\.[0-9]+)(e[+-]?[0-9]+)?|inf|infinity|nan)$"
 
 
@@ -45,4 +46,13 @@ def integer_order(value: Column) -> Column:
 
 def neighbor_list(value: Column) -> Column:
     """Comma separated ids as an array: each stripped, empty ones left out."""
-    return F.filter(F.transform(F.split(value, ",", -1), strip), lambda item: item != "")
+    return F.array_remove(F.split(strip(value), NEIGHBOR_SEPARATOR, -1), "")
+
+
+def with_once(df: DataFrame, name: str, value: Column) -> DataFrame:
+    """Add a column that is computed once per row.
+
+    A plain projection would be copied into every filter above it when Catalyst pushes those down,
+    and an expensive split would run again for each mention. A generator is not copied.
+    """
+    return df.select("*", F.explode(F.array(value)).alias(name))

@@ -23,13 +23,19 @@ def heavy_limit(n_edges: int, heavy_rows: int = HEAVY_ROWS, max_heavy: int = MAX
 def heavy_sources(
     edges: DataFrame, heavy_rows: int = HEAVY_ROWS, max_heavy: int = MAX_HEAVY
 ) -> DataFrame | None:
-    """The heavy sources as ``(src, edges)``, or None when there are none (one aggregation job)."""
+    """The heavy sources as ``(src, edges)``, or None when there are none (one aggregation job).
+
+    There are fewer than ``max_heavy`` of them, so they are fetched and handed on as a small table
+    instead of being counted again wherever they are used.
+    """
     counts = edges.groupBy("src").agg(F.count(F.lit(1)).alias("edges"))
     total, largest = counts.agg(F.sum("edges"), F.max("edges")).first()
-    if total is None:
+    limit = heavy_limit(total or 0, heavy_rows, max_heavy)
+    if largest is None or largest <= limit:
         return None
-    limit = heavy_limit(total, heavy_rows, max_heavy)
-    return counts.where(F.col("edges") > limit) if largest > limit else None
+    return edges.sparkSession.createDataFrame(
+        counts.where(F.col("edges") > limit).collect(), counts.schema
+    )
 
 
 def split_by_source(edges: DataFrame, heavy: DataFrame | None) -> tuple[DataFrame, DataFrame | None]:

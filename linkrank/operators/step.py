@@ -59,16 +59,14 @@ def contributions(links: Links, state: DataFrame) -> DataFrame:
     Ordinary sources meet their edges in an equality join. For heavy sources the join is turned
     round: their few shares are broadcast and their edges stay where they are.
     """
-    shares = state.where("out_degree > 0").select(
-        F.col("id").alias("src"), (F.col("rank") / F.col("out_degree")).alias("share")
-    )
-    amount = (F.col("copies") * F.col("share")).alias("amount")
+    shares = state.where("out_degree > 0").selectExpr("id AS src", "rank / out_degree AS share")
+    columns = ["src", "dst", "copies * share AS amount"]
     near = shares.hint("shuffle_hash") if links.bucketed else shares
-    result = links.light.join(near, "src").select("src", "dst", amount)
+    result = links.light.join(near, "src").selectExpr(*columns)
     if links.heavy is not None:
         few = shares.join(F.broadcast(links.heavy_sources), "src", "left_semi")
         result = result.union(
-            links.heavy.join(F.broadcast(few), "src").select("src", "dst", amount)
+            links.heavy.join(F.broadcast(few), "src").selectExpr(*columns)
         )
     return result
 
@@ -93,11 +91,11 @@ def join_incoming(
         joined = state.join(received, F.col("id") == F.col("dst"), "left")
     else:
         joined = state.join(received, F.col("id") == F.col("dst"), "full_outer")
-    return joined.select(
-        F.coalesce("id", "dst").alias("id"),
-        F.coalesce("out_degree", F.lit(0).cast("long")).alias("out_degree"),
-        F.coalesce("rank", F.lit(0.0)).alias("rank"),
-        F.coalesce("incoming", F.lit(0.0)).alias("incoming"),
+    return joined.selectExpr(
+        "coalesce(id, dst) AS id",
+        "coalesce(out_degree, 0L) AS out_degree",
+        "coalesce(rank, 0D) AS rank",
+        "coalesce(incoming, 0D) AS incoming",
     )
 
 

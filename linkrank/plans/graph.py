@@ -35,6 +35,8 @@ from linkrank.plans.workspace import Workspace, shuffle_partitions
 EDGES_PER_PARTITION_SMALL = 50_000
 EDGES_PER_PARTITION = 32_000_000
 NODES_PER_PARTITION = 2_000_000
+# Fixed value: Spark's default for spark.sql.sources.bucketing.maxBuckets.
+MAX_BUCKETS = 100_000
 
 
 def short_key(id_: Column) -> Column:
@@ -92,12 +94,14 @@ class Graph:
 
 
 def partition_count(default: int, n_edges: int, n_nodes: int) -> int:
-    return max(
+    """Buckets for a graph of this size; they grow with it beyond the session's ``default``."""
+    wanted = max(
         1,
         min(default, ceil(n_edges / EDGES_PER_PARTITION_SMALL)),
         ceil(n_edges / EDGES_PER_PARTITION),
         ceil(n_nodes / NODES_PER_PARTITION),
     )
+    return min(wanted, MAX_BUCKETS)
 
 
 def prepare(
@@ -115,22 +119,26 @@ def prepare(
     """
     spark = edges.sparkSession
     workspace = workspace or Workspace(spark)
-    staged = workspace.save(edges.select("src", "dst"), "edges")
+    default = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    arrived = Observation()
+    staged = workspace.save(
+        edges.select("src", "dst").observe(arrived, F.count(F.lit(1)).alias("rows")), "edges"
+    )
+    n_raw = arrived.get["rows"]
 
-    ids, key, seen = _identify(workspace, staged, nodes)
+    with shuffle_partitions(spark, max(default, ceil(n_raw / EDGES_PER_PARTITION))):
+        ids, key, seen = _identify(workspace, staged, nodes)
     if not seen["members"]:
         workspace.close()
         raise ValueError("the graph has no nodes")
-    n_raw = seen["links"] or 0
     limit = heavy_limit(n_raw, heavy_rows, max_heavy)
     heavy = None
     if (seen["largest"] or 0) > limit:
-        # Fewer than max_heavy rows, since each stands for more than an max_heavy-th of all edges.
+        # Fewer than max_heavy rows, since each stands for more than one max_heavy-th of all edges.
         heavy = workspace.save(
             ids.where(F.col("links") > limit).select(F.col("id").alias("src"), "key"), "heavy_ids"
         )
 
-    default = int(spark.conf.get("spark.sql.shuffle.partitions"))
     buckets = partition_count(default, n_raw, seen["ids"])
     with shuffle_partitions(spark, buckets):
         links = _store_links(workspace, staged, heavy, key, dedupe, buckets)
@@ -146,7 +154,8 @@ def prepare(
             buckets,
         )
     totals = counted.get
-    workspace.drop("ids")
+    for name in ("ids", "edges"):
+        workspace.drop(name)
     return Graph(
         workspace=workspace,
         nodes=stored,
@@ -200,7 +209,6 @@ def _identify(
                 totals,
                 F.count(F.lit(1)).alias("ids"),
                 F.count_if("member").alias("members"),
-                F.sum("links").alias("links"),
                 F.max("links").alias("largest"),
             ),
             "ids",

@@ -16,6 +16,7 @@ from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from linkrank.operators.adjacency import validate_unique
 from linkrank.operators.metrics import STOP_RULES, dangling_mass, has_converged
 from linkrank.operators.step import (
     UNKNOWN_TARGETS,
@@ -75,13 +76,12 @@ class RankResult:
         return _with_ids(self.graph, self._snapshot_state(iteration))
 
     def snapshots(self) -> DataFrame:
-        """``(iteration, id, rank)`` of all kept iterations; ids are joined once for all of them."""
+        """``(iteration, id, rank)`` of all kept iterations; no exchange, each is joined in its buckets."""
         kept = [
-            self._snapshot_state(i).withColumn("iteration", F.lit(i)) for i in self.snapshot_tables
+            self.snapshot(i).select(F.lit(i).alias("iteration"), "id", "rank")
+            for i in self.snapshot_tables
         ]
-        return _with_ids(self.graph, reduce(DataFrame.union, kept), ["iteration"]).select(
-            "iteration", "id", "rank"
-        )
+        return reduce(DataFrame.union, kept)
 
     def _snapshot_state(self, iteration: int) -> DataFrame:
         if iteration not in self.snapshot_tables:
@@ -174,19 +174,21 @@ def rank(
 
 
 def _metrics() -> list[Column]:
-    change = F.abs(F.col("rank") - F.col("previous_rank"))
-    held = F.sum(F.when(F.col("out_degree") == 0, F.col("rank")))
     return [
-        F.sum("rank").alias("total_rank"),
-        F.coalesce(held, F.lit(0.0)).alias("dangling_mass"),
-        F.max(change).alias("max_delta"),
-        F.sum(change).alias("l1_delta"),
-        F.count(F.lit(1)).alias("rows"),
+        F.expr("sum(rank) AS total_rank"),
+        F.expr("coalesce(sum(CASE WHEN out_degree = 0 THEN rank END), 0D) AS dangling_mass"),
+        F.expr("max(abs(rank - previous_rank)) AS max_delta"),
+        F.expr("sum(abs(rank - previous_rank)) AS l1_delta"),
+        F.expr("count(*) AS rows"),
     ]
 
 
 def _state_from(graph: Graph, initial_ranks: DataFrame) -> DataFrame:
     """State by key from ``(id, rank)``; nodes without a given rank start at 0."""
+    validate_unique(initial_ranks)
+    stranger = initial_ranks.join(graph.nodes.select("id"), "id", "left_anti").first()
+    if stranger is not None:
+        raise ValueError(f"initial rank for {stranger['id']!r}, which is not in the graph")
     given = initial_ranks.select(graph.key(F.col("id")).alias("given_key"), "rank")
     nodes = graph.nodes.where("member").select("key", "out_degree")
     return nodes.join(given, F.col("key") == F.col("given_key"), "full_outer").select(
@@ -196,9 +198,9 @@ def _state_from(graph: Graph, initial_ranks: DataFrame) -> DataFrame:
     )
 
 
-def _with_ids(graph: Graph, state: DataFrame, extra: list[str] | None = None) -> DataFrame:
-    """Put ids back in place of keys; both tables have the same buckets."""
+def _with_ids(graph: Graph, state: DataFrame) -> DataFrame:
+    """Put ids back in place of keys; both tables have the same buckets, of bounded size."""
     names = graph.nodes.select("key", F.col("id").alias("name"))
-    return state.join(names, F.col("id") == F.col("key")).select(
-        *(extra or []), F.col("name").alias("id"), "out_degree", "rank"
+    return state.join(names.hint("shuffle_hash"), F.col("id") == F.col("key")).select(
+        F.col("name").alias("id"), "out_degree", "rank"
     )

@@ -9,9 +9,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from linkrank.functions import strip
+from linkrank.functions import strip, with_once
 
-SEPARATORS = {"whitespace": r"\s+", "tab": "\t"}
+SEPARATORS = ("whitespace", "tab")
 FIELD_RULES = ("exact", "at_least")
 
 
@@ -27,29 +27,32 @@ def parse_edges(
     ``"at_least"`` ignores further ones. Ids stay strings.
     """
     if sep not in SEPARATORS:
-        raise ValueError(f"sep must be one of {sorted(SEPARATORS)}, not {sep!r}")
+        raise ValueError(f"sep must be one of {SEPARATORS}, not {sep!r}")
     if fields not in FIELD_RULES:
         raise ValueError(f"fields must be one of {FIELD_RULES}, not {fields!r}")
 
-    text = strip(F.col("value"))
-    kept = lines.where(text != "")
-    if comment is not None:
-        kept = kept.where(~text.startswith(comment))
-    tokens = kept.select("value", F.split(text, SEPARATORS[sep], -1).alias("tokens"))
+    value = F.col("value")
+    if sep == "whitespace":
+        tokens = F.array_remove(F.split(value, r"\s+", -1), "")
+    else:
+        tokens = F.split(strip(value), "\t", -1)
+    first, second = (F.get("tokens", F.lit(i)) for i in (0, 1))
+    if sep == "tab":
+        first, second = strip(first), strip(second)
 
+    read = with_once(lines.select("value"), "tokens", tokens)
+    kept = read.where((F.size("tokens") > 1) | (first != ""))
+    if comment is not None:
+        kept = kept.where(~first.startswith(comment))
     count = F.size("tokens")
     wrong_count = (count != 2) if fields == "exact" else (count < 2)
-    checked = tokens.select(
+    checked = kept.select(
         "value",
-        strip(F.get("tokens", F.lit(0))).alias("src"),
-        strip(F.get("tokens", F.lit(1))).alias("dst"),
-        F.when(wrong_count, "wrong field count").alias("reason"),
-    ).withColumn(
-        "reason",
-        F.coalesce(
-            "reason",
-            F.when((F.col("src") == "") | (F.col("dst") == ""), "empty node id"),
-        ),
+        first.alias("src"),
+        second.alias("dst"),
+        F.when(wrong_count, "wrong field count")
+        .when((first == "") | (second == ""), "empty node id")
+        .alias("reason"),
     )
     return (
         checked.where(F.col("reason").isNull()).select("src", "dst"),

@@ -9,13 +9,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from linkrank.functions import neighbor_list, parse_double, strip
+from linkrank.functions import neighbor_list, parse_double, strip, with_once
 
 
 def _parse(lines: DataFrame, widths: tuple[int, ...]) -> DataFrame:
-    parts = lines.where(strip(F.col("value")) != "").select(
-        "value", F.split(F.regexp_replace("value", r"[\r\n]+$", ""), "\t", -1).alias("parts")
-    )
+    fields = F.split(F.rtrim(F.col("value"), F.lit("\r\n")), "\t", -1)
+    parts = with_once(lines.select("value").where(F.col("value").rlike(r"\S")), "parts", fields)
     width = F.size("parts")
     ranked = width == 3
     return parts.select(

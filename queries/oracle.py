@@ -307,7 +307,7 @@ def oracle_sql() -> dict[str, str]:
         "ranking_full": ranked(
             "trade", 5,
             """SELECT row_number() OVER (ORDER BY round(ranks.rank, 12) DESC, id) AS position, id,
-            round(round(rank, 12), 10) AS rank FROM ranks WHERE iteration = 5""",
+            round(rank, 10) AS rank FROM ranks WHERE iteration = 5""",
         ),
         "latest_snapshot": ranked(
             "trade", 3,

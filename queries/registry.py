@@ -426,10 +426,9 @@ def top_k_ties(spark: SparkSession, folder: str) -> DataFrame:
 @register
 def ranking_full(spark: SparkSession, folder: str) -> DataFrame:
     result = _trade_run(spark, folder, 5)
-    ranks = result.ranks.withColumn("rank", F.round("rank", 12))
-    numbered = ranking.number_rows(
-        ranks, ranking.by_rank(), result.graph.workspace, "ordered"
-    )
+    # Equal ranks may differ in their last digits, which must not decide their order here.
+    order = [F.desc(F.round("rank", 12)), F.asc("id")]
+    numbered = ranking.number_rows(result.ranks, order, result.graph.workspace, "ordered")
     return numbered.select("position", "id", rounded("rank"))
 
 

@@ -1,0 +1,195 @@
+"""Operators on small graphs, and skewed graphs against plain Python."""
+
+import random
+from collections import Counter, defaultdict
+
+import pytest
+from conftest import edge_frame
+
+from linkrank.operators import adjacency, edges, metrics, ranking, skew, step
+from linkrank.operators.metrics import has_converged
+from linkrank.sinks import adjacency_lines, ranked_records
+from linkrank.sources import parse_adjacency
+
+PAIRS = [("a", "b"), ("a", "b"), ("a", "c"), ("b", "c"), ("c", "c"), ("d", "a")]
+
+
+def skewed_pairs(seed=1, hub_targets=60):
+    """A hub with most edges, an edge with very many copies, and a sparse rest."""
+    rng = random.Random(seed)
+    pairs = [("hub", f"t{i}") for i in range(hub_targets)]
+    pairs += [("hub", "t0")] * 40
+    pairs += [(f"n{rng.randrange(30)}", f"n{rng.randrange(30)}") for _ in range(120)]
+    pairs += [(f"t{i}", "n0") for i in range(0, hub_targets, 3)]
+    rng.shuffle(pairs)
+    return pairs
+
+
+def neighbors_by_id(lists):
+    """Concatenated parts per node, and the number of parts."""
+    found, parts = defaultdict(list), Counter()
+    for row in lists.collect():
+        found[row.id] += row.neighbors
+        parts[row.id] += 1
+    return found, parts
+
+
+def test_edge_operators(spark):
+    frame = edge_frame(spark, PAIRS)
+    unique = edges.dedupe_edges(frame)
+    assert unique.count() == 5
+    assert {(r.src, r.dst): r.copies for r in edges.count_copies(frame).collect()}["a", "b"] == 2
+    assert sorted(r.id for r in edges.node_set(frame).collect()) == ["a", "b", "c", "d"]
+    assert edges.node_count(frame).first().nodes == 4
+    degrees = {r.id: r.out_degree for r in edges.out_degrees(unique).collect()}
+    assert degrees == {"a": 2, "b": 1, "c": 1, "d": 1}
+    assert edges.graph_stats(unique).first().asDict() == {"nodes": 4, "edges": 5, "dangling": 0}
+    open_end = edge_frame(spark, [("a", "b")])
+    assert [r.id for r in edges.dangling_nodes(open_end).collect()] == ["b"]
+    assert [r.id for r in edges.linking_nodes(open_end).collect()] == ["a"]
+    assert edges.initial_dangling_mass(open_end).first()[0] == 0.5
+    assert [r["rank"] for r in edges.initial_ranks(edges.node_set(open_end)).collect()] == [0.5] * 2
+
+
+def test_empty_inputs(spark):
+    nothing = edge_frame(spark, [])
+    assert edges.graph_stats(nothing).first().asDict() == {"nodes": 0, "edges": 0, "dangling": 0}
+    assert adjacency.adjacency_lists(nothing).count() == 0
+    assert skew.heavy_sources(nothing) is None
+    none = spark.createDataFrame([], "id string, rank double")
+    assert metrics.compare(none, none).first().max_delta == 0.0
+
+
+@pytest.mark.parametrize("dedupe", [True, False])
+@pytest.mark.parametrize(
+    ("heavy_rows", "limit"), [(1_000_000, 100_000), (10, 100_000), (10, 7), (1_000_000, 7)]
+)
+def test_adjacency_lists_match_brute_force(spark, dedupe, heavy_rows, limit):
+    pairs = skewed_pairs()
+    lists = adjacency.adjacency_lists(
+        edge_frame(spark, pairs), dedupe=dedupe, heavy_rows=heavy_rows, list_limit=limit
+    )
+    expected = defaultdict(list)
+    for src, dst in set(pairs) if dedupe else pairs:
+        expected[src].append(dst)
+        expected.setdefault(dst, [])
+    found, parts = neighbors_by_id(lists)
+    assert {k: sorted(v) for k, v in found.items()} == {k: sorted(v) for k, v in expected.items()}
+    assert (parts["hub"] > 1) == (limit == 7)
+    assert all(count == 1 for id_, count in parts.items() if len(expected[id_]) <= min(limit, 10))
+
+
+@pytest.mark.parametrize("dedupe", [True, False])
+def test_heavy_sources_give_the_same_contributions(spark, dedupe):
+    pairs = skewed_pairs()
+    frame = edge_frame(spark, pairs)
+    counted = Counter(set(pairs) if dedupe else pairs)
+    degree = Counter()
+    for (src, _), copies in counted.items():
+        degree[src] += copies
+    state = edges.initial_ranks(
+        edges.out_degrees(edges.dedupe_edges(frame) if dedupe else frame)
+    )
+    n = state.count()
+    heavy = skew.heavy_sources(frame, heavy_rows=10)
+    assert [r.src for r in heavy.collect()] == ["hub"]
+    links = step.make_links(frame, dedupe=dedupe, heavy_rows=10)
+    assert links.heavy is not None
+    got = {(r.src, r.dst): r.amount for r in step.contributions(links, state).collect()}
+    assert got == pytest.approx({k: c / n / degree[k[0]] for k, c in counted.items()}, abs=1e-15)
+
+
+def test_number_of_heavy_sources_is_bounded(spark):
+    frame = edge_frame(spark, skewed_pairs())
+    for bound in (4, 20, 100):
+        heavy = skew.heavy_sources(frame, heavy_rows=1, max_heavy=bound)
+        assert heavy.count() < bound
+
+
+def test_id_order(spark):
+    def order(*ids):
+        nodes = spark.createDataFrame([(i,) for i in ids], "id string")
+        return [r.id for r in ranking.order_nodes(nodes).collect()]
+
+    assert order("10", "9", "1") == ["1", "9", "10"]
+    assert order("10", "9", "x") == ["10", "9", "x"]
+    big = str(10**45)
+    assert order(big, "-5", "0", "-12", "+3", "007") == ["-12", "-5", "0", "+3", "007", big]
+
+
+def test_neighbor_order(spark):
+    frame = edge_frame(
+        spark, [("a", "10"), ("a", "9"), ("a", "-1"), ("b", "10"), ("b", "9"), ("b", "x")]
+    )
+    found, _ = neighbors_by_id(adjacency.adjacency_lists(frame))
+    assert found["a"] == ["-1", "9", "10"] and found["b"] == ["10", "9", "x"]
+
+
+def test_positions_are_global(spark, workspace):
+    ids = [str(i) for i in random.Random(3).sample(range(1000), 300)]
+    nodes = spark.createDataFrame([(i,) for i in ids], "id string").repartition(7)
+    numbered = ranking.number_rows(nodes, ranking.node_order_columns(nodes), workspace, "ids")
+    got = [r.id for r in numbered.orderBy("position").collect()]
+    assert got == sorted(ids, key=int)
+    positions = sorted(r.position for r in numbered.collect())
+    assert positions == list(range(1, 301))
+
+
+def test_top_k_and_full_ranking(spark):
+    ranks = spark.createDataFrame(
+        [("b", 0.2), ("a", 0.2), ("c", 0.5), ("d", 0.1)], "id string, rank double"
+    )
+    assert [r.id for r in ranking.top_k(ranks, 2).collect()] == ["c", "a"]
+    assert [r.id for r in ranking.ranking_full(ranks).collect()] == ["c", "a", "b", "d"]
+    assert [(r.position, r.id) for r in ranking.top_k_positions(ranks, 9).collect()] == [
+        (1, "c"),
+        (2, "a"),
+        (3, "b"),
+        (4, "d"),
+    ]
+
+
+def test_delta_over_both_node_sets(spark):
+    now = spark.createDataFrame([("a", 0.5), ("b", 0.5)], "id string, rank double")
+    before = spark.createDataFrame([("b", 0.25), ("c", 0.75)], "id string, rank double")
+    deltas = {r.id: r.delta for r in metrics.rank_delta(now, before).collect()}
+    assert deltas == {"a": 0.5, "b": 0.25, "c": 0.75}
+    row = metrics.compare(now, before).first()
+    assert (row.max_delta, row.avg_delta, row.l1_delta, row.nodes) == (0.75, 0.5, 1.5, 3)
+
+
+def test_stop_rule_is_strict():
+    assert not has_converged(None, None, 1.0, "max")
+    assert not has_converged(1e-6, 0.0, 1e-6, "max") and has_converged(9e-7, 1.0, 1e-6, "max")
+    assert has_converged(1.0, 9e-9, 1e-8, "l1")
+    with pytest.raises(ValueError):
+        has_converged(0.0, 0.0, 1.0, "median")
+
+
+def test_records_must_be_unique(spark):
+    records = spark.createDataFrame(
+        [("a", ["b"]), ("a", ["c"])], "id string, neighbors array<string>"
+    )
+    with pytest.raises(ValueError, match="more than one record"):
+        adjacency.validate_unique(records)
+
+
+def test_ids_with_separators_are_refused(spark):
+    for bad in ("x,y", "x\ty", "x\ny"):
+        lists = adjacency.adjacency_lists(edge_frame(spark, [("a", bad)]))
+        with pytest.raises(Exception, match="contains a separator"):
+            adjacency_lines(lists).collect()
+
+
+def test_long_lists_survive_the_text_format(spark):
+    pairs = set(skewed_pairs())
+    frame = edge_frame(spark, pairs)
+    lists = adjacency.adjacency_lists(frame, list_limit=7)
+    back = adjacency.explode_adjacency(parse_adjacency(adjacency_lines(lists))[0])
+    assert {(r.src, r.dst) for r in back.collect()} == pairs
+    assert back.count() == len(pairs)
+
+    ranked = edges.initial_ranks(edges.out_degrees(frame))
+    records = ranked_records(ranked, lists, list_limit=7)
+    assert records.count() == lists.count()
+    assert {(r.src, r.dst) for r in adjacency.explode_adjacency(records).collect()} == pairs
