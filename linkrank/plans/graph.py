@@ -112,7 +112,7 @@ def prepare(
     heavy_rows: int = HEAVY_ROWS,
     max_heavy: int = MAX_HEAVY,
 ) -> Graph:
-    """Prepare ``edges(src, dst)`` for ranking.
+    """Prepare ``edges(src, dst)`` for ranking; rows that lack either id are no edges.
 
     ``dedupe=False`` keeps copies of an edge, each of which carries a share of its own. ``nodes(id)``
     names the nodes; without it every id of an edge is a node.
@@ -122,7 +122,7 @@ def prepare(
     default = int(spark.conf.get("spark.sql.shuffle.partitions"))
     arrived = Observation()
     staged = workspace.save(
-        edges.select("src", "dst").observe(arrived, F.count(F.lit(1)).alias("rows")), "edges"
+        edges.select("src", "dst").dropna().observe(arrived, F.count(F.lit(1)).alias("rows")), "edges"
     )
     n_raw = arrived.get["rows"]
 
