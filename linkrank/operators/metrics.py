@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 STOP_RULES = ("max", "l1")
@@ -48,6 +48,70 @@ def compare(current: DataFrame, previous: DataFrame) -> DataFrame:
     return delta_summary(rank_delta(current, previous))
 
 
+def iteration_metrics(
+    current: DataFrame, previous: DataFrame | None = None, tol: float = 1e-6
+) -> DataFrame:
+    """Check one stored iteration, ``(id, out_degree, rank)``, in one row.
+
+    Gives total rank and its error, the dangling mass, and largest and average change against
+    ``previous``; without that the changes are NULL and ``converged`` is false.
+    """
+    if tol <= 0:
+        raise ValueError(f"tol must be greater than zero, not {tol}")
+    if previous is None:
+        joined = current.select("id", "out_degree", "rank").withColumn(
+            "delta", F.lit(None).cast("double")
+        )
+    else:
+        before = previous.select("id", F.col("rank").alias("previous_rank"))
+        joined = current.join(before, "id", "full_outer").select(
+            "id",
+            "out_degree",
+            "rank",
+            F.expr("abs(coalesce(rank, 0D) - coalesce(previous_rank, 0D))").alias("delta"),
+        )
+    return joined.agg(
+        F.count("rank").alias("nodes"),
+        F.coalesce(F.sum("rank"), F.lit(0.0)).alias("total_rank"),
+        F.expr("coalesce(sum(rank) FILTER (WHERE out_degree = 0), 0D)").alias("dangling_mass"),
+        F.max("delta").alias("max_delta"),
+        F.avg("delta").alias("avg_delta"),
+    ).select(
+        "nodes",
+        "total_rank",
+        F.abs(F.col("total_rank") - 1.0).alias("error"),
+        "dangling_mass",
+        "max_delta",
+        "avg_delta",
+        F.coalesce(F.col("max_delta") < tol, F.lit(False)).alias("converged"),
+    )
+
+
+def history_of_snapshots(snapshots: DataFrame, tol: float = 1e-6) -> DataFrame:
+    """Metrics of every iteration from stored ``(iteration, id, out_degree, rank)``.
+
+    The previous rank of a node comes from a window over its own few rows; a node that appears later
+    starts from 0.
+    """
+    own = Window.partitionBy("id").orderBy("iteration")
+    first = snapshots.agg(F.min("iteration")).scalar()
+    before = F.coalesce(F.lag("rank").over(own), F.lit(0.0))
+    changes = snapshots.withColumn(
+        "delta", F.when(F.col("iteration") > first, F.abs(F.col("rank") - before))
+    )
+    return (
+        changes.groupBy("iteration")
+        .agg(
+            F.sum("rank").alias("total_rank"),
+            F.expr("coalesce(sum(rank) FILTER (WHERE out_degree = 0), 0D)").alias("dangling_mass"),
+            F.max("delta").alias("max_delta"),
+            F.avg("delta").alias("avg_delta"),
+            F.sum("delta").alias("l1_delta"),
+        )
+        .withColumn("converged", F.coalesce(F.col("max_delta") < tol, F.lit(False)))
+    )
+
+
 def has_converged(max_delta: float | None, l1_delta: float | None, tol: float, rule: str) -> bool:
     """Whether the rule's statistic exists and lies strictly below ``tol``."""
     if rule not in STOP_RULES:

@@ -76,9 +76,9 @@ class RankResult:
         return _with_ids(self.graph, self._snapshot_state(iteration))
 
     def snapshots(self) -> DataFrame:
-        """``(iteration, id, rank)`` of all kept iterations; no exchange, each is joined in its buckets."""
+        """``(iteration, id, out_degree, rank)`` of all kept iterations, each joined in its buckets."""
         kept = [
-            self.snapshot(i).select(F.lit(i).alias("iteration"), "id", "rank")
+            self.snapshot(i).select(F.lit(i).alias("iteration"), "id", "out_degree", "rank")
             for i in self.snapshot_tables
         ]
         return reduce(DataFrame.union, kept)

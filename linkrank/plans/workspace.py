@@ -12,7 +12,7 @@ import shutil
 import tempfile
 import uuid
 from collections.abc import Iterator
-from contextlib import contextmanager
+from contextlib import contextmanager, suppress
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -48,6 +48,18 @@ def shuffle_partitions(spark: SparkSession, count: int) -> Iterator[None]:
         spark.conf.set(setting, before)
 
 
+_open: list[Workspace] = []
+
+
+@atexit.register
+def _close_all() -> None:
+    """Drop what is left when the driver program ends, provided its session is still there."""
+    for workspace in list(_open):
+        with suppress(Exception):
+            if SparkSession.getActiveSession() is not None:
+                workspace.close()
+
+
 class Workspace:
     """A database in the shared folder for the tables of one run."""
 
@@ -56,6 +68,7 @@ class Workspace:
         self.database = f"linkrank_{uuid.uuid4().hex[:16]}"
         self.location = f"{(folder or shared_folder(spark)).rstrip('/')}/{self.database}"
         spark.sql(f"CREATE DATABASE spark_catalog.{self.database} LOCATION '{self.location}'")
+        _open.append(self)
 
     def table_name(self, name: str) -> str:
         return f"spark_catalog.{self.database}.{name}"
@@ -79,6 +92,8 @@ class Workspace:
     def close(self) -> None:
         """Drop the database with all its tables and files."""
         self.spark.sql(f"DROP DATABASE IF EXISTS spark_catalog.{self.database} CASCADE")
+        if self in _open:
+            _open.remove(self)
 
     def __enter__(self) -> Workspace:
         return self

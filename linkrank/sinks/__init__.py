@@ -5,6 +5,7 @@ from linkrank.sinks.reports import (
     convergence_report,
     ledger_row,
     run_summary,
+    times_report,
     top_report,
     write_csv,
     write_summary,
@@ -25,6 +26,7 @@ __all__ = [
     "ranked_lines",
     "ranked_records",
     "run_summary",
+    "times_report",
     "top_report",
     "write_csv",
     "write_history",

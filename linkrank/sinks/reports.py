@@ -24,6 +24,7 @@ CONVERGENCE_COLUMNS = (
     "AverageDelta",
     "Converged",
 )
+TIME_COLUMNS = ("Iteration", "Seconds")
 
 
 def top_report(ranks: DataFrame, k: int = 20, columns: Sequence[str] = TOP_COLUMNS) -> DataFrame:
@@ -49,6 +50,15 @@ def convergence_report(
     )
 
 
+def times_report(history: DataFrame, columns: Sequence[str] = TIME_COLUMNS) -> DataFrame:
+    """Whole seconds of every iteration."""
+    return (
+        history.orderBy("iteration")
+        .select("iteration", F.round("seconds").cast("long"))
+        .toDF(*columns)
+    )
+
+
 def write_csv(report: DataFrame, path: str, mode: str = "errorifexists") -> None:
     """One CSV file with a header, in the order of the report."""
     report.coalesce(1).write.mode(mode).option("header", True).csv(path)

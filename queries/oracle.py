@@ -279,6 +279,24 @@ def oracle_sql() -> dict[str, str]:
             FROM history""",
             more=PAGE_MAX,
         ),
+        "iteration_metrics": ranked(
+            "trade", 4,
+            """SELECT count(*) AS nodes, round(sum(rank), 10) AS total_rank,
+            round(abs(sum(rank) - 1), 10) AS error,
+            round(sum(rank) FILTER (WHERE id IN (SELECT id FROM deg WHERE out_degree = 0)), 10)
+                AS dangling_mass,
+            round(max(delta), 10) AS max_delta, round(avg(delta), 10) AS avg_delta,
+            max(delta) < 1e-6 AS converged FROM deltas""",
+            more=DELTAS,
+        ),
+        "history_of_snapshots": ranked(
+            "page_links", 4,
+            """SELECT iteration, round(total_rank, 10) AS total_rank,
+            round(dangling_mass, 10) AS dangling_mass, round(max_delta, 10) AS max_delta,
+            round(avg_delta, 10) AS avg_delta, round(l1_delta, 10) AS l1_delta, converged
+            FROM judged""",
+            more=PAGE_MAX,
+        ),
         "compare_runs": f"""
             WITH u AS ({ranked("trade", 3, "SELECT id, rank FROM ranks WHERE iteration = 3")}),
             m AS ({ranked("trade", 3, "SELECT id, rank FROM ranks WHERE iteration = 3", False)}),

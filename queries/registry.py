@@ -371,6 +371,36 @@ def convergence_history(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+@register
+def iteration_metrics(spark: SparkSession, folder: str) -> DataFrame:
+    result = _trade_run(spark, folder, 4, keep_history=True)
+    return metrics.iteration_metrics(result.snapshot(4), result.snapshot(3)).select(
+        "nodes",
+        rounded("total_rank"),
+        rounded("error"),
+        rounded("dangling_mass"),
+        rounded("max_delta"),
+        rounded("avg_delta"),
+        "converged",
+    )
+
+
+@register
+def history_of_snapshots(spark: SparkSession, folder: str) -> DataFrame:
+    result = rank(
+        prepare(graphs.page_links(spark, folder)), tol=None, max_iter=4, keep_history=True
+    )
+    return metrics.history_of_snapshots(result.snapshots()).select(
+        F.col("iteration").cast("long").alias("iteration"),
+        rounded("total_rank"),
+        rounded("dangling_mass"),
+        rounded("max_delta"),
+        rounded("avg_delta"),
+        rounded("l1_delta"),
+        "converged",
+    )
+
+
 @register
 def compare_runs(spark: SparkSession, folder: str) -> DataFrame:
     """Ranks with and without copies of edges, and places among the first 20 (0 for none)."""

@@ -7,7 +7,12 @@ from pyspark.sql import functions as F
 import golden
 from linkrank import prepare, prepare_records, rank
 from linkrank.operators.adjacency import adjacency_lists
-from linkrank.operators.metrics import dangling_mass, rank_total
+from linkrank.operators.metrics import (
+    dangling_mass,
+    history_of_snapshots,
+    iteration_metrics,
+    rank_total,
+)
 from linkrank.operators.ranking import latest_snapshot, order_nodes, top_k_positions
 from linkrank.sinks import (
     adjacency_lines,
@@ -16,6 +21,7 @@ from linkrank.sinks import (
     ranked_lines,
     ranked_records,
     run_summary,
+    times_report,
     top_report,
     write_csv,
     write_history,
@@ -94,6 +100,27 @@ def test_metrics_of_the_final_ranks(result):
     )
 
 
+def test_metrics_of_stored_iterations(result):
+    first = iteration_metrics(result.snapshot(1)).first()
+    assert (first.nodes, first.max_delta, first.avg_delta, first.converged) == (4, None, None, False)
+    last = iteration_metrics(result.snapshot(16), result.snapshot(15)).first()
+    assert last.converged and last.error < 1e-14
+    assert (last.max_delta, last.avg_delta) == pytest.approx(golden.DELTAS[16], abs=TOLERANCE)
+    assert last.dangling_mass == pytest.approx(golden.RANKS[15][3], abs=TOLERANCE)
+
+    rows = history_of_snapshots(result.snapshots()).orderBy("iteration").collect()
+    for found, seen in zip(rows, result.history.collect(), strict=True):
+        for name in ("iteration", "converged"):
+            assert found[name] == seen[name]
+        for name in ("total_rank", "dangling_mass", "max_delta", "avg_delta", "l1_delta"):
+            assert found[name] == pytest.approx(seen[name], abs=1e-14)
+
+
+def test_times(result):
+    times = times_report(result.history)
+    assert times.columns == ["Iteration", "Seconds"] and times.count() == 16
+
+
 def test_top_list(result):
     rows = top_k_positions(result.ranks, 20).orderBy("position").collect()
     assert [r.position for r in rows] == [1, 2, 3, 4]

@@ -239,6 +239,14 @@ def test_plan_does_not_grow(spark):
         assert abs(sizes[0] - sizes[1]) < 100
 
 
+def test_rows_without_an_id_are_no_edges(spark):
+    with Workspace(spark) as space:
+        graph = prepare(
+            edge_frame(spark, [("a", "b"), (None, "c"), ("d", None)]), workspace=space
+        )
+        assert (graph.n, graph.n_edges) == (2, 1)
+
+
 def test_partitions_follow_the_data():
     assert partition_count(8, 10, 10) == 1
     assert partition_count(8, 600_000, 20_000) == 8
