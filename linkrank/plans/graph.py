@@ -6,9 +6,9 @@ used, and in the end the ids themselves.
 
 Passes over the data, each written to the workspace:
 
-1. ``edges``: the input once, so that parsing or extraction upstream is not repeated;
+1. ``edges``: the input once, so that parsing or extraction upstream is not repeated (optional);
 2. ``ids``: every id with its number of outgoing rows, in one aggregation;
-3. ``links``: edges by key, moved once to the bucket of their source and merged there;
+3. ``links``: edges by key, moved once to the bucket of their source, merged and sorted there;
 4. ``nodes``: key, id and out-degree, in the same buckets.
 """
 
@@ -109,28 +109,33 @@ def prepare(
     nodes: DataFrame | None = None,
     dedupe: bool = True,
     workspace: Workspace | None = None,
+    stage: bool = True,
     heavy_rows: int = HEAVY_ROWS,
     max_heavy: int = MAX_HEAVY,
 ) -> Graph:
     """Prepare ``edges(src, dst)`` for ranking; rows that lack either id are no edges.
 
     ``dedupe=False`` keeps copies of an edge, each of which carries a share of its own. ``nodes(id)``
-    names the nodes; without it every id of an edge is a node.
+    names the nodes; without it every id of an edge is a node. ``stage=False`` leaves out the copy
+    of the input; use it when the edges are a stored table, which can be read twice at little cost.
     """
     spark = edges.sparkSession
     workspace = workspace or Workspace(spark)
     default = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    arrived = Observation()
-    staged = workspace.save(
-        edges.select("src", "dst").dropna().observe(arrived, F.count(F.lit(1)).alias("rows")), "edges"
-    )
-    n_raw = arrived.get["rows"]
+    staged, expected = edges.select("src", "dst").dropna(), 0
+    if stage:
+        arrived = Observation()
+        staged = workspace.save(
+            staged.observe(arrived, F.count(F.lit(1)).alias("rows")), "edges"
+        )
+        expected = arrived.get["rows"]
 
-    with shuffle_partitions(spark, max(default, ceil(n_raw / EDGES_PER_PARTITION))):
+    with shuffle_partitions(spark, max(default, ceil(expected / EDGES_PER_PARTITION))):
         ids, key, seen = _identify(workspace, staged, nodes)
     if not seen["members"]:
         workspace.close()
         raise ValueError("the graph has no nodes")
+    n_raw = seen["links"] or 0
     limit = heavy_limit(n_raw, heavy_rows, max_heavy)
     heavy = None
     if (seen["largest"] or 0) > limit:
@@ -171,6 +176,7 @@ def prepare(
 def prepare_records(
     records: DataFrame,
     workspace: Workspace | None = None,
+    stage: bool = True,
     split_lists: bool = False,
     **options: int,
 ) -> Graph:
@@ -179,12 +185,20 @@ def prepare_records(
     Repeated neighbours count as often as they are listed. Records must be unique, unless
     ``split_lists`` says that long lists were written in several parts.
     """
-    nodes = records.select("id")
+    workspace = workspace or Workspace(records.sparkSession)
+    kept = records.select("id", "neighbors")
+    if stage:
+        # One copy serves ids and edges, in place of one of the edges alone.
+        workspace.drop("records")
+        kept = workspace.save(kept, "records")
+    nodes = kept.select("id")
     if split_lists:
         nodes = nodes.distinct()
     else:
         validate_unique(nodes)
-    return prepare(explode_adjacency(records), nodes, False, workspace, **options)
+    graph = prepare(explode_adjacency(kept), nodes, False, workspace, stage=False, **options)
+    workspace.drop("records")
+    return graph
 
 
 def _identify(
@@ -209,6 +223,7 @@ def _identify(
                 totals,
                 F.count(F.lit(1)).alias("ids"),
                 F.count_if("member").alias("members"),
+                F.sum("links").alias("links"),
                 F.max("links").alias("largest"),
             ),
             "ids",
@@ -237,7 +252,7 @@ def _store_links(
         .groupBy("src", "dst")
         .agg(copies.alias("copies"))
     )
-    stored = workspace.save(merged, "links", "src", buckets)
+    stored = workspace.save(merged, "links", "src", buckets, ordered=True)
     if large is None:
         return Links(stored, bucketed=True)
     # Edges of heavy sources are spread by both ends, after copies were merged on the map side.

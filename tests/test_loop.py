@@ -239,6 +239,16 @@ def test_plan_does_not_grow(spark):
         assert abs(sizes[0] - sizes[1]) < 100
 
 
+def test_input_need_not_be_copied(spark):
+    pairs = random_pairs(37, hub=30)
+    with Workspace(spark) as space:
+        graph = prepare(edge_frame(spark, pairs), workspace=space, stage=False, heavy_rows=20)
+        assert not spark.catalog.tableExists(space.table_name("edges"))
+        assert as_dict(rank(graph, tol=None, max_iter=2).ranks) == pytest.approx(
+            brute_force(pairs, 2)[-1], abs=1e-14
+        )
+
+
 def test_rows_without_an_id_are_no_edges(spark):
     with Workspace(spark) as space:
         graph = prepare(
