@@ -1,7 +1,8 @@
 """Link ranking on Spark DataFrames."""
 
+from linkrank.files import rank_files
 from linkrank.plans.graph import Graph, prepare, prepare_records
 from linkrank.plans.iterate import RankResult, rank
 from linkrank.plans.workspace import Workspace
 
-__all__ = ["Graph", "RankResult", "Workspace", "prepare", "prepare_records", "rank"]
+__all__ = ["Graph", "RankResult", "Workspace", "prepare", "prepare_records", "rank", "rank_files"]

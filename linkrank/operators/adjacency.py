@@ -33,6 +33,8 @@ def adjacency_lists(
 
     With ``dedupe=False`` a neighbour is repeated as often as its edge is. Edges of ordinary
     sources move once, to their source. A heavy source is spread over as many groups as it has lists.
+    The edges are read three times (heavy sources, lists, nodes without links); store them first
+    where that is expensive.
     """
     heavy = heavy_sources(edges, heavy_rows, max_heavy)
     light_edges, heavy_edges = split_by_source(edges.select("src", "dst"), heavy)

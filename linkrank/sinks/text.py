@@ -51,11 +51,15 @@ def ranked_records(
     """Add ranks ``(id, out_degree, rank)`` to adjacency records ``(id, part, neighbors)``.
 
     Ranks of nodes with several records are repeated for each, so that the join spreads the lists
-    of one node over tasks instead of collecting them.
+    of one node over tasks instead of collecting them. A node without a record gets an empty list.
     """
     parts = F.sequence(F.lit(0).cast("long"), list_parts(F.col("out_degree"), list_limit) - 1)
     by_part = ranked_nodes.select("id", "rank", F.explode(parts).alias("part"))
-    return by_part.join(records, ["id", "part"]).select("id", "part", "rank", "neighbors")
+    return (
+        by_part.join(records, ["id", "part"], "left")
+        .where(F.col("neighbors").isNotNull() | (F.col("part") == 0))
+        .select("id", "part", "rank", F.expr("coalesce(neighbors, array()) AS neighbors"))
+    )
 
 
 def write_lines(lines: DataFrame, path: str, mode: str = "errorifexists") -> None:

@@ -35,6 +35,9 @@ def test_every_query_has_sql():
 @pytest.mark.parametrize("name", sorted(driver.queries()))
 def test_query(spark, database, name):
     frame = driver.queries()[name](spark, str(FOLDER))
+    plan = frame._jdf.queryExecution().executedPlan().toString()
+    for unwanted in ("CartesianProduct", "NestedLoopJoin", "EvalPython", "MapInPandas"):
+        assert unwanted not in plan
     columns = sorted(frame.columns)
     found = [tuple(row) for row in frame.select(*columns).collect()]
     result = database.execute(driver.oracle_sql()[name])
