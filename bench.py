@@ -1,7 +1,7 @@
 """Time the headline queries and print one JSON line.
 
-``BENCH_SF_DIR`` names the test tables, ``BENCH_CPUS`` the number of local cores. Every query writes its
-whole result to a sink that discards it, so nothing is left out by column pruning or limits.
+``BENCH_SF_DIR`` names the test tables, ``BENCH_CPUS`` the number of local cores. Every query writes
+its whole result to a sink that discards it, so nothing is left out by column pruning or limits.
 """
 
 from __future__ import annotations
@@ -72,9 +72,8 @@ def benchmarks(spark: SparkSession, loops: dict[str, dict]) -> dict[str, Callabl
         result.close()
 
     def one_step() -> None:
-        unique = edges.dedupe_edges(graphs.part_supp(spark, FOLDER))
-        state = edges.initial_ranks(edges.out_degrees(unique))
-        drain(step.incoming_sums(step.contributions(step.make_links(unique), state)))
+        state = edges.initial_ranks(edges.out_degrees(edges.dedupe_edges(part_supp)))
+        drain(step.incoming_sums(step.contributions(step.make_links(part_supp), state)))
 
     part_supp = graphs.part_supp(spark, FOLDER)
     return {

@@ -1,8 +1,8 @@
 """Adjacency records: building, ordering and flattening.
 
 A record is ``(id, part, neighbors)``. Lists are bounded: a node with more than ``list_limit``
-neighbours gets several records, numbered by ``part``, so no list outgrows a row or a task. All other nodes
-have exactly one record, with part 0.
+neighbours gets several records, numbered by ``part``, so no list outgrows a row or a task. All
+other nodes have exactly one record, with part 0.
 """
 
 from __future__ import annotations
@@ -32,8 +32,8 @@ def adjacency_lists(
     """``(id, part, neighbors)`` for every node of the graph, empty lists for dangling ones.
 
     With ``dedupe=False`` a neighbour is repeated as often as its edge is. Edges of ordinary
-    sources move once, to their source. A heavy source is spread over as many groups as it has lists.
-    The edges are read three times (heavy sources, lists, nodes without links); store them first
+    sources move once, to their source. A heavy source is spread over as many groups as it has
+    lists. The edges are read three times (heavy sources, lists, nodes without links); store them first
     where that is expensive.
     """
     heavy = heavy_sources(edges, heavy_rows, max_heavy)

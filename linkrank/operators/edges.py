@@ -32,7 +32,7 @@ def record_count(records: DataFrame) -> DataFrame:
 
 
 def out_degrees(edges: DataFrame) -> DataFrame:
-    """``(id, out_degree)`` of every node, 0 for pure targets; node set and degrees in one shuffle."""
+    """``(id, out_degree)`` of every node, 0 for pure targets; all in one shuffle."""
     starts = edges.select(F.col("src").alias("id"), F.lit(1).alias("links"))
     ends = edges.select(F.col("dst").alias("id"), F.lit(0).alias("links"))
     return starts.union(ends).groupBy("id").agg(F.sum("links").alias("out_degree"))

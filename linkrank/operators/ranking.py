@@ -54,7 +54,8 @@ def number_rows(df: DataFrame, order: list[Column], workspace: Workspace, name:
     counts = stored.groupBy("slice").agg(F.count(F.lit(1)).alias("rows"))
     before = Window.orderBy("slice").rowsBetween(Window.unboundedPreceding, -1)
     # One row per slice: as many as there are shuffle partitions, whatever the data.
-    offsets = counts.select("slice", F.coalesce(F.sum("rows").over(before), F.lit(0)).alias("offset"))
+    offset = F.coalesce(F.sum("rows").over(before), F.lit(0))
+    offsets = counts.select("slice", offset.alias("offset"))
     local = F.row_number().over(Window.partitionBy("slice").orderBy(*order))
     return (
         stored.withColumn("local", local)

@@ -1,9 +1,9 @@
 """Sources that hold too many edges for one task.
 
-At most ``max_heavy`` sources can each hold more than one ``max_heavy``-th of all edges, however large
-the graph is. A table with one row per such source therefore has a fixed size bound and is safe to
-broadcast; every other source fits in a task. Splitting edges on that line keeps a hub from ending
-up in a single task, and loses nothing.
+Fewer than ``max_heavy`` sources can each hold more than one ``max_heavy``-th of all edges, however
+large the graph is. A table with one row per such source therefore has a fixed size bound and is
+safe to broadcast; every other source fits in a task. Splitting edges on that line keeps a hub from
+ending up in a single task, and loses nothing.
 """
 
 from __future__ import annotations
@@ -38,7 +38,9 @@ def heavy_sources(
     )
 
 
-def split_by_source(edges: DataFrame, heavy: DataFrame | None) -> tuple[DataFrame, DataFrame | None]:
+def split_by_source(
+    edges: DataFrame, heavy: DataFrame | None
+) -> tuple[DataFrame, DataFrame | None]:
     """Edges of ordinary sources and edges of heavy ones; the bounded side is broadcast."""
     if heavy is None:
         return edges, None

@@ -1,7 +1,7 @@
 """One ranking iteration.
 
-``links`` hold ``(src, dst, copies)``; the state holds ``(id, out_degree, rank)``. Ids may be of any type:
-the loop runs these operators on compact keys, tests run them on plain strings.
+``links`` hold ``(src, dst, copies)``; the state holds ``(id, out_degree, rank)``. Ids may be of any
+type: the loop runs these operators on compact keys, single steps run on plain strings.
 """
 
 from __future__ import annotations

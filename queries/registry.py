@@ -220,8 +220,9 @@ def prepare_graph(spark: SparkSession, folder: str) -> DataFrame:
 
 def _single_step(spark: SparkSession, folder: str) -> tuple[step.Links, DataFrame]:
     """Links of the trade graph, and its start state."""
-    unique = edges.dedupe_edges(graphs.trade(spark, folder))
-    return step.make_links(unique), edges.initial_ranks(edges.out_degrees(unique))
+    raw = graphs.trade(spark, folder)
+    degrees = edges.out_degrees(edges.dedupe_edges(raw))
+    return step.make_links(raw), edges.initial_ranks(degrees)
 
 
 @register
