@@ -7,21 +7,39 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from linkrank.llm import simhash
+from linkrank.llm import mixing, oracle, secret_scan, simhash
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    paths, findings = secret_scan.scan(_table(spark, sf_dir, "documents"))
+    spans = F.coalesce("spans", F.array())
+
+    def count(kind: str):
+        return F.size(F.filter("spans", lambda x: x["kind"] == kind)).cast("long").alias(f"n_{kind}")
+
+    kinds = [count(k) for k in ("assign", "access", "hex")]
+    rows = paths.join(findings, "blob", "left").select(F.col("path").alias("doc_id"), spans.alias("spans"))
+    listed = secret_scan.spans_text(F.col("spans"))
+    return rows.select("doc_id", *kinds, F.sha2(listed, 256).alias("base_sha256"), listed.alias("spans"))
+
+
 def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_duplicates(_table(spark, sf_dir, "documents"))
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = mixing.mix(_table(spark, sf_dir, "documents"))
+    return rows.select("doc_id", "size", "source_size", "target", (F.col("size") * F.col("copies")).alias("taken"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op4_simhash,)}
+    return {f.__name__: f for f in (op1_secret_scan, op4_simhash, op6_mixing)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op1_secret_scan": oracle.secrets_sql(), "op6_mixing": oracle.mixing_sql()}
