@@ -51,3 +51,16 @@ tried AS (SELECT source, k, offset_, abs(CAST(sum(size * copies_in * (floor(rate
 best AS (SELECT source, arg_min(offset_, (miss, offset_)) AS offset_ FROM tried GROUP BY source)
 SELECT doc_id, size, source_size, target, CAST(size * (floor(rate * rank + offset_) - floor(rate * (rank - 1) + offset_)) AS BIGINT) AS taken
 FROM ranked JOIN best ON ranked.source IS NOT DISTINCT FROM best.source, range(copies_in)"""
+
+
+def warc_sql() -> str:
+    return """
+WITH p AS (SELECT page_id, encode(coalesce(html, '')) AS payload FROM pages),
+h AS (SELECT page_id, octet_length(payload) AS payload_bytes, sha1(payload) AS hex FROM p),
+t AS (SELECT *, max(page_id) OVER (PARTITION BY hex) AS top FROM h)
+SELECT page_id, payload_bytes,
+    list_aggregate([substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', CAST((CAST('0x' || substr(hex, CAST(5 * (i // 4) + 1 AS BIGINT), 5) AS BIGINT) >> CAST(15 - 5 * (i % 4) AS BIGINT)) & 31 AS BIGINT) + 1, 1)
+        FOR i IN range(32)], 'string_agg', '') AS payload_digest,
+    CASE WHEN page_id = top THEN 'response' ELSE 'revisit' END AS record_type,
+    CASE WHEN page_id = top THEN NULL ELSE top END AS refers_to
+FROM t"""

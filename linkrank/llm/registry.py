@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from linkrank.llm import mixing, oracle, secret_scan, simhash
+from linkrank.llm import embedding_forest, mixing, oracle, secret_scan, simhash, warc
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -27,19 +27,28 @@ def op1_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("doc_id", *kinds, F.sha2(listed, 256).alias("base_sha256"), listed.alias("spans"))
 
 
+def op2_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    archive = warc.write_archive(_table(spark, sf_dir, "pages"))
+    return warc.read_archive(spark, archive, payloads=False).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_duplicates(_table(spark, sf_dir, "documents"))
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def op5_embedding_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embedding_forest.near_duplicates(_table(spark, sf_dir, "embeddings"))
+
+
 def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = mixing.mix(_table(spark, sf_dir, "documents"))
     return rows.select("doc_id", "size", "source_size", "target", (F.col("size") * F.col("copies")).alias("taken"))
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_secret_scan, op4_simhash, op6_mixing)}
+    return {f.__name__: f for f in (op1_secret_scan, op2_warc, op4_simhash, op5_embedding_forest, op6_mixing)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_secret_scan": oracle.secrets_sql(), "op6_mixing": oracle.mixing_sql()}
+    return {"op1_secret_scan": oracle.secrets_sql(), "op2_warc": oracle.warc_sql(), "op6_mixing": oracle.mixing_sql()}
