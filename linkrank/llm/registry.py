@@ -4,10 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from linkrank.llm import embedding_forest, mixing, oracle, secret_scan, simhash, warc
+from linkrank.llm import bpe, embedding_forest, mixing, oracle, ppm, secret_scan, simhash, warc
+from linkrank.llm.common import crc_part
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -46,8 +48,21 @@ def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("doc_id", "size", "source_size", "target", (F.col("size") * F.col("copies")).alias("taken"))
 
 
+def op7_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vocabulary = public_tokenizers.path("word_bpe_49k.json")
+    rows = bpe.decode(bpe.encode(_table(spark, sf_dir, "documents"), vocabulary), vocabulary)
+    ids = F.array_join(F.col("ids").cast("array<string>"), " ")
+    return rows.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), F.sha2(ids, 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
+def op9_ppm_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = _table(spark, sf_dir, "documents")
+    rows = ppm.identify(documents, ppm.learn(documents))
+    return rows.select("doc_id", F.coalesce(crc_part("doc_id", 3) == 1, F.lit(False)).alias("held_out"), "lang_pred", "score")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_secret_scan, op2_warc, op4_simhash, op5_embedding_forest, op6_mixing)}
+    return {f.__name__: f for f in (op1_secret_scan, op2_warc, op4_simhash, op5_embedding_forest, op6_mixing, op7_bpe, op9_ppm_language)}
 
 
 def oracle_sql() -> dict[str, str]:
