@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from linkrank.llm import bpe, embedding_forest, mixing, oracle, ppm, secret_scan, simhash, warc
+from linkrank.llm import bpe, embedding_forest, mixing, nbsvm, oracle, ppm, quality_rules, secret_scan, simhash, warc
 from linkrank.llm.common import crc_part
 
 
@@ -55,14 +55,26 @@ def op7_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), F.sha2(ids, 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
+def op8_isolation_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = quality_rules.judge(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+    return rows.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
+
+
 def op9_ppm_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = _table(spark, sf_dir, "documents")
     rows = ppm.identify(documents, ppm.learn(documents))
     return rows.select("doc_id", F.coalesce(crc_part("doc_id", 3) == 1, F.lit(False)).alias("held_out"), "lang_pred", "score")
 
 
+def op10_nbsvm_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = _table(spark, sf_dir, "documents")
+    rows = nbsvm.score(documents, nbsvm.fit(documents, _table(spark, sf_dir, "labels")))
+    held_out = F.coalesce(crc_part("doc_id", 4) == 2, F.lit(False))
+    return rows.select("doc_id", held_out.alias("held_out"), "score", (F.col("score") >= 0.7).cast("int").alias("predicted"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_secret_scan, op2_warc, op4_simhash, op5_embedding_forest, op6_mixing, op7_bpe, op9_ppm_language)}
+    return {f.__name__: f for f in (op1_secret_scan, op2_warc, op4_simhash, op5_embedding_forest, op6_mixing, op7_bpe, op8_isolation_forest, op9_ppm_language, op10_nbsvm_quality)}
 
 
 def oracle_sql() -> dict[str, str]:
