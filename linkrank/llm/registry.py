@@ -4,11 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import corpus_pipeline
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from linkrank.llm import bpe, embedding_forest, mixing, nbsvm, oracle, ppm, quality_rules, secret_scan, simhash, warc
+from linkrank.llm import bpe, embedding_forest, html_blocks, mixing, nbsvm, oracle, ppm, quality_rules, secret_scan, simhash, warc
 from linkrank.llm.common import crc_part
 
 
@@ -34,6 +35,11 @@ def op2_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.read_archive(spark, archive, payloads=False).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
+def op3_html_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = _table(spark, sf_dir, "pages")
+    return html_blocks.extract(pages, html_blocks.learn(pages))
+
+
 def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_duplicates(_table(spark, sf_dir, "documents"))
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
@@ -74,8 +80,10 @@ def op10_nbsvm_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_secret_scan, op2_warc, op4_simhash, op5_embedding_forest, op6_mixing, op7_bpe, op8_isolation_forest, op9_ppm_language, op10_nbsvm_quality)}
+    named = (op1_secret_scan, op2_warc, op3_html_blocks, op4_simhash, op5_embedding_forest, op6_mixing, op7_bpe, op8_isolation_forest, op9_ppm_language, op10_nbsvm_quality)
+    return {f.__name__: f for f in named} | {"pipeline": corpus_pipeline.run}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_secret_scan": oracle.secrets_sql(), "op2_warc": oracle.warc_sql(), "op6_mixing": oracle.mixing_sql()}
+    sql = {"op1_secret_scan": oracle.secrets_sql(), "op2_warc": oracle.warc_sql(), "op6_mixing": oracle.mixing_sql()}
+    return sql | ({"pipeline": corpus_pipeline.ORACLE_SQL} if corpus_pipeline.ORACLE_SQL else {})

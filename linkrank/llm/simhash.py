@@ -225,3 +225,15 @@ def near_duplicates(documents: DataFrame, limit: int = 2, shingle: int = 3, **op
     smallest = work.store(named.groupBy("class").agg(F.min("first_id").alias("component_id")), "smallest")
     of_code = work.store(named.join(smallest, "class").select("fp", "component_id"), "of_code")
     return prints.join(of_code, "fp", "left").select("doc_id", "fp", "component_id")
+
+
+def keep_one(documents: DataFrame, limit: int = 2, shingle: int = 3) -> DataFrame:
+    """Rows of ``documents``, with all columns as they are, less those whose class has a smaller doc_id.
+
+    Of rows alike in doc_id and text one stays. Rows without a doc_id stay, as no id is smaller than theirs.
+    """
+    classes = near_duplicates(documents, limit, shingle)
+    keep = classes.where("doc_id = component_id").select(F.col("doc_id").alias("llm_id")).distinct()
+    rows = documents.join(keep, documents.doc_id.cast("long") == keep.llm_id, "left_semi")
+    rows = rows.withColumn("llm_hash", F.xxhash64("text")).dropDuplicates(["doc_id", "llm_hash"]).drop("llm_hash")
+    return rows.unionByName(documents.where("doc_id is null"))
