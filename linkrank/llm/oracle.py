@@ -42,15 +42,21 @@ r AS (SELECT *, 3 * sum(source_size) OVER () - 2 * coalesce(sum(cap) OVER b, 0)
     FROM w WINDOW b AS (ORDER BY cap / w, source ASC NULLS LAST ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
 level AS (SELECT CAST(num AS DOUBLE) AS num, CAST(den AS DOUBLE) AS den FROM r WHERE NOT w * num > cap * den ORDER BY cap / w, source ASC NULLS LAST LIMIT 1),
 goal AS (SELECT source, source_size, CASE WHEN w * r.num > cap * r.den THEN CAST(cap AS DOUBLE) ELSE w * level.num / level.den END AS target FROM r LEFT JOIN level ON true),
-ranked AS (SELECT u.*, source_size, target, CASE WHEN source_size > 0 THEN target / source_size ELSE 0.0::DOUBLE END AS rate,
-        row_number() OVER (PARTITION BY u.source ORDER BY class, key % parts, size, key, doc_id) AS rank
+placed AS (SELECT u.*, source_size, target, CASE WHEN source_size > 0 THEN target / source_size ELSE 0.0::DOUBLE END AS rate, size * copies_in * 50 > source_size AS heavy
     FROM (SELECT *, CAST(floor(sqrt(count(*) OVER (PARTITION BY source, class))) AS BIGINT) + 1 AS parts FROM units) u
     JOIN goal ON u.source IS NOT DISTINCT FROM goal.source),
-tried AS (SELECT source, k, offset_, abs(CAST(sum(size * copies_in * (floor(rate * rank + offset_) - floor(rate * (rank - 1) + offset_))) AS DOUBLE) - any_value(target)) AS miss
-    FROM ranked, (VALUES {draws}) AS d(k, offset_) GROUP BY source, k, offset_),
-best AS (SELECT source, arg_min(offset_, (miss, offset_)) AS offset_ FROM tried GROUP BY source)
-SELECT doc_id, size, source_size, target, CAST(size * (floor(rate * rank + offset_) - floor(rate * (rank - 1) + offset_)) AS BIGINT) AS taken
-FROM ranked JOIN best ON ranked.source IS NOT DISTINCT FROM best.source, range(copies_in)"""
+ranked AS (SELECT *, row_number() OVER (PARTITION BY source, heavy ORDER BY class, key % parts, size, key, doc_id) AS rank FROM placed),
+draws AS (SELECT * FROM (VALUES {draws}) AS d(k, offset_)),
+first AS (SELECT source, k, offset_, any_value(source_size) - coalesce(sum(size * copies_in) FILTER (heavy), 0) AS light, any_value(target) AS target,
+        coalesce(sum(size * copies_in * (floor(rate * rank + offset_) - floor(rate * (rank - 1) + offset_))) FILTER (heavy), 0) AS taken
+    FROM ranked, draws GROUP BY source, k, offset_),
+rates AS (SELECT *, CASE WHEN light > 0 THEN greatest(0.0::DOUBLE, least(2.0::DOUBLE, (target - CAST(taken AS DOUBLE)) / CAST(light AS DOUBLE))) ELSE 0.0::DOUBLE END AS light_rate FROM first),
+tried AS (SELECT r.source, r.k, r.offset_, r.light_rate, abs(CAST(any_value(r.taken) + coalesce(sum(size * copies_in * (floor(r.light_rate * rank + r.offset_) - floor(r.light_rate * (rank - 1) + r.offset_))), 0) AS DOUBLE) - any_value(r.target)) AS miss
+    FROM rates r LEFT JOIN (SELECT * FROM ranked WHERE NOT heavy) l ON r.source IS NOT DISTINCT FROM l.source GROUP BY r.source, r.k, r.offset_, r.light_rate),
+best AS (SELECT source, arg_min(offset_, (miss, offset_)) AS offset_, arg_min(light_rate, (miss, offset_)) AS light_rate FROM tried GROUP BY source),
+final AS (SELECT ranked.*, offset_, CASE WHEN heavy THEN rate ELSE light_rate END AS r FROM ranked JOIN best ON ranked.source IS NOT DISTINCT FROM best.source)
+SELECT doc_id, size, source_size, target, CAST(size * (floor(r * rank + offset_) - floor(r * (rank - 1) + offset_)) AS BIGINT) AS taken
+FROM final, range(copies_in)"""
 
 
 def warc_sql() -> str:
