@@ -1,0 +1,113 @@
+import random
+
+import numpy as np
+from pyspark.sql import functions as F
+from xxhash import xxh64_intdigest
+
+from linkrank.llm import simhash
+from linkrank.llm.common import Work
+from linkrank.llm.components import connected_components
+from tests.llm.conftest import EDGE
+
+
+def plain_print(text):
+    words = [w for w in (text or "").encode().lower().replace(b"\x1c", b"~").split()]
+    grams = [words[k : k + 3] for k in range(len(words) - 2)] if len(words) >= 3 else [words] if words else []
+    hashes = [xxh64_intdigest(b" ".join(g), 42) for g in grams]
+    return sum(1 << b for b in range(64) if 2 * sum(h >> b & 1 for h in hashes) > len(hashes))
+
+
+def plain_classes(codes, limit):
+    up = {c: c for c in codes}
+
+    def root(c):
+        while up[c] != c:
+            c = up[c]
+        return c
+
+    for a in codes:
+        for b in codes:
+            if a < b and (a ^ b).bit_count() <= limit:
+                up[max(root(a), root(b))] = min(root(a), root(b))
+    return {c: root(c) for c in codes}
+
+
+def test_fingerprint():
+    for text in ["", "one", "one two", "A b C", "a b c d " * 50, "Éa éb\x0bx\x0cy z", "x y z w"]:
+        assert simhash.fingerprint(text) == plain_print(text)
+    many = " ".join(str(i) for i in range(200_000))  # over one slice of hashes
+    assert simhash.fingerprint(many) == plain_print(many)
+
+
+def test_links_of_crowded_codes(spark):
+    """Random codes, and a region in which a few bits vary, cut into many small leaves."""
+    rng = random.Random(3)
+    codes = {rng.getrandbits(64) for _ in range(150)}
+    codes |= {c ^ 1 << rng.randrange(64) ^ 1 << rng.randrange(64) for c in list(codes)[:60]}
+    base = rng.getrandbits(64)
+    codes |= {base ^ sum((rng.random() < 0.5) << b for b in (0, 9, 20, 33, 41, 55, 62, 63)) for _ in range(120)}
+    codes |= {0, 2**64 - 1, 2**63, 1}
+    signed = [int(np.uint64(c).astype(np.int64)) for c in codes]
+    frame = spark.createDataFrame([(c,) for c in signed], "fp long")
+    for limit in (0, 2, 5):
+        work = Work(spark, "test")
+        links = simhash.near_links(frame, work, limit=limit, leaf_rows=11, max_leaves=64)
+        found = {r.node: r.component for r in connected_components(links, work).collect()}
+        expected = plain_classes(codes, limit)
+        classes = {}
+        for c, s in zip(codes, signed, strict=True):
+            classes.setdefault(expected[c], set()).add(found.get(s, s))
+        assert all(len(v) == 1 for v in classes.values())
+        assert len({next(iter(v)) for v in classes.values()}) == len(classes)
+
+
+def test_search_front_is_split(monkeypatch):
+    monkeypatch.setattr(simhash, "FRONT", 50)
+    codes = np.unique(np.random.default_rng(1).integers(0, 2**12, 300).astype(np.uint64))
+    codes = codes[np.argsort(simhash._gray_rank(codes))]
+    index = simhash.GrayIndex(codes, codes)
+    found = {(int(a), int(b)) for x, y in index.search(codes, 2) for a, b in zip(x, y, strict=True)}
+    assert found == {(i, j) for i, a in enumerate(codes) for j, b in enumerate(codes) if int(a ^ b).bit_count() <= 2}
+
+
+def test_components_of_a_long_path_and_a_star(spark):
+    path = [(i, i + 1) for i in range(100, 160)]
+    star = [(1000, i) for i in range(1001, 1200)]
+    edges = spark.createDataFrame([*path, *star, (5, 5), (None, 7), (100, 101)], "a long, b long")
+    found = {r.node: r.component for r in connected_components(edges, Work(spark, "test")).collect()}
+    assert found == {i: 100 for i in range(100, 161)} | {i: 1000 for i in range(1000, 1200)}
+    none = spark.createDataFrame([], "a long, b long")
+    assert connected_components(none, Work(spark, "test")).count() == 0
+
+
+def test_documents(spark, documents):
+    rng = random.Random(4)
+    rows = list(EDGE)
+    for g in range(6):
+        words = [rng.choice("abcdefgh") * rng.randrange(1, 6) for _ in range(400)]
+        for k in range(4):
+            changed = list(words)
+            changed[rng.randrange(400)] = "zz" * k
+            rows.append((100 * g + 20 + k, " ".join(changed), "en", "a"))
+    codes = {t: plain_print(t) for _, t, _, _ in rows}
+    classes = plain_classes(set(codes.values()), 2)
+    ids = {}
+    for i, t, _, _ in rows:
+        if i is not None:
+            ids.setdefault(classes[codes[t]], []).append(i)
+    expected = sorted((repr(i), codes[t], min(ids.get(classes[codes[t]], [None]))) for i, t, _, _ in rows)
+    found = simhash.near_duplicates(documents(rows), leaf_rows=5).collect()
+    assert sorted((repr(r.doc_id), int(np.int64(r.fp).astype(np.uint64)), r.component_id) for r in found) == expected
+    kept = simhash.keep_one(documents(rows))
+    assert kept.columns == documents(rows).columns
+    left = [r.doc_id for r in kept.collect()]
+    assert sorted(i for i in left if i is not None) == sorted({i for i, t, _, _ in rows if i is not None and i == min(ids[classes[codes[t]]])})
+    assert left.count(None) == 2
+    assert simhash.near_duplicates(documents([])).count() == 0
+
+
+def test_gray_rank_orders_alike(spark):
+    codes = [int(x) for x in np.random.default_rng(2).integers(-(2**63), 2**63 - 1, 200)]
+    found = [r.fp for r in spark.createDataFrame([(c,) for c in codes], "fp long").orderBy(simhash.gray_rank(F.col("fp"))).collect()]
+    ranks = simhash._gray_rank(np.array(codes).view(np.uint64))
+    assert found == [codes[i] for i in np.argsort(ranks)]
