@@ -6,7 +6,6 @@ import gc
 import heapq
 import json
 import unicodedata
-from array import array
 from collections.abc import Iterator
 from functools import partial
 from itertools import chain
@@ -14,13 +13,14 @@ from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from linkrank.llm.common import bounded_batches, strings
 
 #: Words whose encoding a task remembers; it starts anew beyond that.
-CACHE_WORDS = 150_000
+CACHE_WORDS = 400_000
 #: Texts whose new words are encoded together.
 TEXTS = 512
 NONE = 1 << 62
@@ -45,8 +45,15 @@ def _lower(text: str) -> str:
     return text.lower() if text.isascii() else "".join(map(str.lower, unicodedata.normalize("NFC", text)))
 
 
-class Codec:
-    """Encoder and decoder for a vocabulary file with word ends and byte letters.
+def tokens_of(file: bytes) -> list[str]:
+    """Token of each id of a vocabulary file, special ones included."""
+    whole = json.loads(file)
+    pairs = {x["id"]: x["content"] for x in whole["added_tokens"]} | {i: t for t, i in whole["model"]["vocab"].items()}
+    return [pairs.get(i, "") for i in range(1 + max(pairs))]
+
+
+class Encoder:
+    """Encoder for a vocabulary file with word ends and byte letters.
 
     A pair of bytes that is within no token can't be merged over, so a word is cut between them for certain; the fragments are
     encoded on their own and their ids joined.
@@ -62,9 +69,6 @@ class Codec:
         self.end = model["end_of_word_suffix"]
         vocab: dict[str, int] = model["vocab"]
         self.special = {x["content"]: x["id"] for x in whole["added_tokens"]}
-        self.tokens = [""] * (1 + max(*vocab.values(), *self.special.values()))
-        for token, i in (vocab | self.special).items():
-            self.tokens[i] = token
         split = whole["pre_tokenizer"]["pretokenizers"][0]["pattern"]["Regex"]
         self.words = regex.compile(split.replace(r"\s", SPACE))
         self.cut_special = regex.compile("(" + "|".join(map(regex.escape, sorted(self.special, key=len, reverse=True))) + ")") if self.special else None
@@ -82,50 +86,39 @@ class Codec:
         self.joined = np.zeros((256, 256), bool)
         for a, b in inside:
             self.joined[of_letter[a], of_letter[b]] = True
-        self.parts: dict[str, list[int]] = {}
-        self.known: dict[str, list[int]] = {}
-
-    def encode(self, texts: list[str]) -> tuple[np.ndarray, array]:
-        """Number of ids of each whole text, and all ids; special tokens written out in a text count as such."""
-        known, ids, counts = self.known, array("i"), []
-        split = [self.apart.split(t) if any(c in t for c in NOT_SPACE) else t.split() for t in texts]
-        for start in range(0, len(split), TEXTS):
-            part = split[start : start + TEXTS]
+        # ids in bytes, by word and by chunk of text; no word of the pattern is written like a special token
+        self.special_parts = {k: np.int32(i).tobytes() for k, i in self.special.items()}
+        self.parts: dict[str, bytes] = dict(self.special_parts)
+        self.known: dict[str, bytes] = {}
+
+    def encode(self, texts: list[str]) -> list[bytes]:
+        """Ids of each whole text as 32-bit integers in bytes; special tokens written out in a text count as such."""
+        known, out = self.known, []
+        for start in range(0, len(texts), TEXTS):
+            part = [self.apart.split(t) if any(c in t for c in NOT_SPACE) else t.split() for t in texts[start : start + TEXTS]]
             if len(known) > CACHE_WORDS:
                 known.clear()
-            fresh = {w for words in part for w in words if w not in known}
-            self._learn(fresh)
-            for words in part:
-                before = len(ids)
-                ids.extend(chain.from_iterable(map(known.__getitem__, words)))
-                counts.append(len(ids) - before)
-        return np.array(counts, np.int64), ids
-
-    def decode(self, ids) -> str:
-        return " ".join(map(self.tokens.__getitem__, ids))
-
-    def _learn(self, chunks: set[str]) -> None:
+            self._learn(list(set().union(*part) - known.keys()))
+            out += [b"".join(map(known.__getitem__, words)) for words in part]
+        return out
+
+    def _learn(self, chunks: list[str]) -> None:
         """Encodes what stands between white space: special tokens, and the words of the pattern, all new ones at a time."""
-        pieces: dict[str, list] = {}
-        for chunk in chunks:
-            if "<" in chunk and self.cut_special is not None:
-                pieces[chunk] = [w for part in self.cut_special.split(chunk) for w in ([self.special[part]] if part in self.special else self.words.findall(_lower(part)))]
-            else:
-                pieces[chunk] = self.words.findall(_lower(chunk))
+        find, special = self.words.findall, self.cut_special
+        split = [find(_lower(c)) if "<" not in c or special is None else [w for x in special.split(c) for w in ([x] if x in self.special else find(_lower(x)))] for c in chunks]
         if len(self.parts) > CACHE_WORDS:
-            self.parts.clear()
-        fresh = list({w for words in pieces.values() for w in words if w not in self.parts and isinstance(w, str)})
-        self.parts.update(zip(fresh, self._merge([w.encode() for w in fresh]), strict=True))
+            self.parts = dict(self.special_parts)
         parts = self.parts
-        for chunk, words in pieces.items():
-            self.known[chunk] = parts[words[0]] if len(words) == 1 and isinstance(words[0], str) else [i for w in words for i in (parts[w] if isinstance(w, str) else (w,))]
+        fresh = list(set(chain.from_iterable(split)) - parts.keys())
+        parts.update(zip(fresh, self._merge([w.encode() for w in fresh]), strict=True))
+        self.known.update(zip(chunks, [parts[words[0]] if len(words) == 1 else b"".join([parts[w] for w in words]) for words in split], strict=True))
 
     def _rank(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
         key = left << 20 | right
         at = np.minimum(np.searchsorted(self.pair_keys, key), len(self.pair_keys) - 1)
         return np.where(self.pair_keys[at] == key, self.pair_ranks[at], NONE)
 
-    def _merge(self, words: list[bytes]) -> list[list[int]]:
+    def _merge(self, words: list[bytes]) -> list[bytes]:
         """Cuts the words at forced boundaries, and merges in all fragments at once the pair of lowest rank, the leftmost of equal ones."""
         if not words:
             return []
@@ -176,8 +169,8 @@ class Codec:
             open_ = np.ones(len(sizes), bool)
         owner = np.concatenate([x for x, _ in done])
         order = np.argsort(owner, kind="stable")
-        flat = np.concatenate([x for _, x in done])[order].tolist()
-        at = np.searchsorted(owner[order], fragment_of_word).tolist()
+        flat = np.concatenate([x for _, x in done])[order].astype(np.int32).tobytes()
+        at = (4 * np.searchsorted(owner[order], fragment_of_word)).tolist()
         return [flat[a:b] for a, b in zip(at, at[1:], strict=False)]
 
     def _merge_long(self, ids: list[int]) -> list[int]:
@@ -200,29 +193,35 @@ class Codec:
         return [i for i in ids if i >= 0]
 
 
-def _codec(file) -> Codec:
-    """One for each Python worker: it stays with the broadcast value, words that it remembers included."""
+def _held(file, kind):
+    """One of a kind for each Python worker: it stays with the broadcast value, words that it remembers included."""
     held = file.value
-    if "codec" not in held:
-        held["codec"] = Codec(held["file"])
-    return held["codec"]
+    if kind.__name__ not in held:
+        held[kind.__name__] = kind(held["file"])
+    return held[kind.__name__]
 
 
 def _encode(batches: Iterator[pa.RecordBatch], file) -> Iterator[pa.RecordBatch]:
-    codec = _codec(file)
+    encoder = _held(file, Encoder)
     gc.disable()  # what is remembered holds no cycles, and there is much of it
     for batch in batches:
-        counts, ids = codec.encode(list(strings(batch, "text")))
-        ends = np.cumsum(np.r_[0, counts]).astype(np.int32)
-        lists = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.frombuffer(ids, np.int32) if ids else np.zeros(0, np.int32)))
+        ids = encoder.encode(list(strings(batch, "text")))
+        ends = np.cumsum([0, *(len(x) // 4 for x in ids)]).astype(np.int32)
+        lists = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.frombuffer(b"".join(ids), np.int32)))
         yield pa.record_batch([batch.column(0), lists], names=["doc_id", "ids"])
 
 
+def decoded(ids: pa.ListArray, tokens: pa.Array) -> pa.Array:
+    """Tokens of each list joined by spaces; null as an empty list."""
+    sizes = pc.fill_null(pc.list_value_length(ids), 0).to_numpy()
+    ends = pa.array(np.cumsum(np.r_[0, sizes]).astype(np.int32))
+    return pc.binary_join(pa.ListArray.from_arrays(ends, pc.take(tokens, ids.flatten())), " ")
+
+
 def _decode(batches: Iterator[pa.RecordBatch], file) -> Iterator[pa.RecordBatch]:
-    codec = _codec(file)
+    tokens = pa.array(_held(file, tokens_of))
     for batch in batches:
-        texts = [codec.decode(x.as_py() or ()) for x in batch.column(1)]
-        yield pa.record_batch([batch.column(0), batch.column(1), pa.array(texts, pa.string())], names=["doc_id", "ids", "decoded"])
+        yield pa.record_batch([batch.column(0), batch.column(1), decoded(batch.column(1), tokens)], names=["doc_id", "ids", "decoded"])
 
 
 def encode(documents: DataFrame, vocabulary: str) -> DataFrame:
