@@ -7,7 +7,7 @@ import pytest
 from tokenizers import Tokenizer
 
 from linkrank.llm import bpe
-from tests.llm.conftest import EDGE
+from llm.conftest import EDGE
 
 VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
 ODD = (0xE9, 0xDF, 0x3A3, 0x130, 0x2019, 0x663, 0xBD, 0x3000, 0xA0, 0x1C, 0x1F, 0x85, 0x301, 0x300, 0xD55C, 0x65E5, 0x1F642, 0xFB01, 0x2028, 0x200B, 0x0, 0x1E9E)

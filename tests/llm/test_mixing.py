@@ -5,7 +5,7 @@ import pyarrow as pa
 import pytest
 
 from linkrank.llm import mixing, oracle
-from tests.llm.conftest import EDGE
+from llm.conftest import EDGE
 
 
 def by_water(sizes):

@@ -5,7 +5,7 @@ import numpy as np
 import pytest
 
 from linkrank.llm import nbsvm
-from tests.llm.conftest import EDGE
+from llm.conftest import EDGE
 
 FOLDER = "/root/testdata/sf0.1"
 

@@ -12,8 +12,8 @@ from tokenizers import Tokenizer
 import __spark_entry__ as driver
 import corpus_pipeline
 from linkrank.llm import oracle, ppm, registry
-from tests.llm.test_secret_scan import plain as spans
-from tests.llm.test_simhash import plain_classes, plain_print
+from llm.test_secret_scan import plain as spans
+from llm.test_simhash import plain_classes, plain_print
 
 FOLDER = "/root/testdata/sf0.001"
 

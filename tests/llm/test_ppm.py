@@ -5,7 +5,7 @@ import numpy as np
 import pytest
 
 from linkrank.llm import ppm
-from tests.llm.conftest import EDGE
+from llm.conftest import EDGE
 
 FOLDER = "/root/testdata/sf0.01"
 SAMPLES = {"x": [b"abracadabra", b"abc", b""], "y": ["ééà".encode(), b"zebra zebra"]}

@@ -3,7 +3,7 @@ import re
 
 from linkrank.llm import secret_scan
 from linkrank.llm.secret_scan import RULES, Rule
-from tests.llm.conftest import EDGE
+from llm.conftest import EDGE
 
 TEXTS = [
     'x password = "hunter2hunter2" y', "TOKEN:abc", "token=password=abcdefgh12", "secret=abc secret = abcdefgh", "api_key='ABCDEFGH' apikey:ABCDEFGHI",

@@ -7,7 +7,7 @@ from xxhash import xxh64_intdigest
 from linkrank.llm import simhash
 from linkrank.llm.common import Work
 from linkrank.llm.components import connected_components
-from tests.llm.conftest import EDGE
+from llm.conftest import EDGE
 
 
 def plain_print(text):
