@@ -1,8 +1,19 @@
 """Link ranking on Spark DataFrames."""
 
-from linkrank.files import rank_files
+from linkrank.files import adjacency_to_ranked, edges_to_adjacency, rank_files
 from linkrank.plans.graph import Graph, prepare, prepare_records
-from linkrank.plans.iterate import RankResult, rank
+from linkrank.plans.iterate import RankResult, rank, resume
 from linkrank.plans.workspace import Workspace
 
-__all__ = ["Graph", "RankResult", "Workspace", "prepare", "prepare_records", "rank", "rank_files"]
+__all__ = [
+    "Graph",
+    "RankResult",
+    "Workspace",
+    "adjacency_to_ranked",
+    "edges_to_adjacency",
+    "prepare",
+    "prepare_records",
+    "rank",
+    "rank_files",
+    "resume",
+]

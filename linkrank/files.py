@@ -2,14 +2,16 @@
 
 from __future__ import annotations
 
-from pyspark.sql import SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, SparkSession
 
-from linkrank.operators.adjacency import adjacency_lists, explode_adjacency
+from linkrank.operators.adjacency import adjacency_lists
+from linkrank.operators.edges import initial_ranks
+from linkrank.operators.ranking import order_nodes
 from linkrank.plans.graph import prepare, prepare_records
 from linkrank.plans.iterate import RankResult, rank
 from linkrank.plans.workspace import Workspace
 from linkrank.sinks import (
+    adjacency_lines,
     append_ledger,
     convergence_report,
     ranked_lines,
@@ -22,9 +24,28 @@ from linkrank.sinks import (
     write_lines,
     write_summary,
 )
-from linkrank.sources import read_adjacency, read_edges, read_ranked
+from linkrank.sources import check_edges, check_records, reject_counts, split_checked
 
 SOURCES = ("edges", "adjacency", "ranked")
+#: Allowed numbers of fields in a record of each kind.
+WIDTHS = {"adjacency": (2,), "ranked": (3,)}
+
+
+def edges_to_adjacency(lines: DataFrame, dedupe: bool = True, workspace: Workspace | None = None, **edge_format: str | None) -> tuple[DataFrame, DataFrame]:
+    """Adjacency lines of an edge list, in the order of their ids, and the rejects; the lines are read once."""
+    workspace = workspace or Workspace(lines.sparkSession)
+    edges, rejects = split_checked(workspace.save(check_edges(lines, **edge_format), workspace.new_name("checked")))
+    lists = workspace.save(adjacency_lists(edges, dedupe, workspace=workspace), workspace.new_name("lists"))
+    return adjacency_lines(order_nodes(lists)), rejects
+
+
+def adjacency_to_ranked(records: DataFrame, n: int | None = None) -> DataFrame:
+    """Ranked lines with the rank ``1/N`` of adjacency records ``(id, neighbors)``.
+
+    N is ``n`` where it is known; else the ids are counted, each once however many records it has.
+    """
+    total = n if n is not None else records.select("id").distinct().count()
+    return ranked_lines(initial_ranks(records.select("id", "neighbors"), max(total, 1)))
 
 
 def rank_files(
@@ -33,44 +54,57 @@ def rank_files(
     output_path: str,
     source: str = "edges",
     dedupe: bool = True,
-    split_lists: bool = False,
     k: int = 20,
     text: bool = True,
     dataset: str | None = None,
     ledger_path: str | None = None,
     edge_format: dict[str, str | None] | None = None,
+    resume_from: str | None = None,
+    workspace: str | None = None,
     **options: object,
 ) -> RankResult:
     """Rank the graph in ``input_path`` and write reports below ``output_path``.
 
     ``source`` tells whether the lines are edges, adjacency records, or ranked records of an earlier
-    iteration, from which the run goes on; ``split_lists`` says that their long lists come in parts.
-    ``edge_format`` goes to the edge parser and ``options`` to
-    ``rank``. Written are ``ranks`` (Parquet), ``final`` (ranked records, unless ``text`` is false),
-    ``top``, ``convergence``, ``times``, ``summary``, and ``iterations`` if history is kept.
+    iteration, from which the run goes on; several records of an id are parts of its list. ``resume_from`` is the
+    output folder of an earlier run over the same input: its ranks in full precision, its N, its number of iterations and
+    its history are taken up, and the outcome is that of one run. Ranked records alone have 15 decimals and know
+    no N; give ``n`` and ``first_iteration`` where the count of records is not the N of the run.
+    ``workspace`` names a workspace to be kept, in which ``linkrank.resume`` goes on after the driver died.
+    ``edge_format`` goes to the edge parser and ``options`` to ``rank``.
+
+    Written are ``ranks``, ``history`` and ``run`` (Parquet), ``final`` (ranked records, unless ``text`` is false), ``rejects``
+    (Parquet) and ``reject_counts``, ``top``, ``convergence``, ``times``, ``summary``, and ``iterations`` if history is kept.
     """
     if source not in SOURCES:
         raise ValueError(f"source must be one of {SOURCES}, not {source!r}")
-    workspace = Workspace(spark)
+    space = Workspace(spark, name=workspace)
+    lines = spark.read.text(input_path)
+    checked = check_edges(lines, **(edge_format or {})) if source == "edges" else check_records(lines, WIDTHS[source])
+    read, rejects = split_checked(space.save(checked, space.new_name("checked")))
     if source == "edges":
-        read = read_edges(spark, input_path, **(edge_format or {}))
-        edges = workspace.save(read, "parsed_edges")
-        graph = prepare(edges, dedupe=dedupe, workspace=workspace, stage=False)
-        lists = adjacency_lists(edges, dedupe) if text else None
+        graph = prepare(read, dedupe=dedupe, workspace=space)
+        lists = adjacency_lists(read, dedupe, workspace=space) if text else None
     else:
-        reader = read_adjacency if source == "adjacency" else read_ranked
-        records = workspace.save(reader(spark, input_path), "parsed_records")
-        graph = prepare_records(records, workspace, stage=False, split_lists=split_lists)
-        if split_lists:
-            lists = adjacency_lists(explode_adjacency(records), dedupe=False) if text else None
-        else:
-            lists = records.select("id", F.lit(0).cast("long").alias("part"), "neighbors")
-        if source == "ranked":
+        if source == "ranked" and read.isEmpty():
+            raise ValueError(f"no valid ranked records in {input_path}")
+        graph, lists = prepare_records(read, space), read
+        if source == "ranked" and resume_from is None:
             # Parts of one list repeat the rank of their node.
-            options["initial_ranks"] = records.select("id", "rank").distinct()
+            options["initial_ranks"] = read.select("id", "rank").distinct()
+    if resume_from is not None:
+        earlier = spark.read.parquet(f"{resume_from}/run").first()
+        options |= {
+            "initial_ranks": spark.read.parquet(f"{resume_from}/ranks"), "history": spark.read.parquet(f"{resume_from}/history"),
+            "n": earlier["n"], "first_iteration": earlier["iterations"] + 1,
+        }
     result = rank(graph, **options)
 
     result.ranks.write.parquet(f"{output_path}/ranks")
+    result.history.coalesce(1).write.parquet(f"{output_path}/history")
+    spark.createDataFrame([(result.n, result.iterations)], "n long, iterations long").coalesce(1).write.parquet(f"{output_path}/run")
+    rejects.write.parquet(f"{output_path}/rejects")
+    write_csv(reject_counts(spark.read.schema(rejects.schema).parquet(f"{output_path}/rejects")), f"{output_path}/reject_counts")
     if text:
         write_lines(ranked_lines(ranked_records(result.ranked_nodes, lists)), f"{output_path}/final")
     write_csv(top_report(result.ranks, k), f"{output_path}/top")

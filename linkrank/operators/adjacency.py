@@ -1,23 +1,17 @@
 """Adjacency records: building, ordering and flattening.
 
-A record is ``(id, part, neighbors)``. Lists are bounded: a node with more than ``list_limit``
-neighbours gets several records, numbered by ``part``, so no list outgrows a row or a task. All
-other nodes have exactly one record, with part 0.
+A record is ``(id, part, neighbors)``. Lists are bounded: the neighbours of a node, in their final order,
+are cut after every ``list_limit`` of them, and each piece is a record with its number as ``part``. Most
+nodes have one record, with part 0. The parts of a node one after the other give its whole list.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
 from linkrank.functions import integer_order, is_integer
-from linkrank.operators.edges import count_copies, dangling_nodes, dedupe_edges
-from linkrank.operators.skew import (
-    HEAVY_ROWS,
-    MAX_HEAVY,
-    heavy_sources,
-    split_by_source,
-)
+from linkrank.plans.workspace import Workspace
 
 LIST_LIMIT = 100_000
 
@@ -26,63 +20,74 @@ def adjacency_lists(
     edges: DataFrame,
     dedupe: bool = True,
     list_limit: int = LIST_LIMIT,
-    heavy_rows: int = HEAVY_ROWS,
-    max_heavy: int = MAX_HEAVY,
+    workspace: Workspace | None = None,
 ) -> DataFrame:
     """``(id, part, neighbors)`` for every node of the graph, empty lists for dangling ones.
 
-    With ``dedupe=False`` a neighbour is repeated as often as its edge is. Edges of ordinary
-    sources move once, to their source. A heavy source is spread over as many groups as it has
-    lists. The edges are read three times (heavy sources, lists, nodes without links); store them first
-    where that is expensive.
+    With ``dedupe=False`` a neighbour is repeated as often as its edge is. Neighbours are ordered by value
+    if all of a node's are whole numbers, else by text. The edges are read once: equal ones are merged before
+    the exchange by both ends, which spreads any hub, and stored with a mark for each node. Nodes with
+    one list are collected from there; the lists of the others are numbered by ranges of their order.
     """
-    heavy = heavy_sources(edges, heavy_rows, max_heavy)
-    light_edges, heavy_edges = split_by_source(edges.select("src", "dst"), heavy)
-
-    by_source = light_edges.repartition("src")
-    if dedupe:
-        by_source = dedupe_edges(by_source)
-    position = F.row_number().over(Window.partitionBy("src").orderBy("dst"))
-    lists = _collect(by_source.withColumn("part", F.floor((position - 1) / list_limit)))
-
-    if heavy_edges is not None:
-        lists = lists.unionByName(_heavy_lists(heavy_edges, dedupe, list_limit))
-
-    empty = dangling_nodes(edges).select(
-        "id",
-        F.lit(0).cast("long").alias("part"),
-        F.array().cast("array<string>").alias("neighbors"),
+    if list_limit < 1:
+        raise ValueError(f"list_limit must be greater than zero, not {list_limit}")
+    workspace = workspace or Workspace(edges.sparkSession)
+    ends = F.inline(
+        F.array(
+            F.struct(F.col("src").alias("id"), F.col("dst").alias("neighbor")),
+            F.struct(F.col("dst").alias("id"), F.lit(None).cast("string").alias("neighbor")),
+        )
     )
-    return lists.unionByName(empty).withColumn("neighbors", order_neighbors(F.col("neighbors")))
-
-
-def _collect(edges: DataFrame) -> DataFrame:
-    return edges.groupBy(F.col("src").alias("id"), "part").agg(
-        F.collect_list("dst").alias("neighbors")
+    copies = F.lit(1).cast("long") if dedupe else F.count(F.lit(1))
+    pairs = workspace.save(
+        edges.select("src", "dst").dropna().select(ends).groupBy("id", "neighbor").agg(copies.alias("copies")),
+        workspace.new_name("pairs"),
     )
+    linked = pairs.where("neighbor IS NOT NULL")
 
-
-def _heavy_lists(edges: DataFrame, dedupe: bool, list_limit: int) -> DataFrame:
-    """Lists of heavy sources: copies are counted first, then dealt out to the groups by hash.
-
-    An edge with many copies is cut into runs well below a list's length, and each run goes its own
-    way. The broadcast side has one row per heavy source, of which there are few by definition.
-    """
-    run_limit = max(1, list_limit // 16)
-    copies = F.lit(1).cast("long") if dedupe else F.col("copies")
-    counted = dedupe_edges(edges) if dedupe else count_copies(edges)
-    last_run = F.ceil(copies / run_limit) - 1
-    runs = counted.select(
-        "src", "dst", copies.alias("copies"), F.explode(F.sequence(F.lit(0), last_run)).alias("run")
+    counted = Observation()
+    sizes = linked.groupBy("id").agg(
+        F.sum("copies").alias("size"), F.bool_and(is_integer(F.col("neighbor"))).alias("numbers")
+    )
+    large = workspace.save(
+        sizes.where(F.col("size") > list_limit).observe(counted, F.count(F.lit(1)).alias("rows")),
+        workspace.new_name("large"),
     )
-    groups = counted.groupBy("src").agg(F.ceil(F.sum(copies) / list_limit).alias("groups"))
-    in_run = F.least(F.lit(run_limit), F.col("copies") - F.col("run") * run_limit).cast("int")
-    return (
-        runs.join(F.broadcast(groups), "src")
-        .withColumn("part", F.pmod(F.xxhash64("dst", "run"), F.col("groups")))
-        .groupBy(F.col("src").alias("id"), "part")
-        .agg(F.flatten(F.collect_list(F.array_repeat("dst", in_run))).alias("neighbors"))
+    some = counted.get["rows"]
+    small = pairs.join(large.select("id"), "id", "left_anti") if some else pairs
+    repeated = F.flatten(
+        F.collect_list(F.when(F.col("neighbor").isNotNull(), F.array_repeat("neighbor", F.col("copies").cast("int"))))
     )
+    whole = small.groupBy("id").agg(repeated.alias("neighbors")).select(
+        "id", F.lit(0).cast("long").alias("part"), order_neighbors(F.col("neighbors")).alias("neighbors")
+    )
+    return whole.unionByName(_cut(linked, large, list_limit, workspace)) if some else whole
+
+
+def _cut(linked: DataFrame, large: DataFrame, list_limit: int, workspace: Workspace) -> DataFrame:
+    """Parts of the lists of large nodes. No task holds more than a range of one node's neighbours."""
+    order = ["id", F.when(F.col("numbers"), integer_order(F.col("neighbor"))), "neighbor"]
+    ranges = linked.join(large, "id").repartitionByRange(*order)
+    stored = workspace.save(ranges.withColumn("slice", F.spark_partition_id()), workspace.new_name("ranges"))
+    counts = stored.groupBy("id", "slice").agg(F.sum("copies").alias("rows"))
+    # One row for each range that a node's neighbours reach into.
+    earlier = Window.partitionBy("id").orderBy("slice").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = workspace.save(
+        counts.select("id", "slice", F.coalesce(F.sum("rows").over(earlier), F.lit(0)).alias("offset")),
+        workspace.new_name("offsets"),
+    )
+    within = Window.partitionBy("id", "slice").orderBy(*order[1:]).rowsBetween(Window.unboundedPreceding, -1)
+    start = F.col("offset") + F.coalesce(F.sum("copies").over(within), F.lit(0))
+    placed = stored.join(offsets, ["id", "slice"]).withColumn("start", start)
+    last = F.col("start") + F.col("copies") - 1
+    parts = F.sequence(F.floor(F.col("start") / list_limit), F.floor(last / list_limit))
+    pieces = placed.select("*", last.alias("last"), F.explode(parts).alias("part"))
+    inside = F.least(F.col("last"), (F.col("part") + 1) * list_limit - 1) - F.greatest(F.col("start"), F.col("part") * list_limit) + 1
+    lists = pieces.groupBy("id", "part").agg(
+        F.array_sort(F.collect_list(F.struct("start", "neighbor", inside.cast("int").alias("times")))).alias("runs")
+    )
+    repeated = F.transform("runs", lambda x: F.array_repeat(x["neighbor"], x["times"]))
+    return lists.select("id", "part", F.flatten(repeated).alias("neighbors"))
 
 
 def order_neighbors(neighbors: Column) -> Column:
@@ -103,11 +108,6 @@ def explode_adjacency(records: DataFrame) -> DataFrame:
     return records.select(F.col("id").alias("src"), F.explode("neighbors").alias("dst"))
 
 
-def list_parts(out_degree: Column, list_limit: int = LIST_LIMIT) -> Column:
-    """Upper bound of the number of records of a node."""
-    return F.greatest(F.ceil(out_degree / list_limit), F.lit(1))
-
-
 def validate_unique(records: DataFrame) -> None:
     """Raise if an id has more than one record: which one would count is not defined."""
     repeated = records.groupBy("id").count().where("count > 1").select("id")

@@ -57,9 +57,13 @@ def graph_stats(edges: DataFrame) -> DataFrame:
     )
 
 
-def initial_ranks(nodes: DataFrame) -> DataFrame:
-    """``1/N`` for every row of ``nodes``; the count is a scalar subquery of the same plan."""
-    total = nodes.agg(F.count(F.lit(1))).scalar()
+def initial_ranks(nodes: DataFrame, n: int | None = None) -> DataFrame:
+    """``1/N`` for every row of ``nodes``.
+
+    N is ``n`` where it is known; else the rows are counted by a scalar subquery, for which they are
+    computed twice.
+    """
+    total = nodes.agg(F.count(F.lit(1))).scalar() if n is None else F.lit(n)
     return nodes.withColumn("rank", F.lit(1.0) / total)
 
 

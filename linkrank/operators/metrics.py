@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 STOP_RULES = ("max", "l1")
@@ -49,15 +49,14 @@ def compare(current: DataFrame, previous: DataFrame) -> DataFrame:
 
 
 def iteration_metrics(
-    current: DataFrame, previous: DataFrame | None = None, tol: float = 1e-6
+    current: DataFrame, previous: DataFrame | None = None, tol: float = 1e-6, rule: str = "max"
 ) -> DataFrame:
     """Check one stored iteration, ``(id, out_degree, rank)``, in one row.
 
-    Gives total rank and its error, the dangling mass, and largest and average change against
-    ``previous``; without that the changes are NULL and ``converged`` is false.
+    Gives total rank and its error, the dangling mass, and largest, average and total change against
+    ``previous``; without that the changes are NULL and ``converged``, by ``rule``, is false.
     """
-    if tol <= 0:
-        raise ValueError(f"tol must be greater than zero, not {tol}")
+    below = _below(tol, rule)
     if previous is None:
         joined = current.select("id", "out_degree", "rank").withColumn(
             "delta", F.lit(None).cast("double")
@@ -76,6 +75,7 @@ def iteration_metrics(
         F.expr("coalesce(sum(rank) FILTER (WHERE out_degree = 0), 0D)").alias("dangling_mass"),
         F.max("delta").alias("max_delta"),
         F.avg("delta").alias("avg_delta"),
+        F.sum("delta").alias("l1_delta"),
     ).select(
         "nodes",
         "total_rank",
@@ -83,16 +83,27 @@ def iteration_metrics(
         "dangling_mass",
         "max_delta",
         "avg_delta",
-        F.coalesce(F.col("max_delta") < tol, F.lit(False)).alias("converged"),
+        "l1_delta",
+        below.alias("converged"),
     )
 
 
-def history_of_snapshots(snapshots: DataFrame, tol: float = 1e-6) -> DataFrame:
-    """Metrics of every iteration from stored ``(iteration, id, out_degree, rank)``.
+def _below(tol: float, rule: str) -> Column:
+    """Whether the rule's statistic exists and lies strictly below ``tol``."""
+    if tol <= 0:
+        raise ValueError(f"tol must be greater than zero, not {tol}")
+    if rule not in STOP_RULES:
+        raise ValueError(f"rule must be one of {STOP_RULES}, not {rule!r}")
+    return F.coalesce(F.col(f"{rule}_delta") < tol, F.lit(False))
+
+
+def history_of_snapshots(snapshots: DataFrame, tol: float = 1e-6, rule: str = "max") -> DataFrame:
+    """Metrics of every iteration from stored ``(iteration, id, out_degree, rank)``, judged by ``rule``.
 
     The previous rank of a node comes from a window over its own few rows; a node that appears later
     starts from 0.
     """
+    below = _below(tol, rule)
     own = Window.partitionBy("id").orderBy("iteration")
     first = snapshots.agg(F.min("iteration")).scalar()
     before = F.coalesce(F.lag("rank").over(own), F.lit(0.0))
@@ -108,7 +119,7 @@ def history_of_snapshots(snapshots: DataFrame, tol: float = 1e-6) -> DataFrame:
             F.avg("delta").alias("avg_delta"),
             F.sum("delta").alias("l1_delta"),
         )
-        .withColumn("converged", F.coalesce(F.col("max_delta") < tol, F.lit(False)))
+        .withColumn("converged", below)
     )
 
 

@@ -6,7 +6,7 @@ used, and in the end the ids themselves.
 
 Passes over the data, each written to the workspace:
 
-1. ``edges``: the input once, so that parsing or extraction upstream is not repeated (optional);
+1. ``edges``: the input once, so that parsing or extraction upstream is not repeated (``stage=True``);
 2. ``ids``: every id with its number of outgoing rows, in one aggregation;
 3. ``links``: edges by key, moved once to the bucket of their source, merged and sorted there;
 4. ``nodes``: key, id and out-degree, in the same buckets.
@@ -14,8 +14,9 @@ Passes over the data, each written to the workspace:
 
 from __future__ import annotations
 
+import time
 from collections.abc import Callable
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 from math import ceil
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
@@ -69,6 +70,9 @@ class Graph:
     n_dangling: int
     partitions: int
     key: Callable[[Column], Column]
+    #: Names of the tables in the workspace, and the seconds that preparation took.
+    tables: dict[str, str]
+    seconds: float = 0.0
 
     @property
     def spark(self) -> SparkSession:
@@ -93,6 +97,47 @@ class Graph:
         )
 
 
+    def without_copies(self) -> Graph:
+        """The same graph with each edge once. Degrees are counted anew in their buckets; nothing else is prepared again."""
+        began = time.perf_counter()
+        once = F.lit(1).cast("long").alias("copies")
+        heavy = self.links.heavy
+        links = Links(self.links.light.select("src", "dst", once), None if heavy is None else heavy.select("src", "dst", once), self.links.heavy_sources, self.links.bucketed)
+        ids = self.nodes.select("key", "id", "member")
+        name, counted = self.workspace.new_name("nodes"), Observation()
+        with shuffle_partitions(self.spark, self.partitions):
+            nodes = self.workspace.save(_with_degrees(ids, links, True, self.partitions).observe(counted, *_totals()), name, "key", self.partitions)
+        totals = counted.get
+        return replace(self, nodes=nodes, links=links, n_edges=totals["edges"], n_dangling=totals["dangling"], tables=self.tables | {"nodes": name, "once": "yes"}, seconds=self.seconds + time.perf_counter() - began)
+
+    def describe(self) -> dict:
+        """What ``reopen_graph`` needs to find the graph again in its workspace."""
+        return {
+            "n": self.n, "n_edges": self.n_edges, "n_dangling": self.n_dangling, "partitions": self.partitions,
+            "key": KEYS.index(self.key), "tables": self.tables, "seconds": self.seconds,
+        }
+
+
+def reopen_graph(workspace: Workspace, described: dict) -> Graph:
+    """A graph from the tables that an earlier session left in a named workspace."""
+    tables, buckets = described["tables"], described["partitions"]
+    light = workspace.attach(tables["links"], "src", buckets, ordered=True)
+    heavy = workspace.attach(tables["heavy_links"]) if "heavy_links" in tables else None
+    sources = workspace.attach(tables["heavy_ids"]).select(F.col("key").alias("src")) if heavy is not None else None
+    if "once" in tables:
+        once = F.lit(1).cast("long").alias("copies")
+        light, heavy = light.select("src", "dst", once), None if heavy is None else heavy.select("src", "dst", once)
+    nodes = workspace.attach(tables["nodes"], "key", buckets)
+    return Graph(workspace, nodes, Links(light, heavy, sources, bucketed=True), described["n"], described["n_edges"], described["n_dangling"], buckets, KEYS[described["key"]], tables, described["seconds"])
+
+
+def _totals() -> list[Column]:
+    return [
+        F.sum(F.when(F.col("member"), F.col("out_degree"))).alias("edges"),
+        F.count_if(F.col("member") & (F.col("out_degree") == 0)).alias("dangling"),
+    ]
+
+
 def partition_count(default: int, n_edges: int, n_nodes: int) -> int:
     """Buckets for a graph of this size; they grow with it beyond the session's ``default``."""
     wanted = max(
@@ -109,31 +154,35 @@ def prepare(
     nodes: DataFrame | None = None,
     dedupe: bool = True,
     workspace: Workspace | None = None,
-    stage: bool = True,
+    stage: bool = False,
     heavy_rows: int = HEAVY_ROWS,
     max_heavy: int = MAX_HEAVY,
 ) -> Graph:
     """Prepare ``edges(src, dst)`` for ranking; rows that lack either id are no edges.
 
     ``dedupe=False`` keeps copies of an edge, each of which carries a share of its own. ``nodes(id)``
-    names the nodes; without it every id of an edge is a node. ``stage=False`` leaves out the copy
-    of the input; use it when the edges are a stored table, which can be read twice at little cost.
+    names the nodes; without it every id of an edge is a node. The edges are read twice; ``stage=True``
+    writes them first, for edges that are costly to compute. A workspace may hold several graphs.
     """
+    began = time.perf_counter()
     spark = edges.sparkSession
+    owned = workspace is None
     workspace = workspace or Workspace(spark)
+    tables = {name: workspace.new_name(name) for name in ("edges", "ids", "heavy_ids", "links", "heavy_links", "nodes")}
     default = int(spark.conf.get("spark.sql.shuffle.partitions"))
     staged, expected = edges.select("src", "dst").dropna(), 0
     if stage:
         arrived = Observation()
         staged = workspace.save(
-            staged.observe(arrived, F.count(F.lit(1)).alias("rows")), "edges"
+            staged.observe(arrived, F.count(F.lit(1)).alias("rows")), tables["edges"]
         )
         expected = arrived.get["rows"]
 
     with shuffle_partitions(spark, max(default, ceil(expected / EDGES_PER_PARTITION))):
-        ids, key, seen = _identify(workspace, staged, nodes)
+        ids, key, seen = _identify(workspace, staged, nodes, tables["ids"])
     if not seen["members"]:
-        workspace.close()
+        if owned:
+            workspace.close()
         raise ValueError("the graph has no nodes")
     n_raw = seen["links"] or 0
     limit = heavy_limit(n_raw, heavy_rows, max_heavy)
@@ -141,26 +190,24 @@ def prepare(
     if (seen["largest"] or 0) > limit:
         # Fewer than max_heavy rows, since each stands for more than one max_heavy-th of all edges.
         heavy = workspace.save(
-            ids.where(F.col("links") > limit).select(F.col("id").alias("src"), "key"), "heavy_ids"
+            ids.where(F.col("links") > limit).select(F.col("id").alias("src"), "key"), tables["heavy_ids"]
         )
 
     buckets = partition_count(default, n_raw, seen["ids"])
     with shuffle_partitions(spark, buckets):
-        links = _store_links(workspace, staged, heavy, key, dedupe, buckets)
+        links = _store_links(workspace, staged, heavy, key, dedupe, buckets, tables)
         counted = Observation()
         stored = workspace.save(
-            _with_degrees(ids, links, dedupe, buckets).observe(
-                counted,
-                F.sum(F.when(F.col("member"), F.col("out_degree"))).alias("edges"),
-                F.count_if(F.col("member") & (F.col("out_degree") == 0)).alias("dangling"),
-            ),
-            "nodes",
+            _with_degrees(ids, links, dedupe, buckets).observe(counted, *_totals()),
+            tables["nodes"],
             "key",
             buckets,
         )
     totals = counted.get
     for name in ("ids", "edges"):
-        workspace.drop(name)
+        workspace.drop(tables.pop(name))
+    if heavy is None:
+        tables = {name: tables[name] for name in ("links", "nodes")}
     return Graph(
         workspace=workspace,
         nodes=stored,
@@ -170,39 +217,38 @@ def prepare(
         n_dangling=totals["dangling"],
         partitions=buckets,
         key=key,
+        tables=tables,
+        seconds=time.perf_counter() - began,
     )
 
 
 def prepare_records(
     records: DataFrame,
     workspace: Workspace | None = None,
-    stage: bool = True,
-    split_lists: bool = False,
+    stage: bool = False,
+    unique: bool = False,
     **options: int,
 ) -> Graph:
-    """Prepare adjacency records ``(id, neighbors)``; each record is a node, linked or not.
+    """Prepare adjacency records ``(id, neighbors)``; each id is a node, linked or not.
 
-    Repeated neighbours count as often as they are listed. Records must be unique, unless
-    ``split_lists`` says that long lists were written in several parts.
+    Several records of an id are parts of its list; ``unique=True`` refuses them. Repeated neighbours count as
+    often as they are listed. ``stage=True`` writes the records first, for records that are costly to compute.
     """
+    began = time.perf_counter()
     workspace = workspace or Workspace(records.sparkSession)
-    kept = records.select("id", "neighbors")
+    kept, copy = records.select("id", "neighbors"), workspace.new_name("records")
     if stage:
         # One copy serves ids and edges, in place of one of the edges alone.
-        workspace.drop("records")
-        kept = workspace.save(kept, "records")
-    nodes = kept.select("id")
-    if split_lists:
-        nodes = nodes.distinct()
-    else:
-        validate_unique(nodes)
-    graph = prepare(explode_adjacency(kept), nodes, False, workspace, stage=False, **options)
-    workspace.drop("records")
-    return graph
+        kept = workspace.save(kept, copy)
+    if unique:
+        validate_unique(kept.select("id"))
+    graph = prepare(explode_adjacency(kept), kept.select("id"), False, workspace, **options)
+    workspace.drop(copy)
+    return replace(graph, seconds=time.perf_counter() - began)
 
 
 def _identify(
-    workspace: Workspace, edges: DataFrame, nodes: DataFrame | None
+    workspace: Workspace, edges: DataFrame, nodes: DataFrame | None, name: str
 ) -> tuple[DataFrame, Callable[[Column], Column], dict[str, int]]:
     """Table ``ids(id, key, links, member)``, the key in use, and its totals."""
     known = F.lit(nodes is None).alias("member")
@@ -217,7 +263,7 @@ def _identify(
 
     for key in KEYS:
         totals = Observation()
-        workspace.drop("ids")
+        workspace.drop(name)
         ids = workspace.save(
             distinct.withColumn("key", key(F.col("id"))).observe(
                 totals,
@@ -226,7 +272,7 @@ def _identify(
                 F.sum("links").alias("links"),
                 F.max("links").alias("largest"),
             ),
-            "ids",
+            name,
         )
         if key is id_key or ids.groupBy("key").count().where("count > 1").isEmpty():
             return ids, key, totals.get
@@ -240,6 +286,7 @@ def _store_links(
     key: Callable[[Column], Column],
     dedupe: bool,
     buckets: int,
+    tables: dict[str, str],
 ) -> Links:
     copies = F.lit(1).cast("long") if dedupe else F.count(F.lit(1))
     keyed = [key(F.col("src")).alias("src"), key(F.col("dst")).alias("dst")]
@@ -252,14 +299,14 @@ def _store_links(
         .groupBy("src", "dst")
         .agg(copies.alias("copies"))
     )
-    stored = workspace.save(merged, "links", "src", buckets, ordered=True)
+    stored = workspace.save(merged, tables["links"], "src", buckets, ordered=True)
     if large is None:
         return Links(stored, bucketed=True)
     # Edges of heavy sources are spread by both ends, after copies were merged on the map side.
     spread = large.select(*keyed).groupBy("src", "dst").agg(copies.alias("copies"))
     return Links(
         stored,
-        workspace.save(spread, "heavy_links"),
+        workspace.save(spread, tables["heavy_links"]),
         heavy.select(F.col("key").alias("src")),
         bucketed=True,
     )

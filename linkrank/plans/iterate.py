@@ -12,7 +12,7 @@ import time
 from dataclasses import dataclass, field
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Observation
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -23,8 +23,8 @@ from linkrank.operators.step import (
     check_step_arguments,
     rank_step,
 )
-from linkrank.plans.graph import Graph
-from linkrank.plans.workspace import shuffle_partitions
+from linkrank.plans.graph import Graph, reopen_graph
+from linkrank.plans.workspace import Workspace, shuffle_partitions
 
 HISTORY_SCHEMA = T.StructType(
     [
@@ -51,10 +51,19 @@ class RankResult:
     damping: float
     tol: float | None
     snapshot_tables: dict[int, str] = field(default_factory=dict)
+    #: The N of the formulas, and the seconds outside the iterations.
+    n: int = 0
+    preparation_seconds: float = 0.0
 
     @property
     def iterations(self) -> int:
-        return len(self.history_rows)
+        """Number of the last iteration; those of the runs that this one goes on from count."""
+        return self.history_rows[-1][0]
+
+    @property
+    def seconds(self) -> float:
+        """Preparation and all iterations."""
+        return self.preparation_seconds + sum(row[-1] for row in self.history_rows)
 
     @property
     def ranks(self) -> DataFrame:
@@ -102,14 +111,74 @@ def rank(
     unknown_targets: str = "drop",
     initial_ranks: DataFrame | None = None,
     keep_history: bool = False,
+    n: int | None = None,
+    first_iteration: int = 1,
+    history: DataFrame | None = None,
 ) -> RankResult:
     """Rank the nodes of ``graph`` until the change falls below ``tol``, at most ``max_iter`` times.
 
     ``rule`` looks at the largest change of a node (``"max"``) or at the sum of changes (``"l1"``); with
-    ``tol=None`` all iterations are run. By default the first iteration has nothing to be compared
-    with. ``initial_ranks(id, rank)`` continues an earlier run, for instance from a snapshot.
+    ``tol=None`` all iterations are run. By default the first iteration of all has nothing to be compared with.
+
+    ``initial_ranks(id, rank)`` goes on from an earlier run, whose last iteration every step is compared with. The
+    outcome is that of one run, if the earlier run's own N is given as ``n`` (the nodes of the graph otherwise),
+    ``first_iteration`` is the number that comes next, and ``history`` has the rows so far. In a named workspace every
+    iteration is recorded, and ``resume`` goes on from there.
+    """
+    return _run(graph, damping, tol, max_iter, rule, first_iteration_can_converge, unknown_targets, initial_ranks, keep_history, n, first_iteration, history)
+
+
+def resume(spark: SparkSession, name: str, max_iter: int | None = None, folder: str | None = None) -> RankResult:
+    """Go on with the last run in the named workspace ``name``, from its last finished iteration.
+
+    All options are those of the run, and so is the number of iterations in all unless ``max_iter`` is given. A run that had
+    ended is returned as it is.
     """
-    check_step_arguments(graph.n, 0.0, damping)
+    workspace = Workspace.reopen(spark, name, folder)
+    noted = workspace.noted("progress")
+    if noted is None:
+        raise ValueError(f"no finished iteration in {workspace.location}")
+    graph = reopen_graph(workspace, noted["graph"])
+    state = workspace.attach(noted["state"], "id", graph.partitions)
+    rows = [tuple(r) for r in noted["rows"]]
+    options = noted["options"]
+    left = (max_iter or options["max_iter"]) - len(rows)
+    tables = {int(k): v for k, v in noted["tables"].items()}
+    for table in tables.values():
+        workspace.attach(table, "id", graph.partitions)
+    if left <= 0 or rows[-1][6]:
+        return RankResult(graph, state, rows, rows[-1][6], options["damping"], options["tol"], tables, noted["n"], graph.seconds)
+    return _run(graph, options["damping"], options["tol"], left, options["rule"], options["first_iteration_can_converge"], options["unknown_targets"], None, options["keep_history"], noted["n"], rows[-1][0] + 1, None, _Start(state, rows, tables))
+
+
+@dataclass(frozen=True)
+class _Start:
+    """A state by key to go on from, and what was so far."""
+
+    state: DataFrame
+    rows: list[tuple]
+    tables: dict[int, str]
+
+
+def _run(
+    graph: Graph,
+    damping: float,
+    tol: float | None,
+    max_iter: int,
+    rule: str,
+    first_iteration_can_converge: bool,
+    unknown_targets: str,
+    initial_ranks: DataFrame | None,
+    keep_history: bool,
+    n: int | None,
+    first_iteration: int,
+    history: DataFrame | None,
+    start: _Start | None = None,
+) -> RankResult:
+    n = graph.n if n is None else n
+    check_step_arguments(n, 0.0, damping)
+    if first_iteration < 1:
+        raise ValueError(f"first_iteration must be greater than zero, not {first_iteration}")
     if isinstance(max_iter, bool) or not isinstance(max_iter, int) or max_iter <= 0:
         raise ValueError(f"max_iter must be a positive whole number, not {max_iter!r}")
     if tol is not None and tol <= 0:
@@ -122,28 +191,37 @@ def rank(
     workspace = graph.workspace
     run = f"run{time.time_ns()}"
     with shuffle_partitions(graph.spark, graph.partitions):
-        if initial_ranks is None:
-            state, dangling = graph.start_state(), graph.n_dangling / graph.n
+        began = time.perf_counter()
+        rows: list[tuple] = [tuple(r) for r in history.orderBy("iteration").collect()] if history is not None else []
+        tables: dict[int, str] = {}
+        if start is not None:
+            state, rows, tables = start.state, list(start.rows), dict(start.tables)
+            dangling = dangling_mass(state).first()["dangling_mass"]
+        elif initial_ranks is None:
+            state = graph.start_state() if n == graph.n else graph.start_state().withColumn("rank", F.lit(1.0 / n))
+            dangling = graph.n_dangling / n
         else:
             state = workspace.save(
                 _state_from(graph, initial_ranks), f"{run}_0", "id", graph.partitions
             )
             dangling = dangling_mass(state).first()["dangling_mass"]
+        resumed = start is not None or initial_ranks is not None
+        before_loop = graph.seconds + time.perf_counter() - began
 
-        rows: list[tuple] = []
-        tables: dict[int, str] = {}
         converged = False
-        for iteration in range(1, max_iter + 1):
+        options = {"damping": damping, "tol": tol, "max_iter": len(rows) + max_iter, "rule": rule, "first_iteration_can_converge": first_iteration_can_converge, "unknown_targets": unknown_targets, "keep_history": keep_history}
+        last_table = None
+        for iteration in range(first_iteration, first_iteration + max_iter):
             started = time.perf_counter()
             table = f"{run}_{iteration}"
             observed = Observation()
             stepped = rank_step(
-                graph.links, state, graph.n, dangling, damping, unknown_targets
+                graph.links, state, n, dangling, damping, unknown_targets
             ).observe(observed, *_metrics())
             state = workspace.save(stepped.drop("previous_rank"), table, "id", graph.partitions)
             seen = observed.get
 
-            compared = iteration > 1 or first_iteration_can_converge
+            compared = resumed or iteration > first_iteration or first_iteration_can_converge
             largest, average, total = (
                 (seen["max_delta"], seen["l1_delta"] / seen["rows"], seen["l1_delta"])
                 if compared
@@ -163,14 +241,16 @@ def rank(
                     time.perf_counter() - started,
                 )
             )
-            if not keep_history and iteration > 1:
-                workspace.drop(f"{run}_{iteration - 1}")
-            tables[iteration] = table
+            tables = tables | {iteration: table} if keep_history else {iteration: table}
+            if workspace.kept:
+                workspace.note("progress", iteration, {"graph": graph.describe(), "state": table, "rows": rows, "tables": tables, "options": options, "n": n})
+            if not keep_history and last_table:
+                workspace.drop(last_table)
+            last_table = table
             if converged:
                 break
 
-    kept = tables if keep_history else {iteration: table}
-    return RankResult(graph, state, rows, converged, damping, tol, kept)
+    return RankResult(graph, state, rows, converged, damping, tol, tables, n, before_loop)
 
 
 def _metrics() -> list[Column]:

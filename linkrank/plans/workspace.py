@@ -8,8 +8,7 @@ The tables live in a database of their own, which ``close`` drops together with
 from __future__ import annotations
 
 import atexit
-import shutil
-import tempfile
+import json
 import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager, suppress
@@ -20,20 +19,12 @@ CHECKPOINT_SETTING = "spark.checkpoint.dir"
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder named in ``spark.checkpoint.dir``.
-
-    Without the setting a local session gets a temporary folder; on a cluster this is an error,
-    since a folder of one machine is of no use to the others.
-    """
-    folder = spark.conf.get(CHECKPOINT_SETTING, None) or spark.sparkContext.getCheckpointDir()
-    if folder:
-        return folder
-    if not spark.sparkContext.master.startswith("local"):
-        raise RuntimeError(f"set {CHECKPOINT_SETTING} to a folder that all executors can reach")
-    folder = tempfile.mkdtemp(prefix="linkrank-")
-    atexit.register(shutil.rmtree, folder, ignore_errors=True)
-    spark.sparkContext.setCheckpointDir(folder)
-    return folder
+    """The folder named in ``spark.checkpoint.dir``, or else the warehouse; executors reach both."""
+    for setting in (CHECKPOINT_SETTING, "spark.sql.warehouse.dir"):
+        folder = spark.conf.get(setting, "")
+        if folder:
+            return folder
+    raise RuntimeError(f"set {CHECKPOINT_SETTING} to a folder that all executors can reach")
 
 
 @contextmanager
@@ -61,14 +52,54 @@ def _close_all() -> None:
 
 
 class Workspace:
-    """A database in the shared folder for the tables of one run."""
+    """A database in the shared folder for the tables of one run.
+
+    With a ``name`` the tables are kept when the program ends, and ``Workspace.reopen`` finds them again, also from
+    another session after the driver died. Without one the database has a random name and goes at the end.
+    """
 
-    def __init__(self, spark: SparkSession, folder: str | None = None) -> None:
-        self.spark = spark
-        self.database = f"linkrank_{uuid.uuid4().hex[:16]}"
+    def __init__(self, spark: SparkSession, folder: str | None = None, name: str | None = None) -> None:
+        self.spark, self.kept = spark, name is not None
+        self.database = name or f"linkrank_{uuid.uuid4().hex[:16]}"
         self.location = f"{(folder or shared_folder(spark)).rstrip('/')}/{self.database}"
-        spark.sql(f"CREATE DATABASE spark_catalog.{self.database} LOCATION '{self.location}'")
-        _open.append(self)
+        spark.sql(f"CREATE DATABASE IF NOT EXISTS spark_catalog.{self.database} LOCATION '{self.location}'")
+        self.names = 0
+        if not self.kept:
+            _open.append(self)
+
+    @classmethod
+    def reopen(cls, spark: SparkSession, name: str, folder: str | None = None) -> Workspace:
+        """A named workspace of an earlier session; its tables are attached as they are asked for."""
+        return cls(spark, folder, name)
+
+    def new_name(self, base: str) -> str:
+        """A table name that this workspace has not given before."""
+        self.names += 1
+        return f"{base}_{self.names}_{uuid.uuid4().hex[:8]}"
+
+    def attach(self, name: str, key: str | None = None, buckets: int | None = None, ordered: bool = False) -> DataFrame:
+        """A table that an earlier session wrote, with the buckets it was written in."""
+        if not self.spark.catalog.tableExists(self.table_name(name)):
+            path = f"{self.location}/{name}"
+            columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in self.spark.read.parquet(path).schema)
+            clustered = "" if key is None else f"CLUSTERED BY ({key})" + (f" SORTED BY ({key})" if ordered else "") + f" INTO {buckets} BUCKETS"
+            self.spark.sql(f"CREATE TABLE {self.table_name(name)} ({columns}) USING parquet {clustered} LOCATION '{path}'")
+        return self.table(name)
+
+    def note(self, name: str, number: int, values: dict) -> None:
+        """Write a small record; of several with one name the one with the highest number counts."""
+        row = self.spark.createDataFrame([(json.dumps(values),)], "value string")
+        row.coalesce(1).write.mode("overwrite").text(f"{self.location}/_{name}/number={number:09d}")
+
+    def noted(self, name: str) -> dict | None:
+        """The record of that name with the highest number, None if there is none. A record half written does not count."""
+        hadoop = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{self.location}/_{name}")
+        files = hadoop.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
+        if not files.exists(hadoop):
+            return None
+        found = sorted(str(x.getPath()) for x in files.listStatus(hadoop))
+        done = [x for x in found if files.exists(self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{x}/_SUCCESS"))]
+        return json.loads(self.spark.read.text(done[-1]).first()["value"]) if done else None
 
     def table_name(self, name: str) -> str:
         return f"spark_catalog.{self.database}.{name}"
@@ -98,7 +129,7 @@ class Workspace:
         return self.spark.table(self.table_name(name))
 
     def drop(self, name: str) -> None:
-        self.spark.sql(f"DROP TABLE IF EXISTS {self.table_name(name)}")
+        self.spark.sql(f"DROP TABLE IF EXISTS {self.table_name(name)} PURGE")
 
     def close(self) -> None:
         """Drop the database with all its tables and files."""

@@ -2,12 +2,14 @@
 
 from linkrank.sinks.reports import (
     append_ledger,
+    compare_runs,
     convergence_report,
     ledger_row,
     run_summary,
     times_report,
     top_report,
     write_csv,
+    write_ledger_csv,
     write_summary,
 )
 from linkrank.sinks.text import (
@@ -21,6 +23,7 @@ from linkrank.sinks.text import (
 __all__ = [
     "adjacency_lines",
     "append_ledger",
+    "compare_runs",
     "convergence_report",
     "ledger_row",
     "ranked_lines",
@@ -30,6 +33,7 @@ __all__ = [
     "top_report",
     "write_csv",
     "write_history",
+    "write_ledger_csv",
     "write_lines",
     "write_summary",
 ]

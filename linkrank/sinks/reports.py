@@ -11,10 +11,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from linkrank.functions import fixed, scientific, yes_no
-from linkrank.operators.ranking import by_rank, top_k
+from linkrank.operators.ranking import by_rank, top_k, top_k_positions
 from linkrank.plans.iterate import RankResult
 
-# Column headings of the reports. Pass others where a reader expects them.
+# Column headings of the reports. Those of the convergence table are fixed values; ``Node`` and ``Rank`` are
+# neutral names. Pass others where a reader expects them.
 TOP_COLUMNS = ("Node", "Rank")
 CONVERGENCE_COLUMNS = (
     "Iteration",
@@ -59,32 +60,18 @@ def times_report(history: DataFrame, columns: Sequence[str] = TIME_COLUMNS) -> D
     )
 
 
-def write_csv(report: DataFrame, path: str, mode: str = "errorifexists") -> None:
-    """One CSV file with a header, in the order of the report."""
-    report.coalesce(1).write.mode(mode).option("header", True).csv(path)
+def write_csv(report: DataFrame, path: str, mode: str = "errorifexists", files: int | None = 1) -> None:
+    """CSV with a header, in the order of the report; one file, or ``files=None`` for one from each task."""
+    (report if files is None else report.coalesce(files)).write.mode(mode).option("header", True).csv(path)
 
 
 def run_summary(result: RankResult, dataset: str, implementation: str = "spark") -> DataFrame:
-    """One row about a run."""
-    graph = result.graph
-    last = result.history_rows[-1]
-    seconds = sum(row[-1] for row in result.history_rows)
-    return graph.spark.createDataFrame(
-        [
-            (
-                implementation,
-                dataset,
-                graph.n,
-                result.damping,
-                result.tol,
-                result.iterations,
-                result.converged,
-                last[1],
-                float(seconds),
-            )
-        ],
+    """One row about a run; ``seconds`` has preparation and iterations, ``preparation_seconds`` the former alone."""
+    row = (implementation, dataset, result.n, result.damping, result.tol, result.iterations, result.converged)
+    return result.graph.spark.createDataFrame(
+        [(*row, result.history_rows[-1][1], float(result.seconds), float(result.preparation_seconds))],
         "implementation string, dataset string, nodes long, damping double, threshold double, "
-        "iterations long, converged boolean, total_rank double, seconds double",
+        "iterations long, converged boolean, total_rank double, seconds double, preparation_seconds double",
     )
 
 
@@ -112,3 +99,33 @@ def ledger_row(summary: DataFrame) -> DataFrame:
 def append_ledger(summary: DataFrame, path: str) -> None:
     """Add the run to the ledger of all runs."""
     ledger_row(summary).coalesce(1).write.mode("append").parquet(path)
+
+
+def write_ledger_csv(ledger: DataFrame, path: str, mode: str = "errorifexists") -> None:
+    """All runs of a ledger as one CSV file with one header."""
+    write_csv(ledger.orderBy("engine", "dataset", "iterations"), path, mode)
+
+
+def compare_runs(result: RankResult, other: RankResult, k: int = 20) -> DataFrame:
+    """``(id, rank, previous_rank, delta, place, other_place)`` of two runs on one prepared graph.
+
+    A node that one of them lacks has rank 0 there. The places are those among the first ``k``, 0 beyond. States
+    meet by key in their buckets; ids are put in place at the end.
+    """
+    graph = result.graph
+    if graph.workspace is not other.graph.workspace or graph.partitions != other.graph.partitions or graph.key is not other.graph.key:
+        raise ValueError("the runs must share one prepared graph; see Graph.without_copies")
+    zero = F.lit(0.0)
+    names = graph.nodes.select("key", F.col("id").alias("name")).hint("shuffle_hash")
+    ranks, others = result.state.select("id", "rank"), other.state.select("id", F.col("rank").alias("previous_rank"))
+    both = ranks.join(others, "id", "full_outer").join(names, F.col("id") == F.col("key"))
+    both = both.select(F.col("name").alias("id"), F.coalesce("rank", zero).alias("rank"), F.coalesce("previous_rank", zero).alias("previous_rank"))
+    first = top_k_positions(result.ranks, k).select("id", F.col("position").alias("place"))
+    second = top_k_positions(other.ranks, k).select("id", F.col("position").alias("other_place"))
+    # No more than 2k rows.
+    places = F.broadcast(first.join(second, "id", "full_outer"))
+    none = F.lit(0).cast("long")
+    return both.join(places, "id", "left").select(
+        "id", "rank", "previous_rank", F.abs(F.col("rank") - F.col("previous_rank")).alias("delta"),
+        F.coalesce("place", none).alias("place"), F.coalesce("other_place", none).alias("other_place"),
+    )

@@ -6,7 +6,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from linkrank.functions import fixed
-from linkrank.operators.adjacency import LIST_LIMIT, list_parts
 
 # Separators of the record format; ids must not contain them.
 FIELD_SEPARATOR = "\t"
@@ -45,21 +44,16 @@ def ranked_lines(records: DataFrame) -> DataFrame:
     )
 
 
-def ranked_records(
-    ranked_nodes: DataFrame, records: DataFrame, list_limit: int = LIST_LIMIT
-) -> DataFrame:
-    """Add ranks ``(id, out_degree, rank)`` to adjacency records ``(id, part, neighbors)``.
+def ranked_records(ranked_nodes: DataFrame, records: DataFrame) -> DataFrame:
+    """Add ranks ``(id, rank)`` to adjacency records ``(id, neighbors)``, of which a node may have several.
 
-    Ranks of nodes with several records are repeated for each, so that the join spreads the lists
-    of one node over tasks instead of collecting them. A node without a record gets an empty list.
+    Records meet their rank in an inner join, so that adaptive execution can split the many records of one node. A
+    node without a record gets an empty list.
     """
-    parts = F.sequence(F.lit(0).cast("long"), list_parts(F.col("out_degree"), list_limit) - 1)
-    by_part = ranked_nodes.select("id", "rank", F.explode(parts).alias("part"))
-    return (
-        by_part.join(records, ["id", "part"], "left")
-        .where(F.col("neighbors").isNotNull() | (F.col("part") == 0))
-        .select("id", "part", "rank", F.expr("coalesce(neighbors, array()) AS neighbors"))
-    )
+    ranks = ranked_nodes.select("id", "rank")
+    found = records.select("id", "neighbors").join(ranks, "id").select("id", "rank", "neighbors")
+    bare = ranks.join(records.select("id"), "id", "left_anti")
+    return found.unionByName(bare.select("id", "rank", F.array().cast("array<string>").alias("neighbors")))
 
 
 def write_lines(lines: DataFrame, path: str, mode: str = "errorifexists") -> None:

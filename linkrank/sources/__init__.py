@@ -1,7 +1,14 @@
 """Text sources: edge lists, adjacency records and ranked records."""
 
-from linkrank.sources.edges import parse_edges, read_edges
+from linkrank.sources.edges import (
+    check_edges,
+    parse_edges,
+    read_edges,
+    reject_counts,
+    split_checked,
+)
 from linkrank.sources.records import (
+    check_records,
     parse_adjacency,
     parse_ranked,
     parse_records,
@@ -10,6 +17,8 @@ from linkrank.sources.records import (
 )
 
 __all__ = [
+    "check_edges",
+    "check_records",
     "parse_adjacency",
     "parse_edges",
     "parse_ranked",
@@ -17,4 +26,6 @@ __all__ = [
     "read_adjacency",
     "read_edges",
     "read_ranked",
+    "reject_counts",
+    "split_checked",
 ]

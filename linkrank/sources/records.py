@@ -12,12 +12,16 @@ from pyspark.sql import functions as F
 from linkrank.functions import neighbor_list, parse_double, strip, with_once
 
 
-def _parse(lines: DataFrame, widths: tuple[int, ...]) -> DataFrame:
+def check_records(lines: DataFrame, widths: tuple[int, ...] = (2, 3)) -> DataFrame:
+    """``(id, rank, neighbors, value, reason)`` of every line that isn't blank, in one pass.
+
+    ``widths`` are the allowed numbers of fields. Rejected lines have a reason and their text; others have neither.
+    """
     fields = F.split(F.rtrim(F.col("value"), F.lit("\r\n")), "\t", -1)
     parts = with_once(lines.select("value").where(F.col("value").rlike(r"\S")), "parts", fields)
     width = F.size("parts")
     ranked = width == 3
-    return parts.select(
+    checked = parts.select(
         "value",
         strip(F.get("parts", F.lit(0))).alias("id"),
         F.when(ranked, parse_double(F.get("parts", F.lit(1)))).alias("rank"),
@@ -29,6 +33,7 @@ def _parse(lines: DataFrame, widths: tuple[int, ...]) -> DataFrame:
         .when((F.col("width") == 3) & F.col("rank").isNull(), "invalid rank")
         .when(F.col("id") == "", "empty node id"),
     )
+    return checked.withColumn("value", F.when(F.col("reason").isNotNull(), F.col("value"))).drop("width")
 
 
 def _split(parsed: DataFrame, columns: list[str]) -> tuple[DataFrame, DataFrame]:
@@ -40,17 +45,17 @@ def _split(parsed: DataFrame, columns: list[str]) -> tuple[DataFrame, DataFrame]
 
 def parse_adjacency(lines: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Two-field lines as ``records(id, neighbors)``, and the ``rejects(value, reason)``."""
-    return _split(_parse(lines, (2,)), ["id", "neighbors"])
+    return _split(check_records(lines, (2,)), ["id", "neighbors"])
 
 
 def parse_ranked(lines: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Three-field lines as ``records(id, rank, neighbors)``, and the rejects."""
-    return _split(_parse(lines, (3,)), ["id", "rank", "neighbors"])
+    return _split(check_records(lines, (3,)), ["id", "rank", "neighbors"])
 
 
 def parse_records(lines: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Lines of either width; ``rank`` is NULL where the line has none."""
-    return _split(_parse(lines, (2, 3)), ["id", "rank", "neighbors"])
+    return _split(check_records(lines, (2, 3)), ["id", "rank", "neighbors"])
 
 
 def read_adjacency(spark: SparkSession, path: str | list[str]) -> DataFrame:

@@ -94,8 +94,8 @@ RECORDS = f"""
         FROM parsed)"""
 
 
-def unrolled_pages(policy: str) -> str:
-    """Two iterations over page records only, whose targets are mostly unknown."""
+def unrolled_pages(policy: str, iterations: int = 2) -> str:
+    """Some iterations over page records only, whose targets are mostly unknown."""
     join = "LEFT JOIN" if policy == "drop" else "FULL OUTER JOIN"
 
     def one(before: str, after: str) -> str:
@@ -118,8 +118,8 @@ def unrolled_pages(policy: str) -> str:
     s0 AS (
         SELECT url AS id, count(dst)::BIGINT AS out_degree, 1.0::DOUBLE / any_value(n) AS rank
         FROM pages LEFT JOIN raw ON src = url CROSS JOIN total GROUP BY url),
-    {one("s0", "s1")}, {one("s1", "s2")}
-    SELECT id, out_degree, round(rank, 10) AS rank FROM s2"""
+    {", ".join(one(f"s{i}", f"s{i + 1}") for i in range(iterations))}
+    SELECT id, out_degree, round(rank, 10) AS rank FROM s{iterations}"""
 
 
 def adjacency(name: str, dedupe: bool, order: str = "dst") -> str:
@@ -132,6 +132,19 @@ def adjacency(name: str, dedupe: bool, order: str = "dst") -> str:
         LEFT JOIN ({source}) ON src = id GROUP BY id)"""
 
 
+def parts(name: str, dedupe: bool, order: str, limit: int) -> str:
+    """Lists cut after every ``limit`` neighbours of their final order."""
+    source = "SELECT DISTINCT src, dst FROM raw" if dedupe else "SELECT src, dst FROM raw"
+    return f"""WITH raw AS MATERIALIZED ({graphs.SQL[name]}),
+    placed AS (SELECT src, dst, row_number() OVER (PARTITION BY src ORDER BY {order}) - 1 AS place FROM ({source}))
+    SELECT src AS id, CAST(place // {limit} AS BIGINT) AS part, string_agg(dst, ',' ORDER BY place) AS neighbors
+    FROM placed GROUP BY ALL
+    UNION ALL SELECT DISTINCT dst, 0::BIGINT, '' FROM raw WHERE dst NOT IN (SELECT src FROM raw)"""
+
+
+HISTORY = """iteration, round(total_rank, 10) AS total_rank, round(dangling_mass, 10) AS dangling_mass,
+    round(max_delta, 10) AS max_delta, round(avg_delta, 10) AS avg_delta, round(l1_delta, 10) AS l1_delta"""
+
 STEP = f"""
     amounts AS (
         SELECT src, dst, copies * (1.0::DOUBLE / n) / out_degree AS amount FROM links, total),
@@ -169,6 +182,10 @@ def oracle_sql() -> dict[str, str]:
         "FROM checked WHERE width = 3 AND reason IS NULL",
         "rejected_records": f"{RECORDS} SELECT value, reason FROM checked "
         "WHERE reason IS NOT NULL",
+        "reject_counts": f"{RECORDS} SELECT reason, count(*) AS lines FROM checked "
+        "WHERE reason IS NOT NULL GROUP BY reason",
+        "adjacency_lists_small_parts": parts("part_supp", False, "dst", 3),
+        "neighbor_order_small_parts": parts("part_supp_numbers", True, "CAST(dst AS BIGINT)", 3),
         "dedupe_edges": f"SELECT DISTINCT src, dst FROM ({graphs.SQL['page_links']})",
         "count_copies": f"SELECT src, dst, count(*) AS copies "
         f"FROM ({graphs.SQL['nation_trade']}) GROUP BY src, dst",
@@ -220,6 +237,31 @@ def oracle_sql() -> dict[str, str]:
             """SELECT round(coalesce(sum(rank), 0), 10) AS dangling_mass FROM ranks
             WHERE iteration = 1 AND out_degree = 0""",
         ),
+        "rank_resume_materialize": unrolled_pages("materialize", 4),
+        "rank_resume_converged": ranked(
+            "page_links", 100, f"SELECT {HISTORY}, converged FROM history", more=PAGE_MAX
+        ),
+        "rank_reopen": ranked(
+            "trade", 10, "SELECT id, round(rank, 10) AS rank FROM ranks WHERE iteration = 10"
+        ),
+        "iteration_metrics_l1": ranked(
+            "trade", 4,
+            "SELECT count(*) AS nodes, round(sum(delta), 10) AS l1_delta, sum(delta) < 0.5 AS converged FROM deltas",
+            more=DELTAS,
+        ),
+        "history_of_snapshots_l1": ranked(
+            "page_links", 4,
+            f"SELECT {HISTORY}, coalesce(l1_delta < 0.1, FALSE) AS converged FROM judged",
+            more=PAGE_MAX,
+        ),
+        "ranks_text_roundtrip_small_parts": ranked(
+            "part_supp", 3,
+            """SELECT r.id, round(r.rank, 10) AS rank, e.dst AS neighbor
+            FROM ranks r LEFT JOIN edges e ON e.src = r.id WHERE r.iteration = 3""",
+        ),
+        "run_ledger_csv": f"""WITH {trade}
+            SELECT 'spark' AS engine, 'trade' AS dataset, count(*) AS num_nodes,
+                unnest([2, 3])::BIGINT AS iterations FROM deg""",
         "unknown_targets_drop": unrolled_pages("drop"),
         "unknown_targets_materialize": unrolled_pages("materialize"),
         "rank_fixed_iterations": ranked(

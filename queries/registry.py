@@ -2,17 +2,19 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from linkrank import Workspace, prepare, prepare_records, rank
+from linkrank import Workspace, adjacency_to_ranked as to_ranked, edges_to_adjacency, prepare, prepare_records, rank, resume
 from linkrank.operators import adjacency, edges, metrics, ranking, step
 from linkrank.plans.iterate import RankResult
 from linkrank.sinks import (
     adjacency_lines,
     append_ledger,
+    compare_runs as compare,
     convergence_report,
     ranked_lines,
     ranked_records,
@@ -20,6 +22,7 @@ from linkrank.sinks import (
     top_report,
     write_csv,
     write_history,
+    write_ledger_csv,
     write_lines,
 )
 from linkrank.sources import (
@@ -28,6 +31,7 @@ from linkrank.sources import (
     parse_ranked,
     parse_records,
     read_ranked,
+    reject_counts as counts_by_reason,
 )
 from queries import graphs
 
@@ -96,6 +100,11 @@ def rejected_records(spark: SparkSession, folder: str) -> DataFrame:
     return parse_records(graphs.item_lines(spark, folder, graphs.RECORD_LINE))[1]
 
 
+@register
+def reject_counts(spark: SparkSession, folder: str) -> DataFrame:
+    return counts_by_reason(parse_records(graphs.item_lines(spark, folder, graphs.RECORD_LINE))[1])
+
+
 # Graph preparation
 
 
@@ -137,6 +146,21 @@ def adjacency_multilists(spark: SparkSession, folder: str) -> DataFrame:
     return lists.select("id", "part", joined())
 
 
+SMALL = 3
+
+
+@register
+def adjacency_lists_small_parts(spark: SparkSession, folder: str) -> DataFrame:
+    lists = adjacency.adjacency_lists(graphs.part_supp(spark, folder), dedupe=False, list_limit=SMALL)
+    return lists.select("id", "part", joined())
+
+
+@register
+def neighbor_order_small_parts(spark: SparkSession, folder: str) -> DataFrame:
+    lists = adjacency.adjacency_lists(graphs.part_supp_numbers(spark, folder), list_limit=SMALL)
+    return lists.select("id", "part", joined())
+
+
 @register
 def node_order(spark: SparkSession, folder: str) -> DataFrame:
     return _numbered(edges.node_set(graphs.part_supp_numbers(spark, folder)))
@@ -191,8 +215,9 @@ def prepared_graph_stats(spark: SparkSession, folder: str) -> DataFrame:
 
 @register
 def initial_ranks(spark: SparkSession, folder: str) -> DataFrame:
-    nodes = edges.node_set(graphs.trade(spark, folder))
-    return edges.initial_ranks(nodes).select("id", rounded("rank"))
+    space = Workspace(spark)
+    nodes = space.save(edges.node_set(graphs.trade(spark, folder)), "node_set")
+    return edges.initial_ranks(nodes, nodes.count()).select("id", rounded("rank"))
 
 
 @register
@@ -204,25 +229,26 @@ def initial_dangling_mass(spark: SparkSession, folder: str) -> DataFrame:
 
 @register
 def adjacency_to_ranked(spark: SparkSession, folder: str) -> DataFrame:
-    lists = adjacency.adjacency_lists(graphs.part_supp(spark, folder))
-    records = parse_adjacency(adjacency_lines(lists))[0]
-    return ranked_lines(edges.initial_ranks(records))
+    space = Workspace(spark)
+    lists = adjacency.adjacency_lists(graphs.part_supp(spark, folder), workspace=space)
+    lines = space.save(adjacency_lines(lists), "lines")
+    return to_ranked(parse_adjacency(lines)[0])
 
 
 @register
 def prepare_graph(spark: SparkSession, folder: str) -> DataFrame:
-    found = parse_edges(graphs.item_lines(spark, folder, graphs.PLAIN_EDGE_LINE))[0]
-    return adjacency_lines(ranking.order_nodes(adjacency.adjacency_lists(found)))
+    return edges_to_adjacency(graphs.item_lines(spark, folder, graphs.PLAIN_EDGE_LINE))[0]
 
 
 # One iteration
 
 
 def _single_step(spark: SparkSession, folder: str) -> tuple[step.Links, DataFrame]:
-    """Links of the trade graph, and its start state."""
-    raw = graphs.trade(spark, folder)
-    degrees = edges.out_degrees(edges.dedupe_edges(raw))
-    return step.make_links(raw), edges.initial_ranks(degrees)
+    """Links of the trade graph, and its start state; the graph is computed and stored once."""
+    space = Workspace(spark)
+    unique = space.save(edges.dedupe_edges(graphs.trade(spark, folder)), "unique")
+    degrees = space.save(edges.out_degrees(unique), "degrees")
+    return step.make_links(unique), edges.initial_ranks(degrees, degrees.count())
 
 
 @register
@@ -248,13 +274,13 @@ def node_contribution_join(spark: SparkSession, folder: str) -> DataFrame:
 
 @register
 def rank_step(spark: SparkSession, folder: str) -> DataFrame:
-    result = rank(prepare(graphs.trade(spark, folder)), tol=None, max_iter=1)
+    result = rank(prepare(graphs.trade(spark, folder), stage=True), tol=None, max_iter=1)
     return result.ranked_nodes.select("id", "out_degree", rounded("rank"))
 
 
 @register
 def next_dangling_mass(spark: SparkSession, folder: str) -> DataFrame:
-    result = rank(prepare(graphs.trade(spark, folder)), tol=None, max_iter=1)
+    result = rank(prepare(graphs.trade(spark, folder), stage=True), tol=None, max_iter=1)
     return metrics.dangling_mass(result.ranked_nodes).select(rounded("dangling_mass"))
 
 
@@ -278,12 +304,12 @@ def _unknown_targets(spark: SparkSession, folder: str, policy: str) -> DataFrame
 
 
 def _trade_run(spark: SparkSession, folder: str, iterations: int, **options: object) -> RankResult:
-    graph = prepare(graphs.trade(spark, folder))
+    graph = prepare(graphs.trade(spark, folder), stage=True)
     return rank(graph, tol=None, max_iter=iterations, **options)
 
 
 def _page_run(spark: SparkSession, folder: str, **options: object) -> RankResult:
-    return rank(prepare(graphs.page_links(spark, folder)), max_iter=100, **options)
+    return rank(prepare(graphs.page_links(spark, folder), stage=True), max_iter=100, **options)
 
 
 @register
@@ -315,6 +341,32 @@ def rank_resume(spark: SparkSession, folder: str) -> DataFrame:
     return second.ranks.select("id", rounded("rank"))
 
 
+@register
+def rank_resume_materialize(spark: SparkSession, folder: str) -> DataFrame:
+    """Two iterations and two more, over page records whose unknown targets become nodes."""
+    graph = prepare_records(graphs.page_records(spark, folder))
+    first = rank(graph, tol=None, max_iter=2, unknown_targets="materialize")
+    second = rank(graph, tol=None, max_iter=2, unknown_targets="materialize", initial_ranks=first.ranks, n=first.n, first_iteration=3)
+    return second.ranked_nodes.select("id", "out_degree", rounded("rank"))
+
+
+@register
+def rank_resume_converged(spark: SparkSession, folder: str) -> DataFrame:
+    """The history of a run stopped after 2 iterations and taken up again until it converges."""
+    first = rank(prepare(graphs.page_links(spark, folder), stage=True), max_iter=2)
+    second = rank(first.graph, max_iter=100, initial_ranks=first.ranks, first_iteration=3, history=first.history)
+    return _history(second.history)
+
+
+@register
+def rank_reopen(spark: SparkSession, folder: str) -> DataFrame:
+    """A run in a named workspace, gone on with from what is stored there."""
+    name = f"reopened_{uuid.uuid4().hex[:8]}"
+    graph = prepare(graphs.trade(spark, folder), workspace=Workspace(spark, name=name), stage=True)
+    rank(graph, tol=None, max_iter=4)
+    return resume(spark, name, max_iter=10).ranks.select("id", rounded("rank"))
+
+
 @register
 def rank_history(spark: SparkSession, folder: str) -> DataFrame:
     result = _trade_run(spark, folder, 4, keep_history=True)
@@ -359,17 +411,14 @@ def rank_delta_l1(spark: SparkSession, folder: str) -> DataFrame:
     return metrics.delta_summary(_deltas(spark, folder)).select(rounded("l1_delta"), "nodes")
 
 
+def _history(history: DataFrame) -> DataFrame:
+    measures = ("total_rank", "dangling_mass", "max_delta", "avg_delta", "l1_delta")
+    return history.select(F.col("iteration").cast("long").alias("iteration"), *map(rounded, measures), "converged")
+
+
 @register
 def convergence_history(spark: SparkSession, folder: str) -> DataFrame:
-    return _page_run(spark, folder).history.select(
-        F.col("iteration").cast("long").alias("iteration"),
-        rounded("total_rank"),
-        rounded("dangling_mass"),
-        rounded("max_delta"),
-        rounded("avg_delta"),
-        rounded("l1_delta"),
-        "converged",
-    )
+    return _history(_page_run(spark, folder).history)
 
 
 @register
@@ -386,48 +435,36 @@ def iteration_metrics(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+@register
+def iteration_metrics_l1(spark: SparkSession, folder: str) -> DataFrame:
+    result = _trade_run(spark, folder, 4, keep_history=True)
+    found = metrics.iteration_metrics(result.snapshot(4), result.snapshot(3), tol=0.5, rule="l1")
+    return found.select("nodes", rounded("l1_delta"), "converged")
+
+
+def _page_snapshots(spark: SparkSession, folder: str) -> DataFrame:
+    graph = prepare(graphs.page_links(spark, folder), stage=True)
+    return rank(graph, tol=None, max_iter=4, keep_history=True).snapshots()
+
+
 @register
 def history_of_snapshots(spark: SparkSession, folder: str) -> DataFrame:
-    result = rank(
-        prepare(graphs.page_links(spark, folder)), tol=None, max_iter=4, keep_history=True
-    )
-    return metrics.history_of_snapshots(result.snapshots()).select(
-        F.col("iteration").cast("long").alias("iteration"),
-        rounded("total_rank"),
-        rounded("dangling_mass"),
-        rounded("max_delta"),
-        rounded("avg_delta"),
-        rounded("l1_delta"),
-        "converged",
-    )
+    return _history(metrics.history_of_snapshots(_page_snapshots(spark, folder)))
+
+
+@register
+def history_of_snapshots_l1(spark: SparkSession, folder: str) -> DataFrame:
+    return _history(metrics.history_of_snapshots(_page_snapshots(spark, folder), tol=0.1, rule="l1"))
 
 
 @register
 def compare_runs(spark: SparkSession, folder: str) -> DataFrame:
     """Ranks with and without copies of edges, and places among the first 20 (0 for none)."""
-    raw = graphs.trade(spark, folder)
-    unique = rank(prepare(raw), tol=None, max_iter=3).ranks
-    multi = rank(prepare(raw, dedupe=False), tol=None, max_iter=3).ranks
-    places = (
-        ranking.top_k_positions(unique, 20)
-        .select("id", F.col("position").alias("place"))
-        .join(
-            ranking.top_k_positions(multi, 20).select("id", F.col("position").alias("other_place")),
-            "id",
-            "full_outer",
-        )
-    )
-    return (
-        metrics.rank_delta(unique, multi)
-        .join(places, "id", "left")
-        .select(
-            "id",
-            rounded("rank"),
-            rounded("previous_rank"),
-            rounded("delta"),
-            F.coalesce("place", F.lit(0).cast("long")).alias("place"),
-            F.coalesce("other_place", F.lit(0).cast("long")).alias("other_place"),
-        )
+    graph = prepare(graphs.trade(spark, folder), dedupe=False, stage=True)
+    unique = rank(graph.without_copies(), tol=None, max_iter=3)
+    multi = rank(graph, tol=None, max_iter=3)
+    return compare(unique, multi, 20).select(
+        "id", rounded("rank"), rounded("previous_rank"), rounded("delta"), "place", "other_place"
     )
 
 
@@ -478,12 +515,24 @@ def latest_snapshot(spark: SparkSession, folder: str) -> DataFrame:
 
 @register
 def ranks_text_roundtrip(spark: SparkSession, folder: str) -> DataFrame:
+    return _roundtrip(spark, folder, adjacency.LIST_LIMIT).select("id", rounded("rank"), joined())
+
+
+@register
+def ranks_text_roundtrip_small_parts(spark: SparkSession, folder: str) -> DataFrame:
+    """Each neighbour that was written and read back, with the rank of its node; lists came in parts of 3."""
+    back = _roundtrip(spark, folder, SMALL)
+    return back.select("id", rounded("rank"), F.explode_outer("neighbors").alias("neighbor"))
+
+
+def _roundtrip(spark: SparkSession, folder: str, list_limit: int) -> DataFrame:
     raw = graphs.part_supp(spark, folder)
     result = rank(prepare(raw), tol=None, max_iter=3)
-    path = f"{result.graph.workspace.location}/ranks_text"
-    records = ranked_records(result.ranked_nodes, adjacency.adjacency_lists(raw))
-    write_lines(ranked_lines(records), path)
-    return read_ranked(spark, path).select("id", rounded("rank"), joined())
+    space = result.graph.workspace
+    path = f"{space.location}/ranks_text"
+    lists = adjacency.adjacency_lists(raw, list_limit=list_limit, workspace=space)
+    write_lines(ranked_lines(ranked_records(result.ranked_nodes, lists)), path)
+    return read_ranked(spark, path)
 
 
 @register
@@ -538,3 +587,15 @@ def run_ledger(spark: SparkSession, folder: str) -> DataFrame:
     append_ledger(run_summary(result, "trade"), path)
     append_ledger(run_summary(rank(result.graph, tol=None, max_iter=3), "trade"), path)
     return spark.read.parquet(path).select("engine", "dataset", "num_nodes", "iterations")
+
+
+@register
+def run_ledger_csv(spark: SparkSession, folder: str) -> DataFrame:
+    """The same ledger as CSV with one header."""
+    result = _trade_run(spark, folder, 2)
+    path = f"{result.graph.workspace.location}/ledger"
+    append_ledger(run_summary(result, "trade"), path)
+    append_ledger(run_summary(rank(result.graph, tol=None, max_iter=3), "trade"), path)
+    write_ledger_csv(spark.read.parquet(path), f"{path}_csv")
+    back = spark.read.option("header", True).csv(f"{path}_csv")
+    return back.select("engine", "dataset", F.col("num_nodes").cast("long").alias("num_nodes"), F.col("iterations").cast("long").alias("iterations"))

@@ -2,18 +2,20 @@
 
 import random
 import re
+import shutil
 from collections import Counter
 
 import pytest
 from conftest import edge_frame
 from pyspark.sql import functions as F
 
-from linkrank import Workspace, prepare, prepare_records, rank
+from linkrank import Workspace, prepare, prepare_records, rank, resume
 from linkrank.operators.metrics import compare
 from linkrank.operators.step import rank_step
 from linkrank.plans import graph as graph_module
 from linkrank.plans.graph import partition_count
 from linkrank.plans.workspace import shared_folder, shuffle_partitions
+from linkrank.sinks import run_summary
 
 
 def brute_force(pairs, iterations, dedupe=True, nodes=None, unknown="drop", damping=0.85, start=None):
@@ -124,18 +126,71 @@ def test_unknown_targets(spark, policy):
         assert ("zz" in expected) == (policy == "materialize")
 
 
-def test_isolated_nodes_and_split_lists(spark):
+def test_isolated_nodes_and_lists_in_parts(spark):
     parts = spark.createDataFrame(
         [("a", ["b"]), ("a", ["c"]), ("b", []), ("c", ["a"])],
         "id string, neighbors array<string>",
     )
     with Workspace(spark) as space:
         with pytest.raises(ValueError, match="more than one record"):
-            prepare_records(parts, workspace=space)
-        graph = prepare_records(parts, workspace=space, split_lists=True)
+            prepare_records(parts, workspace=space, unique=True)
+        graph = prepare_records(parts, workspace=space)
         assert (graph.n, graph.n_edges, graph.n_dangling) == (3, 3, 1)
 
 
+@pytest.mark.parametrize("policy", ["drop", "materialize"])
+def test_a_resumed_run_is_the_uninterrupted_one(spark, policy):
+    records = spark.createDataFrame([("a", ["b", "zz"]), ("b", ["a"])], "id string, neighbors array<string>")
+    with Workspace(spark) as space:
+        graph = prepare_records(records, workspace=space)
+        whole = rank(graph, tol=None, max_iter=4, unknown_targets=policy)
+        first = rank(graph, tol=None, max_iter=2, unknown_targets=policy)
+        ranks = first.ranks.union(spark.createDataFrame([], first.ranks.schema))
+        # Through records of all ranked nodes the count of nodes grows, but not the N of the run.
+        grown = prepare_records(first.ranks.select("id").join(records, "id", "left").select("id", F.expr("coalesce(neighbors, array()) AS neighbors")), space)
+        second = rank(grown, tol=None, max_iter=2, unknown_targets=policy, initial_ranks=ranks, n=first.n, first_iteration=3, history=first.history)
+        assert as_dict(second.ranks) == pytest.approx(as_dict(whole.ranks), abs=1e-14)
+        assert second.iterations == 4
+        for a, b in zip(second.history_rows, whole.history_rows, strict=True):
+            assert a[0] == b[0] and a[1:3] == pytest.approx(b[1:3], abs=1e-14)
+            assert all((x is None) == (y is None) and (x is None or abs(x - y) < 1e-14) for x, y in zip(a[3:6], b[3:6], strict=True))
+
+
+@pytest.mark.parametrize("keep_history", [True, False])
+def test_a_named_workspace_is_gone_on_with_in_another_session(spark, keep_history):
+    pairs = random_pairs(41, hub=30)
+    name = f"kept_{keep_history}".lower()
+    rank(prepare(edge_frame(spark, pairs), workspace=Workspace(spark, name=name), heavy_rows=20, dedupe=False).without_copies(), tol=None, max_iter=3, keep_history=keep_history)
+    # What a lost driver takes along is the catalog; the files stay. Here they stay under another name.
+    shutil.copytree(f"{shared_folder(spark)}/{name}", f"{shared_folder(spark)}/{name}_found")
+    other, name = spark.newSession(), f"{name}_found"
+    result = resume(other, name, max_iter=6)
+    assert as_dict(result.ranks) == pytest.approx(brute_force(pairs, 6)[-1], abs=1e-14)
+    assert [r[0] for r in result.history_rows] == [1, 2, 3, 4, 5, 6]
+    again = resume(other, name, max_iter=6)
+    assert again.iterations == 6 and as_dict(again.ranks) == as_dict(result.ranks)
+    with pytest.raises(ValueError, match="no finished iteration"):
+        resume(spark, f"{name}_none")
+
+
+def test_several_graphs_in_one_workspace(spark):
+    with Workspace(spark) as space:
+        graphs = [prepare(edge_frame(spark, random_pairs(s)), workspace=space) for s in (43, 47)]
+        for graph, s in zip(graphs, (43, 47), strict=True):
+            assert as_dict(rank(graph, tol=None, max_iter=2).ranks) == pytest.approx(brute_force(random_pairs(s), 2)[-1], abs=1e-14)
+        with pytest.raises(ValueError, match="no nodes"):
+            prepare(edge_frame(spark, []), workspace=space)
+        assert graphs[0].nodes.count() == graphs[0].n
+
+
+def test_seconds_have_preparation_and_iterations(spark):
+    with Workspace(spark) as space:
+        result = rank(prepare(edge_frame(spark, random_pairs(3)), workspace=space), tol=None, max_iter=2)
+        row = run_summary(result, "x").first()
+        assert row.preparation_seconds > 0
+        assert row.seconds == pytest.approx(row.preparation_seconds + sum(r[-1] for r in result.history_rows))
+
+
 def test_first_iteration_rule(spark):
     """A ring is uniform from the start."""
     ring = [(str(i), str((i + 1) % 5)) for i in range(5)]
@@ -242,8 +297,10 @@ def test_plan_does_not_grow(spark):
 def test_input_need_not_be_copied(spark):
     pairs = random_pairs(37, hub=30)
     with Workspace(spark) as space:
-        graph = prepare(edge_frame(spark, pairs), workspace=space, stage=False, heavy_rows=20)
-        assert not spark.catalog.tableExists(space.table_name("edges"))
+        graph = prepare(edge_frame(spark, pairs), workspace=space, heavy_rows=20)
+        staged = prepare(edge_frame(spark, pairs), workspace=space, stage=True)
+        assert (staged.n, staged.n_edges) == (graph.n, graph.n_edges)
+        assert not [r for r in spark.sql(f"SHOW TABLES IN {space.database}").collect() if r.tableName.startswith(("edges", "ids"))]
         assert as_dict(rank(graph, tol=None, max_iter=2).ranks) == pytest.approx(
             brute_force(pairs, 2)[-1], abs=1e-14
         )

@@ -5,6 +5,8 @@ from collections import Counter, defaultdict
 
 import pytest
 from conftest import edge_frame
+from pyspark.sql import Observation
+from pyspark.sql import functions as F
 
 from linkrank.operators import adjacency, edges, metrics, ranking, skew, step
 from linkrank.operators.metrics import has_converged
@@ -25,15 +27,6 @@ def skewed_pairs(seed=1, hub_targets=60):
     return pairs
 
 
-def neighbors_by_id(lists):
-    """Concatenated parts per node, and the number of parts."""
-    found, parts = defaultdict(list), Counter()
-    for row in lists.collect():
-        found[row.id] += row.neighbors
-        parts[row.id] += 1
-    return found, parts
-
-
 def test_edge_operators(spark):
     frame = edge_frame(spark, PAIRS)
     unique = edges.dedupe_edges(frame)
@@ -61,22 +54,52 @@ def test_empty_inputs(spark):
 
 
 @pytest.mark.parametrize("dedupe", [True, False])
-@pytest.mark.parametrize(
-    ("heavy_rows", "limit"), [(1_000_000, 100_000), (10, 100_000), (10, 7), (1_000_000, 7)]
-)
-def test_adjacency_lists_match_brute_force(spark, dedupe, heavy_rows, limit):
-    pairs = skewed_pairs()
-    lists = adjacency.adjacency_lists(
-        edge_frame(spark, pairs), dedupe=dedupe, heavy_rows=heavy_rows, list_limit=limit
-    )
+@pytest.mark.parametrize("limit", [100_000, 7, 1])
+@pytest.mark.parametrize("numbers", [True, False])
+def test_adjacency_lists_match_brute_force(spark, dedupe, limit, numbers):
+    """Parts one after the other are the whole list in its order, whatever the size of a node."""
+    ids = sorted({i for pair in skewed_pairs() for i in pair})
+    name = {i: str(k) for k, i in enumerate(ids)} if numbers else {i: i for i in ids}
+    pairs = [(name[a], name[b]) for a, b in skewed_pairs()]
+    lists = adjacency.adjacency_lists(edge_frame(spark, pairs), dedupe=dedupe, list_limit=limit)
     expected = defaultdict(list)
     for src, dst in set(pairs) if dedupe else pairs:
         expected[src].append(dst)
         expected.setdefault(dst, [])
-    found, parts = neighbors_by_id(lists)
-    assert {k: sorted(v) for k, v in found.items()} == {k: sorted(v) for k, v in expected.items()}
-    assert (parts["hub"] > 1) == (limit == 7)
-    assert all(count == 1 for id_, count in parts.items() if len(expected[id_]) <= min(limit, 10))
+    order = int if numbers else str
+    found = defaultdict(list)
+    for r in lists.orderBy("part").collect():
+        assert r.part == len(found[r.id]) // limit and len(r.neighbors) <= limit
+        found[r.id] += r.neighbors
+    assert found == {k: sorted(v, key=order) for k, v in expected.items()}
+
+
+def test_mixed_ids_of_a_cut_list_are_in_order_of_text(spark):
+    lists = adjacency.adjacency_lists(edge_frame(spark, [("h", i) for i in ("1", "2", "9", "10", "x", "y")]), list_limit=4)
+    assert [r.neighbors for r in lists.where("id = 'h'").orderBy("part").collect()] == [["1", "10", "2", "9"], ["x", "y"]]
+
+
+def test_many_copies_of_an_edge_are_cut_too(spark):
+    lists = adjacency.adjacency_lists(edge_frame(spark, [("a", "b")] * 7 + [("a", "c")]), dedupe=False, list_limit=3)
+    assert [r.neighbors for r in lists.where("id = 'a'").orderBy("part").collect()] == [["b"] * 3, ["b"] * 3, ["b", "c"]]
+
+
+def test_lists_read_their_edges_once(spark, tmp_path):
+    edge_frame(spark, skewed_pairs()).write.parquet(str(tmp_path / "edges"))
+    seen = Observation()
+    frame = spark.read.parquet(str(tmp_path / "edges")).observe(seen, F.count(F.lit(1)).alias("rows"))
+    adjacency.adjacency_lists(frame, list_limit=7).collect()
+    assert seen.get["rows"] == len(skewed_pairs())
+
+
+def test_ranked_records_lose_nothing_whatever_the_limits(spark):
+    frame = edge_frame(spark, skewed_pairs())
+    ranks = edges.initial_ranks(edges.node_set(frame))
+    total = len(set(skewed_pairs()))
+    for limit in (4, 100_000):
+        records = ranked_records(ranks, adjacency.adjacency_lists(frame, list_limit=limit))
+        assert sum(len(r.neighbors) for r in records.collect()) == total
+        assert records.select("id").distinct().count() == ranks.count()
 
 
 @pytest.mark.parametrize("dedupe", [True, False])
@@ -121,7 +144,7 @@ def test_neighbor_order(spark):
     frame = edge_frame(
         spark, [("a", "10"), ("a", "9"), ("a", "-1"), ("b", "10"), ("b", "9"), ("b", "x")]
     )
-    found, _ = neighbors_by_id(adjacency.adjacency_lists(frame))
+    found = {r.id: r.neighbors for r in adjacency.adjacency_lists(frame).collect()}
     assert found["a"] == ["-1", "9", "10"] and found["b"] == ["10", "9", "x"]
 
 
@@ -190,6 +213,6 @@ def test_long_lists_survive_the_text_format(spark):
     assert back.count() == len(pairs)
 
     ranked = edges.initial_ranks(edges.out_degrees(frame))
-    records = ranked_records(ranked, lists, list_limit=7)
+    records = ranked_records(ranked, lists)
     assert records.count() == lists.count()
     assert {(r.src, r.dst) for r in adjacency.explode_adjacency(records).collect()} == pairs

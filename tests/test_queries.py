@@ -8,6 +8,7 @@ from pathlib import Path
 import pytest
 
 import __spark_entry__ as driver
+from queries import oracle_sql, queries
 
 duckdb = pytest.importorskip("duckdb")
 FOLDER = Path("/root/testdata/sf0.001")
@@ -29,18 +30,19 @@ def sort_key(row):
 
 
 def test_every_query_has_sql():
-    assert set(driver.queries()) == set(driver.oracle_sql())
+    assert set(queries()) == set(oracle_sql())
+    assert set(queries()) <= set(driver.queries())
 
 
-@pytest.mark.parametrize("name", sorted(driver.queries()))
+@pytest.mark.parametrize("name", sorted(queries()))
 def test_query(spark, database, name):
-    frame = driver.queries()[name](spark, str(FOLDER))
+    frame = queries()[name](spark, str(FOLDER))
     plan = frame._jdf.queryExecution().executedPlan().toString()
     for unwanted in ("CartesianProduct", "NestedLoopJoin", "EvalPython", "MapInPandas"):
         assert unwanted not in plan
     columns = sorted(frame.columns)
     found = [tuple(row) for row in frame.select(*columns).collect()]
-    result = database.execute(driver.oracle_sql()[name])
+    result = database.execute(oracle_sql()[name])
     names = [d[0] for d in result.description]
     assert sorted(names) == columns
     expected = [tuple(row[names.index(c)] for c in columns) for row in result.fetchall()]

@@ -98,3 +98,8 @@ def test_record_files(spark, tmp_path):
     assert read_adjacency(spark, str(tmp_path / "adj.txt")).count() == 2
     with pytest.raises(ValueError, match="no valid"):
         read_ranked(spark, str(tmp_path / "adj.txt"))
+
+
+def test_an_empty_comment_prefix_is_refused(spark):
+    with pytest.raises(ValueError, match="prefix"):
+        parse_edges(lines(spark, "a b"), comment="")
