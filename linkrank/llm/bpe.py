@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from linkrank.llm.common import bounded_batches, strings
 
 #: Words whose encoding a task remembers; it starts anew beyond that.
-CACHE_WORDS = 400_000
+CACHE_WORDS = 250_000
 #: Texts whose new words are encoded together.
 TEXTS = 512
 NONE = 1 << 62
@@ -102,6 +102,10 @@ class Encoder:
             out += [b"".join(map(known.__getitem__, words)) for words in part]
         return out
 
+    def forget(self) -> None:
+        """Gives back the memory of remembered words; the next text starts anew."""
+        self.known, self.parts = {}, dict(self.special_parts)
+
     def _learn(self, chunks: list[str]) -> None:
         """Encodes what stands between white space: special tokens, and the words of the pattern, all new ones at a time."""
         find, special = self.words.findall, self.cut_special
@@ -201,14 +205,21 @@ def _held(file, kind):
     return held[kind.__name__]
 
 
-def _encode(batches: Iterator[pa.RecordBatch], file) -> Iterator[pa.RecordBatch]:
-    encoder = _held(file, Encoder)
+def _encode(batches: Iterator[pa.RecordBatch], file, back: bool = False) -> Iterator[pa.RecordBatch]:
+    encoder, tokens = _held(file, Encoder), pa.array(_held(file, tokens_of)) if back else None
     gc.disable()  # what is remembered holds no cycles, and there is much of it
-    for batch in batches:
-        ids = encoder.encode(list(strings(batch, "text")))
-        ends = np.cumsum([0, *(len(x) // 4 for x in ids)]).astype(np.int32)
-        lists = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.frombuffer(b"".join(ids), np.int32)))
-        yield pa.record_batch([batch.column(0), lists], names=["doc_id", "ids"])
+    try:
+        for batch in batches:
+            ids = encoder.encode(list(strings(batch, "text")))
+            ends = np.cumsum([0, *(len(x) // 4 for x in ids)]).astype(np.int32)
+            lists = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.frombuffer(b"".join(ids), np.int32)))
+            if back:
+                yield pa.record_batch([batch.column(0), lists, decoded(lists, tokens)], names=["doc_id", "ids", "decoded"])
+            else:
+                yield pa.record_batch([batch.column(0), lists], names=["doc_id", "ids"])
+    finally:
+        encoder.forget()
+        gc.enable()
 
 
 def decoded(ids: pa.ListArray, tokens: pa.Array) -> pa.Array:
@@ -236,6 +247,14 @@ def encode(documents: DataFrame, vocabulary: str) -> DataFrame:
     return documents.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(partial(_encode, file=file), "doc_id long, ids array<int>")
 
 
+def round_trip(documents: DataFrame, vocabulary: str) -> DataFrame:
+    """``decode(encode(documents))`` in one pass: ``(doc_id, ids, decoded)``, decoded from the ids."""
+    spark = documents.sparkSession
+    bounded_batches(spark)
+    file = spark.sparkContext.broadcast({"file": Path(vocabulary).read_bytes()})
+    return documents.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(partial(_encode, file=file, back=True), "doc_id long, ids array<int>, decoded string")
+
+
 def decode(encoded: DataFrame, vocabulary: str) -> DataFrame:
     """``(doc_id, ids, decoded)`` from ``(doc_id, ids)``: the tokens, special ones included, joined by spaces."""
     file = encoded.sparkSession.sparkContext.broadcast({"file": Path(vocabulary).read_bytes()})

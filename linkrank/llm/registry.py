@@ -56,7 +56,7 @@ def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op7_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     vocabulary = public_tokenizers.path("word_bpe_49k.json")
-    rows = bpe.decode(bpe.encode(_table(spark, sf_dir, "documents"), vocabulary), vocabulary)
+    rows = bpe.round_trip(_table(spark, sf_dir, "documents"), vocabulary)
     ids = F.array_join(F.col("ids").cast("array<string>"), " ")
     return rows.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), F.sha2(ids, 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
 

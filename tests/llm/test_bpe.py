@@ -68,4 +68,6 @@ def test_documents(documents, library):
         ids = library.encode(t or "", add_special_tokens=False).ids
         expected.append(repr((i, ids, library.decode(ids, skip_special_tokens=False))))
     assert sorted(repr((r.doc_id, list(r.ids), r.decoded)) for r in found) == sorted(expected)
+    both = bpe.round_trip(documents(rows), VOCABULARY).collect()
+    assert sorted(repr((r.doc_id, list(r.ids), r.decoded)) for r in both) == sorted(expected)
     assert bpe.decode(bpe.encode(documents([]), VOCABULARY), VOCABULARY).count() == 0
