@@ -12,6 +12,7 @@ from tokenizers import Tokenizer
 import __spark_entry__ as driver
 import corpus_pipeline
 from linkrank.llm import oracle, ppm, registry
+from llm.conftest import EDGE
 from llm.test_secret_scan import plain as spans
 from llm.test_simhash import plain_classes, plain_print
 
@@ -44,6 +45,17 @@ def redacted(text):
     return out + text[at:]
 
 
+@pytest.mark.parametrize("rows", [EDGE, []])
+def test_every_stage_takes_odd_documents(spark, documents, rows, tmp_path):
+    docs = documents(rows)
+    for name, stage in corpus_pipeline.STAGES:
+        before = docs
+        stage(spark, docs, None).write.parquet(str(tmp_path / name))
+        docs = spark.read.parquet(str(tmp_path / name))
+        assert name == "encode" or docs.dtypes == before.dtypes
+    assert (docs.count() > 0) == bool(rows)
+
+
 def test_pipeline(spark, tmp_path):
     frame = spark.read.parquet(f"{FOLDER}/documents.parquet")
     extra = spark.createDataFrame([(90_001, None, "en", "src0", 0), (90_002, "12 34", None, None, 5), (90_003, "", "en", "src1", 0), (90_004, "token = abcdefghijk and more words", "en", None, 34)], frame.schema)
