@@ -43,25 +43,22 @@ def order_nodes(nodes: DataFrame) -> DataFrame:
 def number_rows(df: DataFrame, order: list[Column], workspace: Workspace, name: str) -> DataFrame:
     """Add a global ``position`` from 1 in the given order, without sorting in one task.
 
-    Rows are range partitioned and written with the number of their slice. Counts per slice give
-    the offsets; rows are numbered within slices. ``order`` should be unique, so that no slice can
+    Rows move once, to ranges of the order, are sorted there and written with the number of their range and
+    their place in it. Counts per range give the offsets. ``order`` should be unique, so that no range can
     hold more than its share.
     """
     columns = df.columns
-    sliced = df.repartitionByRange(*order).withColumn("slice", F.spark_partition_id())
-    stored = workspace.save(sliced, name)
+    # Spark's row number: the partition in the upper bits, the place within it in the lower 33.
+    numbered = df.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("number", F.monotonically_increasing_id())
+    local = F.col("number").bitwiseAND(F.lit(2**33 - 1))
+    stored = workspace.save(numbered.select(*columns, F.shiftright("number", 33).alias("slice"), local.alias("local")), name)
 
     counts = stored.groupBy("slice").agg(F.count(F.lit(1)).alias("rows"))
     before = Window.orderBy("slice").rowsBetween(Window.unboundedPreceding, -1)
     # One row per slice: as many as there are shuffle partitions, whatever the data.
     offset = F.coalesce(F.sum("rows").over(before), F.lit(0))
     offsets = counts.select("slice", offset.alias("offset"))
-    local = F.row_number().over(Window.partitionBy("slice").orderBy(*order))
-    return (
-        stored.withColumn("local", local)
-        .join(F.broadcast(offsets), "slice")
-        .select((F.col("offset") + F.col("local")).alias("position"), *columns)
-    )
+    return stored.join(F.broadcast(offsets), "slice").select((F.col("offset") + F.col("local") + 1).alias("position"), *columns)
 
 
 def latest_snapshot(history: DataFrame) -> DataFrame:

@@ -128,7 +128,7 @@ def reopen_graph(workspace: Workspace, described: dict) -> Graph:
         once = F.lit(1).cast("long").alias("copies")
         light, heavy = light.select("src", "dst", once), None if heavy is None else heavy.select("src", "dst", once)
     nodes = workspace.attach(tables["nodes"], "key", buckets)
-    return Graph(workspace, nodes, Links(light, heavy, sources, bucketed=True), described["n"], described["n_edges"], described["n_dangling"], buckets, KEYS[described["key"]], tables, described["seconds"])
+    return Graph(workspace, nodes, Links(light, heavy, sources, buckets < MAX_BUCKETS), described["n"], described["n_edges"], described["n_dangling"], buckets, KEYS[described["key"]], tables, described["seconds"])
 
 
 def _totals() -> list[Column]:
@@ -149,6 +149,11 @@ def partition_count(default: int, n_edges: int, n_nodes: int) -> int:
     return min(wanted, MAX_BUCKETS)
 
 
+def bounded_hash(df: DataFrame, buckets: int) -> DataFrame:
+    """Ask for a hash join as long as the buckets keep one side within a task's memory; past their highest number, don't."""
+    return df.hint("shuffle_hash") if buckets < MAX_BUCKETS else df
+
+
 def prepare(
     edges: DataFrame,
     nodes: DataFrame | None = None,
@@ -301,14 +306,14 @@ def _store_links(
     )
     stored = workspace.save(merged, tables["links"], "src", buckets, ordered=True)
     if large is None:
-        return Links(stored, bucketed=True)
+        return Links(stored, bucketed=buckets < MAX_BUCKETS)
     # Edges of heavy sources are spread by both ends, after copies were merged on the map side.
     spread = large.select(*keyed).groupBy("src", "dst").agg(copies.alias("copies"))
     return Links(
         stored,
         workspace.save(spread, tables["heavy_links"]),
         heavy.select(F.col("key").alias("src")),
-        bucketed=True,
+        bucketed=buckets < MAX_BUCKETS,
     )
 
 
@@ -323,6 +328,6 @@ def _with_degrees(ids: DataFrame, links: Links, dedupe: bool, buckets: int) -> D
         degrees = degrees.union(
             links.heavy.groupBy("src").agg(F.sum("copies").alias("out_degree"))
         )
-    return ids.join(degrees.hint("shuffle_hash"), F.col("key") == F.col("src"), "left").select(
+    return ids.join(bounded_hash(degrees, buckets), F.col("key") == F.col("src"), "left").select(
         "key", "id", F.coalesce("out_degree", F.lit(0).cast("long")).alias("out_degree"), "member"
     )

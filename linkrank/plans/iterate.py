@@ -23,7 +23,7 @@ from linkrank.operators.step import (
     check_step_arguments,
     rank_step,
 )
-from linkrank.plans.graph import Graph, reopen_graph
+from linkrank.plans.graph import Graph, bounded_hash, reopen_graph
 from linkrank.plans.workspace import Workspace, shuffle_partitions
 
 HISTORY_SCHEMA = T.StructType(
@@ -92,6 +92,10 @@ class RankResult:
         ]
         return reduce(DataFrame.union, kept)
 
+    def delta(self, iteration: int, previous: int) -> DataFrame:
+        """``(id, rank, previous_rank, delta)`` of two kept iterations, which meet by key in their buckets; a missing rank is 0."""
+        return joined_by_key(self.graph, self._snapshot_state(iteration), self._snapshot_state(previous))
+
     def _snapshot_state(self, iteration: int) -> DataFrame:
         if iteration not in self.snapshot_tables:
             raise KeyError(f"iteration {iteration} was not kept")
@@ -281,6 +285,16 @@ def _state_from(graph: Graph, initial_ranks: DataFrame) -> DataFrame:
 def _with_ids(graph: Graph, state: DataFrame) -> DataFrame:
     """Put ids back in place of keys; both tables have the same buckets, of bounded size."""
     names = graph.nodes.select("key", F.col("id").alias("name"))
-    return state.join(names.hint("shuffle_hash"), F.col("id") == F.col("key")).select(
+    return state.join(bounded_hash(names, graph.partitions), F.col("id") == F.col("key")).select(
         F.col("name").alias("id"), "out_degree", "rank"
     )
+
+
+def joined_by_key(graph: Graph, state: DataFrame, other: DataFrame) -> DataFrame:
+    """``(id, rank, previous_rank, delta)`` of two states of one graph; ids are put in place at the end."""
+    zero = F.lit(0.0)
+    before = other.select("id", F.col("rank").alias("previous_rank"))
+    names = bounded_hash(graph.nodes.select("key", F.col("id").alias("name")), graph.partitions)
+    both = state.select("id", "rank").join(before, "id", "full_outer").join(names, F.col("id") == F.col("key"))
+    both = both.select(F.col("name").alias("id"), F.coalesce("rank", zero).alias("rank"), F.coalesce("previous_rank", zero).alias("previous_rank"))
+    return both.withColumn("delta", F.abs(F.col("rank") - F.col("previous_rank")))

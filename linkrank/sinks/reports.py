@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from linkrank.functions import fixed, scientific, yes_no
 from linkrank.operators.ranking import by_rank, top_k, top_k_positions
-from linkrank.plans.iterate import RankResult
+from linkrank.plans.iterate import RankResult, joined_by_key
 
 # Column headings of the reports. Those of the convergence table are fixed values; ``Node`` and ``Rank`` are
 # neutral names. Pass others where a reader expects them.
@@ -115,17 +115,13 @@ def compare_runs(result: RankResult, other: RankResult, k: int = 20) -> DataFram
     graph = result.graph
     if graph.workspace is not other.graph.workspace or graph.partitions != other.graph.partitions or graph.key is not other.graph.key:
         raise ValueError("the runs must share one prepared graph; see Graph.without_copies")
-    zero = F.lit(0.0)
-    names = graph.nodes.select("key", F.col("id").alias("name")).hint("shuffle_hash")
-    ranks, others = result.state.select("id", "rank"), other.state.select("id", F.col("rank").alias("previous_rank"))
-    both = ranks.join(others, "id", "full_outer").join(names, F.col("id") == F.col("key"))
-    both = both.select(F.col("name").alias("id"), F.coalesce("rank", zero).alias("rank"), F.coalesce("previous_rank", zero).alias("previous_rank"))
+    both = joined_by_key(graph, result.state, other.state)
     first = top_k_positions(result.ranks, k).select("id", F.col("position").alias("place"))
     second = top_k_positions(other.ranks, k).select("id", F.col("position").alias("other_place"))
     # No more than 2k rows.
     places = F.broadcast(first.join(second, "id", "full_outer"))
     none = F.lit(0).cast("long")
     return both.join(places, "id", "left").select(
-        "id", "rank", "previous_rank", F.abs(F.col("rank") - F.col("previous_rank")).alias("delta"),
+        "id", "rank", "previous_rank", "delta",
         F.coalesce("place", none).alias("place"), F.coalesce("other_place", none).alias("other_place"),
     )

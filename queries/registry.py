@@ -172,8 +172,9 @@ def node_order_text(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _numbered(nodes: DataFrame) -> DataFrame:
-    order = ranking.node_order_columns(nodes)
-    return ranking.number_rows(nodes, order, Workspace(nodes.sparkSession), "nodes")
+    space = Workspace(nodes.sparkSession)
+    stored = space.save(nodes, "node_set")
+    return ranking.number_rows(stored, ranking.node_order_columns(stored), space, "nodes")
 
 
 @register
@@ -389,7 +390,7 @@ def rank_total(spark: SparkSession, folder: str) -> DataFrame:
 
 def _deltas(spark: SparkSession, folder: str) -> DataFrame:
     result = _trade_run(spark, folder, 4, keep_history=True)
-    return metrics.rank_delta(result.snapshot(4), result.snapshot(3))
+    return result.delta(4, 3)
 
 
 @register
