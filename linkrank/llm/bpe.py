@@ -7,7 +7,6 @@ import heapq
 import json
 import unicodedata
 from collections.abc import Iterator
-from functools import partial
 from itertools import chain
 from pathlib import Path
 
@@ -17,12 +16,12 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from linkrank.llm.common import bounded_batches, strings
+from linkrank.llm.common import bounded_batches, strings, task
 
 #: Words whose encoding a task remembers; it starts anew beyond that.
-CACHE_WORDS = 250_000
+CACHE_WORDS = 120_000
 #: Texts whose new words are encoded together.
-TEXTS = 512
+TEXTS = 256
 NONE = 1 << 62
 #: Symbols from which on merging goes by a heap.
 LONG = 48
@@ -244,7 +243,7 @@ def encode(documents: DataFrame, vocabulary: str) -> DataFrame:
     spark = documents.sparkSession
     bounded_batches(spark)
     file = spark.sparkContext.broadcast({"file": Path(vocabulary).read_bytes()})
-    return documents.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(partial(_encode, file=file), "doc_id long, ids array<int>")
+    return documents.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(task(_encode, file=file), "doc_id long, ids array<int>")
 
 
 def round_trip(documents: DataFrame, vocabulary: str) -> DataFrame:
@@ -252,10 +251,10 @@ def round_trip(documents: DataFrame, vocabulary: str) -> DataFrame:
     spark = documents.sparkSession
     bounded_batches(spark)
     file = spark.sparkContext.broadcast({"file": Path(vocabulary).read_bytes()})
-    return documents.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(partial(_encode, file=file, back=True), "doc_id long, ids array<int>, decoded string")
+    return documents.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(task(_encode, file=file, back=True), "doc_id long, ids array<int>, decoded string")
 
 
 def decode(encoded: DataFrame, vocabulary: str) -> DataFrame:
     """``(doc_id, ids, decoded)`` from ``(doc_id, ids)``: the tokens, special ones included, joined by spaces."""
     file = encoded.sparkSession.sparkContext.broadcast({"file": Path(vocabulary).read_bytes()})
-    return encoded.select("doc_id", "ids").mapInArrow(partial(_decode, file=file), "doc_id long, ids array<int>, decoded string")
+    return encoded.select("doc_id", "ids").mapInArrow(task(_decode, file=file), "doc_id long, ids array<int>, decoded string")

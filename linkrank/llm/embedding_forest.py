@@ -3,14 +3,13 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
-from functools import partial
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from linkrank.llm.common import Work
+from linkrank.llm.common import task, Work
 from linkrank.llm.components import connected_components
 from linkrank.llm.simhash import merge_labels
 
@@ -177,7 +176,7 @@ def near_duplicates(embeddings: DataFrame, least: float = 0.95, trees: int = 8,
     """
     spark = embeddings.sparkSession
     work = Work(spark, "forest")
-    rows = embeddings.select(F.col("vec_id").cast("long"), F.col("embedding").cast("array<double>")).mapInArrow(_vectors, "vec_id long, vector binary")
+    rows = embeddings.select(F.col("vec_id").cast("long"), F.col("embedding").cast("array<double>")).mapInArrow(task(_vectors), "vec_id long, vector binary")
     rows = work.store(rows, "vectors")
     length = rows.where("vec_id is not null and vector is not null").groupBy(F.octet_length("vector").alias("bytes")).count().orderBy(F.desc("count"), "bytes").first()
     good = F.col("vec_id").isNotNull() & F.col("vector").isNotNull() & (F.octet_length("vector") == (length["bytes"] if length else 0))
@@ -194,9 +193,9 @@ def near_duplicates(embeddings: DataFrame, least: float = 0.95, trees: int = 8,
     margin = 0.5 * np.sqrt(2 - 2 * least) / np.sqrt(sample.shape[1])
     forest = [Tree(sample, fitted, extra, margin, seed + k) for k in range(trees)]
     strides = np.cumsum([0, *((t.leaves or 1) << extra for t in forest[:-1])])
-    placed = kinds.mapInArrow(partial(_assign, forest=(forest, strides), schema=pa.schema([("leaf", pa.int64()), ("node", pa.int64()), ("n", pa.int64()), ("vector", pa.binary()), ("leaves", pa.binary())])), "leaf long, node long, n long, vector binary, leaves binary")
+    placed = kinds.mapInArrow(task(_assign, forest=(forest, strides), schema=pa.schema([("leaf", pa.int64()), ("node", pa.int64()), ("n", pa.int64()), ("vector", pa.binary()), ("leaves", pa.binary())])), "leaf long, node long, n long, vector binary, leaves binary")
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    found = placed.repartition(parts, "leaf").sortWithinPartitions("leaf").mapInArrow(partial(_compare, least=least, schema=pa.schema([("a", pa.int64()), ("b", pa.int64()), ("links", pa.int64())])), "a long, b long, links long")
+    found = placed.repartition(parts, "leaf").sortWithinPartitions("leaf").mapInArrow(task(_compare, least=least, schema=pa.schema([("a", pa.int64()), ("b", pa.int64()), ("links", pa.int64())])), "a long, b long, links long")
     found = work.store(found, "found")
     classes = work.store(connected_components(found, work), "classes")
     links = found.where("links > 0").groupBy(F.col("a").alias("node")).agg(F.sum("links").alias("links"))

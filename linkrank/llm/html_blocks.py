@@ -5,7 +5,6 @@ from __future__ import annotations
 import html
 import re
 from collections.abc import Iterator
-from functools import partial
 from typing import NamedTuple
 from zlib import crc32
 
@@ -14,7 +13,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from linkrank.llm.common import bounded_batches, strings
+from linkrank.llm.common import bounded_batches, strings, task
 
 #: Pages, at most about, from which the labeller is trained.
 SAMPLE_PAGES = 300
@@ -377,4 +376,4 @@ def extract(pages: DataFrame, labeller: Labeller) -> DataFrame:
     """
     bounded_batches(pages.sparkSession)
     rows = pages.select(F.col("page_id").cast("long"), F.col("url").cast("string"), F.col("html").cast("string"))
-    return rows.mapInArrow(partial(_extract, weights=labeller.w), "page_id long, url string, text string, n_chars long")
+    return rows.mapInArrow(task(_extract, weights=labeller.w), "page_id long, url string, text string, n_chars long")

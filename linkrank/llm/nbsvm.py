@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
-from functools import partial
 from operator import eq
 
 import numpy as np
@@ -11,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from linkrank.llm.common import bounded_batches, crc_part
+from linkrank.llm.common import bounded_batches, crc_part, task
 
 #: Labelled documents, at most about, that the model is fitted on.
 SAMPLE_DOCUMENTS = 4_000
@@ -160,4 +159,4 @@ def score(documents: DataFrame, classifier: Classifier) -> DataFrame:
     """
     bounded_batches(documents.sparkSession)
     model = documents.sparkSession.sparkContext.broadcast(vars(classifier))
-    return documents.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(partial(_score, model=model), "doc_id long, score double")
+    return documents.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(task(_score, model=model), "doc_id long, score double")

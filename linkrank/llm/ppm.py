@@ -3,14 +3,13 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
-from functools import partial
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from linkrank.llm.common import bounded_batches, crc_part, strings
+from linkrank.llm.common import bounded_batches, crc_part, strings, task
 
 ORDER = 3
 #: Documents of a language, about, from which its tree is learned.
@@ -18,7 +17,7 @@ SAMPLE_DOCUMENTS = 600
 #: Costs held in memory, over contexts, bytes and languages; the rarest contexts of the highest order go beyond that.
 MAX_COSTS = 8_000_000
 #: Bytes costed at a time.
-SLICE = 1 << 20
+SLICE = 1 << 18
 START = b"\n" * ORDER
 
 
@@ -156,7 +155,7 @@ def identify(documents: DataFrame, trees: Trees) -> DataFrame:
     """
     bounded_batches(documents.sparkSession)
     model = documents.sparkSession.sparkContext.broadcast(_as_plain(trees))
-    return documents.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(partial(_identify, trees=model), "doc_id long, lang_pred string, score double")
+    return documents.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(task(_identify, trees=model), "doc_id long, lang_pred string, score double")
 
 
 def _keep(batches: Iterator[pa.RecordBatch], trees) -> Iterator[pa.RecordBatch]:
@@ -170,4 +169,4 @@ def keep_identified(documents: DataFrame, trees: Trees) -> DataFrame:
     """The rows of ``documents``, with all columns as they are, whose text has a language; the others go."""
     bounded_batches(documents.sparkSession)
     model = documents.sparkSession.sparkContext.broadcast(_as_plain(trees))
-    return documents.mapInArrow(partial(_keep, trees=model), documents.schema)
+    return documents.mapInArrow(task(_keep, trees=model), documents.schema)

@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator, Sequence
-from functools import partial
 from typing import NamedTuple
 
 import pyarrow as pa
@@ -12,7 +11,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from linkrank.llm.common import Work, strings
+from linkrank.llm.common import strings, task, Work
 
 
 class Rule(NamedTuple):
@@ -97,7 +96,7 @@ def scan(versions: DataFrame, ledger: str | None = None, rules: Sequence[Rule] =
     todo = paths.groupBy("blob").agg(F.min("path").alias("at")).join(known, "blob", "left").select("blob", "at", unseen.alias("unseen"))
     todo = work.store(todo.where(F.size("unseen") > 0), "todo").hint("shuffle_hash")
     texts = rows.join(todo, (rows.blob == todo.blob) & rows.path.eqNullSafe(todo.at)).select(rows.blob, "unseen", "text")
-    texts.mapInArrow(partial(_scan, rules=named), LEDGER).write.mode("append").parquet(ledger)
+    texts.mapInArrow(task(_scan, rules=named), LEDGER).write.mode("append").parquet(ledger)
     found = read_ledger(work, ledger).where(F.col("rule").isin(list(named)) & (F.size("starts") > 0)).dropDuplicates(["blob", "rule"])
     place = F.array_position(F.array(*map(F.lit, named)), F.col("rule"))
     pairs = F.transform(F.arrays_zip("starts", "ends"), lambda x: F.struct(x["starts"].alias("start"), place.alias("place"), F.split_part("rule", F.lit("@"), F.lit(1)).alias("kind"), x["ends"].alias("end")))

@@ -3,14 +3,13 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
-from functools import partial
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from linkrank.llm.common import Work, batch_of, strings
+from linkrank.llm.common import batch_of, strings, task, Work
 from linkrank.llm.components import connected_components
 
 SEED = 42
@@ -48,7 +47,7 @@ def _fingerprints(batches: Iterator[pa.RecordBatch], shingle: int, schema: pa.Sc
 
 def fingerprints(documents: DataFrame, shingle: int = 3) -> DataFrame:
     """``(doc_id, fp)`` for each row; fp holds the 64 bits as a long."""
-    run = partial(_fingerprints, shingle=shingle, schema=pa.schema([("doc_id", pa.int64()), ("fp", pa.int64())]))
+    run = task(_fingerprints, shingle=shingle, schema=pa.schema([("doc_id", pa.int64()), ("fp", pa.int64())]))
     return documents.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(run, "doc_id long, fp long")
 
 
@@ -197,16 +196,16 @@ def near_links(prints: DataFrame, work: Work, limit: int = 2, leaf_rows: int = 2
         at = [k / leaves for k in range(1, leaves)]
         cuts = sorted(set(prints.agg(F.percentile_approx(gray_rank(F.col("fp")), at, max(10_000, 20 * leaves)).alias("q")).first()["q"]))
     cuts = np.array(cuts, np.int64).view(np.uint64) ^ np.uint64(1 << 63)
-    placed = work.store(prints.select("fp").mapInArrow(partial(_leaf_of, cuts=cuts, schema=pa.schema([("fp", pa.int64()), ("leaf", pa.int32())])), "fp long, leaf int"), "leaves")
+    placed = work.store(prints.select("fp").mapInArrow(task(_leaf_of, cuts=cuts, schema=pa.schema([("fp", pa.int64()), ("leaf", pa.int32())])), "fp long, leaf int"), "leaves")
     nodes = placed.groupBy("leaf").agg(F.bit_and("fp").alias("ones"), F.bit_or("fp").alias("some")).collect()
     ones, some = np.full(len(cuts) + 1, FULL), np.zeros(len(cuts) + 1, np.uint64)  # an empty leaf shares nothing and holds nothing
     for node in nodes:
         ones[node["leaf"]], some[node["leaf"]] = np.array([node["ones"], node["some"]], np.int64).view(np.uint64)
-    route = partial(_routes, ones=ones, some=some, limit=limit, schema=pa.schema([("leaf", pa.int32()), ("sent", pa.int8()), ("fp", pa.int64())]))
+    route = task(_routes, ones=ones, some=some, limit=limit, schema=pa.schema([("leaf", pa.int32()), ("sent", pa.int8()), ("fp", pa.int64())]))
     routed = placed.mapInArrow(route, "leaf int, sent byte, fp long")
     parts = int(placed.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     routed = routed.repartition(parts, "leaf").sortWithinPartitions("leaf", "sent")
-    links = partial(_leaf_links, limit=limit, schema=pa.schema([("a", pa.int64()), ("b", pa.int64())]))
+    links = task(_leaf_links, limit=limit, schema=pa.schema([("a", pa.int64()), ("b", pa.int64())]))
     return routed.mapInArrow(links, "a long, b long")
 
 

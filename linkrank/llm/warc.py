@@ -7,7 +7,6 @@ import hashlib
 import uuid
 import zlib
 from collections.abc import Iterator
-from functools import partial
 
 import numpy as np
 import pandas as pd
@@ -16,7 +15,7 @@ from pyarrow.fs import FileSystem, FileType
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from linkrank.llm.common import Work
+from linkrank.llm.common import task, Work
 
 #: Payload bytes of a shard, as long as there are at most MAX_SHARDS; a larger corpus gets larger shards, not more of them.
 SHARD_BYTES = 16 << 20
@@ -162,7 +161,7 @@ def write_archive(pages: DataFrame, folder: str | None = None, least_bytes: int
     order = ["shard", "page_id", "digest", F.col("top").desc_nulls_last(), "url"]
     files, root = FileSystem.from_uri(folder)
     files.create_dir(f"{root}/_temporary", recursive=True)
-    writer = partial(_write, folder=folder, file_bytes=file_bytes, date=date, level=level)
+    writer = task(_write, folder=folder, file_bytes=file_bytes, date=date, level=level)
     every_row.repartition(len(cuts) + 1, "shard").sortWithinPartitions(*order).mapInArrow(writer, MANIFEST).write.parquet(f"{folder}/manifest")
     return folder
 
@@ -216,4 +215,4 @@ def read_archive(spark: SparkSession, folder: str, payloads: bool = True) -> Dat
     """Records of the files that the manifest names; each payload is held against its length and digest while reading."""
     manifest = spark.read.schema(MANIFEST).parquet(f"{folder}/manifest").select("file")
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    return manifest.repartition(parts, "file").mapInArrow(partial(_read, folder=folder, payloads=payloads), RECORDS)
+    return manifest.repartition(parts, "file").mapInArrow(task(_read, folder=folder, payloads=payloads), RECORDS)
