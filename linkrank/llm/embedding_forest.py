@@ -17,6 +17,8 @@ from linkrank.llm.simhash import merge_labels
 SAMPLE_ROWS = 20_000
 #: Rows of one side of a block of comparisons.
 BLOCK = 1024
+#: Rows of a block of a leaf; a leaf of over two of them is dealt out as pairs of blocks.
+LEAF_BLOCK = 8192
 
 
 def _vectors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -39,7 +41,8 @@ def unit(vectors: list[bytes]) -> np.ndarray:
 class Tree:
     """Splits of one tree, fitted on a sample: a random direction, and a cut at the widest gap near the median.
 
-    Vectors within the margin of a cut go to both sides. Below the fitted splits come ``extra`` levels, each with one direction
+    Vectors within the margin of a cut go to both sides. Where over half of a node's sample would, the cut lies where fewest do,
+    away from the crowd; a node that no cut parts is a leaf, however many vectors it holds. Below the fitted splits come ``extra`` levels, each with one direction
     and the sample's median as cut for all nodes, so that leaves stay small however many vectors are indexed.
     """
 
@@ -56,9 +59,13 @@ class Tree:
                 along = np.sort(sample[rows] @ direction)
                 a, b = int(len(rows) * 0.4), int(len(rows) * 0.6) + 1
                 k = a + int(np.argmax(np.diff(along[a : b + 1])))
-                cut = (along[k] + along[k + 1]) / 2
+                cut, spilled = (along[k] + along[k + 1]) / 2, self._spilled(along)
+                if 2 * spilled[k] > len(rows):
+                    low, high = len(rows) // 16, len(rows) - 1 - len(rows) // 16
+                    k = low + int(np.argmin(spilled[low:high]))
+                    cut = (along[k] + along[k + 1]) / 2
                 p = sample[rows] @ direction
-                if (p <= cut).any() and (p > cut).any():
+                if 2 * spilled[k] <= len(rows) and (p <= cut).any() and (p > cut).any():
                     here = len(self.splits)
                     self.splits.append([direction, cut, None, None])
                     todo += [(rows[p > cut], here, 3), (rows[p <= cut], here, 2)]
@@ -70,6 +77,11 @@ class Tree:
         self.extra /= np.linalg.norm(self.extra, axis=1, keepdims=True)
         self.medians = np.median(sample @ self.extra.T, axis=0) if extra else np.zeros(0)
 
+    def _spilled(self, along: np.ndarray) -> np.ndarray:
+        """How many of the sorted values lie within the margin of a cut between each value and the next."""
+        cuts = (along[:-1] + along[1:]) / 2
+        return np.searchsorted(along, cuts + self.margin, side="right") - np.searchsorted(along, cuts - self.margin, side="left")
+
     def leaves_of(self, x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(row, leaf) for every leaf that a row reaches."""
         found, todo = [], [(np.arange(len(x)), 0 if self.splits else ~0)]
@@ -108,8 +120,11 @@ def _assign(batches: Iterator[pa.RecordBatch], forest, schema: pa.Schema) -> Ite
         yield pa.record_batch([pa.array(leaf), batch.column("node").take(take), batch.column("n").take(take), batch.column("vector").take(take), pa.array(lists, pa.binary()).take(take)], schema=schema)
 
 
-def leaf_links(x: np.ndarray, n: np.ndarray, member: list[np.ndarray], leaf: int, least: float) -> tuple[np.ndarray, np.ndarray]:
-    """Of one leaf: links of each vector that no earlier leaf holds as well, counted with copies, and class labels."""
+def leaf_links(x: np.ndarray, n: np.ndarray, member: list[np.ndarray], leaf: int, least: float, side: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """Of one leaf: links of each vector that no earlier leaf holds as well, counted with copies, and class labels.
+
+    With ``side``, only pairs of one side with the other are compared.
+    """
     m = len(x)
     earlier = np.concatenate(member)
     keys, counts = np.unique(earlier[earlier < leaf], return_counts=True)
@@ -125,6 +140,8 @@ def leaf_links(x: np.ndarray, n: np.ndarray, member: list[np.ndarray], leaf: int
             near = x[i : i + BLOCK] @ x[j : j + BLOCK].T >= least
             if i == j:
                 near = np.triu(near, 1)
+            if side is not None:
+                near &= side[i : i + BLOCK, None] != side[j : j + BLOCK]
             a, b = np.nonzero(near)
             if not len(a):
                 continue
@@ -136,33 +153,47 @@ def leaf_links(x: np.ndarray, n: np.ndarray, member: list[np.ndarray], leaf: int
 
 
 def _compare(batches: Iterator[pa.RecordBatch], least: float, schema: pa.Schema) -> Iterator[pa.RecordBatch]:
-    """Rows come by leaf. Gives (node, null, links) and edges (node, node, null)."""
+    """Rows come by leaf and pair of blocks. Gives (node, null, links) and edges (node, node, null)."""
 
     def close(parts: list[pa.RecordBatch], leaf: int) -> pa.RecordBatch:
         table = pa.Table.from_batches(parts)
         node, n = table.column("node").to_numpy(), table.column("n").to_numpy()
         member = [np.frombuffer(b, np.int64) for b in table.column("leaves").to_pylist()]
-        links, label = leaf_links(unit(table.column("vector").to_pylist()), n, member, leaf, least)
+        side = table.column("side").to_numpy() if table.column("side")[0].as_py() is not None else None
+        links, label = leaf_links(unit(table.column("vector").to_pylist()), n, member, leaf, least, side)
         some, more = links > 0, label != np.arange(len(label))
         a, b = np.r_[node[some], node[more]], np.r_[node[some], node[label[more]]]
         links = np.r_[links[some], np.zeros(more.sum(), np.int64)]
         return pa.record_batch([pa.array(a), pa.array(b), pa.array(links)], schema=schema)
 
-    parts, leaf = [], None
+    parts, key = [], None
     for batch in batches:
-        values = batch.column("leaf").to_numpy()
-        starts = np.flatnonzero(np.r_[True, values[1:] != values[:-1]]) if len(values) else []
+        values = np.stack([batch.column("leaf").to_numpy(), batch.column("pair").to_numpy()], 1)
+        starts = np.flatnonzero(np.r_[True, (values[1:] != values[:-1]).any(1)]) if len(values) else []
         for i, j in zip(starts, [*starts[1:], len(values)], strict=True):
-            if leaf is not None and values[i] != leaf:
-                yield close(parts, leaf)
+            if key is not None and tuple(values[i]) != key:
+                yield close(parts, key[0])
                 parts = []
-            leaf = values[i]
+            key = tuple(values[i])
             parts.append(batch.slice(i, j - i))
     if parts:
-        yield close(parts, leaf)
+        yield close(parts, key[0])
+
+
+def dealt(placed: DataFrame, full: DataFrame) -> DataFrame:
+    """Rows of the leaves in ``full (leaf, blocks)`` once for each pair of blocks with their own one; other rows with pair -1.
+
+    side parts the two blocks of a pair, and is null within one block and in other leaves.
+    """
+    rows = placed.join(F.broadcast(full), "leaf", "left")
+    rows = rows.withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")))
+    rows = rows.withColumn("other", F.explode(F.when(F.col("blocks").isNull(), F.array(F.lit(-1).cast("long"))).otherwise(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1))))
+    pair = F.least("block", "other") * F.col("blocks") + F.greatest("block", "other")
+    side = F.when(F.col("block") != F.col("other"), F.col("block") > F.col("other"))
+    return rows.select("leaf", F.coalesce(pair.cast("long"), F.lit(-1).cast("long")).alias("pair"), F.when(F.col("blocks").isNotNull(), side).alias("side"), "node", "n", "vector", "leaves")
 
 
-def near_duplicates(embeddings: DataFrame, least: float = 0.95, trees: int = 8, leaf_rows: int = 1000, sample_rows: int = SAMPLE_ROWS, seed: int = 11) -> DataFrame:
+def near_duplicates(embeddings: DataFrame, least: float = 0.95, trees: int = 8, leaf_rows: int = 1000, sample_rows: int = SAMPLE_ROWS, seed: int = 11, leaf_block: int = LEAF_BLOCK) -> DataFrame:
     """``(vec_id, n_links, component_id, kept)`` for each row of ``embeddings (vec_id, embedding)``; other columns are not looked at.
 
     Vectors are linked if a leaf of a tree holds both and their cosine in double precision is at least ``least``. Vectors that
@@ -173,6 +204,7 @@ def near_duplicates(embeddings: DataFrame, least: float = 0.95, trees: int = 8,
 
     Splits are fitted on a sample of at most about ``sample_rows`` vectors, all that reaches the driver. Each pair is counted in the first leaf
     that both share, found from the lists of leaves that vectors carry, and a leaf gives links that connect its classes, so no pairs leave it.
+    A leaf of over two blocks of ``leaf_block`` vectors is compared in pairs of blocks, each pair in a group of its own.
     """
     spark = embeddings.sparkSession
     work = Work(spark, "forest")
@@ -195,7 +227,13 @@ def near_duplicates(embeddings: DataFrame, least: float = 0.95, trees: int = 8,
     strides = np.cumsum([0, *((t.leaves or 1) << extra for t in forest[:-1])])
     placed = kinds.mapInArrow(task(_assign, forest=(forest, strides), schema=pa.schema([("leaf", pa.int64()), ("node", pa.int64()), ("n", pa.int64()), ("vector", pa.binary()), ("leaves", pa.binary())])), "leaf long, node long, n long, vector binary, leaves binary")
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    found = placed.repartition(parts, "leaf").sortWithinPartitions("leaf").mapInArrow(task(_compare, least=least, schema=pa.schema([("a", pa.int64()), ("b", pa.int64()), ("links", pa.int64())])), "a long, b long, links long")
+    full = placed.groupBy("leaf").count().where(F.col("count") > 2 * leaf_block).select("leaf", F.ceil(F.col("count") / leaf_block).cast("long").alias("blocks"))
+    full = work.store(full, "full")
+    if not full.isEmpty():
+        placed = dealt(placed, full)
+    else:
+        placed = placed.select("leaf", F.lit(-1).cast("long").alias("pair"), F.lit(None).cast("boolean").alias("side"), "node", "n", "vector", "leaves")
+    found = placed.repartition(parts, "leaf", "pair").sortWithinPartitions("leaf", "pair").mapInArrow(task(_compare, least=least, schema=pa.schema([("a", pa.int64()), ("b", pa.int64()), ("links", pa.int64())])), "a long, b long, links long")
     found = work.store(found, "found")
     classes = work.store(connected_components(found, work), "classes")
     links = found.where("links > 0").groupBy(F.col("a").alias("node")).agg(F.sum("links").alias("links"))

@@ -79,3 +79,20 @@ def test_recall_with_many_small_leaves():
         assert all(of)
         met |= np.array([bool(of[2 * k] & of[2 * k + 1]) for k in range(2000)])
     assert near.sum() > 500 and met[near].mean() > 0.99
+
+
+def test_crowd_is_one_leaf_of_a_tree():
+    """A third of the vectors lie within the margin of each other; cuts through them would send all of them both ways."""
+    rng = np.random.default_rng(7)
+    x = rng.standard_normal((6000, 64))
+    x[:2000] = x[0] + 0.03 * rng.standard_normal((2000, 64))
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    tree = Tree(x[::3], 16, 0, 0.5 * np.sqrt(0.1) / 8, 3)
+    row, _ = tree.leaves_of(x)
+    assert np.bincount(row, minlength=6000)[:2000].mean() < 8
+    assert all(np.bincount(row, minlength=6000) > 0)
+
+
+def test_crowd_dealt_as_pairs_of_blocks(spark):
+    vectors = cloud()
+    assert run(spark, range(400), vectors, leaf_rows=60, leaf_block=25) == plain(range(400), vectors)
