@@ -133,13 +133,14 @@ def _margin(row: np.ndarray, scale: np.ndarray, w: np.ndarray) -> float:
 def fit(documents: DataFrame, labels: DataFrame, sample_documents: int = SAMPLE_DOCUMENTS) -> Classifier:
     """Fitted on ``documents (doc_id, text)`` with a ``labels (doc_id, quality)`` whose crc32 of doc_id, as text, isn't 2 modulo 4.
 
-    Whole texts of about ``sample_documents`` such rows, chosen by a hash of doc_id, reach the driver; null labels and ids are left out.
+    Whole texts of about ``sample_documents`` such rows, chosen by a hash of doc_id and text after rows alike in both are merged, reach the driver; null labels and ids are left out.
     """
     bounded_batches(documents.sparkSession)
     marks = labels.where((crc_part("doc_id", 4) != 2) & F.col("quality").isNotNull()).select(F.col("doc_id").cast("long").alias("doc_id"), F.col("quality").cast("int").alias("quality")).distinct()
-    share = min(1.0, sample_documents / max(marks.count(), 1))
-    marks = F.broadcast(marks.where(F.pmod(F.xxhash64("doc_id"), F.lit(1_000_000)) < share * 1_000_000))  # bounded by the sample
-    rows = documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).join(marks, "doc_id").collect()
+    texts = documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).withColumn("hash", F.xxhash64("text"))
+    share = min(1.0, sample_documents / max(texts.select("doc_id", "hash").distinct().join(marks, "doc_id").count(), 1))
+    some = texts.where(F.pmod(F.xxhash64("doc_id", "hash"), F.lit(1_000_000)) < share * 1_000_000).dropDuplicates(["doc_id", "hash"])
+    rows = some.join(marks, "doc_id").select("doc_id", "text", "quality").collect()
     rows = sorted(rows, key=lambda r: (r["doc_id"], r["quality"], r["text"] or ""))
     return Classifier([r["text"] for r in rows], np.array([r["quality"] == 1 for r in rows], bool))
 

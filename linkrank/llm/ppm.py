@@ -109,15 +109,17 @@ class Trees:
 def learn(documents: DataFrame, sample_documents: int = SAMPLE_DOCUMENTS) -> Trees:
     """Trees from documents with a lang whose crc32 of doc_id, as text, isn't 1 modulo 3; a null doc_id isn't learned from.
 
-    Whole texts of about ``sample_documents`` documents of each language, chosen by a hash of doc_id, reach the driver.
+    Whole texts of about ``sample_documents`` documents of each language, chosen by a hash of doc_id and text
+    after rows alike in both are merged, reach the driver.
     """
     rows = documents.select("doc_id", F.col("lang").cast("string").alias("lang"), F.col("text").cast("string").alias("text"))
     rows = rows.where((crc_part("doc_id", 3) != 1) & F.col("lang").isNotNull() & F.col("text").isNotNull())
-    counts = {r["lang"]: r["n"] for r in rows.groupBy("lang").agg(F.count("*").alias("n")).collect()}
+    rows = rows.withColumn("hash", F.xxhash64("text"))
+    counts = {r["lang"]: r["n"] for r in rows.select("doc_id", "lang", "hash").distinct().groupBy("lang").agg(F.count("*").alias("n")).collect()}
     if not counts:
         return _no_trees()
     share = F.create_map(*(F.lit(x) for k, n in counts.items() for x in (k, min(1.0, sample_documents / n))))[F.col("lang")]
-    chosen = rows.where(F.pmod(F.xxhash64("doc_id"), F.lit(1_000_000)) < share * 1_000_000).select("lang", "text").collect()
+    chosen = rows.where(F.pmod(F.xxhash64("doc_id", "hash"), F.lit(1_000_000)) < share * 1_000_000).dropDuplicates(["doc_id", "lang", "hash"]).select("lang", "text").collect()
     samples: dict[str, list[bytes]] = {}
     for r in chosen:
         samples.setdefault(r["lang"], []).append(r["text"].encode())
