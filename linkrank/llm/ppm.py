@@ -163,12 +163,13 @@ def identify(documents: DataFrame, trees: Trees) -> DataFrame:
 def _keep(batches: Iterator[pa.RecordBatch], trees) -> Iterator[pa.RecordBatch]:
     model = _from_plain(trees.value)
     for batch in batches:
-        language, _ = model.predict(list(strings(batch, "text")))
-        yield batch.filter(pa.array([k != "und" for k in language], pa.bool_()))
+        texts = list(strings(batch, "text"))
+        keep = [k != "und" for k in model.predict(texts)[0]] if model.languages else [any(map(str.isalpha, t)) for t in texts]
+        yield batch.filter(pa.array(keep, pa.bool_()))
 
 
 def keep_identified(documents: DataFrame, trees: Trees) -> DataFrame:
-    """The rows of ``documents``, with all columns as they are, whose text has a language; the others go."""
+    """The rows of ``documents``, with all columns as they are, whose text has a language; the others go. If nothing was learned, those with a letter stay."""
     bounded_batches(documents.sparkSession)
     model = documents.sparkSession.sparkContext.broadcast(_as_plain(trees))
     return documents.mapInArrow(task(_keep, trees=model), documents.schema)

@@ -85,3 +85,8 @@ def test_odd_documents(documents, rows):
     assert kept.columns == frame.columns
     letters = [(i, t) for i, t, _, _ in rows if any(map(str.isalpha, t or ""))]
     assert sorted(map(repr, ((r.doc_id, r.text) for r in kept.collect()))) == sorted(map(repr, letters))
+
+
+def test_nothing_learned_keeps_texts_with_a_letter(documents):
+    rows = documents([(1, "some text", None, "a"), (2, "12 34", None, "a"), (3, None, None, "a")])
+    assert [r.doc_id for r in ppm.keep_identified(rows, ppm.learn(rows)).collect()] == [1]
