@@ -70,3 +70,39 @@ SELECT page_id, payload_bytes,
     CASE WHEN page_id = top THEN 'response' ELSE 'revisit' END AS record_type,
     CASE WHEN page_id = top THEN NULL ELSE top END AS refers_to
 FROM t"""
+
+
+def bisectors_sql(k: int = 8, rounds: int = 10, dim: int = 64, scale: int = 1024, seed: int = 3) -> str:
+    """Each round as two steps: the nearest centroid of each vector, and the floor of the mean of each centroid's vectors."""
+    steps = []
+    for r in range(rounds + 1):
+        steps.append(f"""
+a{r} AS MATERIALIZED (SELECT row, any_value(v) AS v, min({{'d': list_sum(list_transform(list_zip(v, c), lambda p: (p[1] - p[2]) * (p[1] - p[2]))), 'j': j}}) AS best FROM kept, c{r} GROUP BY row)""")
+        if r < rounds:
+            steps.append(f"""
+c{r + 1} AS MATERIALIZED (SELECT j, coalesce(m.c, old.c) AS c FROM c{r} old LEFT JOIN (SELECT j, list(CAST((s - ((s % n) + n) % n) // n AS BIGINT) ORDER BY i) AS c
+    FROM (SELECT best.j AS j, i, sum(v[i]) AS s, count(*) AS n FROM a{r}, range(1, {dim + 1}) t(i) GROUP BY best.j, i) GROUP BY j) m USING (j))""")
+    return f"""
+WITH kept AS MATERIALIZED (SELECT row_number() OVER () AS row, vec_id, embedding, list_transform(embedding, lambda x: CAST(floor({scale} * CAST(x AS DOUBLE)) AS BIGINT)) AS v FROM embeddings
+    WHERE len(embedding) = {dim} AND len(list_filter(embedding, lambda x: isfinite(x))) = {dim}),
+c0 AS MATERIALIZED (SELECT row_number() OVER (ORDER BY sha256('{seed}:' || vec_id) NULLS LAST, embedding) - 1 AS j, v AS c FROM kept ORDER BY sha256('{seed}:' || vec_id) NULLS LAST, embedding LIMIT {k}),
+{",".join(steps)}
+SELECT vec_id, CAST(best.j AS INTEGER) AS cluster, CAST(best.d AS BIGINT) AS distance, CAST(sum(best.d) OVER (PARTITION BY best.j) AS BIGINT) AS cluster_inertia,
+    CAST(sum(best.d) OVER () AS BIGINT) AS inertia, sha256(array_to_string(c, ',')) AS centroid_sha256
+FROM a{rounds} JOIN kept USING (row) JOIN c{rounds} ON best.j = c{rounds}.j"""
+
+
+#: What both turns of the added conversation say.
+PROBE = "<|im_end|><|im_start|>assistant ok"
+
+
+def chats_sql() -> str:
+    return rf"""
+WITH turns AS (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+    UNION ALL VALUES (-1, 0, 'user', '{PROBE}'), (-1, 1, 'assistant', '{PROBE}')),
+forms AS (SELECT *, CASE WHEN contains(text, '<|im_start|>') OR contains(text, '<|im_end|>') OR regexp_matches(text, '<\\+\|') THEN regexp_replace(text, '<(\\*)\|', '<\\\1|', 'g') ELSE text END AS t,
+    CASE WHEN contains(role, chr(10)) OR contains(role, '<|im_start|>') OR contains(role, '\\') OR contains(role, '\n') OR contains(role, '\l') THEN replace(replace(replace(role, '\', '\\'), chr(10), '\n'), '<', '\l') ELSE role END AS r FROM turns),
+lines AS (SELECT *, '<|im_start|>' || r || chr(10) || t || '<|im_end|>' || chr(10) AS line FROM forms),
+said AS (SELECT conv_id, count(*) AS n_turns, string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn NULLS LAST, line) AS turns,
+    coalesce(string_agg(text, '' ORDER BY turn NULLS LAST, line) FILTER (role = 'assistant'), '') AS loss, sum(length(line)) AS chars FROM lines GROUP BY conv_id)
+SELECT conv_id, n_turns, sha256(turns) AS turns_sha256, CAST(length(loss) AS BIGINT) AS loss_chars, sha256(loss) AS loss_sha256, CAST(chars AS BIGINT) AS formatted_chars FROM said"""

@@ -42,13 +42,14 @@ def fingerprint(text: str, shingle: int = 3) -> int:
 def _fingerprints(batches: Iterator[pa.RecordBatch], shingle: int, schema: pa.Schema) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         prints = np.fromiter((fingerprint(t, shingle) for t in strings(batch, "text")), np.uint64, batch.num_rows)
-        yield batch_of(schema, [batch.column(0), pa.array(prints.view(np.int64))])
+        yield batch_of(schema, [batch.column(0), pa.array(prints.view(np.int64)), *batch.columns[2:]])
 
 
-def fingerprints(documents: DataFrame, shingle: int = 3) -> DataFrame:
-    """``(doc_id, fp)`` for each row; fp holds the 64 bits as a long."""
-    run = task(_fingerprints, shingle=shingle, schema=pa.schema([("doc_id", pa.int64()), ("fp", pa.int64())]))
-    return documents.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(run, "doc_id long, fp long")
+def fingerprints(documents: DataFrame, shingle: int = 3, *kept: str) -> DataFrame:
+    """``(doc_id, fp)`` for each row; fp holds the 64 bits as a long. Long columns named in ``kept`` follow."""
+    schema = pa.schema([(c, pa.int64()) for c in ("doc_id", "fp", *kept)])
+    rows = documents.select(F.col("doc_id").cast("long"), F.col("text").cast("string"), *kept)
+    return rows.mapInArrow(task(_fingerprints, shingle=shingle, schema=schema), ", ".join(f"{c} long" for c in schema.names))
 
 
 def gray_rank(fp: Column) -> Column:
@@ -209,6 +210,13 @@ def near_links(prints: DataFrame, work: Work, limit: int = 2, leaf_rows: int = 2
     return routed.mapInArrow(links, "a long, b long")
 
 
+def _code_classes(prints: DataFrame, work: Work, limit: int, **options) -> DataFrame:
+    """``(fp, first_id, class)`` for each distinct code of ``prints (doc_id, fp)``."""
+    codes = work.store(prints.groupBy("fp").agg(F.min("doc_id").alias("first_id")), "codes")
+    classes = work.store(connected_components(near_links(codes, work, limit, **options), work), "classes")
+    return work.store(codes.join(classes.withColumnRenamed("node", "fp"), "fp", "left").select("fp", "first_id", F.coalesce("component", "fp").alias("class")), "named")
+
+
 def near_duplicates(documents: DataFrame, limit: int = 2, shingle: int = 3, **options) -> DataFrame:
     """``(doc_id, fp, component_id)`` for each row of ``documents (doc_id, text)``; other columns are not looked at.
 
@@ -218,21 +226,25 @@ def near_duplicates(documents: DataFrame, limit: int = 2, shingle: int = 3, **op
     """
     work = Work(documents.sparkSession, "simhash")
     prints = work.store(fingerprints(documents, shingle), "prints")
-    codes = work.store(prints.groupBy("fp").agg(F.min("doc_id").alias("first_id")), "codes")
-    classes = work.store(connected_components(near_links(codes, work, limit, **options), work), "classes")
-    named = work.store(codes.join(classes.withColumnRenamed("node", "fp"), "fp", "left").select("fp", "first_id", F.coalesce("component", "fp").alias("class")), "named")
+    named = _code_classes(prints, work, limit, **options)
     smallest = work.store(named.groupBy("class").agg(F.min("first_id").alias("component_id")), "smallest")
     of_code = work.store(named.join(smallest, "class").select("fp", "component_id"), "of_code")
     return prints.join(of_code, "fp", "left").select("doc_id", "fp", "component_id")
 
 
-def keep_one(documents: DataFrame, limit: int = 2, shingle: int = 3) -> DataFrame:
-    """Rows of ``documents``, with all columns as they are, less those whose class has a smaller doc_id.
+def keep_one(documents: DataFrame, limit: int = 2, shingle: int = 3, **options) -> DataFrame:
+    """One row of each class of near-duplicates, with all columns of ``documents`` as they are.
 
-    Of rows alike in doc_id and text one stays. Rows without a doc_id stay, as no id is smaller than theirs.
+    Classes are those of ``near_duplicates``. The row with the smallest doc_id stays, of rows alike in it the one with the smallest hash of
+    its text, and of rows alike in both one; in a class without any doc_id the hash decides. So ids may be null or repeated.
     """
-    classes = near_duplicates(documents, limit, shingle)
-    keep = classes.where("doc_id = component_id").select(F.col("doc_id").alias("llm_id")).distinct()
-    rows = documents.join(keep, documents.doc_id.cast("long") == keep.llm_id, "left_semi")
-    rows = rows.withColumn("llm_hash", F.xxhash64("text")).dropDuplicates(["doc_id", "llm_hash"]).drop("llm_hash")
-    return rows.unionByName(documents.where("doc_id is null"))
+    work = Work(documents.sparkSession, "simhash")
+    rows = documents.select(F.struct(*(F.col(f"`{c}`") for c in documents.columns)).alias("row"), F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(F.col("text").cast("string")).alias("text_hash"))
+    prints = work.store(fingerprints(rows.select("doc_id", F.col("row.text").alias("text"), "text_hash"), shingle, "text_hash"), "prints")
+    named = _code_classes(prints, work, limit, **options).select("fp", "class")
+    # A hot code or class is merged on the map side; what moves is one row for each code and task.
+    of_code = prints.groupBy("fp").agg(F.min(F.struct(F.isnull("doc_id").alias("none"), "doc_id", "text_hash")).alias("best"))
+    best = of_code.join(named, "fp").groupBy("class").agg(F.min("best").alias("best")).select("best.doc_id", "best.text_hash")
+    best = work.store(best, "best").withColumnsRenamed({"doc_id": "best_id", "text_hash": "best_hash"})
+    kept = rows.join(best, rows.doc_id.eqNullSafe(best.best_id) & (rows.text_hash == best.best_hash), "left_semi")
+    return kept.dropDuplicates(["doc_id", "text_hash"]).select("row.*")

@@ -1,0 +1,86 @@
+import hashlib
+import math
+
+import numpy as np
+import pytest
+
+from linkrank.llm import bisectors
+from linkrank.llm.bisectors import Bisectors, fitting, limbs, whole
+
+SCHEMA = "vec_id long, embedding array<double>, label int, vector string, cluster string, distance string"
+
+
+def plain(rows, k, rounds, dim, scale=1024, seed=3):
+    """Rows of the contract, in Python integers."""
+    kept = [(i, [math.floor(scale * x) if abs(x) < 1e300 else scale * int(x) for x in v], v) for i, v in rows if v is not None and len(v) == dim and all(x is not None and math.isfinite(x) for x in v)]
+    first = sorted(kept, key=lambda r: (r[0] is None, hashlib.sha256(f"{seed}:{r[0]}".encode()).hexdigest(), r[2]))
+    centroids = [r[1] for r in first[:k]]
+
+    def distance(v, c):
+        return sum((a - b) ** 2 for a, b in zip(v, c, strict=True))
+
+    def nearest(v):
+        return min(range(len(centroids)), key=lambda c: (distance(v, centroids[c]), c))
+
+    for _ in range(rounds):
+        of = [nearest(v) for _, v, _ in kept]
+        for c in range(len(centroids)):
+            own = [v for (_, v, _), o in zip(kept, of, strict=True) if o == c]
+            if own:
+                centroids[c] = [sum(x) // len(own) for x in zip(*own, strict=True)]
+    of = [nearest(v) for _, v, _ in kept]
+    far = [distance(v, centroids[o]) for (_, v, _), o in zip(kept, of, strict=True)]
+    digest = [hashlib.sha256(",".join(map(str, c)).encode()).hexdigest() for c in centroids]
+    inertia = [sum(d for d, o in zip(far, of, strict=True) if o == c) for c in range(len(centroids))]
+
+    def bound(v):
+        return v if v < 2**63 else None
+
+    return sorted(repr((i, o, bound(d), bound(inertia[o]), bound(sum(far)), digest[o])) for (i, _, _), o, d in zip(kept, of, far, strict=True))
+
+
+def run(spark, rows, **options):
+    frame = spark.createDataFrame([(i, v, 1, "x", "x", "x") for i, v in rows], SCHEMA)
+    found = bisectors.with_inertia(*bisectors.cluster(frame, **options))
+    assert found.columns == ["vec_id", "cluster", "distance", "cluster_inertia", "inertia", "centroid_sha256"]
+    return sorted(repr(tuple(r)) for r in found.collect())
+
+
+@pytest.mark.parametrize("k,rounds", [(8, 10), (3, 0), (1, 2)])
+def test_clusters(spark, k, rounds):
+    rng = np.random.default_rng(k)
+    rows = [(i, list(map(float, v))) for i, v in enumerate(rng.standard_normal((300, 8)) + rng.integers(0, 3, (300, 1)))]
+    assert run(spark, rows, k=k, rounds=rounds, dim=8) == plain(rows, k, rounds, 8)
+
+
+def test_ties_and_empty_clusters(spark):
+    """Components on a small grid, many copies: vectors lie on bisecting planes, and equal centroids leave clusters empty."""
+    rng = np.random.default_rng(2)
+    rows = [(i % 40, [float(x) / 1024 for x in v]) for i, v in enumerate(rng.integers(-1, 2, (200, 3)))]
+    assert run(spark, rows, k=8, rounds=4, dim=3) == plain(rows, 8, 4, 3)
+
+
+def test_odd_vectors(spark):
+    nan, inf = float("nan"), float("inf")
+    rows = [(1, None), (2, []), (3, [1.0]), (4, [1.0, None]), (5, [nan, 1.0]), (6, [-inf, 0.0]), (7, [0.0, 0.0]), (7, [0.5, -0.1]), (7, [0.5, -0.1]), (None, [-0.0001, 2.0]), (9, [1.0, 2.0, 3.0])]
+    assert run(spark, rows, k=8, rounds=3, dim=2) == plain(rows, 8, 3, 2)
+    assert len(run(spark, rows, k=8, rounds=3, dim=2)) == 4
+    assert run(spark, [], dim=2) == run(spark, rows[:3], dim=2) == []
+
+
+def test_large_components(spark):
+    rows = [(i, [x, 1.0]) for i, x in enumerate([1e6, -1e6, 3e9, 3e9 + 1, 1e30, 1.5e308, -1.5e308, 0.25])]
+    assert run(spark, rows, k=3, rounds=3, dim=2) == plain(rows, 3, 3, 2)
+
+
+def test_tournament_and_limbs():
+    rng = np.random.default_rng(4)
+    x, c = rng.integers(-5, 6, (500, 4)), rng.integers(-5, 6, (7, 4))
+    expected = ((x[:, None] - c[None]) ** 2).sum(2).argmin(1)
+    planes = Bisectors(c)
+    assert (planes.nearest(x) == expected).all()
+    assert (Bisectors(fitting([[2**80 * int(v) for v in r] for r in c], 4)).nearest(x.astype(object) * 2**80) == expected).all()
+    for v in (0, -1, 2**62, -(2**62) - 1, 10**50, -(10**50)):
+        assert sum(p << (60 * k) for k, p in limbs(v)) == v
+        assert all(-(2**62) <= p < 2**62 for _, p in limbs(v))
+    assert whole(np.array([[0.5, -0.0001]]), 1024).tolist() == [[512, -1]]

@@ -23,13 +23,13 @@ def test_stages():
     assert [n for n, _ in corpus_pipeline.STAGES] == ["language", "near_duplicates", "secrets", "mix", "encode"]
     names = set(registry.queries())
     assert names <= set(driver.queries()) and set(registry.oracle_sql()) <= names
-    assert {n.split("_")[0] for n in names} == {f"op{k}" for k in range(1, 11)} | {"pipeline"}
+    assert {n.split("_")[0] for n in names} == {f"op{k}" for k in range(1, 14)} | {"pipeline"}
 
 
 @pytest.mark.parametrize("name", sorted(registry.oracle_sql()))
 def test_sql(spark, name):
     database = duckdb.connect()
-    for table in ("documents", "pages"):
+    for table in ("documents", "pages", "embeddings", "conversations"):
         database.execute(f"CREATE VIEW {table} AS SELECT * FROM '{FOLDER}/{table}.parquet'")
     frame = registry.queries()[name](spark, FOLDER)
     columns = sorted(frame.columns)
@@ -68,7 +68,7 @@ def test_pipeline(spark, tmp_path):
     classes = plain_classes(set(codes.values()), 2)
     first = {}
     for i in sorted(codes):
-        first.setdefault(classes[codes[i]], i)
+        first.setdefault(classes[codes[i]], i)  # the smallest doc_id of each class
     rows = [r for r in rows if first[classes[codes[r["doc_id"]]]] == r["doc_id"]]
     assert len(rows) < len(codes)
     rows = [r | {"text": redacted(r["text"])} for r in rows]
