@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from linkrank.llm import bpe, mixing, near_copies, ppm, secret_scan
+from linkrank.llm import bpe, mixing, ppm, secret_scan, simhash
 from linkrank.llm.common import Work
 
 VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
@@ -20,8 +20,8 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each class of documents linked by a five-word Jaccard similarity of 0.8 or more, the one with the smallest id stays."""
-    return near_copies.keep_one(docs)
+    """Of each class of documents linked by fingerprints of three-word shingles within two bits, the one with the smallest id stays."""
+    return simhash.keep_one(docs, limit=2, shingle=3)
 
 
 def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
