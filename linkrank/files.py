@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 
-from linkrank.operators.adjacency import adjacency_lists
+from linkrank.operators.adjacency import LIST_LIMIT, adjacency_lists
 from linkrank.operators.edges import initial_ranks
-from linkrank.operators.ranking import order_nodes
+from linkrank.operators.metrics import iteration_metrics
+from linkrank.operators.ranking import node_order_columns, order_nodes
 from linkrank.plans.graph import prepare, prepare_records
+from linkrank.plans.history import store_history
 from linkrank.plans.iterate import RankResult, rank
 from linkrank.plans.workspace import Workspace
 from linkrank.sinks import (
@@ -20,22 +22,31 @@ from linkrank.sinks import (
     times_report,
     top_report,
     write_csv,
-    write_history,
     write_lines,
     write_summary,
 )
-from linkrank.sources import check_edges, check_records, reject_counts, split_checked
+from linkrank.sources import (
+    POSITION,
+    check_edges,
+    check_records,
+    lines_in_order,
+    number_parts,
+    ranked_nodes_of,
+    read_ranked,
+    reject_counts,
+    split_checked,
+)
 
 SOURCES = ("edges", "adjacency", "ranked")
 #: Allowed numbers of fields in a record of each kind.
 WIDTHS = {"adjacency": (2,), "ranked": (3,)}
 
 
-def edges_to_adjacency(lines: DataFrame, dedupe: bool = True, workspace: Workspace | None = None, **edge_format: str | None) -> tuple[DataFrame, DataFrame]:
-    """Adjacency lines of an edge list, in the order of their ids, and the rejects; the lines are read once."""
+def edges_to_adjacency(lines: DataFrame, dedupe: bool = True, workspace: Workspace | None = None, list_limit: int = LIST_LIMIT, **edge_format: str | None) -> tuple[DataFrame, DataFrame]:
+    """Adjacency lines of an edge list, in the order of their ids and parts, and the rejects; the lines are read once."""
     workspace = workspace or Workspace(lines.sparkSession)
-    edges, rejects = split_checked(workspace.save(check_edges(lines, **edge_format), workspace.new_name("checked")))
-    lists = workspace.save(adjacency_lists(edges, dedupe, workspace=workspace), workspace.new_name("lists"))
+    edges, rejects = split_checked(workspace.save(check_edges(lines, **edge_format), workspace.new_name("checked"), apart="reason"))
+    lists = workspace.save(adjacency_lists(edges, dedupe, list_limit, workspace, stage=False), workspace.new_name("lists"))
     return adjacency_lines(order_nodes(lists)), rejects
 
 
@@ -48,6 +59,28 @@ def adjacency_to_ranked(records: DataFrame, n: int | None = None) -> DataFrame:
     return ranked_lines(initial_ranks(records.select("id", "neighbors"), max(total, 1)))
 
 
+def write_ranked(ranked_nodes: DataFrame, lists: DataFrame, path: str, workspace: Workspace, order: list[Column] | None = None) -> None:
+    """Ranks ``(id, rank)`` and lists ``(id, part, neighbors)`` as ranked lines, by id and part; ``read_parts`` reads them as they were.
+
+    The records are stored first, so that finding the ranges of their order doesn't compute them a second time.
+    """
+    name = workspace.new_name("ranked")
+    records = workspace.save(ranked_records(ranked_nodes, lists), name)
+    write_lines(ranked_lines(order_nodes(records, order)), path)
+    workspace.drop(name)
+
+
+def check_ranked_files(spark: SparkSession, current: str, previous: str | None = None, tol: float = 1e-6, rule: str = "max", workspace: Workspace | None = None) -> DataFrame:
+    """``iteration_metrics`` of the ranked records in ``current`` against those in ``previous``, from the files as they are.
+
+    The out-degree of a node is the number of neighbours in all its parts, and its rank counts once. A file without a valid record is
+    an error, as is a node whose parts disagree about its rank.
+    """
+    workspace = workspace or Workspace(spark)
+    nodes = [workspace.save(ranked_nodes_of(read_ranked(spark, path)), workspace.new_name("nodes")) for path in (current, previous) if path is not None]
+    return iteration_metrics(*nodes, tol=tol, rule=rule)
+
+
 def rank_files(
     spark: SparkSession,
     input_path: str,
@@ -61,6 +94,7 @@ def rank_files(
     edge_format: dict[str, str | None] | None = None,
     resume_from: str | None = None,
     workspace: str | None = None,
+    list_limit: int = LIST_LIMIT,
     **options: object,
 ) -> RankResult:
     """Rank the graph in ``input_path`` and write reports below ``output_path``.
@@ -71,27 +105,38 @@ def rank_files(
     its history are taken up, and the outcome is that of one run. Ranked records alone have 15 decimals and know
     no N; give ``n`` and ``first_iteration`` where the count of records is not the N of the run.
     ``workspace`` names a workspace to be kept, in which ``linkrank.resume`` goes on after the driver died.
-    ``edge_format`` goes to the edge parser and ``options`` to ``rank``.
+    ``edge_format`` goes to the edge parser, ``list_limit`` to the lists built from edges, and ``options`` to ``rank``.
+
+    Written are ``ranks``, ``history`` and ``run`` (Parquet), ``final`` (ranked records in the order of ids and parts, unless ``text`` is
+    false), ``rejects`` (Parquet) and ``reject_counts``, ``top``, ``convergence``, ``times``, ``summary``; and if history is kept
+    ``iterations`` (Parquet) and the ranked records of each iteration as ``iter1``, ``iter2`` and so on.
 
-    Written are ``ranks``, ``history`` and ``run`` (Parquet), ``final`` (ranked records, unless ``text`` is false), ``rejects``
-    (Parquet) and ``reject_counts``, ``top``, ``convergence``, ``times``, ``summary``, and ``iterations`` if history is kept.
+    The checked lines are stored once, rejected ones apart from the others, and dropped as soon as the graph has what it needs.
     """
     if source not in SOURCES:
         raise ValueError(f"source must be one of {SOURCES}, not {source!r}")
     space = Workspace(spark, name=workspace)
-    lines = spark.read.text(input_path)
-    checked = check_edges(lines, **(edge_format or {})) if source == "edges" else check_records(lines, WIDTHS[source])
-    read, rejects = split_checked(space.save(checked, space.new_name("checked")))
+    stored = space.new_name("checked")
+    if source == "edges":
+        checked = check_edges(spark.read.text(input_path), **(edge_format or {}))
+    else:
+        checked = check_records(lines_in_order(spark, input_path), WIDTHS[source], POSITION)
+    read, rejects = split_checked(space.save(checked, stored, apart="reason"))
+    rejects.write.parquet(f"{output_path}/rejects")
+    write_csv(reject_counts(spark.read.schema(rejects.schema).parquet(f"{output_path}/rejects")), f"{output_path}/reject_counts")
     if source == "edges":
-        graph = prepare(read, dedupe=dedupe, workspace=space)
-        lists = adjacency_lists(read, dedupe, workspace=space) if text else None
+        graph = prepare(read, dedupe=dedupe, workspace=space, names=text)
+        lists = space.save(graph.adjacency_lists(list_limit).drop("key"), space.new_name("lists")) if text else None
     else:
         if source == "ranked" and read.isEmpty():
             raise ValueError(f"no valid ranked records in {input_path}")
-        graph, lists = prepare_records(read, space), read
+        graph = prepare_records(read, space)
+        lists = space.save(number_parts(read.drop("rank"), space), space.new_name("lists")) if text else None
         if source == "ranked" and resume_from is None:
             # Parts of one list repeat the rank of their node.
-            options["initial_ranks"] = read.select("id", "rank").distinct()
+            ranks = ranked_nodes_of(read).select("id", "rank")
+            options["initial_ranks"] = space.save(ranks, space.new_name("given"))
+    space.drop(stored)
     if resume_from is not None:
         earlier = spark.read.parquet(f"{resume_from}/run").first()
         options |= {
@@ -103,17 +148,18 @@ def rank_files(
     result.ranks.write.parquet(f"{output_path}/ranks")
     result.history.coalesce(1).write.parquet(f"{output_path}/history")
     spark.createDataFrame([(result.n, result.iterations)], "n long, iterations long").coalesce(1).write.parquet(f"{output_path}/run")
-    rejects.write.parquet(f"{output_path}/rejects")
-    write_csv(reject_counts(spark.read.schema(rejects.schema).parquet(f"{output_path}/rejects")), f"{output_path}/reject_counts")
     if text:
-        write_lines(ranked_lines(ranked_records(result.ranked_nodes, lists)), f"{output_path}/final")
+        order = node_order_columns(graph.nodes.select("id"))
+        write_ranked(result.ranked_nodes, lists, f"{output_path}/final", space, order)
+        for iteration in result.snapshot_tables if options.get("keep_history") else ():
+            write_ranked(result.snapshot(iteration), lists, f"{output_path}/iter{iteration}", space, order)
     write_csv(top_report(result.ranks, k), f"{output_path}/top")
     write_csv(convergence_report(result.history), f"{output_path}/convergence")
     write_csv(times_report(result.history), f"{output_path}/times")
     summary = run_summary(result, dataset or input_path)
     write_summary(summary, f"{output_path}/summary")
     if options.get("keep_history"):
-        write_history(result.snapshots(), f"{output_path}/iterations")
+        store_history(result, f"{output_path}/iterations")
     if ledger_path is not None:
         append_ledger(summary, ledger_path)
     return result

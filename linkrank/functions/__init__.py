@@ -1,6 +1,7 @@
 """Column functions shared by the readers, operators and sinks."""
 
 from linkrank.functions.formats import fixed, scientific, yes_no
+from linkrank.functions.sums import small_sum, steady_sum
 from linkrank.functions.text import (
     integer_order,
     is_integer,
@@ -17,6 +18,8 @@ __all__ = [
     "neighbor_list",
     "parse_double",
     "scientific",
+    "small_sum",
+    "steady_sum",
     "strip",
     "with_once",
     "yes_no",

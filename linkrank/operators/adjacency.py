@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
 from linkrank.functions import integer_order, is_integer
+from linkrank.operators.edges import out_degrees
 from linkrank.plans.workspace import Workspace
 
 LIST_LIMIT = 100_000
@@ -21,51 +22,49 @@ def adjacency_lists(
     dedupe: bool = True,
     list_limit: int = LIST_LIMIT,
     workspace: Workspace | None = None,
+    stage: bool = True,
 ) -> DataFrame:
     """``(id, part, neighbors)`` for every node of the graph, empty lists for dangling ones.
 
     With ``dedupe=False`` a neighbour is repeated as often as its edge is. Neighbours are ordered by value
-    if all of a node's are whole numbers, else by text. The edges are read once: equal ones are merged before
-    the exchange by both ends, which spreads any hub, and stored with a mark for each node. Nodes with
-    one list are collected from there; the lists of the others are numbered by ranges of their order.
+    if all of a node's are whole numbers, else by text. The edges are read once and written as they come; ``stage=False`` reads them
+    three times instead, for edges that are stored already. A first pass counts them by node, merged before the exchange. Then edges move once, to the
+    task of their source, where copies are merged and lists are built. Edges of sources with more than ``list_limit`` of them are
+    merged by both ends instead, which spreads any hub, and their lists are numbered by ranges of their order.
     """
     if list_limit < 1:
         raise ValueError(f"list_limit must be greater than zero, not {list_limit}")
     workspace = workspace or Workspace(edges.sparkSession)
-    ends = F.inline(
-        F.array(
-            F.struct(F.col("src").alias("id"), F.col("dst").alias("neighbor")),
-            F.struct(F.col("dst").alias("id"), F.lit(None).cast("string").alias("neighbor")),
-        )
-    )
-    copies = F.lit(1).cast("long") if dedupe else F.count(F.lit(1))
-    pairs = workspace.save(
-        edges.select("src", "dst").dropna().select(ends).groupBy("id", "neighbor").agg(copies.alias("copies")),
-        workspace.new_name("pairs"),
-    )
-    linked = pairs.where("neighbor IS NOT NULL")
-
+    edges = edges.select("src", "dst").dropna()
+    if stage:
+        edges = workspace.save(edges, workspace.new_name("pairs"))
+    large_ones = F.count_if(F.col("out_degree") > list_limit).alias("rows")
     counted = Observation()
-    sizes = linked.groupBy("id").agg(
-        F.sum("copies").alias("size"), F.bool_and(is_integer(F.col("neighbor"))).alias("numbers")
-    )
-    large = workspace.save(
-        sizes.where(F.col("size") > list_limit).observe(counted, F.count(F.lit(1)).alias("rows")),
-        workspace.new_name("large"),
-    )
+    nodes = workspace.save(out_degrees(edges).observe(counted, large_ones), workspace.new_name("counts"))
     some = counted.get["rows"]
-    small = pairs.join(large.select("id"), "id", "left_anti") if some else pairs
-    repeated = F.flatten(
-        F.collect_list(F.when(F.col("neighbor").isNotNull(), F.array_repeat("neighbor", F.col("copies").cast("int"))))
-    )
-    whole = small.groupBy("id").agg(repeated.alias("neighbors")).select(
-        "id", F.lit(0).cast("long").alias("part"), order_neighbors(F.col("neighbors")).alias("neighbors")
-    )
-    return whole.unionByName(_cut(linked, large, list_limit, workspace)) if some else whole
+    large = nodes.where(F.col("out_degree") > list_limit).select("id")
+    linked = edges.select(F.col("src").alias("id"), F.col("dst").alias("neighbor"))
+    copies = (F.lit(1).cast("long") if dedupe else F.count(F.lit(1))).alias("copies")
+
+    small = linked.join(large, "id", "left_anti") if some else linked
+    lists = small.repartition("id").groupBy("id", "neighbor").agg(copies).groupBy("id").agg(order_neighbors(repeated_neighbors()).alias("neighbors"))
+    whole = lists.unionByName(nodes.where("out_degree = 0").select("id", F.array().cast("array<string>").alias("neighbors")))
+    whole = whole.select("id", F.lit(0).cast("long").alias("part"), "neighbors")
+    if not some:
+        return whole
+    merged = linked.join(large, "id", "left_semi").groupBy("id", "neighbor").agg(copies)
+    merged = workspace.save(merged, workspace.new_name("merged"))
+    kinds = workspace.save(merged.groupBy("id").agg(F.bool_and(is_integer(F.col("neighbor"))).alias("numbers")), workspace.new_name("large"))
+    return whole.unionByName(cut_lists(merged, kinds, list_limit, workspace))
+
+
+def repeated_neighbors() -> Column:
+    """All of ``neighbor`` in a group, each as often as ``copies`` says."""
+    return F.flatten(F.collect_list(F.array_repeat("neighbor", F.col("copies").cast("int"))))
 
 
-def _cut(linked: DataFrame, large: DataFrame, list_limit: int, workspace: Workspace) -> DataFrame:
-    """Parts of the lists of large nodes. No task holds more than a range of one node's neighbours."""
+def cut_lists(linked: DataFrame, large: DataFrame, list_limit: int, workspace: Workspace) -> DataFrame:
+    """Parts of the lists of the nodes ``large(id, numbers)``, from ``linked(id, neighbor, copies)``. No task holds more than a range of one node's neighbours."""
     order = ["id", F.when(F.col("numbers"), integer_order(F.col("neighbor"))), "neighbor"]
     ranges = linked.join(large, "id").repartitionByRange(*order)
     stored = workspace.save(ranges.withColumn("slice", F.spark_partition_id()), workspace.new_name("ranges"))

@@ -1,24 +1,36 @@
-"""Validation metrics of ranks and of changes between two sets of ranks."""
+"""Validation metrics of ranks and of changes between two sets of ranks; their sums do not depend on the order of rows."""
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from linkrank.functions import steady_sum
+
 STOP_RULES = ("max", "l1")
 
 
 def rank_total(ranks: DataFrame) -> DataFrame:
     """Total rank and its distance from 1."""
-    return ranks.agg(F.sum("rank").alias("total_rank")).withColumn(
+    return ranks.agg(steady_sum(F.col("rank")).alias("total_rank")).withColumn(
         "error", F.abs(F.col("total_rank") - 1.0)
     )
 
 
+def dangling_sum() -> Column:
+    return steady_sum(F.when(F.col("out_degree") == 0, F.col("rank")))
+
+
 def dangling_mass(state: DataFrame) -> DataFrame:
     """Rank held by nodes without out-links."""
-    held = F.sum(F.when(F.col("out_degree") == 0, F.col("rank")))
-    return state.agg(F.coalesce(held, F.lit(0.0)).alias("dangling_mass"))
+    return state.agg(F.coalesce(dangling_sum(), F.lit(0.0)).alias("dangling_mass"))
+
+
+def _changes() -> list[Column]:
+    """Largest, average and total of ``delta``; rows without one don't count."""
+    total = steady_sum(F.col("delta"))
+    average = F.when(F.count("delta") > 0, total / F.count("delta"))
+    return [F.max("delta").alias("max_delta"), average.alias("avg_delta"), total.alias("l1_delta")]
 
 
 def rank_delta(current: DataFrame, previous: DataFrame) -> DataFrame:
@@ -35,13 +47,7 @@ def rank_delta(current: DataFrame, previous: DataFrame) -> DataFrame:
 
 def delta_summary(deltas: DataFrame) -> DataFrame:
     """Largest, average and total change, and the number of nodes, in one row (0 when empty)."""
-    zero = F.lit(0.0)
-    return deltas.agg(
-        F.coalesce(F.max("delta"), zero).alias("max_delta"),
-        F.coalesce(F.avg("delta"), zero).alias("avg_delta"),
-        F.coalesce(F.sum("delta"), zero).alias("l1_delta"),
-        F.count(F.lit(1)).alias("nodes"),
-    )
+    return deltas.agg(*_changes(), F.count(F.lit(1)).alias("nodes")).na.fill(0.0)
 
 
 def compare(current: DataFrame, previous: DataFrame) -> DataFrame:
@@ -71,11 +77,9 @@ def iteration_metrics(
         )
     return joined.agg(
         F.count("rank").alias("nodes"),
-        F.coalesce(F.sum("rank"), F.lit(0.0)).alias("total_rank"),
-        F.expr("coalesce(sum(rank) FILTER (WHERE out_degree = 0), 0D)").alias("dangling_mass"),
-        F.max("delta").alias("max_delta"),
-        F.avg("delta").alias("avg_delta"),
-        F.sum("delta").alias("l1_delta"),
+        F.coalesce(steady_sum(F.col("rank")), F.lit(0.0)).alias("total_rank"),
+        F.coalesce(dangling_sum(), F.lit(0.0)).alias("dangling_mass"),
+        *_changes(),
     ).select(
         "nodes",
         "total_rank",
@@ -97,14 +101,14 @@ def _below(tol: float, rule: str) -> Column:
     return F.coalesce(F.col(f"{rule}_delta") < tol, F.lit(False))
 
 
-def history_of_snapshots(snapshots: DataFrame, tol: float = 1e-6, rule: str = "max") -> DataFrame:
+def history_of_snapshots(snapshots: DataFrame, tol: float = 1e-6, rule: str = "max", by: str = "id") -> DataFrame:
     """Metrics of every iteration from stored ``(iteration, id, out_degree, rank)``, judged by ``rule``.
 
     The previous rank of a node comes from a window over its own few rows; a node that appears later
-    starts from 0.
+    starts from 0. ``by`` names the column that tells the nodes apart: with ``key`` a history in buckets isn't moved.
     """
     below = _below(tol, rule)
-    own = Window.partitionBy("id").orderBy("iteration")
+    own = Window.partitionBy(by).orderBy("iteration")
     first = snapshots.agg(F.min("iteration")).scalar()
     before = F.coalesce(F.lag("rank").over(own), F.lit(0.0))
     changes = snapshots.withColumn(
@@ -113,11 +117,9 @@ def history_of_snapshots(snapshots: DataFrame, tol: float = 1e-6, rule: str = "m
     return (
         changes.groupBy("iteration")
         .agg(
-            F.sum("rank").alias("total_rank"),
-            F.expr("coalesce(sum(rank) FILTER (WHERE out_degree = 0), 0D)").alias("dangling_mass"),
-            F.max("delta").alias("max_delta"),
-            F.avg("delta").alias("avg_delta"),
-            F.sum("delta").alias("l1_delta"),
+            steady_sum(F.col("rank")).alias("total_rank"),
+            F.coalesce(dangling_sum(), F.lit(0.0)).alias("dangling_mass"),
+            *_changes(),
         )
         .withColumn("converged", below)
     )

@@ -9,6 +9,10 @@ from linkrank.functions import integer_order, is_integer
 from linkrank.plans.workspace import Workspace
 
 
+#: Rows that one task may sort and that may be broadcast.
+FEW = 10_000
+
+
 def by_rank() -> list[Column]:
     """Highest rank first, equal ranks by id."""
     return [F.desc("rank"), F.asc("id")]
@@ -19,10 +23,17 @@ def top_k(ranks: DataFrame, k: int = 20) -> DataFrame:
     return ranks.select("id", "rank").orderBy(*by_rank()).limit(k)
 
 
-def top_k_positions(ranks: DataFrame, k: int = 20) -> DataFrame:
-    """The same with positions from 1; the window sees no more than ``k`` rows."""
-    position = F.row_number().over(Window.orderBy(*by_rank()))
-    return top_k(ranks, k).select(position.cast("long").alias("position"), "id", "rank")
+def top_k_positions(ranks: DataFrame, k: int = 20, workspace: Workspace | None = None) -> DataFrame:
+    """The same with positions from 1, for any ``k``.
+
+    Up to ``FEW`` rows are sorted in one task; a longer list is numbered by ranges, each in a task of its own, so it may
+    have all nodes. For that, ``workspace`` holds the ordered rows.
+    """
+    if k <= FEW:
+        position = F.row_number().over(Window.orderBy(*by_rank()))
+        return top_k(ranks, k).select(position.cast("long").alias("position"), "id", "rank")
+    space = workspace or Workspace(ranks.sparkSession)
+    return number_rows(ranks.select("id", "rank"), by_rank(), space, space.new_name("ordered")).where(F.col("position") <= k)
 
 
 def ranking_full(ranks: DataFrame) -> DataFrame:
@@ -36,22 +47,35 @@ def node_order_columns(nodes: DataFrame) -> list[Column]:
     return [F.when(all_integers, integer_order(F.col("id"))), F.col("id")]
 
 
-def order_nodes(nodes: DataFrame) -> DataFrame:
-    return nodes.orderBy(*node_order_columns(nodes))
+def order_nodes(nodes: DataFrame, order: list[Column] | None = None) -> DataFrame:
+    """By id, and by part where nodes have several rows: those of a node are then neighbours, across files too.
+
+    Rows are dealt by ranges of both, so that no task holds a node with many parts. ``order`` are the columns of
+    ``node_order_columns``, if they are known.
+    """
+    order = node_order_columns(nodes) if order is None else order
+    return nodes.orderBy(*order, *(["part"] if "part" in nodes.columns else []))
 
 
-def number_rows(df: DataFrame, order: list[Column], workspace: Workspace, name: str) -> DataFrame:
+def number_rows(df: DataFrame, order: list[Column], workspace: Workspace, name: str, stage: bool = True) -> DataFrame:
     """Add a global ``position`` from 1 in the given order, without sorting in one task.
 
+    ``df`` is read twice, once to find the ranges; so it is written first, and computed once. ``stage=False`` leaves that out
+    for rows that are stored already.
+
     Rows move once, to ranges of the order, are sorted there and written with the number of their range and
     their place in it. Counts per range give the offsets. ``order`` should be unique, so that no range can
     hold more than its share.
     """
     columns = df.columns
+    if stage:
+        df = workspace.save(df, f"{name}_rows")
     # Spark's row number: the partition in the upper bits, the place within it in the lower 33.
     numbered = df.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("number", F.monotonically_increasing_id())
     local = F.col("number").bitwiseAND(F.lit(2**33 - 1))
     stored = workspace.save(numbered.select(*columns, F.shiftright("number", 33).alias("slice"), local.alias("local")), name)
+    if stage:
+        workspace.drop(f"{name}_rows")
 
     counts = stored.groupBy("slice").agg(F.count(F.lit(1)).alias("rows"))
     before = Window.orderBy("slice").rowsBetween(Window.unboundedPreceding, -1)

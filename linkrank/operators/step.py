@@ -11,6 +11,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from linkrank.functions.sums import small_sum, steady_sum, unit_for
 from linkrank.operators.edges import count_copies, dedupe_edges
 from linkrank.operators.skew import (
     HEAVY_ROWS,
@@ -42,10 +43,16 @@ def make_links(
     dedupe: bool = True,
     heavy_rows: int = HEAVY_ROWS,
     max_heavy: int = MAX_HEAVY,
+    unique: bool = False,
 ) -> Links:
-    """Links straight from ``edges(src, dst)``, without writing tables; for single steps."""
+    """Links straight from ``edges(src, dst)``, without writing tables; for single steps.
+
+    ``unique`` tells that no edge comes twice, so that none need be looked for.
+    """
     heavy = heavy_sources(edges, heavy_rows, max_heavy)
-    if dedupe:
+    if unique:
+        counted = edges.select("src", "dst", F.lit(1).cast("long").alias("copies"))
+    elif dedupe:
         counted = dedupe_edges(edges).withColumn("copies", F.lit(1).cast("long"))
     else:
         counted = count_copies(edges)
@@ -71,9 +78,15 @@ def contributions(links: Links, state: DataFrame) -> DataFrame:
     return result
 
 
-def incoming_sums(amounts: DataFrame) -> DataFrame:
-    """Total received per target. Sums are formed before the shuffle, so popular targets do no harm."""
-    return amounts.groupBy("dst").agg(F.sum("amount").alias("incoming"))
+def incoming_sums(amounts: DataFrame, total: float | None = None) -> DataFrame:
+    """Total received per target, the same bits in whatever order and parts the amounts come.
+
+    Sums are formed before the shuffle, so popular targets do no harm. ``total`` is a bound on all amounts together where
+    one is known, which makes the sums cheaper.
+    """
+    amount = F.col("amount")
+    received = steady_sum(amount) if total is None else small_sum(amount, unit_for(total))
+    return amounts.groupBy("dst").agg(received.alias("incoming"))
 
 
 def join_incoming(
@@ -111,13 +124,15 @@ def rank_step(
     dangling: float,
     damping: float = 0.85,
     unknown_targets: str = "drop",
+    total: float | None = None,
 ) -> DataFrame:
     """The next state ``(id, out_degree, rank)``, together with ``previous_rank``.
 
-    ``dangling`` is the rank held by nodes without out-links in ``state``, that is before this step.
+    ``dangling`` is the rank held by nodes without out-links in ``state``, that is before this step, and ``total`` a bound on
+    all of its rank, if one is known.
     """
     check_step_arguments(n, dangling, damping)
-    sums = incoming_sums(contributions(links, state))
+    sums = incoming_sums(contributions(links, state), total)
     joined = join_incoming(state, sums, unknown_targets, links.bucketed)
     return joined.select(
         "id",

@@ -22,7 +22,8 @@ from math import ceil
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from linkrank.operators.adjacency import explode_adjacency, validate_unique
+from linkrank.functions import is_integer
+from linkrank.operators.adjacency import LIST_LIMIT, cut_lists, explode_adjacency, order_neighbors, repeated_neighbors, validate_unique
 from linkrank.operators.skew import (
     HEAVY_ROWS,
     MAX_HEAVY,
@@ -73,6 +74,8 @@ class Graph:
     #: Names of the tables in the workspace, and the seconds that preparation took.
     tables: dict[str, str]
     seconds: float = 0.0
+    #: Whether the stored links have the ids of their targets, from which lists can be built.
+    names: bool = False
 
     @property
     def spark(self) -> SparkSession:
@@ -97,6 +100,39 @@ class Graph:
         )
 
 
+    def adjacency_lists(self, list_limit: int = LIST_LIMIT) -> DataFrame:
+        """``(key, id, part, neighbors)`` of the members: the neighbours in their order, cut after every ``list_limit`` of them.
+
+        The stored links are grouped in their buckets and meet their node there, so no edge is moved but those of nodes past
+        the limit. The graph must have been prepared with ``names=True``.
+        """
+        if not self.names:
+            raise ValueError("the links have no names; prepare the graph with names=True")
+        if list_limit < 1:
+            raise ValueError(f"list_limit must be greater than zero, not {list_limit}")
+        columns = [F.col("src").alias("id"), F.col("dst_id").alias("neighbor"), F.lit(1).cast("long").alias("copies") if "once" in self.tables else "copies"]
+        light = self.workspace.table(self.tables["links"]).select(*columns)
+        heavy = self.workspace.table(self.tables["heavy_links"]).select(*columns) if "heavy_links" in self.tables else None
+        large = self.nodes.where(F.col("out_degree") > list_limit).select(F.col("key").alias("id"))
+        cut = not large.isEmpty()
+        first = F.lit(0).cast("long").alias("part")
+
+        def whole(links: DataFrame) -> DataFrame:
+            rest = links.join(bounded_hash(large, self.partitions), "id", "left_anti") if cut else links
+            return rest.groupBy("id").agg(order_neighbors(repeated_neighbors()).alias("neighbors")).select("id", first, "neighbors")
+
+        lists = whole(light) if heavy is None else whole(light).unionByName(whole(heavy))
+        if cut:
+            linked = light if heavy is None else light.unionByName(heavy)
+            of_large = linked.join(large, "id")
+            kinds = of_large.groupBy("id").agg(F.bool_and(is_integer(F.col("neighbor"))).alias("numbers"))
+            kinds = self.workspace.save(kinds, self.workspace.new_name("large"))
+            lists = lists.unionByName(cut_lists(linked, kinds, list_limit, self.workspace))
+        members = self.nodes.where("member")
+        found = lists.withColumnRenamed("id", "of").join(bounded_hash(members.select("key", "id"), self.partitions), F.col("of") == F.col("key"))
+        none = F.array().cast("array<string>").alias("neighbors")
+        return found.select("key", "id", "part", "neighbors").unionByName(members.where("out_degree = 0").select("key", "id", first, none))
+
     def without_copies(self) -> Graph:
         """The same graph with each edge once. Degrees are counted anew in their buckets; nothing else is prepared again."""
         began = time.perf_counter()
@@ -114,21 +150,21 @@ class Graph:
         """What ``reopen_graph`` needs to find the graph again in its workspace."""
         return {
             "n": self.n, "n_edges": self.n_edges, "n_dangling": self.n_dangling, "partitions": self.partitions,
-            "key": KEYS.index(self.key), "tables": self.tables, "seconds": self.seconds,
+            "key": KEYS.index(self.key), "tables": self.tables, "seconds": self.seconds, "names": self.names,
         }
 
 
 def reopen_graph(workspace: Workspace, described: dict) -> Graph:
     """A graph from the tables that an earlier session left in a named workspace."""
     tables, buckets = described["tables"], described["partitions"]
-    light = workspace.attach(tables["links"], "src", buckets, ordered=True)
-    heavy = workspace.attach(tables["heavy_links"]) if "heavy_links" in tables else None
+    light = workspace.attach(tables["links"], "src", buckets, ordered=True).select("src", "dst", "copies")
+    heavy = workspace.attach(tables["heavy_links"]).select("src", "dst", "copies") if "heavy_links" in tables else None
     sources = workspace.attach(tables["heavy_ids"]).select(F.col("key").alias("src")) if heavy is not None else None
     if "once" in tables:
         once = F.lit(1).cast("long").alias("copies")
         light, heavy = light.select("src", "dst", once), None if heavy is None else heavy.select("src", "dst", once)
     nodes = workspace.attach(tables["nodes"], "key", buckets)
-    return Graph(workspace, nodes, Links(light, heavy, sources, buckets < MAX_BUCKETS), described["n"], described["n_edges"], described["n_dangling"], buckets, KEYS[described["key"]], tables, described["seconds"])
+    return Graph(workspace, nodes, Links(light, heavy, sources, buckets < MAX_BUCKETS), described["n"], described["n_edges"], described["n_dangling"], buckets, KEYS[described["key"]], tables, described["seconds"], described["names"])
 
 
 def _totals() -> list[Column]:
@@ -162,12 +198,14 @@ def prepare(
     stage: bool = False,
     heavy_rows: int = HEAVY_ROWS,
     max_heavy: int = MAX_HEAVY,
+    names: bool = False,
 ) -> Graph:
     """Prepare ``edges(src, dst)`` for ranking; rows that lack either id are no edges.
 
     ``dedupe=False`` keeps copies of an edge, each of which carries a share of its own. ``nodes(id)``
     names the nodes; without it every id of an edge is a node. The edges are read twice; ``stage=True``
-    writes them first, for edges that are costly to compute. A workspace may hold several graphs.
+    writes them first, for edges that are costly to compute. A workspace may hold several graphs. ``names=True`` stores the id
+    of its target with each link, in a column that the iterations don't read, for ``Graph.adjacency_lists``.
     """
     began = time.perf_counter()
     spark = edges.sparkSession
@@ -200,7 +238,7 @@ def prepare(
 
     buckets = partition_count(default, n_raw, seen["ids"])
     with shuffle_partitions(spark, buckets):
-        links = _store_links(workspace, staged, heavy, key, dedupe, buckets, tables)
+        links = _store_links(workspace, staged, heavy, key, dedupe, buckets, tables, names)
         counted = Observation()
         stored = workspace.save(
             _with_degrees(ids, links, dedupe, buckets).observe(counted, *_totals()),
@@ -224,6 +262,7 @@ def prepare(
         key=key,
         tables=tables,
         seconds=time.perf_counter() - began,
+        names=names,
     )
 
 
@@ -232,7 +271,7 @@ def prepare_records(
     workspace: Workspace | None = None,
     stage: bool = False,
     unique: bool = False,
-    **options: int,
+    **options: int | bool,
 ) -> Graph:
     """Prepare adjacency records ``(id, neighbors)``; each id is a node, linked or not.
 
@@ -292,26 +331,33 @@ def _store_links(
     dedupe: bool,
     buckets: int,
     tables: dict[str, str],
+    names: bool,
 ) -> Links:
     copies = F.lit(1).cast("long") if dedupe else F.count(F.lit(1))
     keyed = [key(F.col("src")).alias("src"), key(F.col("dst")).alias("dst")]
+    columns = ["src", "dst", "copies"]
+    if names:
+        # One key stands for one id, so the groups stay the same.
+        keyed, columns = [*keyed, F.col("dst").alias("dst_id")], [*columns, "dst_id"]
+    groups = [c for c in columns if c != "copies"]
     light, large = split_by_source(edges, heavy)
 
     # Partitioning by source alone also serves the merging of copies and the buckets: one exchange.
     merged = (
         light.select(*keyed)
         .repartition(buckets, "src")
-        .groupBy("src", "dst")
+        .groupBy(*groups)
         .agg(copies.alias("copies"))
+        .select(*columns)
     )
-    stored = workspace.save(merged, tables["links"], "src", buckets, ordered=True)
+    stored = workspace.save(merged, tables["links"], "src", buckets, ordered=True).select("src", "dst", "copies")
     if large is None:
         return Links(stored, bucketed=buckets < MAX_BUCKETS)
     # Edges of heavy sources are spread by both ends, after copies were merged on the map side.
-    spread = large.select(*keyed).groupBy("src", "dst").agg(copies.alias("copies"))
+    spread = large.select(*keyed).groupBy(*groups).agg(copies.alias("copies")).select(*columns)
     return Links(
         stored,
-        workspace.save(spread, tables["heavy_links"]),
+        workspace.save(spread, tables["heavy_links"]).select("src", "dst", "copies"),
         heavy.select(F.col("key").alias("src")),
         bucketed=buckets < MAX_BUCKETS,
     )

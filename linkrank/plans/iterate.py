@@ -16,14 +16,16 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from linkrank.functions.sums import high_part, low_part, steady_sum, total_of, unit_for
 from linkrank.operators.adjacency import validate_unique
-from linkrank.operators.metrics import STOP_RULES, dangling_mass, has_converged
+from linkrank.operators.metrics import STOP_RULES, dangling_sum, has_converged
 from linkrank.operators.step import (
     UNKNOWN_TARGETS,
     check_step_arguments,
     rank_step,
 )
 from linkrank.plans.graph import Graph, bounded_hash, reopen_graph
+from linkrank.plans.journal import Journal
 from linkrank.plans.workspace import Workspace, shuffle_partitions
 
 HISTORY_SCHEMA = T.StructType(
@@ -54,6 +56,8 @@ class RankResult:
     #: The N of the formulas, and the seconds outside the iterations.
     n: int = 0
     preparation_seconds: float = 0.0
+    #: Number of the run in the journal of a named workspace, else 0.
+    run: int = 0
 
     @property
     def iterations(self) -> int:
@@ -84,6 +88,14 @@ class RankResult:
         """``(id, out_degree, rank)`` after the given iteration, if history was kept."""
         return _with_ids(self.graph, self._snapshot_state(iteration))
 
+    def keyed_snapshot(self, iteration: int) -> DataFrame:
+        """``(key, id, out_degree, rank)`` after a kept iteration, in the buckets of the graph."""
+        return _with_ids(self.graph, self._snapshot_state(iteration), "key")
+
+    def keyed_ranks(self) -> DataFrame:
+        """``(key, id, out_degree, rank)`` after the last iteration, in the buckets of the graph."""
+        return _with_ids(self.graph, self.state, "key")
+
     def snapshots(self) -> DataFrame:
         """``(iteration, id, out_degree, rank)`` of all kept iterations, each joined in its buckets."""
         kept = [
@@ -129,56 +141,6 @@ def rank(
     ``first_iteration`` is the number that comes next, and ``history`` has the rows so far. In a named workspace every
     iteration is recorded, and ``resume`` goes on from there.
     """
-    return _run(graph, damping, tol, max_iter, rule, first_iteration_can_converge, unknown_targets, initial_ranks, keep_history, n, first_iteration, history)
-
-
-def resume(spark: SparkSession, name: str, max_iter: int | None = None, folder: str | None = None) -> RankResult:
-    """Go on with the last run in the named workspace ``name``, from its last finished iteration.
-
-    All options are those of the run, and so is the number of iterations in all unless ``max_iter`` is given. A run that had
-    ended is returned as it is.
-    """
-    workspace = Workspace.reopen(spark, name, folder)
-    noted = workspace.noted("progress")
-    if noted is None:
-        raise ValueError(f"no finished iteration in {workspace.location}")
-    graph = reopen_graph(workspace, noted["graph"])
-    state = workspace.attach(noted["state"], "id", graph.partitions)
-    rows = [tuple(r) for r in noted["rows"]]
-    options = noted["options"]
-    left = (max_iter or options["max_iter"]) - len(rows)
-    tables = {int(k): v for k, v in noted["tables"].items()}
-    for table in tables.values():
-        workspace.attach(table, "id", graph.partitions)
-    if left <= 0 or rows[-1][6]:
-        return RankResult(graph, state, rows, rows[-1][6], options["damping"], options["tol"], tables, noted["n"], graph.seconds)
-    return _run(graph, options["damping"], options["tol"], left, options["rule"], options["first_iteration_can_converge"], options["unknown_targets"], None, options["keep_history"], noted["n"], rows[-1][0] + 1, None, _Start(state, rows, tables))
-
-
-@dataclass(frozen=True)
-class _Start:
-    """A state by key to go on from, and what was so far."""
-
-    state: DataFrame
-    rows: list[tuple]
-    tables: dict[int, str]
-
-
-def _run(
-    graph: Graph,
-    damping: float,
-    tol: float | None,
-    max_iter: int,
-    rule: str,
-    first_iteration_can_converge: bool,
-    unknown_targets: str,
-    initial_ranks: DataFrame | None,
-    keep_history: bool,
-    n: int | None,
-    first_iteration: int,
-    history: DataFrame | None,
-    start: _Start | None = None,
-) -> RankResult:
     n = graph.n if n is None else n
     check_step_arguments(n, 0.0, damping)
     if first_iteration < 1:
@@ -192,51 +154,88 @@ def _run(
     if unknown_targets not in UNKNOWN_TARGETS:
         raise ValueError(f"unknown_targets must be one of {UNKNOWN_TARGETS}, not {unknown_targets!r}")
 
-    workspace = graph.workspace
-    run = f"run{time.time_ns()}"
+    began = time.perf_counter()
+    rows = [tuple(r) for r in history.orderBy("iteration").collect()] if history is not None else []
+    options = {"damping": damping, "tol": tol, "max_iter": len(rows) + max_iter, "rule": rule, "first_iteration_can_converge": first_iteration_can_converge, "unknown_targets": unknown_targets, "keep_history": keep_history}
+    table = None
+    if initial_ranks is not None:
+        table = graph.workspace.new_name("start")
+        with shuffle_partitions(graph.spark, graph.partitions):
+            graph.workspace.save(_state_from(graph, initial_ranks), table, "id", graph.partitions)
+    begin = {"graph": graph.describe(), "state": table, "rows": rows, "tables": {}, "options": options, "n": n, "next": first_iteration, "compared": table is not None, "converged": False}
+    run = Journal(graph.workspace).begin(begin) if graph.workspace.kept else 0
+    return _run(graph, begin, run, time.perf_counter() - began)
+
+
+def resume(spark: SparkSession, name: str, max_iter: int | None = None, folder: str | None = None, run: int | None = None) -> RankResult:
+    """Go on with the newest run in the named workspace ``name`` from its last finished iteration, or from its beginning if there is none.
+
+    The newest run is the one that began last, however far earlier ones got; ``run`` names another one (``runs`` lists them). All options
+    are those of the run, and so is the number of iterations in all unless ``max_iter`` is given. A run that had ended is returned as it is.
+    """
+    workspace = Workspace.reopen(spark, name, folder)
+    journal = Journal(workspace)
+    found = journal.newest() if run is None else journal.last(run)
+    if found is None:
+        raise ValueError(f"no finished iteration and no run begun in {workspace.location}" + (f" under number {run}" if run else ""))
+    noted = found.values
+    graph = reopen_graph(workspace, noted["graph"])
+    noted["tables"] = {int(k): v for k, v in noted["tables"].items()}
+    for table in {noted["state"], *noted["tables"].values()} - {None}:
+        workspace.attach(table, "id", graph.partitions)
+    if max_iter is not None:
+        noted["options"]["max_iter"] = max_iter
+    return _run(graph, noted, found.run, 0.0)
+
+
+def runs(spark: SparkSession, name: str, folder: str | None = None) -> DataFrame:
+    """``(run, iterations, last_iteration, converged, nodes, damping, threshold)`` of all runs begun in the named workspace ``name``."""
+    return Journal(Workspace.reopen(spark, name, folder)).table()
+
+
+def _run(graph: Graph, noted: dict, run: int, seconds: float) -> RankResult:
+    """Iterate from what was noted last: a state by key, the rows and tables so far, and the options."""
+    workspace, options, n = graph.workspace, noted["options"], noted["n"]
+    tol, rule = options["tol"], options["rule"]
+    rows, tables = [tuple(r) for r in noted["rows"]], dict(noted["tables"])
+    converged, last_table = noted["converged"], noted["state"]
+    name = f"run{time.time_ns()}"
     with shuffle_partitions(graph.spark, graph.partitions):
         began = time.perf_counter()
-        rows: list[tuple] = [tuple(r) for r in history.orderBy("iteration").collect()] if history is not None else []
-        tables: dict[int, str] = {}
-        if start is not None:
-            state, rows, tables = start.state, list(start.rows), dict(start.tables)
-            dangling = dangling_mass(state).first()["dangling_mass"]
-        elif initial_ranks is None:
-            state = graph.start_state() if n == graph.n else graph.start_state().withColumn("rank", F.lit(1.0 / n))
-            dangling = graph.n_dangling / n
+        if last_table is not None:
+            state = workspace.table(last_table)
+            held, everything = state.agg(dangling_sum(), steady_sum(F.col("rank"))).first()
+            dangling, before = held or 0.0, everything or 0.0
         else:
-            state = workspace.save(
-                _state_from(graph, initial_ranks), f"{run}_0", "id", graph.partitions
-            )
-            dangling = dangling_mass(state).first()["dangling_mass"]
-        resumed = start is not None or initial_ranks is not None
-        before_loop = graph.seconds + time.perf_counter() - began
-
-        converged = False
-        options = {"damping": damping, "tol": tol, "max_iter": len(rows) + max_iter, "rule": rule, "first_iteration_can_converge": first_iteration_can_converge, "unknown_targets": unknown_targets, "keep_history": keep_history}
-        last_table = None
-        for iteration in range(first_iteration, first_iteration + max_iter):
+            state = graph.start_state() if n == graph.n else graph.start_state().withColumn("rank", F.lit(1.0 / n))
+            dangling, before = graph.n_dangling / n, graph.n / n
+        # Members of the graph for each one that N counts; targets that become nodes are more.
+        members = max(1.0, (graph.n if options["unknown_targets"] == "drop" else graph.nodes.count()) / n)
+        before_loop = graph.seconds + seconds + time.perf_counter() - began
+
+        for iteration in range(noted["next"], noted["next"] + options["max_iter"] - len(rows)):
+            if converged:
+                break
             started = time.perf_counter()
-            table = f"{run}_{iteration}"
+            table = f"{name}_{iteration}"
             observed = Observation()
+            # No more rank than this can there be after the step, and no more of it can change.
+            unit = unit_for(before + members * (1.0 + before))
             stepped = rank_step(
-                graph.links, state, n, dangling, damping, unknown_targets
-            ).observe(observed, *_metrics())
+                graph.links, state, n, dangling, options["damping"], options["unknown_targets"], before
+            ).observe(observed, *_metrics(unit))
             state = workspace.save(stepped.drop("previous_rank"), table, "id", graph.partitions)
             seen = observed.get
 
-            compared = resumed or iteration > first_iteration or first_iteration_can_converge
-            largest, average, total = (
-                (seen["max_delta"], seen["l1_delta"] / seen["rows"], seen["l1_delta"])
-                if compared
-                else (None, None, None)
-            )
+            change, before = (total_of(seen[f"{x}_high"], seen[f"{x}_low"], unit) for x in ("l1", "total"))
+            compared = noted["compared"] or options["first_iteration_can_converge"]
+            largest, average, total = (seen["max_delta"], change / seen["rows"], change) if compared else (None, None, None)
             converged = tol is not None and has_converged(largest, total, tol, rule)
-            dangling = seen["dangling_mass"]
+            dangling = total_of(seen["dangling_high"], seen["dangling_low"], unit)
             rows.append(
                 (
                     iteration,
-                    seen["total_rank"],
+                    before,
                     dangling,
                     largest,
                     average,
@@ -245,26 +244,24 @@ def _run(
                     time.perf_counter() - started,
                 )
             )
-            tables = tables | {iteration: table} if keep_history else {iteration: table}
-            if workspace.kept:
-                workspace.note("progress", iteration, {"graph": graph.describe(), "state": table, "rows": rows, "tables": tables, "options": options, "n": n})
-            if not keep_history and last_table:
+            tables = tables | {iteration: table} if options["keep_history"] else {iteration: table}
+            noted = noted | {"state": table, "rows": rows, "tables": tables, "next": iteration + 1, "compared": True, "converged": converged}
+            if run:
+                Journal(workspace).note(run, iteration, noted)
+            if not options["keep_history"] and last_table:
                 workspace.drop(last_table)
             last_table = table
-            if converged:
-                break
 
-    return RankResult(graph, state, rows, converged, damping, tol, tables, n, before_loop)
+    return RankResult(graph, state, rows, converged, options["damping"], tol, tables, n, before_loop, run)
 
 
-def _metrics() -> list[Column]:
-    return [
-        F.expr("sum(rank) AS total_rank"),
-        F.expr("coalesce(sum(CASE WHEN out_degree = 0 THEN rank END), 0D) AS dangling_mass"),
-        F.expr("max(abs(rank - previous_rank)) AS max_delta"),
-        F.expr("sum(abs(rank - previous_rank)) AS l1_delta"),
-        F.expr("count(*) AS rows"),
-    ]
+def _metrics(unit: float) -> list[Column]:
+    """Metrics of one iteration; sums come as two whole numbers each, so that the order of additions doesn't show."""
+    rank, held = F.col("rank"), F.when(F.col("out_degree") == 0, F.col("rank"))
+    change = F.abs(F.col("rank") - F.col("previous_rank"))
+    sums = {"total": rank, "dangling": held, "l1": change}
+    parts = [F.sum(part(x, unit)).alias(f"{name}_{of}") for name, x in sums.items() for of, part in (("high", high_part), ("low", low_part))]
+    return [*parts, F.max(change).alias("max_delta"), F.count(F.lit(1)).alias("rows")]
 
 
 def _state_from(graph: Graph, initial_ranks: DataFrame) -> DataFrame:
@@ -282,19 +279,20 @@ def _state_from(graph: Graph, initial_ranks: DataFrame) -> DataFrame:
     )
 
 
-def _with_ids(graph: Graph, state: DataFrame) -> DataFrame:
-    """Put ids back in place of keys; both tables have the same buckets, of bounded size."""
+def _with_ids(graph: Graph, state: DataFrame, *more: str) -> DataFrame:
+    """Put ids back in place of keys; both tables have the same buckets, of bounded size. ``key`` can be kept."""
     names = graph.nodes.select("key", F.col("id").alias("name"))
     return state.join(bounded_hash(names, graph.partitions), F.col("id") == F.col("key")).select(
-        F.col("name").alias("id"), "out_degree", "rank"
+        *more, F.col("name").alias("id"), "out_degree", "rank"
     )
 
 
-def joined_by_key(graph: Graph, state: DataFrame, other: DataFrame) -> DataFrame:
-    """``(id, rank, previous_rank, delta)`` of two states of one graph; ids are put in place at the end."""
+def joined_by_key(graph: Graph, state: DataFrame, other: DataFrame, *more: str) -> DataFrame:
+    """``(id, rank, previous_rank, delta)`` of two states of one graph, which meet its nodes in their buckets. ``key`` can be kept."""
     zero = F.lit(0.0)
-    before = other.select("id", F.col("rank").alias("previous_rank"))
-    names = bounded_hash(graph.nodes.select("key", F.col("id").alias("name")), graph.partitions)
-    both = state.select("id", "rank").join(before, "id", "full_outer").join(names, F.col("id") == F.col("key"))
-    both = both.select(F.col("name").alias("id"), F.coalesce("rank", zero).alias("rank"), F.coalesce("previous_rank", zero).alias("previous_rank"))
+    now = bounded_hash(state.select(F.col("id").alias("now"), "rank"), graph.partitions)
+    before = bounded_hash(other.select(F.col("id").alias("before"), F.col("rank").alias("previous_rank")), graph.partitions)
+    both = graph.nodes.select("key", "id").join(now, F.col("key") == F.col("now"), "left").join(before, F.col("key") == F.col("before"), "left")
+    both = both.where("now IS NOT NULL OR before IS NOT NULL")
+    both = both.select(*more, "id", F.coalesce("rank", zero).alias("rank"), F.coalesce("previous_rank", zero).alias("previous_rank"))
     return both.withColumn("delta", F.abs(F.col("rank") - F.col("previous_rank")))

@@ -8,7 +8,6 @@ The tables live in a database of their own, which ``close`` drops together with
 from __future__ import annotations
 
 import atexit
-import json
 import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager, suppress
@@ -86,21 +85,6 @@ class Workspace:
             self.spark.sql(f"CREATE TABLE {self.table_name(name)} ({columns}) USING parquet {clustered} LOCATION '{path}'")
         return self.table(name)
 
-    def note(self, name: str, number: int, values: dict) -> None:
-        """Write a small record; of several with one name the one with the highest number counts."""
-        row = self.spark.createDataFrame([(json.dumps(values),)], "value string")
-        row.coalesce(1).write.mode("overwrite").text(f"{self.location}/_{name}/number={number:09d}")
-
-    def noted(self, name: str) -> dict | None:
-        """The record of that name with the highest number, None if there is none. A record half written does not count."""
-        hadoop = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{self.location}/_{name}")
-        files = hadoop.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
-        if not files.exists(hadoop):
-            return None
-        found = sorted(str(x.getPath()) for x in files.listStatus(hadoop))
-        done = [x for x in found if files.exists(self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{x}/_SUCCESS"))]
-        return json.loads(self.spark.read.text(done[-1]).first()["value"]) if done else None
-
     def table_name(self, name: str) -> str:
         return f"spark_catalog.{self.database}.{name}"
 
@@ -111,13 +95,24 @@ class Workspace:
         key: str | None = None,
         buckets: int | None = None,
         ordered: bool = False,
+        apart: str | None = None,
     ) -> DataFrame:
         """Write ``df`` as a table and return it as read back, bucketed by ``key`` if one is given.
 
         ``ordered`` also sorts each bucket by the key, which compresses repeated keys to almost
-        nothing; worth it for tables that are read often.
+        nothing; worth it for tables that are read often. ``apart`` is a column of few values, each of which has a folder of its
+        own, so that a reader of one value leaves the others alone; rows go there as they come, without a sort.
         """
         writer = df.write.format("parquet")
+        if apart is not None:
+            writers = "spark.sql.maxConcurrentOutputFileWriters"
+            before = self.spark.conf.get(writers)
+            self.spark.conf.set(writers, "16")
+            try:
+                writer.partitionBy(apart).saveAsTable(self.table_name(name))
+            finally:
+                self.spark.conf.set(writers, before)
+            return self.table(name)
         if key is not None:
             writer = writer.bucketBy(buckets, key)
             if ordered:
@@ -131,6 +126,10 @@ class Workspace:
     def drop(self, name: str) -> None:
         self.spark.sql(f"DROP TABLE IF EXISTS {self.table_name(name)} PURGE")
 
+    def forget(self, name: str) -> None:
+        """Drop a table of files that lie elsewhere; they stay."""
+        self.spark.sql(f"DROP TABLE IF EXISTS {self.table_name(name)}")
+
     def close(self) -> None:
         """Drop the database with all its tables and files."""
         self.spark.sql(f"DROP DATABASE IF EXISTS spark_catalog.{self.database} CASCADE")

@@ -11,7 +11,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from linkrank.functions import fixed, scientific, yes_no
-from linkrank.operators.ranking import by_rank, top_k, top_k_positions
+from linkrank.operators.ranking import FEW, by_rank, number_rows, top_k, top_k_positions
+from linkrank.plans.graph import bounded_hash
 from linkrank.plans.iterate import RankResult, joined_by_key
 
 # Column headings of the reports. Those of the convergence table are fixed values; ``Node`` and ``Rank`` are
@@ -110,18 +111,33 @@ def compare_runs(result: RankResult, other: RankResult, k: int = 20) -> DataFram
     """``(id, rank, previous_rank, delta, place, other_place)`` of two runs on one prepared graph.
 
     A node that one of them lacks has rank 0 there. The places are those among the first ``k``, 0 beyond. States
-    meet by key in their buckets; ids are put in place at the end.
+    meet by key in their buckets. Up to ``FEW`` places are broadcast; more are
+    numbered by ranges and stored in the same buckets as the states, so ``k`` may be the number of nodes.
     """
     graph = result.graph
     if graph.workspace is not other.graph.workspace or graph.partitions != other.graph.partitions or graph.key is not other.graph.key:
         raise ValueError("the runs must share one prepared graph; see Graph.without_copies")
-    both = joined_by_key(graph, result.state, other.state)
-    first = top_k_positions(result.ranks, k).select("id", F.col("position").alias("place"))
-    second = top_k_positions(other.ranks, k).select("id", F.col("position").alias("other_place"))
-    # No more than 2k rows.
-    places = F.broadcast(first.join(second, "id", "full_outer"))
+    both = joined_by_key(graph, result.state, other.state, "key")
+    if k <= FEW:
+        first, second = (top_k_positions(run.ranks, k).select("id", F.col("position").alias(name)) for run, name in ((result, "place"), (other, "other_place")))
+        placed = both.join(F.broadcast(first.join(second, "id", "full_outer")), "id", "left")
+    else:
+        placed = both
+        for run, name in ((result, "place"), (other, "other_place")):
+            placed = placed.join(bounded_hash(_places(run, k, name), graph.partitions), "key", "left")
     none = F.lit(0).cast("long")
-    return both.join(places, "id", "left").select(
+    return placed.select(
         "id", "rank", "previous_rank", "delta",
         F.coalesce("place", none).alias("place"), F.coalesce("other_place", none).alias("other_place"),
     )
+
+
+def _places(run: RankResult, k: int, name: str) -> DataFrame:
+    """``(key, <name>)`` of the first ``k`` nodes, in the buckets of the graph."""
+    space, buckets = run.graph.workspace, run.graph.partitions
+    ordered = space.new_name("ordered")
+    numbered = number_rows(run.keyed_ranks().select("key", "id", "rank"), by_rank(), space, ordered)
+    places = numbered.where(F.col("position") <= k).select("key", F.col("position").alias(name)).repartition(buckets, "key")
+    stored = space.save(places, space.new_name("places"), "key", buckets)
+    space.drop(ordered)
+    return stored

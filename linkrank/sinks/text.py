@@ -45,18 +45,21 @@ def ranked_lines(records: DataFrame) -> DataFrame:
 
 
 def ranked_records(ranked_nodes: DataFrame, records: DataFrame) -> DataFrame:
-    """Add ranks ``(id, rank)`` to adjacency records ``(id, neighbors)``, of which a node may have several.
+    """``(id, part, rank, neighbors)``: ranks ``(id, rank)`` added to adjacency records ``(id, part, neighbors)``, of which a node may have several.
 
     Records meet their rank in an inner join, so that adaptive execution can split the many records of one node. A
-    node without a record gets an empty list.
+    node without a record gets an empty list. Records without numbers are part 0.
     """
+    first = F.lit(0).cast("long").alias("part")
     ranks = ranked_nodes.select("id", "rank")
-    found = records.select("id", "neighbors").join(ranks, "id").select("id", "rank", "neighbors")
+    records = records.select("id", "part" if "part" in records.columns else first, "neighbors")
+    found = records.join(ranks, "id").select("id", "part", "rank", "neighbors")
     bare = ranks.join(records.select("id"), "id", "left_anti")
-    return found.unionByName(bare.select("id", "rank", F.array().cast("array<string>").alias("neighbors")))
+    return found.unionByName(bare.select("id", first, "rank", F.array().cast("array<string>").alias("neighbors")))
 
 
 def write_lines(lines: DataFrame, path: str, mode: str = "errorifexists") -> None:
+    """One file from each task, in the order of the tasks; lines of ordered records keep their order."""
     lines.select("value").write.mode(mode).text(path)
 
 

@@ -8,23 +8,33 @@ from linkrank.sources.edges import (
     split_checked,
 )
 from linkrank.sources.records import (
+    POSITION,
     check_records,
+    lines_in_order,
+    number_parts,
     parse_adjacency,
     parse_ranked,
     parse_records,
+    ranked_nodes_of,
     read_adjacency,
+    read_parts,
     read_ranked,
 )
 
 __all__ = [
+    "POSITION",
     "check_edges",
     "check_records",
+    "lines_in_order",
+    "number_parts",
     "parse_adjacency",
     "parse_edges",
     "parse_ranked",
     "parse_records",
+    "ranked_nodes_of",
     "read_adjacency",
     "read_edges",
+    "read_parts",
     "read_ranked",
     "reject_counts",
     "split_checked",

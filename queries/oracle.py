@@ -186,6 +186,30 @@ def oracle_sql() -> dict[str, str]:
         "WHERE reason IS NOT NULL GROUP BY reason",
         "adjacency_lists_small_parts": parts("part_supp", False, "dst", 3),
         "neighbor_order_small_parts": parts("part_supp_numbers", True, "CAST(dst AS BIGINT)", 3),
+        "adjacency_of_links": f"WITH {adjacency('part_supp', True)} SELECT * FROM lists",
+        "adjacency_of_links_small_parts": parts("part_supp_numbers", True, "CAST(dst AS BIGINT)", 3),
+        "text_parts_in_order": parts("part_supp", True, "dst", 3),
+        "adjacency_text_parts_in_order": parts("part_supp", True, "dst", 3),
+        "rank_total_of_text": ranked(
+            "part_supp", 3,
+            """SELECT round(sum(rank), 10) AS total_rank, round(abs(sum(rank) - 1), 10) AS error
+            FROM ranks WHERE iteration = 3""",
+        ),
+        "top_k_of_text": ranked(
+            "part_supp", 3,
+            """SELECT id, round(rank, 10) AS rank FROM ranks WHERE iteration = 3
+            ORDER BY round(ranks.rank, 12) DESC, id LIMIT 20""",
+        ),
+        "ranked_file_metrics": ranked(
+            "trade", 4,
+            """SELECT count(*) AS nodes, round(sum(rank), 10) AS total_rank,
+            round(abs(sum(rank) - 1), 10) AS error,
+            round(sum(rank) FILTER (WHERE id IN (SELECT id FROM deg WHERE out_degree = 0)), 10)
+                AS dangling_mass,
+            round(max(delta), 10) AS max_delta, round(avg(delta), 10) AS avg_delta,
+            round(sum(delta), 10) AS l1_delta, max(delta) < 1e-6 AS converged FROM deltas""",
+            more=DELTAS,
+        ),
         "dedupe_edges": f"SELECT DISTINCT src, dst FROM ({graphs.SQL['page_links']})",
         "count_copies": f"SELECT src, dst, count(*) AS copies "
         f"FROM ({graphs.SQL['nation_trade']}) GROUP BY src, dst",
@@ -244,6 +268,17 @@ def oracle_sql() -> dict[str, str]:
         "rank_reopen": ranked(
             "trade", 10, "SELECT id, round(rank, 10) AS rank FROM ranks WHERE iteration = 10"
         ),
+        "rank_resume_latest": ranked(
+            "trade", 5, "SELECT id, round(rank, 10) AS rank FROM ranks WHERE iteration = 5"
+        ),
+        "run_journal": ranked(
+            "page_links", 100,
+            """SELECT unnest([1, 2, 3])::BIGINT AS run, unnest([iteration, 2, 5])::BIGINT AS iterations,
+            unnest([iteration, 2, 5])::BIGINT AS last_iteration, unnest([TRUE, FALSE, FALSE]) AS converged,
+            (SELECT count(*) FROM deg) AS nodes, unnest([0.85, 0.5, 0.5])::DOUBLE AS damping,
+            unnest([1e-6, NULL, NULL])::DOUBLE AS threshold FROM last""",
+            more=PAGE_MAX,
+        ),
         "iteration_metrics_l1": ranked(
             "trade", 4,
             "SELECT count(*) AS nodes, round(sum(delta), 10) AS l1_delta, sum(delta) < 0.5 AS converged FROM deltas",
@@ -349,6 +384,20 @@ def oracle_sql() -> dict[str, str]:
                 CASE WHEN up.place <= 20 THEN up.place ELSE 0 END AS place,
                 CASE WHEN mp.place <= 20 THEN mp.place ELSE 0 END AS other_place
             FROM u JOIN m ON m.id = u.id JOIN up ON up.id = u.id JOIN mp ON mp.id = u.id""",
+        "history_of_stored_snapshots": ranked(
+            "page_links", 4, f"SELECT {HISTORY}, converged FROM judged", more=PAGE_MAX
+        ),
+        "compare_runs_all_places": f"""
+            WITH u AS ({ranked("trade", 3, "SELECT id, rank FROM ranks WHERE iteration = 3")}),
+            m AS ({ranked("trade", 3, "SELECT id, rank FROM ranks WHERE iteration = 3", False)})
+            SELECT u.id, round(u.rank, 10) AS rank, round(m.rank, 10) AS previous_rank,
+                round(abs(u.rank - m.rank), 10) AS delta, TRUE AS placed, TRUE AS other_placed
+            FROM u JOIN m ON m.id = u.id""",
+        "top_k_positions_all": ranked(
+            "trade", 5,
+            """SELECT row_number() OVER (ORDER BY round(ranks.rank, 12) DESC, id) AS position, id,
+            round(rank, 10) AS rank FROM ranks WHERE iteration = 5""",
+        ),
         "top_k": ranked(
             "trade", 5,
             """SELECT id, round(rank, 10) AS rank FROM ranks WHERE iteration = 5

@@ -8,16 +8,15 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from linkrank import Workspace, adjacency_to_ranked as to_ranked, edges_to_adjacency, prepare, prepare_records, rank, resume
+from linkrank import Workspace, adjacency_to_ranked as to_ranked, check_ranked_files, edges_to_adjacency, prepare, prepare_records, rank, resume, runs, write_ranked
 from linkrank.operators import adjacency, edges, metrics, ranking, step
+from linkrank.plans.history import open_history, store_history
 from linkrank.plans.iterate import RankResult
 from linkrank.sinks import (
     adjacency_lines,
     append_ledger,
     compare_runs as compare,
     convergence_report,
-    ranked_lines,
-    ranked_records,
     run_summary,
     top_report,
     write_csv,
@@ -30,6 +29,8 @@ from linkrank.sources import (
     parse_edges,
     parse_ranked,
     parse_records,
+    ranked_nodes_of,
+    read_parts,
     read_ranked,
     reject_counts as counts_by_reason,
 )
@@ -161,6 +162,18 @@ def neighbor_order_small_parts(spark: SparkSession, folder: str) -> DataFrame:
     return lists.select("id", "part", joined())
 
 
+@register
+def adjacency_of_links(spark: SparkSession, folder: str) -> DataFrame:
+    """Lists built from the links of a prepared graph, in their buckets."""
+    return prepare(graphs.part_supp(spark, folder), names=True).adjacency_lists().select("id", "part", joined())
+
+
+@register
+def adjacency_of_links_small_parts(spark: SparkSession, folder: str) -> DataFrame:
+    graph = prepare(graphs.part_supp_numbers(spark, folder), dedupe=False, names=True)
+    return graph.without_copies().adjacency_lists(SMALL).select("id", "part", joined())
+
+
 @register
 def node_order(spark: SparkSession, folder: str) -> DataFrame:
     return _numbered(edges.node_set(graphs.part_supp_numbers(spark, folder)))
@@ -174,7 +187,7 @@ def node_order_text(spark: SparkSession, folder: str) -> DataFrame:
 def _numbered(nodes: DataFrame) -> DataFrame:
     space = Workspace(nodes.sparkSession)
     stored = space.save(nodes, "node_set")
-    return ranking.number_rows(stored, ranking.node_order_columns(stored), space, "nodes")
+    return ranking.number_rows(stored, ranking.node_order_columns(stored), space, "nodes", stage=False)
 
 
 @register
@@ -249,7 +262,7 @@ def _single_step(spark: SparkSession, folder: str) -> tuple[step.Links, DataFram
     space = Workspace(spark)
     unique = space.save(edges.dedupe_edges(graphs.trade(spark, folder)), "unique")
     degrees = space.save(edges.out_degrees(unique), "degrees")
-    return step.make_links(unique), edges.initial_ranks(degrees, degrees.count())
+    return step.make_links(unique, unique=True), edges.initial_ranks(degrees, degrees.count())
 
 
 @register
@@ -368,6 +381,27 @@ def rank_reopen(spark: SparkSession, folder: str) -> DataFrame:
     return resume(spark, name, max_iter=10).ranks.select("id", rounded("rank"))
 
 
+@register
+def rank_resume_latest(spark: SparkSession, folder: str) -> DataFrame:
+    """Two graphs ranked in one named workspace, 6 iterations and then 2: resumed is the second run, up to 5."""
+    name = f"journal_{uuid.uuid4().hex[:8]}"
+    space = Workspace(spark, name=name)
+    rank(prepare(graphs.part_supp(spark, folder), workspace=space), tol=None, max_iter=6)
+    rank(prepare(graphs.trade(spark, folder), workspace=space, stage=True), tol=None, max_iter=2)
+    return resume(spark, name, max_iter=5).ranks.select("id", rounded("rank"))
+
+
+@register
+def run_journal(spark: SparkSession, folder: str) -> DataFrame:
+    """What the journal of a named workspace knows of its runs."""
+    name = f"journal_{uuid.uuid4().hex[:8]}"
+    graph = prepare(graphs.page_links(spark, folder), workspace=Workspace(spark, name=name), stage=True)
+    rank(graph, max_iter=100)
+    first = rank(graph, tol=None, max_iter=2, damping=0.5)
+    rank(graph, tol=None, max_iter=3, damping=0.5, initial_ranks=first.ranks, first_iteration=3, history=first.history)
+    return runs(spark, name)
+
+
 @register
 def rank_history(spark: SparkSession, folder: str) -> DataFrame:
     result = _trade_run(spark, folder, 4, keep_history=True)
@@ -458,6 +492,35 @@ def history_of_snapshots_l1(spark: SparkSession, folder: str) -> DataFrame:
     return _history(metrics.history_of_snapshots(_page_snapshots(spark, folder), tol=0.1, rule="l1"))
 
 
+@register
+def history_of_stored_snapshots(spark: SparkSession, folder: str) -> DataFrame:
+    """The same from a history on disk that is read in its buckets."""
+    graph = prepare(graphs.page_links(spark, folder), stage=True)
+    result = rank(graph, tol=None, max_iter=4, keep_history=True)
+    path = f"{graph.workspace.location}/stored_history"
+    store_history(result, path)
+    return _history(metrics.history_of_snapshots(open_history(graph.workspace, path), by="key"))
+
+
+@register
+def compare_runs_all_places(spark: SparkSession, folder: str) -> DataFrame:
+    """The same with the places of all nodes."""
+    graph = prepare(graphs.trade(spark, folder), dedupe=False, stage=True)
+    unique = rank(graph.without_copies(), tol=None, max_iter=3)
+    multi = rank(graph, tol=None, max_iter=3)
+    # Ranks that differ in their last digits only are not ordered by SQL as they are here.
+    return compare(unique, multi, 10**12).select(
+        "id", rounded("rank"), rounded("previous_rank"), rounded("delta"), (F.col("place") > 0).alias("placed"), (F.col("other_place") > 0).alias("other_placed")
+    )
+
+
+@register
+def top_k_positions_all(spark: SparkSession, folder: str) -> DataFrame:
+    """Positions of all nodes, numbered by ranges of their order."""
+    ranks = _trade_run(spark, folder, 5).ranks.withColumn("rank", F.round("rank", 12))
+    return ranking.top_k_positions(ranks, 10**12).select("position", "id", rounded("rank"))
+
+
 @register
 def compare_runs(spark: SparkSession, folder: str) -> DataFrame:
     """Ranks with and without copies of edges, and places among the first 20 (0 for none)."""
@@ -526,14 +589,59 @@ def ranks_text_roundtrip_small_parts(spark: SparkSession, folder: str) -> DataFr
     return back.select("id", rounded("rank"), F.explode_outer("neighbors").alias("neighbor"))
 
 
-def _roundtrip(spark: SparkSession, folder: str, list_limit: int) -> DataFrame:
-    raw = graphs.part_supp(spark, folder)
-    result = rank(prepare(raw), tol=None, max_iter=3)
+def _ranked_text(spark: SparkSession, folder: str, list_limit: int) -> str:
+    """The folder of ranked lines after 3 iterations, lists built from the stored links and cut after ``list_limit`` neighbours."""
+    result = rank(prepare(graphs.part_supp(spark, folder), names=True), tol=None, max_iter=3)
     space = result.graph.workspace
+    lists = space.save(result.graph.adjacency_lists(list_limit).drop("key"), space.new_name("lists"))
     path = f"{space.location}/ranks_text"
-    lists = adjacency.adjacency_lists(raw, list_limit=list_limit, workspace=space)
-    write_lines(ranked_lines(ranked_records(result.ranked_nodes, lists)), path)
-    return read_ranked(spark, path)
+    write_ranked(result.ranked_nodes, lists, path, space)
+    return path
+
+
+def _roundtrip(spark: SparkSession, folder: str, list_limit: int) -> DataFrame:
+    return read_ranked(spark, _ranked_text(spark, folder, list_limit))
+
+
+@register
+def text_parts_in_order(spark: SparkSession, folder: str) -> DataFrame:
+    """Parts of 3 neighbours, numbered by the reader from where their lines stand in the files."""
+    return read_parts(spark, _ranked_text(spark, folder, SMALL), (3,)).select("id", "part", joined())
+
+
+@register
+def rank_total_of_text(spark: SparkSession, folder: str) -> DataFrame:
+    """Total rank of files in which every part of a list repeats the rank of its node."""
+    ranks = ranked_nodes_of(read_ranked(spark, _ranked_text(spark, folder, SMALL)))
+    return metrics.rank_total(ranks).select(rounded("total_rank"), rounded("error"))
+
+
+@register
+def top_k_of_text(spark: SparkSession, folder: str) -> DataFrame:
+    ranks = ranked_nodes_of(read_ranked(spark, _ranked_text(spark, folder, SMALL)))
+    return ranking.top_k(ranks.withColumn("rank", F.round("rank", 12)), 20).select("id", rounded("rank"))
+
+
+@register
+def adjacency_text_parts_in_order(spark: SparkSession, folder: str) -> DataFrame:
+    """Edge lines to an adjacency file with parts of 3, read back with their numbers."""
+    space = Workspace(spark)
+    lines = edges_to_adjacency(graphs.item_lines(spark, folder, graphs.PLAIN_EDGE_LINE), workspace=space, list_limit=SMALL)[0]
+    path = f"{space.location}/adjacency_text"
+    write_lines(lines, path)
+    return read_parts(spark, path, (2,), space).select("id", "part", joined())
+
+
+@register
+def ranked_file_metrics(spark: SparkSession, folder: str) -> DataFrame:
+    """Ranked records of iterations 4 and 3, parts of 3, checked as they are in the files."""
+    graph = prepare(graphs.trade(spark, folder), stage=True, names=True)
+    result, space = rank(graph, tol=None, max_iter=4, keep_history=True), graph.workspace
+    lists = space.save(graph.adjacency_lists(SMALL).drop("key"), space.new_name("lists"))
+    for i in (3, 4):
+        write_ranked(result.snapshot(i), lists, f"{space.location}/iter{i}", space)
+    found = check_ranked_files(spark, f"{space.location}/iter4", f"{space.location}/iter3", workspace=space)
+    return found.select("nodes", *map(rounded, ("total_rank", "error", "dangling_mass", "max_delta", "avg_delta", "l1_delta")), "converged")
 
 
 @register

@@ -4,18 +4,23 @@ import random
 import re
 import shutil
 from collections import Counter
+from pathlib import Path
 
 import pytest
 from conftest import edge_frame
 from pyspark.sql import functions as F
 
-from linkrank import Workspace, prepare, prepare_records, rank, resume
+from linkrank import Workspace, prepare, prepare_records, rank, resume, runs
+from linkrank.operators import metrics
 from linkrank.operators.metrics import compare
 from linkrank.operators.step import rank_step
 from linkrank.plans import graph as graph_module
+from linkrank.plans import iterate
 from linkrank.plans.graph import partition_count
+from linkrank.plans.history import open_history, store_history
+from linkrank.plans.journal import Journal
 from linkrank.plans.workspace import shared_folder, shuffle_partitions
-from linkrank.sinks import run_summary
+from linkrank.sinks import compare_runs, reports, run_summary
 
 
 def brute_force(pairs, iterations, dedupe=True, nodes=None, unknown="drop", damping=0.85, start=None):
@@ -161,9 +166,7 @@ def test_a_named_workspace_is_gone_on_with_in_another_session(spark, keep_histor
     pairs = random_pairs(41, hub=30)
     name = f"kept_{keep_history}".lower()
     rank(prepare(edge_frame(spark, pairs), workspace=Workspace(spark, name=name), heavy_rows=20, dedupe=False).without_copies(), tol=None, max_iter=3, keep_history=keep_history)
-    # What a lost driver takes along is the catalog; the files stay. Here they stay under another name.
-    shutil.copytree(f"{shared_folder(spark)}/{name}", f"{shared_folder(spark)}/{name}_found")
-    other, name = spark.newSession(), f"{name}_found"
+    other, name = lost(spark, name)
     result = resume(other, name, max_iter=6)
     assert as_dict(result.ranks) == pytest.approx(brute_force(pairs, 6)[-1], abs=1e-14)
     assert [r[0] for r in result.history_rows] == [1, 2, 3, 4, 5, 6]
@@ -173,6 +176,107 @@ def test_a_named_workspace_is_gone_on_with_in_another_session(spark, keep_histor
         resume(spark, f"{name}_none")
 
 
+def lost(spark, name):
+    """What a lost driver takes along is the catalog; the files stay. Here they stay under another name."""
+    shutil.copytree(f"{shared_folder(spark)}/{name}", f"{shared_folder(spark)}/{name}_found")
+    return spark.newSession(), f"{name}_found"
+
+
+def test_the_newest_run_is_resumed_not_the_longest(spark):
+    first, second = random_pairs(51), random_pairs(53, nodes=30)
+    space = Workspace(spark, name="two_runs")
+    rank(prepare(edge_frame(spark, first), workspace=space), tol=None, max_iter=5, damping=0.5)
+    rank(prepare(edge_frame(spark, second), workspace=space), tol=None, max_iter=2, keep_history=True)
+    other, name = lost(spark, "two_runs")
+    result = resume(other, name, max_iter=4)
+    assert (result.run, result.iterations) == (2, 4)
+    assert as_dict(result.ranks) == pytest.approx(brute_force(second, 4)[-1], abs=1e-14)
+    assert as_dict(result.snapshot(1)) == pytest.approx(brute_force(second, 1)[-1], abs=1e-14)
+    earlier = resume(other, name, max_iter=6, run=1)
+    assert (earlier.run, earlier.iterations, earlier.damping) == (1, 6, 0.5)
+    assert as_dict(earlier.ranks) == pytest.approx(brute_force(first, 6, damping=0.5)[-1], abs=1e-14)
+    assert [tuple(r)[:4] for r in runs(other, name).collect()] == [(1, 6, 6, False), (2, 4, 4, False)]
+    with pytest.raises(ValueError, match="number 3"):
+        resume(other, name, run=3)
+
+
+@pytest.mark.parametrize("given", [False, True])
+def test_a_run_cut_off_before_its_first_iteration(spark, monkeypatch, given):
+    first, second = random_pairs(55), random_pairs(57, nodes=30)
+    name = f"cut_off_{given}".lower()
+    space = Workspace(spark, name=name)
+    rank(prepare(edge_frame(spark, first), workspace=space), tol=None, max_iter=3)
+    graph = prepare(edge_frame(spark, second), workspace=space)
+    half = rank(graph, tol=None, max_iter=1)
+
+    def stop(*_):
+        raise RuntimeError("the driver is lost")
+
+    options = {"initial_ranks": half.ranks, "first_iteration": 2, "history": half.history} if given else {}
+    with monkeypatch.context() as patch:
+        patch.setattr(iterate, "rank_step", stop)
+        with pytest.raises(RuntimeError, match="lost"):
+            rank(graph, tol=None, max_iter=2, **options)
+    result = resume(*lost(spark, name))
+    assert result.run == 3 and [r[0] for r in result.history_rows] == ([1, 2, 3] if given else [1, 2])
+    assert as_dict(result.ranks) == pytest.approx(brute_force(second, result.iterations)[-1], abs=1e-14)
+
+
+def test_a_note_half_written_does_not_count(spark):
+    pairs = random_pairs(59)
+    rank(prepare(edge_frame(spark, pairs), workspace=Workspace(spark, name="half_noted")), tol=None, max_iter=3)
+    other, name = lost(spark, "half_noted")
+    journal = f"{shared_folder(spark)}/{name}/_journal"
+    shutil.copytree(f"{journal}/run=000000001/number=000000003", f"{journal}/run=000000002/number=000000000")
+    Path(f"{journal}/run=000000002/number=000000000/_SUCCESS").unlink()
+    Path(f"{journal}/run=000000001/number=000000003/_SUCCESS").unlink()
+    space = Workspace.reopen(other, name)
+    assert Journal(space).newest()[:2] == (1, 2)
+    assert Journal(space).begin({"a": 1}) == 3
+
+
+@pytest.mark.parametrize("unknown", ["drop", "materialize"])
+def test_history_and_ranks_do_not_depend_on_the_partitions(spark, unknown):
+    """The same bits from three partitionings, and from edges in three orders."""
+    pairs = random_pairs(61, nodes=300, count=3000, hub=200)
+    found = set()
+    for parts in (1, 3, 7):
+        random.Random(parts).shuffle(pairs)
+        before = spark.conf.get("spark.sql.shuffle.partitions")
+        spark.conf.set("spark.sql.shuffle.partitions", str(parts))
+        try:
+            with Workspace(spark) as space:
+                records = edge_frame(spark, pairs).repartition(parts).groupBy(F.col("src").alias("id")).agg(F.collect_list("dst").alias("neighbors"))
+                records = records.where("id <> 'v3'")
+                for heavy in (1_000_000, 50):
+                    graph = prepare_records(records, space, stage=True, heavy_rows=heavy)
+                    result = rank(graph, tol=None, max_iter=4, unknown_targets=unknown)
+                    ranks = sorted(as_dict(result.ranks).items())
+                    again = (tuple(metrics.rank_total(result.ranks).first()), tuple(metrics.dangling_mass(result.ranked_nodes).first()))
+                    found.add(repr(([r[:-1] for r in result.history_rows], ranks, again)))
+        finally:
+            spark.conf.set("spark.sql.shuffle.partitions", before)
+    assert len(found) == 1
+
+
+def test_totals_far_from_one(spark):
+    """Given ranks need not add up to one, and where targets become nodes the total may grow from step to step."""
+    pairs = random_pairs(63, nodes=50)
+    with Workspace(spark) as space:
+        graph = prepare(edge_frame(spark, pairs), workspace=space)
+        for size in (1e-9, 1e6, 1e12):
+            start = {x: size * (k + 1) for k, x in enumerate(sorted({x for p in pairs for x in p}))}
+            given = spark.createDataFrame(list(start.items()), "id string, rank double")
+            result = rank(graph, tol=None, max_iter=3, initial_ranks=given)
+            expected = brute_force(pairs, 3, start=start)[-1]
+            assert as_dict(result.ranks) == pytest.approx(expected, rel=1e-11)
+            assert result.history_rows[-1][1] == pytest.approx(sum(expected.values()), rel=1e-12)
+        few = spark.createDataFrame([("a", [f"t{k}" for k in range(300)])], "id string, neighbors array<string>")
+        result = rank(prepare_records(few, space), tol=None, max_iter=6, unknown_targets="materialize")
+        expected = brute_force([("a", f"t{k}") for k in range(300)], 6, nodes=["a"], unknown="materialize")[-1]
+        assert as_dict(result.ranks) == pytest.approx(expected, rel=1e-12)
+
+
 def test_several_graphs_in_one_workspace(spark):
     with Workspace(spark) as space:
         graphs = [prepare(edge_frame(spark, random_pairs(s)), workspace=space) for s in (43, 47)]
@@ -335,3 +439,36 @@ def test_tables_live_in_the_shared_folder_and_are_dropped(spark, tmp_path):
         before = spark.conf.get("spark.sql.shuffle.partitions")
     assert space.database not in {r.namespace for r in spark.sql("SHOW DATABASES").collect()}
     assert spark.conf.get("spark.sql.shuffle.partitions") == before
+
+
+def test_places_of_all_nodes_are_compared_in_their_buckets(spark, monkeypatch):
+    pairs = random_pairs(67, nodes=60, hub=40)
+    with Workspace(spark) as space:
+        graph = prepare(edge_frame(spark, pairs), dedupe=False, workspace=space)
+        runs_ = rank(graph.without_copies(), tol=None, max_iter=2), rank(graph, tol=None, max_iter=2)
+        want = sorted(map(tuple, compare_runs(*runs_, k=graph.n).collect()))
+        monkeypatch.setattr(reports, "FEW", 3)
+        found = compare_runs(*runs_, k=graph.n)
+        plan = found._jdf.queryExecution().executedPlan().toString()
+        assert "Exchange" not in plan and "Window" not in plan
+        assert sorted(map(tuple, found.collect())) == want
+        assert sorted(r.place for r in found.collect()) == list(range(1, graph.n + 1))
+
+
+def test_a_stored_history_is_read_in_its_buckets(spark, tmp_path):
+    pairs = random_pairs(71, nodes=300, count=2500)
+    with Workspace(spark) as space:
+        graph = prepare(edge_frame(spark, pairs), workspace=space)
+        result = rank(graph, tol=None, max_iter=4, keep_history=True)
+        store_history(result, str(tmp_path / "history"))
+        rows = [(r.iteration, r.id, r["rank"]) for r in spark.read.parquet(str(tmp_path / "history")).collect()]
+        assert sorted(rows) == sorted((r.iteration, r.id, r["rank"]) for r in result.snapshots().collect())
+    with Workspace(spark.newSession()) as space:
+        stored = open_history(space, str(tmp_path / "history"))
+        assert stored.columns == ["iteration", "key", "id", "out_degree", "rank"]
+        history = metrics.history_of_snapshots(stored, by="key")
+        plan = history._jdf.queryExecution().executedPlan().toString()
+        # The only exchange is that of the sums, by iteration.
+        assert re.findall(r"Exchange hashpartitioning\((\w+)", plan) == ["iteration"] and "Window" in plan
+        found = [tuple(r) for r in history.orderBy("iteration").collect()]
+        assert [r[:6] for r in found] == [r[:6] for r in result.history_rows]

@@ -1,5 +1,6 @@
 """Operators on small graphs, and skewed graphs against plain Python."""
 
+import math
 import random
 from collections import Counter, defaultdict
 
@@ -8,8 +9,10 @@ from conftest import edge_frame
 from pyspark.sql import Observation
 from pyspark.sql import functions as F
 
+from linkrank.functions import steady_sum
 from linkrank.operators import adjacency, edges, metrics, ranking, skew, step
 from linkrank.operators.metrics import has_converged
+from linkrank.operators.step import make_links
 from linkrank.sinks import adjacency_lines, ranked_records
 from linkrank.sources import parse_adjacency
 
@@ -216,3 +219,39 @@ def test_long_lists_survive_the_text_format(spark):
     records = ranked_records(ranked, lists)
     assert records.count() == lists.count()
     assert {(r.src, r.dst) for r in adjacency.explode_adjacency(records).collect()} == pairs
+
+
+def test_sums_are_free_of_order(spark):
+    rng = random.Random(7)
+    for values in ([rng.random() * 10.0 ** -rng.randrange(0, 18) for _ in range(2000)], [rng.uniform(-9, 9) for _ in range(500)], [0.1] * 1000):
+        found = set()
+        for parts in (1, 4, 13):
+            rng.shuffle(values)
+            frame = spark.createDataFrame([(v,) for v in values], "x double").repartition(parts)
+            found.add(frame.agg(steady_sum(F.col("x"))).first()[0])
+        assert len(found) == 1 and found.pop() == pytest.approx(math.fsum(values), abs=1e-18 * len(values), rel=1e-15)
+
+
+@pytest.mark.parametrize("values", [[1e9, 2.5], [float("inf"), 1.0], [127.0] * 5, [-1e300, 1e300, 1.0], [None, None], []])
+def test_sums_beyond_the_steady_range(spark, values):
+    found = spark.createDataFrame([(v,) for v in values], "x double").coalesce(1).agg(steady_sum(F.col("x")), F.sum("x")).first()
+    assert found[0] == pytest.approx(found[1]) if found[1] is not None else found[0] is None
+    if values[:1] == [1e9]:
+        assert math.isnan(spark.createDataFrame([(float("nan"),), (1.0,)], "x double").agg(steady_sum(F.col("x"))).first()[0])
+
+
+def test_edges_known_to_be_unique_are_not_looked_at_again(spark):
+    edges = edge_frame(spark, [("a", "b"), ("b", "c")])
+    links = make_links(edges, unique=True).light
+    assert "Aggregate" not in links._jdf.queryExecution().executedPlan().toString()
+    assert sorted(map(tuple, links.collect())) == sorted(map(tuple, make_links(edges).light.collect()))
+
+
+def test_long_top_lists_are_numbered_by_ranges(spark, workspace, monkeypatch):
+    ranks = spark.createDataFrame([(f"v{k:03}", float(k % 17)) for k in range(300)], "id string, rank double")
+    want = [tuple(r) for r in ranking.top_k_positions(ranks, 120).orderBy("position").collect()]
+    monkeypatch.setattr(ranking, "FEW", 50)
+    long = ranking.top_k_positions(ranks, 120, workspace)
+    assert "Window" not in long.where("position > 0")._jdf.queryExecution().executedPlan().toString().split("BroadcastExchange")[0]
+    assert [tuple(r) for r in long.orderBy("position").collect()] == want
+    assert ranking.top_k_positions(ranks, 10**12, workspace).count() == 300
