@@ -5,6 +5,7 @@ from __future__ import annotations
 import html
 import re
 from collections.abc import Iterator
+from functools import lru_cache
 from typing import NamedTuple
 from zlib import crc32
 
@@ -17,6 +18,8 @@ from linkrank.llm.common import bounded_batches, strings, task
 
 #: Pages, at most about, from which the labeller is trained.
 SAMPLE_PAGES = 300
+#: Bytes of them, at most about.
+SAMPLE_BYTES = 64 << 20
 #: Blocks of a page seen at a time in training, and pages labelled together.
 WINDOW, TOGETHER = 64, 256
 #: Most cells (pages x blocks) of a group labelled together.
@@ -25,112 +28,198 @@ PATHS, WORDS, NUMBERS, HIDDEN = 256, 64, 4, 24
 WIDTH = PATHS + WORDS + NUMBERS
 
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-RAW = frozenset("script style noscript template iframe svg math textarea select".split())
-INLINE = frozenset("a abbr acronym b bdi bdo big br cite code data del dfn em font i img ins kbd label mark q ruby rt rp s samp small span strike strong sub sup time tt u var wbr".split())
+RAW = frozenset("script style noscript template iframe svg textarea select".split())
+#: Formulas stand within a text, so their elements don't end a block either.
+INLINE = frozenset(
+    "a abbr acronym b bdi bdo big br cite code data del dfn em font i img ins kbd label mark q ruby rt rp s samp small span strike strong sub sup time tt u var wbr "
+    "math mrow mi mn mo ms mtext mspace mfrac msqrt mroot msub msup msubsup munder mover munderover mmultiscripts mpadded mphantom mstyle menclose mtable mtr mtd semantics annotation".split()
+)
 #: An opening tag that ends an open element of the same kind.
 ALONE = frozenset("p li dt dd option tr td th".split())
-TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?\]\]>|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>", re.S)
+TOKEN = re.compile(r"<!--|<!\[CDATA\[|<[!?]|<(/?)([a-zA-Z][^\s/>]*)")
+QUOTE = re.compile(r"[\"']")
 NAME = re.compile(r"""(?:^|\s)(class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
-SPACES = re.compile(r"\s+")
+
+
+class Element:
+    """An open element with the one around it. ``mask`` has a bit for each hashed name on the way down to it, inline elements aside."""
+
+    __slots__ = ("around", "mask", "name", "tag")
+
+    def __init__(self, tag: str, name: str, around: Element | None):
+        self.tag, self.name, self.around = tag, name, around
+        self.mask = (around.mask if around else 0) | _name_mask(name)
+
+    def path(self) -> tuple[str, ...]:
+        names, at = [], self
+        while at:
+            names.append(at.name)
+            at = at.around
+        return tuple(reversed(names))
 
 
 class Block(NamedTuple):
-    path: tuple[str, ...]
+    element: Element | None
     text: str
     linked: int
 
+    @property
+    def path(self) -> tuple[str, ...]:
+        """The elements around the block, inline ones aside, from the outermost one."""
+        return self.element.path() if self.element else ()
+
+
+class _Page:
+    """Markup of a page, found from left to right. Where something is missing from a place on, it is not looked for again."""
+
+    def __init__(self, page: str):
+        self.page = page
+        self.missing: set[str] = set()
+
+    def find(self, what: str, at: int) -> int:
+        if what in self.missing:
+            return -1
+        found = self.page.find(what, at)
+        if found < 0:
+            self.missing.add(what)
+        return found
+
+    def end_of(self, what: str, at: int) -> int:
+        """Behind the next ``what``, or at the end of the page."""
+        found = self.find(what, at)
+        return found + len(what) if found >= 0 else len(self.page)
+
+    def end_of_tag(self, at: int, first: int) -> int:
+        """Behind the first ``>`` outside quotes; ``first`` is the first one at all, which counts if a quote isn't closed."""
+        place, stop = at, first
+        while quote := QUOTE.search(self.page, place, stop):
+            place = self.find(quote[0], quote.end()) + 1
+            if place > stop:
+                stop = self.find(">", place)
+            if not place or stop < 0:
+                return first + 1
+        return stop + 1
+
 
 def blocks_of(page: str) -> list[Block]:
     """Texts between the bounds of block elements, in order, each with the elements around it; raw elements and markup go.
 
-    Inline elements don't end a block and a line break is white space. Elements left open end with the one around them.
+    Inline elements don't end a block and a line break is white space. Elements left open end with the one around them. The time
+    grows with the length of the page, whatever is left open in it.
     """
-    stack: list[str] = []
+    stack: list[tuple[str, Element | None]] = []  # tag, and the nearest block element from there on outwards
+    open_: dict[str, int] = {}
     parts: list[str] = []
     out: list[Block] = []
-    linked = links = at = 0
+    scan, linked, at, end = _Page(page), 0, 0, len(page)
 
     def flush() -> None:
         nonlocal linked
         if parts:
-            text = SPACES.sub(" ", html.unescape("".join(parts))).strip()
+            text = "".join(parts)
+            text = " ".join((html.unescape(text) if "&" in text else text).split())
             if text:
-                out.append(Block(tuple(x for x in stack if x.split(" ", 1)[0] not in INLINE), text, linked))
+                out.append(Block(stack[-1][1] if stack else None, text, linked))
             parts.clear()
         linked = 0
 
-    end = len(page)
+    def close(tag: str) -> None:
+        """Ends the innermost open element of that kind, and all within it."""
+        while stack:
+            last = stack.pop()[0]
+            open_[last] -= 1
+            if last == tag:
+                break
+
+    def add(text: str) -> None:
+        nonlocal linked
+        if text:
+            parts.append(text)
+            linked += len(text) * (open_.get("a", 0) > 0)
+
     while at < end:
         token = TOKEN.search(page, at)
         start = token.start() if token else end
-        if start > at:
-            parts.append(page[at:start])
-            linked += (start - at) * (links > 0)
+        add(page[at:start])
         if not token:
             break
-        at = token.end()
-        closing, name, rest = token[1], token[2], token[3]
-        if name is None:
+        if token[0] == "<!--":
+            at = scan.end_of("-->", token.end())
             continue
-        name = name.lower()
-        if not closing:
-            if name in RAW and not rest.endswith("/"):
-                shut = re.compile(rf"</{name}\s*>", re.I).search(page, at)
-                at = shut.end() if shut else end
-                continue
-            if name == "br":
-                parts.append(" ")
-            elif name not in INLINE:
-                flush()
-            if name in VOID:
-                continue
-            if name in ALONE:  # ends an open one within the nearest other block
-                for k in range(len(stack) - 1, -1, -1):
-                    tag = stack[k].split(" ", 1)[0]
-                    if tag == name:
-                        links -= sum(x.split(" ", 1)[0] == "a" for x in stack[k:])
-                        del stack[k:]
-                        break
-                    if tag not in INLINE:
-                        break
-            named = " ".join(f"{m[1].lower()}={m[2] or m[3] or m[4] or ''}" for m in NAME.finditer(rest)) if rest else ""
-            stack.append(f"{name} {named}" if named else name)
-            links += name == "a"
-        else:
+        first = scan.find(">", start)
+        if first < 0:  # no more markup but a comment that runs on to the end
+            comment = page.find("<!--", start)
+            add(page[start : comment if comment >= 0 else end])
+            break
+        if token[1] is None:
+            at = scan.end_of("]]>" if token[0] == "<![CDATA[" and scan.find("]]>", start) >= 0 else ">", start)
+            continue
+        named = token.end()
+        at = scan.end_of_tag(named, first)
+        closing, name, rest = token[1], token[2].lower(), page[named : at - 1]
+        if closing:
             if name not in INLINE:
                 flush()
-            for k in range(len(stack) - 1, -1, -1):
-                if stack[k].split(" ", 1)[0] == name:
-                    links -= sum(x.split(" ", 1)[0] == "a" for x in stack[k:])
-                    del stack[k:]
-                    break
+            if open_.get(name):
+                close(name)
+            continue
+        if name in RAW and not rest.endswith("/"):
+            shut = _raw_end(name).search(page, at) if f"</{name}" not in scan.missing else None
+            if not shut:
+                scan.missing.add(f"</{name}")
+            at = shut.end() if shut else end
+            continue
+        if name == "br":
+            parts.append(" ")
+        elif name not in INLINE:
+            flush()
+        if name in VOID:
+            continue
+        around = stack[-1][1] if stack else None
+        if name in ALONE and around and around.tag == name:
+            close(name)
+            around = stack[-1][1] if stack else None
+        if name not in INLINE:
+            named = " ".join(f"{m[1].lower()}={m[2] or m[3] or m[4] or ''}" for m in NAME.finditer(rest)) if rest else ""
+            around = Element(name, f"{name} {named}" if named else name, around)
+        stack.append((name, around))
+        open_[name] = open_.get(name, 0) + 1
     flush()
     return out
 
 
+@lru_cache(64)
+def _raw_end(name: str) -> re.Pattern:
+    return re.compile(rf"</{re.escape(name)}\s*>", re.I)
+
+
 def _slot(text: str) -> int:
     return crc32(text.encode()) % PATHS
 
 
+@lru_cache(1 << 16)
+def _name_mask(name: str) -> int:
+    """Bits of an element's tag and of the words of its class, id and role."""
+    tag, _, rest = name.partition(" ")
+    words = re.findall(r"[a-z]+", re.sub(r"\b(class|id|role)=", " ", rest).lower())
+    return sum(1 << k for k in {_slot(x) for x in (f"<{tag}>", *words)})
+
+
 class Vectors:
     """Input of the network: hashed names along the path, hashed words, and a few numbers for each block."""
 
     def __init__(self):
-        self.paths: dict[tuple[str, ...], np.ndarray] = {}
+        self.slots: dict[int, np.ndarray] = {}
 
-    def path(self, path: tuple[str, ...]) -> np.ndarray:
-        slots = self.paths.get(path)
+    def path(self, element: Element | None) -> np.ndarray:
+        """Slots of all names on the path, and of the last one."""
+        mask = element.mask | 1 << _slot(f"last {element.tag}") if element else 0
+        slots = self.slots.get(mask)
         if slots is None:
-            names = set()
-            for element in path[-12:]:
-                tag, _, rest = element.partition(" ")
-                names.add(f"<{tag}>")
-                names.update(re.findall(r"[a-z]+", re.sub(r"\b(class|id|role)=", " ", rest).lower()))
-            if path:
-                names.add(f"last {path[-1].split(' ', 1)[0]}")
-            if len(self.paths) > 50_000:
-                self.paths.clear()
-            slots = self.paths[path] = np.array(sorted({_slot(x) for x in names}), np.int64)
+            if len(self.slots) > 50_000:
+                self.slots.clear()
+            bits = np.unpackbits(np.frombuffer(mask.to_bytes(PATHS // 8, "little"), np.uint8), bitorder="little")
+            slots = self.slots[mask] = np.flatnonzero(bits)
         return slots
 
     def fill(self, pages: list[list[Block]]) -> tuple[np.ndarray, np.ndarray]:
@@ -142,7 +231,7 @@ class Vectors:
         for i, page in enumerate(pages):
             for k, block in enumerate(page):
                 row = i * longest + k
-                path = self.path(block.path)
+                path = self.path(block.element)
                 rows.append(np.full(len(path), row))
                 slots.append(path)
                 hashed = [crc32(w) % WORDS for w in block.text.encode().split()]
@@ -293,14 +382,28 @@ INNER = ("<p>{}</p>", "<p>{}</p>", "<div>{}</div>", "<ul><li>{}</li></ul>", "<sp
 OUTER = ("header", "menu", "side", "advert", "notice", "form", "comments", "footer")
 
 
+MAIN = re.compile(r"^(article|main)\b|role=main")
+OTHER = re.compile(r"^(nav|header|footer|aside|form)\b|\b(ad|ads|comments?|sidebar|cookie|notice)\b")
+
+
 def weak_labels(blocks: list[Block]) -> np.ndarray | None:
     """Labels by the page's own article or main element, less what lies in a part of another kind; None without one."""
-    def has(block: Block, pattern: str) -> bool:
-        return any(re.search(pattern, x) for x in block.path)
+    kinds: dict[Element | None, tuple[bool, bool]] = {None: (False, False)}
+
+    def kind(element: Element | None) -> tuple[bool, bool]:
+        """Whether an element lies within the main one, and within a part of another kind."""
+        way = []
+        while element not in kinds:
+            way.append(element)
+            element = element.around
+        inside, other = kinds[element]
+        for x in reversed(way):
+            inside, other = inside or bool(MAIN.search(x.name)), other or bool(OTHER.search(x.name))
+            kinds[x] = inside, other
+        return inside, other
 
-    inside = [has(b, r"^(article|main)\b|role=main") for b in blocks]
-    other = [has(b, r"^(nav|header|footer|aside|form)\b|\b(ad|ads|comments?|sidebar|cookie|notice)\b") for b in blocks]
-    return np.array([i and not o for i, o in zip(inside, other, strict=True)]) if any(inside) else None
+    found = [kind(b.element) for b in blocks]
+    return np.array([i and not o for i, o in found]) if any(i for i, _ in found) else None
 
 
 def training_page(rng, texts: list[str]) -> tuple[list[Block], np.ndarray]:
@@ -341,16 +444,20 @@ def training_page(rng, texts: list[str]) -> tuple[list[Block], np.ndarray]:
     return [b._replace(text=b.text.removeprefix(sign) or "-") for b in blocks], y
 
 
-def learn(pages: DataFrame, sample_pages: int = SAMPLE_PAGES, seed: int = 4) -> Labeller:
-    """Trained on about ``sample_pages`` pages, chosen by a hash of page_id, whose whole html reaches the driver.
+def learn(pages: DataFrame, sample_pages: int = SAMPLE_PAGES, sample_bytes: int = SAMPLE_BYTES, seed: int = 4) -> Labeller:
+    """Trained on about ``sample_pages`` pages, of about ``sample_bytes`` at most, whose whole html reaches the driver.
+
+    They are chosen by a hash of page_id and html after rows alike in both are merged, so null or repeated ids weigh no more than others.
 
     Pages with an article or main element are labelled by it; as many pages again are put together anew from the texts of the
     sample, to learn parts that few pages have. Without any page a stock word serves as text.
     """
     bounded_batches(pages.sparkSession)
-    rows = pages.select("page_id", F.col("html").cast("string").alias("html")).where("html is not null")
-    share = min(1.0, sample_pages / max(rows.count(), 1))
-    sample = [r["html"] for r in rows.where(F.pmod(F.xxhash64("page_id"), F.lit(1_000_000)) < share * 1_000_000).orderBy("page_id").limit(2 * sample_pages).collect()]
+    rows = pages.select("page_id", F.col("html").cast("string").alias("html")).where("html is not null").withColumn("hash", F.xxhash64("html"))
+    unlike = rows.select("page_id", "hash", F.octet_length("html").alias("bytes")).distinct().agg(F.count("*").alias("n"), F.sum("bytes").alias("bytes")).first()
+    share = min(1.0, sample_pages / max(unlike["n"], 1), sample_bytes / max(unlike["bytes"] or 0, 1))
+    chosen = rows.where(F.pmod(F.xxhash64("page_id", "hash"), F.lit(1_000_000)) < share * 1_000_000).dropDuplicates(["page_id", "hash"])
+    sample = sorted(r["html"] for r in chosen.select("html").collect())
     real = [(b, weak_labels(b)) for b in map(blocks_of, sample)]
     rng = np.random.default_rng(seed)
     texts = [x.text for b, _ in real for x in b] or ["text"]
