@@ -8,7 +8,7 @@ ending up in a single task, and loses nothing.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 HEAVY_ROWS = 1_000_000
@@ -23,19 +23,17 @@ def heavy_limit(n_edges: int, heavy_rows: int = HEAVY_ROWS, max_heavy: int = MAX
 def heavy_sources(
     edges: DataFrame, heavy_rows: int = HEAVY_ROWS, max_heavy: int = MAX_HEAVY
 ) -> DataFrame | None:
-    """The heavy sources as ``(src, edges)``, or None when there are none (one aggregation job).
+    """The heavy sources as ``(src, edges)``, or None when there are none; the edges are read and counted once.
 
-    There are fewer than ``max_heavy`` of them, so they are fetched and handed on as a small table
-    instead of being counted again wherever they are used.
+    There are fewer than ``max_heavy`` of them, so the largest ones are fetched by the job that counts all edges, and handed on as a
+    small table instead of being counted again wherever they are used.
     """
     counts = edges.groupBy("src").agg(F.count(F.lit(1)).alias("edges"))
-    total, largest = counts.agg(F.sum("edges"), F.max("edges")).first()
-    limit = heavy_limit(total or 0, heavy_rows, max_heavy)
-    if largest is None or largest <= limit:
-        return None
-    return edges.sparkSession.createDataFrame(
-        counts.where(F.col("edges") > limit).collect(), counts.schema
-    )
+    seen = Observation()
+    largest = counts.observe(seen, F.sum("edges").alias("total")).where(F.col("edges") > heavy_rows).orderBy(F.desc("edges")).limit(max_heavy).collect()
+    limit = heavy_limit(seen.get.get("total") or 0, heavy_rows, max_heavy)
+    rows = [r for r in largest if r["edges"] > limit]
+    return edges.sparkSession.createDataFrame(rows, counts.schema) if rows else None
 
 
 def split_by_source(

@@ -132,6 +132,15 @@ def test_number_of_heavy_sources_is_bounded(spark):
         assert heavy.count() < bound
 
 
+def test_heavy_sources_are_counted_once(spark):
+    seen = spark.sparkContext.accumulator(0)
+    frame = edge_frame(spark, skewed_pairs())
+    rows = frame.rdd.map(lambda r: seen.add(1) or (r.src, r.dst)).toDF(frame.schema)
+    assert [r.src for r in skew.heavy_sources(rows, heavy_rows=10).collect()] == ["hub"]
+    assert seen.value == len(skewed_pairs())
+    assert skew.heavy_sources(edge_frame(spark, [])) is None
+
+
 def test_id_order(spark):
     def order(*ids):
         nodes = spark.createDataFrame([(i,) for i in ids], "id string")
