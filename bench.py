@@ -74,7 +74,7 @@ def benchmarks(spark: SparkSession, loops: dict[str, dict]) -> dict[str, Callabl
             unique = space.save(edges.dedupe_edges(part_supp), "unique")
             degrees = space.save(edges.out_degrees(unique), "degrees")
             state = edges.initial_ranks(degrees, degrees.count())
-            drain(step.incoming_sums(step.contributions(step.make_links(unique), state)))
+            drain(step.incoming_sums(step.contributions(step.make_links(unique, unique=True), state)))
 
     def registered(name: str) -> Callable[[], None]:
         return lambda: drain(queries()[name](spark, FOLDER))
@@ -106,7 +106,7 @@ def benchmarks(spark: SparkSession, loops: dict[str, dict]) -> dict[str, Callabl
         "graph_stats": lambda: drain(edges.graph_stats(edges.dedupe_edges(part_supp))),
         "adjacency_lists": lambda: drain(adjacency.adjacency_lists(part_supp)),
         "single_step": one_step,
-        **{name: registered(name) for name in ("prepare_graph", "ranks_text_roundtrip", "ranking_full", "compare_runs")},
+        **{name: registered(name) for name in ("prepare_graph", "adjacency_of_links", "ranks_text_roundtrip", "ranking_full", "compare_runs", "compare_runs_all_places", "history_of_stored_snapshots")},
     }
 
 
