@@ -108,9 +108,10 @@ def mix(documents: DataFrame, seed: int = 7, weights: Sequence[int] = WEIGHTS) -
 
 def mixed(documents: DataFrame, seed: int = 7, weights: Sequence[int] = WEIGHTS) -> DataFrame:
     """The mix itself: each row of ``documents`` as often as it is taken, with its columns as they are."""
-    decided = mix(documents, seed, weights).where("copies > 0").select(*(F.col(c).alias(f"llm_{c}") for c in ("doc_id", "source", "size", "copies"))).distinct()
-    size = F.regexp_count(F.coalesce(documents["text"].cast("string"), F.lit("")), F.lit(WORD))
-    rows = documents.withColumn("llm_words", size.cast("long"))
-    same = rows.doc_id.cast("long").eqNullSafe(decided.llm_doc_id) & rows.source.cast("string").eqNullSafe(decided.llm_source) & (rows.llm_words == decided.llm_size)
-    rows = rows.join(decided, same).withColumn("llm_copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("llm_copies"))))
-    return rows.select(*documents.columns)
+    decided = mix(documents, seed, weights).where("copies > 0").select(*(F.col(c).alias(f"of_{c}") for c in ("doc_id", "source", "size", "copies"))).distinct()
+    row = F.struct(*(F.col(f"`{c}`") for c in documents.columns)).alias("row")  # so that no column of the caller's can clash
+    size = F.regexp_count(F.coalesce(F.col("text").cast("string"), F.lit("")), F.lit(WORD)).cast("long")
+    rows = documents.select(row, F.col("doc_id").cast("long").alias("doc_id"), F.col("source").cast("string").alias("source"), size.alias("size"))
+    same = rows.doc_id.eqNullSafe(decided.of_doc_id) & rows.source.eqNullSafe(decided.of_source) & (rows["size"] == decided.of_size)
+    taken = rows.join(decided, same).select("row", F.explode(F.sequence(F.lit(1).cast("long"), F.col("of_copies"))).alias("copy"))
+    return taken.select("row.*")

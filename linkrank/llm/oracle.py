@@ -106,3 +106,14 @@ lines AS (SELECT *, '<|im_start|>' || r || chr(10) || t || '<|im_end|>' || chr(1
 said AS (SELECT conv_id, count(*) AS n_turns, string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn NULLS LAST, line) AS turns,
     coalesce(string_agg(text, '' ORDER BY turn NULLS LAST, line) FILTER (role = 'assistant'), '') AS loss, sum(length(line)) AS chars FROM lines GROUP BY conv_id)
 SELECT conv_id, n_turns, sha256(turns) AS turns_sha256, CAST(length(loss) AS BIGINT) AS loss_chars, sha256(loss) AS loss_sha256, CAST(chars AS BIGINT) AS formatted_chars FROM said"""
+
+
+def near_vectors_sql(least: float = 0.95) -> str:
+    return f"""
+WITH RECURSIVE v AS MATERIALIZED (SELECT row_number() OVER () AS row, vec_id,
+    CASE WHEN len(list_filter(embedding, lambda x: isfinite(x))) = len(embedding) AND len(list_filter(embedding, lambda x: x <> 0)) > 0 THEN CAST(embedding AS DOUBLE[]) END AS e FROM embeddings),
+links AS MATERIALIZED (SELECT a.row AS a, b.row AS b FROM v a JOIN v b ON a.row <> b.row WHERE CASE WHEN len(a.e) = len(b.e) THEN list_cosine_similarity(a.e, b.e) >= {least} END),
+reach(row, other) AS (SELECT row, row FROM v UNION SELECT reach.row, links.b FROM reach JOIN links ON links.a = reach.other),
+classes AS (SELECT reach.row, min(v.vec_id) AS component_id FROM reach JOIN v ON v.row = reach.other GROUP BY reach.row),
+counts AS (SELECT a AS row, count(*) AS n FROM links GROUP BY a)
+SELECT vec_id, coalesce(n, 0) AS n_links, component_id, coalesce(vec_id = component_id, FALSE) AS kept FROM v JOIN classes USING (row) LEFT JOIN counts USING (row)"""

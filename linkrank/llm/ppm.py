@@ -14,8 +14,10 @@ from linkrank.llm.common import bounded_batches, crc_part, strings, task
 ORDER = 3
 #: Documents of a language, about, from which its tree is learned.
 SAMPLE_DOCUMENTS = 600
-#: Costs held in memory, over contexts, bytes and languages; the rarest contexts of the highest order go beyond that.
-MAX_COSTS = 8_000_000
+#: Bytes of their texts, about, at most.
+SAMPLE_BYTES = 8 << 20
+#: Places of a table over all contexts and bytes; where there are more, bytes are looked up by search.
+MOST_SLOTS = 1 << 25
 #: Bytes costed at a time.
 SLICE = 1 << 18
 START = b"\n" * ORDER
@@ -27,6 +29,9 @@ class Trees:
     A byte seen n times in a context with t bytes of d kinds costs -log2 n/(t+d); else an escape of -log2 d/(t+d) and
     what it costs in the context shorter by one. A context that a language hasn't seen is passed over for free, and beyond the
     empty context every byte costs 8 bits. Counts are frozen, so the cost of a byte depends on the bytes before it alone.
+
+    Held are the bytes that some language has seen in a context, with their cost in each language, and one escape for each context
+    and language. Every context of the samples is there, however many languages and symbols there are.
     """
 
     def __init__(self, samples: dict[str, list[bytes]]):
@@ -37,39 +42,47 @@ class Trees:
         self.symbol = np.full(256, a - 1, np.int32)
         self.symbol[seen] = np.arange(len(seen))
         width, whole = len(self.languages), [self.symbol[x].astype(np.int64) for x in data]
-        costs = np.full((1, a, width), 8.0)  # of the context below the empty one
-        parent_of = np.zeros(1, np.int64)  # state by context code, for the order before
+        parents, escapes, keys, values = [], [], [], []
+        longest = np.zeros(1, np.int64)  # state of the longest known context, by the code of the last bytes
         offset = 0
-        blocks = [costs]
         for order in range(ORDER + 1):
-            contexts, grams = [], []
+            grams = []
             for s in whole:
-                code = sum((s[k : len(s) - order + k] * a ** (order - 1 - k) for k in range(order)), np.zeros(len(s) - order, np.int64))
-                grams.append(np.unique(code * a + s[order:], return_counts=True))
-                contexts.append(np.unique(code, return_counts=True))
-            codes, where = np.unique(np.concatenate([c for c, _ in contexts]), return_inverse=True)
-            weight = np.bincount(where, np.concatenate([n for _, n in contexts]), len(codes))
-            limit = max(1, MAX_COSTS // (a * width) - offset)
-            if len(codes) > limit:
-                codes = np.sort(codes[np.argsort(-weight, kind="stable")[:limit]])
-            below = parent_of[codes % a ** max(order - 1, 0)]  # the same context without its first byte
-            costs = np.concatenate(blocks)[below]
-            for k in range(width):
-                gram, count = grams[k]
-                at = np.searchsorted(codes, gram // a)
-                held = (at < len(codes)) & (codes[np.minimum(at, len(codes) - 1)] == gram // a)
-                gram, count, at = gram[held], count[held], at[held]
-                total, kinds = np.bincount(at, count, len(codes)), np.bincount(at, minlength=len(codes))
+                code = sum((s[k : len(s) - order + k] * a ** (order - k) for k in range(order + 1)), np.zeros(len(s) - order, np.int64))
+                grams.append(np.unique(code, return_counts=True))
+            every = np.unique(np.concatenate([g for g, _ in grams]))
+            codes, context = np.unique(every // a, return_inverse=True)
+            below = longest[codes % a ** max(order - 1, 0)] if order else np.full(len(codes), -1)  # the same context without its first byte
+            escape, share = np.zeros((len(codes), width)), np.full((len(every), width), np.nan)
+            for k, (gram, count) in enumerate(grams):
+                at = np.searchsorted(every, gram)
+                total, kinds = np.bincount(context[at], count, len(codes)), np.bincount(context[at], minlength=len(codes))
                 met = total > 0
-                costs[met, :, k] += -np.log2(kinds[met] / (total + kinds)[met])[:, None]
-                costs[at, gram % a, k] = -np.log2(count / (total + kinds)[at])
-            offset += len(blocks[-1])
-            blocks.append(costs)
-            state = parent_of[np.arange(a**order) % a ** max(order - 1, 0)] if order else np.zeros(1, np.int64)
+                escape[met, k] = -np.log2(kinds[met] / (total + kinds)[met])
+                share[at, k] = -np.log2(count / (total + kinds)[context[at]])
+            # A byte seen here was seen after the shorter context too.
+            shorter = values[-1][np.searchsorted(keys[-1], below[context] * a + every % a)] if order else 8.0
+            values.append(np.where(np.isnan(share), shorter + escape[context], share))
+            parents.append(below)
+            escapes.append(escape)
+            keys.append((offset + context) * a + every % a)
+            state = longest[np.arange(a**order) % a ** max(order - 1, 0)]
             state[codes] = offset + np.arange(len(codes))
-            parent_of = state
-        self.state = parent_of.astype(np.int32)
-        self.costs = np.concatenate(blocks).astype(np.float32).reshape(-1, width)
+            longest, offset = state, offset + len(codes)
+        self.state, self.parent = longest.astype(np.int32), np.concatenate(parents).astype(np.int32)
+        self.escape, self.costs = np.concatenate(escapes).astype(np.float32), np.concatenate(values).astype(np.float32)
+        self.keys, self.slots = np.concatenate(keys), None
+        if offset * a <= MOST_SLOTS:
+            self.slots = np.full(offset * a, -1, np.int32)
+            self.slots[self.keys] = np.arange(len(self.keys))
+
+    def _places(self, state: np.ndarray, symbol: np.ndarray) -> np.ndarray:
+        """Where the costs of bytes after contexts stand, -1 for bytes that no language has seen there."""
+        key = state * np.int64(self.size) + symbol
+        if self.slots is not None:
+            return self.slots[key]
+        at = np.minimum(np.searchsorted(self.keys, key), len(self.keys) - 1)
+        return np.where(self.keys[at] == key, at, -1)
 
     def code_lengths(self, texts: list[bytes]) -> np.ndarray:
         """Bits that each text takes under each language."""
@@ -81,8 +94,21 @@ class Trees:
             end = min(at + SLICE, len(data))
             s = self.symbol[data[max(0, at - ORDER) : end]]
             s = np.r_[np.zeros(ORDER - min(at, ORDER), np.int32), s]
-            code = s[:-ORDER] * a**2 + s[1 : 1 - ORDER] * a + s[2 : 2 - ORDER] if ORDER == 3 else None
-            cost = self.costs[self.state[code] * np.int64(a) + s[ORDER:]]
+            n = len(s) - ORDER
+            state = self.state[sum(s[k : n + k] * a ** (ORDER - 1 - k) for k in range(ORDER))]
+            place = self._places(state, s[ORDER:])
+            cost = self.costs[place]
+            todo = np.flatnonzero(place < 0)
+            cost[todo] = 0
+            state = state[todo]
+            while len(todo):  # down to shorter contexts, and below the empty one
+                cost[todo] += self.escape[state]
+                state = self.parent[state]
+                cost[todo[state < 0]] += 8
+                todo, state = todo[state >= 0], state[state >= 0]
+                place = self._places(state, s[ORDER:][todo])
+                cost[todo[place >= 0]] += self.costs[place[place >= 0]]
+                todo, state = todo[place < 0], state[place < 0]
             first = np.searchsorted(begin, at, side="right") - 1
             last = np.searchsorted(begin, end, side="left")
             for i in range(ORDER):  # the bytes put before each text cost nothing
@@ -106,19 +132,20 @@ class Trees:
         return language, score
 
 
-def learn(documents: DataFrame, sample_documents: int = SAMPLE_DOCUMENTS) -> Trees:
+def learn(documents: DataFrame, sample_documents: int = SAMPLE_DOCUMENTS, sample_bytes: int = SAMPLE_BYTES) -> Trees:
     """Trees from documents with a lang whose crc32 of doc_id, as text, isn't 1 modulo 3; a null doc_id isn't learned from.
 
-    Whole texts of about ``sample_documents`` documents of each language, chosen by a hash of doc_id and text
-    after rows alike in both are merged, reach the driver.
+    Whole texts of about ``sample_documents`` documents of each language, and of about ``sample_bytes`` at most, chosen by a hash of
+    doc_id and text after rows alike in both are merged, reach the driver.
     """
     rows = documents.select("doc_id", F.col("lang").cast("string").alias("lang"), F.col("text").cast("string").alias("text"))
     rows = rows.where((crc_part("doc_id", 3) != 1) & F.col("lang").isNotNull() & F.col("text").isNotNull())
     rows = rows.withColumn("hash", F.xxhash64("text"))
-    counts = {r["lang"]: r["n"] for r in rows.select("doc_id", "lang", "hash").distinct().groupBy("lang").agg(F.count("*").alias("n")).collect()}
-    if not counts:
+    unlike = rows.select("doc_id", "lang", "hash", F.octet_length("text").alias("bytes")).distinct()
+    shares = {r["lang"]: min(1.0, sample_documents / r["n"], sample_bytes / max(r["bytes"], 1)) for r in unlike.groupBy("lang").agg(F.count("*").alias("n"), F.sum("bytes").alias("bytes")).collect()}
+    if not shares:
         return _no_trees()
-    share = F.create_map(*(F.lit(x) for k, n in counts.items() for x in (k, min(1.0, sample_documents / n))))[F.col("lang")]
+    share = F.create_map(*(F.lit(x) for pair in shares.items() for x in pair))[F.col("lang")]
     chosen = rows.where(F.pmod(F.xxhash64("doc_id", "hash"), F.lit(1_000_000)) < share * 1_000_000).dropDuplicates(["doc_id", "lang", "hash"]).select("lang", "text").collect()
     samples: dict[str, list[bytes]] = {}
     for r in chosen:

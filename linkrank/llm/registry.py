@@ -109,5 +109,5 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    sql = {"op1_secret_scan": oracle.secrets_sql(), "op2_warc": oracle.warc_sql(), "op6_mixing": oracle.mixing_sql(), "op11_bisectors": oracle.bisectors_sql(), "op13_chat_format": oracle.chats_sql()}
+    sql = {"op1_secret_scan": oracle.secrets_sql(), "op2_warc": oracle.warc_sql(), "op5_embedding_forest": oracle.near_vectors_sql(), "op6_mixing": oracle.mixing_sql(), "op11_bisectors": oracle.bisectors_sql(), "op13_chat_format": oracle.chats_sql()}
     return sql | ({"pipeline": corpus_pipeline.ORACLE_SQL} if corpus_pipeline.ORACLE_SQL else {})

@@ -83,8 +83,8 @@ def scan(versions: DataFrame, ledger: str | None = None, rules: Sequence[Rule] =
     ``(blob, spans)`` for blobs with findings under ``rules``, spans as an array of ``(start, place, kind, end)`` in
     order of start, then of the rules. A null text is scanned as empty, a null path stays null, repeated rows stay.
 
-    One of many copies is scanned: the path to read is chosen from ids and hashes alone, so texts move once at most,
-    and evenly, as the join is by blob and path.
+    One of many copies is scanned: the path to read is chosen from ids and hashes alone. Texts move once at most, by blob and path;
+    rows alike in both are merged in each task before, so that neither a hot text nor a hot id fills a task.
     """
     work = Work(versions.sparkSession, "secrets")
     ledger = ledger or f"{work.path}/ledger"
@@ -94,8 +94,12 @@ def scan(versions: DataFrame, ledger: str | None = None, rules: Sequence[Rule] =
     known = read_ledger(work, ledger).where(F.col("rule").isin(list(named))).groupBy("blob").agg(F.collect_set("rule").alias("known"))
     unseen = F.array_except(F.array(*map(F.lit, named)), F.coalesce("known", F.array().cast("array<string>")))
     todo = paths.groupBy("blob").agg(F.min("path").alias("at")).join(known, "blob", "left").select("blob", "at", unseen.alias("unseen"))
-    todo = work.store(todo.where(F.size("unseen") > 0), "todo").hint("shuffle_hash")
-    texts = rows.join(todo, (rows.blob == todo.blob) & rows.path.eqNullSafe(todo.at)).select(rows.blob, "unseen", "text")
+    todo = work.store(todo.where(F.size("unseen") > 0), "todo")
+    # Keys without nulls, so that merging and joining share one exchange.
+    keys = [F.isnull("at").alias("none"), F.coalesce(F.col("at").cast("string"), F.lit("")).alias("id")]
+    todo = todo.select("blob", *keys, "unseen").hint("shuffle_hash")
+    unlike = rows.withColumnRenamed("path", "at").select("blob", *keys, "text").dropDuplicates(["blob", "none", "id"])
+    texts = unlike.join(todo, ["blob", "none", "id"]).select("blob", "unseen", "text")
     texts.mapInArrow(task(_scan, rules=named), LEDGER).write.mode("append").parquet(ledger)
     found = read_ledger(work, ledger).where(F.col("rule").isin(list(named)) & (F.size("starts") > 0)).dropDuplicates(["blob", "rule"])
     place = F.array_position(F.array(*map(F.lit, named)), F.col("rule"))
@@ -116,9 +120,9 @@ def redact(documents: DataFrame, ledger: str | None = None, rules: Sequence[Rule
     unique, and a hot blob is split by adaptive execution.
     """
     _, findings = scan(documents, ledger, rules)
-    rows = documents.withColumn("llm_blob", blob_id(F.col("text")))
-    both = rows.join(findings.select(F.col("blob").alias("llm_blob"), F.col("spans").alias("llm_spans")), "llm_blob", "left")
-    text = F.col("text").cast("string")
+    row = F.struct(*(F.col(f"`{c}`") for c in documents.columns)).alias("row")  # so that no column of the caller's can clash
+    both = documents.select(row, blob_id(F.col("text")).alias("blob")).join(findings, "blob", "left")
+    text = F.col("row.text").cast("string")
 
     def step(state, span):
         start = F.greatest(span["start"], state["at"])
@@ -126,8 +130,12 @@ def redact(documents: DataFrame, ledger: str | None = None, rules: Sequence[Rule
         return F.struct(F.concat(state["out"], F.substring(text, (state["at"] + 1).cast("int"), (start - state["at"]).cast("int")), label).alias("out"), F.greatest(state["at"], span["end"]).alias("at"))
 
     start = F.struct(F.lit("").alias("out"), F.lit(0).cast("long").alias("at"))
-    clean = F.aggregate("llm_spans", start, step, lambda s: F.concat(s["out"], F.substring(text, (s["at"] + 1).cast("int"), F.length(text))))
-    both = both.withColumn("text", F.when(F.col("llm_spans").isNull(), F.col("text")).otherwise(clean))
-    if "n_chars" in documents.columns:
-        both = both.withColumn("n_chars", F.when(F.col("llm_spans").isNull(), F.col("n_chars")).otherwise(F.length("text")).cast(documents.schema["n_chars"].dataType))
-    return both.select(*documents.columns)
+    clean = F.aggregate("spans", start, step, lambda s: F.concat(s["out"], F.substring(text, (s["at"] + 1).cast("int"), F.length(text))))
+    both = both.select("row", F.col("spans").isNull().alias("as_is"), F.when(F.col("spans").isNotNull(), clean).alias("clean"))
+
+    def column(name: str):
+        old = F.col("row")[name]
+        new = F.col("clean") if name == "text" else F.length("clean") if name == "n_chars" else None
+        return (old if new is None else F.when(F.col("as_is"), old).otherwise(new.cast(documents.schema[name].dataType))).alias(name)
+
+    return both.select(*map(column, documents.columns))

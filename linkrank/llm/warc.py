@@ -6,6 +6,7 @@ import base64
 import hashlib
 import uuid
 import zlib
+from bisect import bisect_left
 from collections.abc import Iterator
 
 import numpy as np
@@ -25,6 +26,8 @@ FILE_BYTES = 128 << 20
 SAMPLES_A_SHARD = 64
 MANIFEST = "shard int, part int, file string, records long, bytes long, sha256 string, first_id long, last_id long"
 RECORDS = "page_id long, url string, record_type string, payload_bytes long, payload_digest string, refers_to long, payload binary"
+#: Stands for a null id among numbers.
+BELOW_ALL = -(2**63)
 NAMESPACE = uuid.UUID("6ba7b811-9dad-11d1-80b4-00c04fd430c8")
 
 
@@ -91,13 +94,28 @@ class _Roller:
         self.out.close()
         self.out = None
         final = f"{self.root}/{self.name}"
-        if self.files.get_file_info(final).type != FileType.NotFound:  # of an attempt whose executor was lost: the same bytes
-            self.files.delete_file(final)
-        self.files.move(self.temporary, final)
+        if self._held(final):  # by an attempt whose executor was lost: a file that a manifest may name is never away, not even for a moment
+            self.files.delete_file(self.temporary)
+        else:
+            self.files.move(self.temporary, final)
         self.part += 1
         return {"shard": self.shard, "part": self.part - 1, "file": self.name, "records": self.records, "bytes": self.size, "sha256": self.hash.hexdigest(), "first_id": self.first, "last_id": self.last}
 
 
+    def _held(self, path: str) -> bool:
+        """Whether the file is there already. Files get their names complete, and a task writes the same bytes again; others are an error."""
+        info = self.files.get_file_info(path)
+        if info.type == FileType.NotFound:
+            return False
+        found = hashlib.sha256()
+        with self.files.open_input_stream(path, compression=None) as stream:
+            while data := stream.read(1 << 20):
+                found.update(data)
+        if found.hexdigest() != self.hash.hexdigest():
+            raise ValueError(f"{path} is there with other bytes; the archive's folder must be new")
+        return True
+
+
 MANIFEST_ARROW = pa.schema([("shard", pa.int32()), ("part", pa.int32()), ("file", pa.string()), ("records", pa.int64()), ("bytes", pa.int64()), ("sha256", pa.string()), ("first_id", pa.int64()), ("last_id", pa.int64())])
 
 
@@ -129,8 +147,8 @@ def write_archive(pages: DataFrame, folder: str | None = None, least_bytes: int
     revisits of it; pages that repeat that id are responses too, and smaller payloads are always responses. A null html is an
     empty payload. Null ids are below all others. An empty table gives an archive with an empty manifest.
 
-    Pages are cut into ranges of ids at quantiles of a sample chosen by a hash of the id, the same in every run, sorted
-    within their range, and written by one task each, which starts a new file once one has ``file_bytes``. Files get
+    Pages are cut into ranges of ids, and within a null or repeated id of digests, at quantiles of a sample chosen by a hash of both, the same
+    in every run, sorted within their range, and written by one task each, which starts a new file once one has ``file_bytes``. Files get
     their names when complete; the manifest, a Parquet table written last, says which files count. A task that
     runs again writes the same bytes to the same names. ``folder`` must be new, in a place that executors reach.
     """
@@ -146,18 +164,23 @@ def write_archive(pages: DataFrame, folder: str | None = None, least_bytes: int
     total = ids.agg(F.sum("bytes").alias("bytes"), F.count("*").alias("n")).first()
     shards = int(min(MAX_SHARDS, max(1, -(-(total["bytes"] or 0) // shard_bytes))))
     every = max(1, total["n"] // (shards * SAMPLES_A_SHARD))
-    sample = ids.where(F.pmod(F.xxhash64("page_id"), F.lit(every)) == 0).where("page_id is not null").groupBy("page_id").agg(F.sum("bytes").alias("bytes")).orderBy("page_id").collect()
+    sample = ids.where(F.pmod(F.xxhash64("page_id", "digest"), F.lit(every)) == 0).groupBy("page_id", "digest").agg(F.sum("bytes").alias("bytes")).orderBy("page_id", "digest").collect()
     sums = np.cumsum([x["bytes"] for x in sample] or [0])
     at = np.searchsorted(sums, sums[-1] * np.arange(1, shards) / shards)
-    cuts = np.unique([sample[k]["page_id"] for k in at if k < len(sample)]).astype(np.int64)
+    cuts = sorted({(BELOW_ALL if sample[k]["page_id"] is None else sample[k]["page_id"], bytes(sample[k]["digest"])) for k in at if k < len(sample)})
+    cut_ids = np.array([i for i, _ in cuts], np.int64)
 
     @F.pandas_udf("int")
-    def shard_of(ids: pd.Series) -> pd.Series:
-        return pd.Series(np.searchsorted(cuts, ids.fillna(np.iinfo(np.int64).min).astype("int64"), side="left").astype(np.int32))
+    def shard_of(ids: pd.Series, digests: pd.Series) -> pd.Series:
+        number = ids.fillna(BELOW_ALL).astype("int64").to_numpy()
+        shard = np.searchsorted(cut_ids, number, side="left")
+        for k in np.flatnonzero(np.isin(number, cut_ids)):  # ids within which there is a cut
+            shard[k] = bisect_left(cuts, (int(number[k]), digests.iloc[k]))
+        return pd.Series(shard.astype(np.int32))
 
     every_row = marks.select("page_id", "digest", "top", F.lit(None).cast("string").alias("url"), F.lit(None).cast("string").alias("html"))
     every_row = every_row.unionByName(rows.withColumn("top", F.lit(None).cast("long")))
-    every_row = every_row.select(shard_of("page_id").alias("shard"), "page_id", "digest", "top", "url", "html")
+    every_row = every_row.select(shard_of("page_id", "digest").alias("shard"), "page_id", "digest", "top", "url", "html")
     order = ["shard", "page_id", "digest", F.col("top").desc_nulls_last(), "url"]
     files, root = FileSystem.from_uri(folder)
     files.create_dir(f"{root}/_temporary", recursive=True)

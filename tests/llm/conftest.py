@@ -2,7 +2,7 @@ from __future__ import annotations
 
 import pytest
 
-WIDE = "doc_id long, text string, lang string, source string, n_chars long, fp string, size string, blob string, path string, component string, node string, llm_text string"
+WIDE = "doc_id long, text string, lang string, source string, n_chars long, fp string, size string, blob string, path string, component string, node string, llm_text string, llm_blob string, llm_hash string, llm_words string, row string, of_size string, text_hash string, spans string"
 
 
 @pytest.fixture
@@ -10,7 +10,7 @@ def documents(spark):
     """Makes documents from (doc_id, text, lang, source), with further columns whose names the operators use inside."""
 
     def make(rows):
-        return spark.createDataFrame([(i, t, k, s, len(t or ""), *["x"] * 7) for i, t, k, s in rows], WIDE)
+        return spark.createDataFrame([(i, t, k, s, len(t or ""), *["x"] * 14) for i, t, k, s in rows], WIDE)
 
     return make
 

@@ -60,6 +60,7 @@ def test_rows_of_the_mix(documents, rows):
     copies = {(r.doc_id, r.source, r.size): r.copies for r in mixing.mix(frame).collect()}
     mixed = mixing.mixed(frame)
     assert mixed.columns == frame.columns
+    assert mixed.where("llm_words = 'x' and row = 'x' and of_size = 'x' and size = 'x'").count() == mixed.count() > 0
     expected = [repr((i, t, s)) for i, t, _, s in rows for _ in range(copies[i, s, len(re.findall(r"[^\x20\x09-\x0D]+", t or ""))])]
     assert sorted(repr((r.doc_id, r.text, r.source)) for r in mixed.collect()) == sorted(expected)
 

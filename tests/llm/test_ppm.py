@@ -4,7 +4,7 @@ from zlib import crc32
 import numpy as np
 import pytest
 
-from linkrank.llm import ppm
+from linkrank.llm import ppm, registry
 from llm.conftest import EDGE
 
 FOLDER = "/root/testdata/sf0.01"
@@ -44,11 +44,53 @@ def test_code_lengths(monkeypatch):
     np.testing.assert_allclose(trees.code_lengths(texts), expected, rtol=1e-5)
 
 
-def test_fewer_contexts_than_seen(monkeypatch):
-    monkeypatch.setattr(ppm, "MAX_COSTS", 1200)
-    trees = ppm.Trees(SAMPLES)
-    assert trees.costs.size < 2400
-    assert trees.predict(["abracadabra", "zebra"])[0] == ["x", "y"]
+@pytest.mark.parametrize("slots", [1 << 25, 0])
+def test_no_context_is_dropped(monkeypatch, slots):
+    """60 languages over all 256 bytes: every context of the samples is held, by table or by search."""
+    monkeypatch.setattr(ppm, "MOST_SLOTS", slots)
+    rng = np.random.default_rng(3)
+    samples = {f"k{k:02}": [bytes(rng.integers(0, 256, 30).tolist()) for _ in range(2)] + [bytes(range(256))] * (k == 5) for k in range(60)}
+    trees = ppm.Trees(samples)
+    assert (trees.slots is None) == (slots == 0) and trees.size == 257
+    joined = [b"".join(ppm.START + s for s in x) for x in samples.values()]
+    contexts = {j[k - order : k] for j in joined for order in range(ppm.ORDER + 1) for k in range(order, len(j))}
+    assert len(trees.parent) == len(contexts)
+    texts = [samples["k07"][0] + b"x", samples["k41"][1][5:] + samples["k05"][2][9:70], b"plain text"]
+    expected = [[plain_length(samples[k], t) for k in sorted(samples)] for t in texts]
+    np.testing.assert_allclose(trees.code_lengths(texts), expected, rtol=1e-5)
+
+
+def test_sample_is_bounded_in_bytes(spark, documents):
+    rows = [(k, f"{k} " + "word " * 200, "en", "a") for k in range(300)]
+    seen = []
+    trees = ppm.Trees.__init__
+    try:
+        ppm.Trees.__init__ = lambda self, samples: (seen.append(sum(map(len, samples["en"]))), trees(self, samples))[1]
+        ppm.learn(documents(rows), sample_bytes=30_000)
+    finally:
+        ppm.Trees.__init__ = trees
+    assert 10_000 < seen[0] < 60_000
+
+
+def test_registered_query(spark):
+    folder = "/root/testdata/sf0.001"
+    rows = {r.doc_id: r for r in spark.read.parquet(f"{folder}/documents.parquet").collect()}
+    frame = registry.op9_ppm_language(spark, folder)
+    assert frame.columns == ["doc_id", "held_out", "lang_pred", "score"]
+    found = {r.doc_id: r for r in frame.collect()}
+    samples = {}
+    for i, r in rows.items():
+        if r.lang is not None and r.text is not None and crc32(str(i).encode()) % 3 != 1:
+            samples.setdefault(r.lang, []).append(r.text.encode())
+    right = 0
+    for i, r in rows.items():
+        assert found[i].held_out == (crc32(str(i).encode()) % 3 == 1) and 0 <= found[i].score <= 1
+        if len(r.text or "") < 300 and any(map(str.isalpha, r.text or "")):
+            lengths = {k: plain_length(v, r.text.encode()) for k, v in samples.items()} if len(samples) and right < 5 else None
+            if lengths:
+                assert found[i].lang_pred == min(lengths, key=lengths.get)
+                right += 1
+    assert right == 5
 
 
 def test_undetermined():

@@ -78,3 +78,20 @@ def test_redaction(documents):
 def test_blob_is_the_hash_of_the_text(documents):
     paths, _ = secret_scan.scan(documents([(1, "é", "en", "a")]))
     assert bytes(paths.first().blob) == hashlib.sha256("é".encode()).digest()
+
+
+def test_rows_alike_are_scanned_once(spark, documents, tmp_path):
+    """A third of all rows under a null id with one text, and copies of another text under one id and under many."""
+    rows = [(None, "password=abcdefghij", "en", "a")] * 500 + [(7, "token: abcdefghijk", "en", "a")] * 300 + [(k, "AKIA" + "B" * 20, "en", "a") for k in range(700)]
+    _, findings = secret_scan.scan(documents(rows), str(tmp_path / "ledger"))
+    ledger = spark.read.parquet(str(tmp_path / "ledger"))
+    assert ledger.count() == ledger.select("blob", "rule").distinct().count() == 9
+    assert findings.count() == 3
+
+
+def test_redacted_rows_keep_clashing_columns(documents):
+    rows = [(1, "token: abcdefghijk end", "en", "a"), (2, "nothing", "en", "a")]
+    frame = documents(rows)
+    found = {r.doc_id: r for r in secret_scan.redact(frame).collect()}
+    assert found[1].text == "[assign] end" and found[1].n_chars == 12 and found[2].text == "nothing"
+    assert all(r[c] == "x" for r in found.values() for c in ("llm_blob", "llm_text", "spans", "row", "blob"))

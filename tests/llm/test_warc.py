@@ -62,3 +62,32 @@ def test_a_changed_payload_is_found(spark, tmp_path):
     file.write_bytes(gzip.compress(gzip.decompress(file.read_bytes()).split(b"WARC/1.1")[2].join([b"WARC/1.1", b""]).replace(b"text\r\n\r\n", b"test\r\n\r\n")))
     with pytest.raises(Exception, match="differs from its headers"):
         read(spark, folder)
+
+
+def test_a_hot_null_id_is_spread_over_shards(spark):
+    """A third of the pages lack an id; ranges cut them by digest, and every payload has its one response."""
+    rows = [(None if k % 3 == 0 else k, f"http://h/{k}", f"<p>{hashlib.sha256(str(k % 700).encode()).hexdigest() * 4}</p>") for k in range(900)]
+    rows += [(5, "http://same/", f"<p>{k} of one id</p>") for k in range(300)]
+    folder = warc.write_archive(frame(spark, rows), shard_bytes=16_000)
+    assert read(spark, folder) == expected(rows)
+    records = {}
+    for m in spark.read.parquet(f"{folder}/manifest").collect():
+        records[m.shard] = records.get(m.shard, 0) + m.records
+    assert len(records) > 8 and max(records.values()) < 0.3 * len(rows)
+
+
+def test_a_second_attempt_leaves_a_complete_file_alone(tmp_path):
+    def write(payload):
+        roller = warc._Roller(str(tmp_path), 0, 1 << 20, "1970-01-01T00:00:00Z", 4)
+        roller.add(1, warc.page_record(1, "u", payload, hashlib.sha1(payload).digest(), None, False, "1970-01-01T00:00:00Z"))
+        return roller.close()
+
+    (tmp_path / "_temporary").mkdir()
+    first = write(b"text")
+    file = tmp_path / first["file"]
+    node, data = file.stat().st_ino, file.read_bytes()
+    assert write(b"text") == first and (file.stat().st_ino, file.read_bytes()) == (node, data)
+    assert not list((tmp_path / "_temporary").iterdir())
+    with pytest.raises(ValueError, match="other bytes"):
+        write(b"test")
+    assert file.read_bytes() == data
