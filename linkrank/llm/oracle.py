@@ -110,9 +110,11 @@ SELECT conv_id, n_turns, sha256(turns) AS turns_sha256, CAST(length(loss) AS BIG
 
 def near_vectors_sql(least: float = 0.95) -> str:
     return f"""
-WITH RECURSIVE v AS MATERIALIZED (SELECT row_number() OVER () AS row, vec_id,
+WITH RECURSIVE sound AS MATERIALIZED (SELECT row_number() OVER () AS row, vec_id,
     CASE WHEN len(list_filter(embedding, lambda x: isfinite(x))) = len(embedding) AND len(list_filter(embedding, lambda x: x <> 0)) > 0 THEN CAST(embedding AS DOUBLE[]) END AS e FROM embeddings),
-links AS MATERIALIZED (SELECT a.row AS a, b.row AS b FROM v a JOIN v b ON a.row <> b.row WHERE CASE WHEN len(a.e) = len(b.e) THEN list_cosine_similarity(a.e, b.e) >= {least} END),
+length AS (SELECT len(e) AS n FROM sound WHERE e IS NOT NULL AND vec_id IS NOT NULL GROUP BY n ORDER BY count(*) DESC, n LIMIT 1),
+v AS MATERIALIZED (SELECT row, vec_id, CASE WHEN vec_id IS NOT NULL AND len(e) = (SELECT n FROM length) THEN e END AS e FROM sound),
+links AS MATERIALIZED (SELECT a.row AS a, b.row AS b FROM v a JOIN v b ON a.row <> b.row WHERE CASE WHEN a.e IS NOT NULL AND b.e IS NOT NULL THEN list_cosine_similarity(a.e, b.e) >= {least} END),
 reach(row, other) AS (SELECT row, row FROM v UNION SELECT reach.row, links.b FROM reach JOIN links ON links.a = reach.other),
 classes AS (SELECT reach.row, min(v.vec_id) AS component_id FROM reach JOIN v ON v.row = reach.other GROUP BY reach.row),
 counts AS (SELECT a AS row, count(*) AS n FROM links GROUP BY a)
