@@ -15,6 +15,8 @@ WEIGHTS = (5, 2, 1)
 DRAWS = 32
 #: A document of over one part in so many of its source is drawn first, and the others make up for it.
 HEAVY_PART = 50
+#: Rows alike in id, source and size that one task gives back at a time.
+ALIKE = 10_000
 
 
 def offsets(seed: int, draws: int = DRAWS) -> list[float]:
@@ -102,8 +104,14 @@ def mix(documents: DataFrame, seed: int = 7, weights: Sequence[int] = WEIGHTS) -
     chosen = work.store(all_.select(F.col("f.of").alias("of"), best["offset"].alias("offset"), best["rate"].alias("light_rate")), "offsets")
     taken = ranked.join(chosen, ranked.source.eqNullSafe(chosen["of"]))
     copies = crossed(F.when(F.col("heavy"), rate).otherwise(F.col("light_rate")), F.col("offset"))
-    taken = taken.select("doc_id", "source", "size", "source_size", "target", copies.cast("long").alias("copies"), F.explode(F.sequence(F.lit(1), F.col("rows").cast("int"))).alias("row"))
-    return taken.drop("row")
+    columns = ["doc_id", "source", "size", "source_size", "target", "copies"]
+    taken = taken.withColumn("copies", copies.cast("long"))
+    few = taken.where(F.col("rows") <= ALIKE).select(*columns, F.explode(F.sequence(F.lit(1).cast("long"), F.col("rows"))).alias("row"))
+    # Many rows alike: their pieces are dealt over all tasks before they become rows again.
+    piece = F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col("rows") - 1) / ALIKE))).alias("piece")
+    many = taken.where(F.col("rows") > ALIKE).select(*columns, "rows", piece).repartition("piece", "doc_id")
+    many = many.select(*columns, F.explode(F.sequence(F.lit(1).cast("long"), F.least(F.lit(ALIKE).cast("long"), F.col("rows") - F.col("piece") * ALIKE))).alias("row"))
+    return few.unionByName(many).select(*columns)
 
 
 def mixed(documents: DataFrame, seed: int = 7, weights: Sequence[int] = WEIGHTS) -> DataFrame:

@@ -65,6 +65,14 @@ def test_rows_of_the_mix(documents, rows):
     assert sorted(repr((r.doc_id, r.text, r.source)) for r in mixed.collect()) == sorted(expected)
 
 
+def test_many_rows_alike_are_given_back_in_pieces(documents, rows, monkeypatch):
+    rows = rows + [(None, "one two three", "en", "hot")] * 1000 + [(3, "a b", "en", "b")] * 12
+    found = sorted(map(repr, map(tuple, mixing.mix(documents(rows)).collect())))
+    assert len(found) == len(rows)
+    monkeypatch.setattr(mixing, "ALIKE", 5)
+    assert sorted(map(repr, map(tuple, mixing.mix(documents(rows)).collect()))) == found
+
+
 def test_empty_tables_and_sizes(documents):
     assert mixing.mix(documents([])).count() == 0
     assert mixing.mixed(documents([])).count() == 0
