@@ -50,15 +50,15 @@ def targets(sizes: DataFrame, weights: Sequence[int] = WEIGHTS, times: tuple[int
     return rows.select("source", "source_size", F.when(F.col("stops"), F.col("cap").cast("double")).otherwise(share).alias("target"))
 
 
-def mix(documents: DataFrame, seed: int = 7, weights: Sequence[int] = WEIGHTS) -> DataFrame:
+def mix(documents: DataFrame, seed: int = 7, weights: Sequence[int] = WEIGHTS, draws: int = DRAWS, heavy_part: int = HEAVY_PART) -> DataFrame:
     """``(doc_id, source, size, source_size, target, copies)`` for each row of ``documents (doc_id, text, source)``.
 
     size is the number of words in the whole text, 0 for null. A document's expected copies are its source's target over its size.
     They are summed up along the source, a random offset is added, and the document is taken once for each whole number
     passed. Within a source documents come by size class, then spread by a hash of doc_id, then by size, which
-    keeps the words taken near the target. The few documents that each hold over one part in ``HEAVY_PART`` of their
-    source are drawn first, and the expected copies of the others are set to what is left of the target. The best of ``DRAWS``
-    seeded offsets is used, so reruns agree.
+    keeps the words taken near the target. The fewer than ``heavy_part`` documents that each hold over one part in ``heavy_part`` of their
+    source are drawn first, and the expected copies of the others are set to what is left of the target. The best of ``draws``
+    seeded offsets is used, so reruns agree; with ``draws=1`` and ``heavy_part=1`` it is the plain method, one offset and one rate.
     Rows alike in doc_id, source and size share one decision. A null source is a source of its own, the last one; null
     ids are allowed. Sources of size 0 take what their expected copies of 0 give: nothing.
 
@@ -76,7 +76,7 @@ def mix(documents: DataFrame, seed: int = 7, weights: Sequence[int] = WEIGHTS) -
     several = classes.join(sources, classes.source.eqNullSafe(sources.source)).select(classes.source.alias("of"), F.col("class").alias("in"), "source_size", "target", (F.floor(F.sqrt("n")) + 1).alias("parts"))
     several = work.store(several, "parts")
     placed = units.join(several, units.source.eqNullSafe(several["of"]) & (units["class"] == several["in"])).drop("of", "in")
-    placed = placed.withColumn("part", F.col("key") % F.col("parts")).withColumn("heavy", F.col("size") * F.col("rows") * HEAVY_PART > F.col("source_size"))
+    placed = placed.withColumn("part", F.col("key") % F.col("parts")).withColumn("heavy", F.col("size") * F.col("rows") * heavy_part > F.col("source_size"))
     blocks = placed.groupBy("source", "heavy", "class", "part").agg(F.count("*").alias("n"))
     ahead = Window.partitionBy("source", "heavy").orderBy("class", "part").rowsBetween(Window.unboundedPreceding, -1)
     blocks = work.store(blocks.select("source", "heavy", "class", "part", F.coalesce(F.sum("n").over(ahead), F.lit(0)).alias("ahead")), "blocks")
@@ -85,22 +85,22 @@ def mix(documents: DataFrame, seed: int = 7, weights: Sequence[int] = WEIGHTS) -
     at = blocks.select(F.col("source").alias("of"), F.col("heavy").alias("kind"), F.col("class").alias("in"), F.col("part").alias("no"), "ahead")
     ranked = local.join(at, local.source.eqNullSafe(at["of"]) & (local["heavy"] == at["kind"]) & (local["class"] == at["in"]) & (local["part"] == at["no"]))
     ranked = work.store(ranked.select("doc_id", "source", "size", "rows", "source_size", "target", "heavy", (F.col("ahead") + F.col("place")).alias("rank")), "ranked")
-    draws = offsets(seed)
+    at_random = offsets(seed, draws)
 
     def crossed(rate, offset):
         return F.floor(rate * F.col("rank") + offset) - F.floor(rate * (F.col("rank") - 1) + offset)
 
     words, rate = F.col("size") * F.col("rows"), F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(F.lit(0.0))
-    first = ranked.where("heavy").groupBy("source").agg(F.sum(words).alias("words"), F.array(*(F.sum(words * crossed(rate, F.lit(u))) for u in draws)).alias("taken"))
+    first = ranked.where("heavy").groupBy("source").agg(F.sum(words).alias("words"), F.array(*(F.sum(words * crossed(rate, F.lit(u))) for u in at_random)).alias("taken"))
     first = sources.alias("s").join(first.alias("f"), F.col("s.source").eqNullSafe(F.col("f.source")), "left")
-    none = F.array(*(F.lit(0).cast("long") for _ in draws))
+    none = F.array(*(F.lit(0).cast("long") for _ in at_random))
     first = first.select(F.col("s.source").alias("of"), (F.col("source_size") - F.coalesce("words", F.lit(0))).alias("light"), F.col("target").alias("goal"), F.coalesce("taken", none).alias("taken"))
     left = F.transform("taken", lambda x: F.when(F.col("light") > 0, F.greatest(F.lit(0.0), F.least(F.lit(2.0), (F.col("goal") - x) / F.col("light")))).otherwise(F.lit(0.0)))
     first = work.store(first.select("of", "goal", "taken", left.alias("rates")), "first")
     others = ranked.where("not heavy").join(first.select("of", "rates"), F.col("source").eqNullSafe(F.col("of")))
-    others = others.groupBy("of").agg(F.array(*(F.sum(words * crossed(F.col("rates")[k], F.lit(u))) for k, u in enumerate(draws))).alias("more"))
+    others = others.groupBy("of").agg(F.array(*(F.sum(words * crossed(F.col("rates")[k], F.lit(u))) for k, u in enumerate(at_random))).alias("more"))
     all_ = first.alias("f").join(others.alias("o"), F.col("f.of").eqNullSafe(F.col("o.of")), "left")
-    best = F.array_min(F.array(*(F.struct(F.abs(F.col("taken")[k] + F.coalesce(F.col("more")[k], F.lit(0)) - F.col("goal")).alias("miss"), F.lit(u).alias("offset"), F.col("rates")[k].alias("rate")) for k, u in enumerate(draws))))
+    best = F.array_min(F.array(*(F.struct(F.abs(F.col("taken")[k] + F.coalesce(F.col("more")[k], F.lit(0)) - F.col("goal")).alias("miss"), F.lit(u).alias("offset"), F.col("rates")[k].alias("rate")) for k, u in enumerate(at_random))))
     chosen = work.store(all_.select(F.col("f.of").alias("of"), best["offset"].alias("offset"), best["rate"].alias("light_rate")), "offsets")
     taken = ranked.join(chosen, ranked.source.eqNullSafe(chosen["of"]))
     copies = crossed(F.when(F.col("heavy"), rate).otherwise(F.col("light_rate")), F.col("offset"))
@@ -114,9 +114,9 @@ def mix(documents: DataFrame, seed: int = 7, weights: Sequence[int] = WEIGHTS) -
     return few.unionByName(many).select(*columns)
 
 
-def mixed(documents: DataFrame, seed: int = 7, weights: Sequence[int] = WEIGHTS) -> DataFrame:
+def mixed(documents: DataFrame, seed: int = 7, weights: Sequence[int] = WEIGHTS, draws: int = DRAWS, heavy_part: int = HEAVY_PART) -> DataFrame:
     """The mix itself: each row of ``documents`` as often as it is taken, with its columns as they are."""
-    decided = mix(documents, seed, weights).where("copies > 0").select(*(F.col(c).alias(f"of_{c}") for c in ("doc_id", "source", "size", "copies"))).distinct()
+    decided = mix(documents, seed, weights, draws, heavy_part).where("copies > 0").select(*(F.col(c).alias(f"of_{c}") for c in ("doc_id", "source", "size", "copies"))).distinct()
     row = F.struct(*(F.col(f"`{c}`") for c in documents.columns)).alias("row")  # so that no column of the caller's can clash
     size = F.regexp_count(F.coalesce(F.col("text").cast("string"), F.lit("")), F.lit(WORD)).cast("long")
     rows = documents.select(row, F.col("doc_id").cast("long").alias("doc_id"), F.col("source").cast("string").alias("source"), size.alias("size"))

@@ -1,3 +1,4 @@
+import math
 import re
 
 import duckdb
@@ -55,6 +56,17 @@ def test_against_sql_and_targets(documents, rows):
     assert sorted(map(repr, again)) == sorted(map(repr, found))
 
 
+def test_plain_method(documents, rows):
+    """One offset, one rate: every source takes as many copies as whole numbers lie below its expected copies and the offset."""
+    [offset] = mixing.offsets(3, 1)
+    found = {(r.doc_id, r.source, r.size): r for r in mixing.mix(documents(rows), seed=3, draws=1, heavy_part=1).collect()}
+    for source in {k[1] for k in found}:
+        mine = [r for k, r in found.items() if k[1] == source]
+        rate = mine[0].target / mine[0].source_size if mine[0].source_size else 0.0
+        assert sum(r.copies for r in mine) == math.floor(rate * len(mine) + offset)
+        assert {r.copies for r in mine} <= {math.floor(rate), math.ceil(rate)}
+
+
 def test_rows_of_the_mix(documents, rows):
     frame = documents(rows)
     copies = {(r.doc_id, r.source, r.size): r.copies for r in mixing.mix(frame).collect()}
