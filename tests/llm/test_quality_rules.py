@@ -3,6 +3,7 @@ import re
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from linkrank.llm import quality_rules as rules
 from linkrank.llm import registry
@@ -116,3 +117,54 @@ def test_what_is_alone_is_odd():
     score = rules.IsolationForest(x).score(x)
     assert score.argmax() == 1000 and score[1000] > 0.7 and np.median(score) < 0.5
     assert rules.IsolationForest(np.zeros((1, 2))).score(np.zeros((3, 2))).shape == (3,)
+
+
+def _counts(spark, n, seed):
+    rng = np.random.default_rng(seed)
+    rows = rng.integers(0, 40, (n, len(rules.COUNTS)))
+    rows[:, 0] += 60
+    frame = spark.createDataFrame([tuple(map(int, r)) for r in rows], ", ".join(f"{c} long" for c in rules.COUNTS))
+    return rules.ratios(rows), frame
+
+
+def test_trees_are_grown_on_all_rows(spark):
+    x, frame = _counts(spark, 700, 3)
+    forest = rules.IsolationForest.of_all(frame.repartition(5), trees=6, depth=4)
+    again = rules.IsolationForest.of_all(frame.coalesce(1), trees=6, depth=4)
+    assert forest.unit == again.unit == float(rules._mean_path(700))
+    for (column, cut, low, path), other in zip(forest.trees, again.trees, strict=True):
+        assert all(np.array_equal(a, b) for a, b in zip((column, cut, low, path), other, strict=True))
+        todo, reached = [(0, x, 0)], 0
+        while todo:  # each split lies within the range of all rows of its node, each leaf knows their number
+            node, part, depth = todo.pop()
+            reached += 1
+            if low[node] < 0:
+                assert path[node] == depth + float(rules._mean_path(len(part)))
+                assert depth == 4 or len(part) < 2 or (part.max(0) == part.min(0)).all()
+                continue
+            values = part[:, column[node]]
+            assert values.min() <= cut[node] <= values.max()
+            todo += [(low[node], part[values <= cut[node]], depth + 1), (low[node] + 1, part[values > cut[node]], depth + 1)]
+        assert reached == len(low)
+
+
+def test_threshold_of_all(spark):
+    rng = np.random.default_rng(4)
+    for n, places in ((40, 1), (300, 2), (300, 4), (300, 17)):
+        odd, good = rng.uniform(0.3, 0.8, n).round(places), rng.random(n) < 0.7
+        odd[~good] = (odd[~good] + 0.15).round(places)
+        scores = spark.createDataFrame([*zip(odd.tolist(), good.tolist(), strict=True)], "odd double, good boolean")
+        assert rules.threshold_of_all(scores) == rules.threshold(odd[good], odd[~good])
+        assert rules.threshold_of_all(scores.where("good")) == rules.THRESHOLD
+
+
+def test_every_row_and_label_counts(spark, documents):
+    """One odd document and one bad label among 9,000 rows, more than any sample held, move trees and threshold."""
+    rows = [(i, " ".join(f"w{(i * 31 + k) % 997}" for k in range(60 + i % 7)), "en", "a") for i in range(9000)]
+    labels = spark.createDataFrame([(i, 1) for i in range(9000)] + [(9001, 0)], "doc_id long, quality int")
+    seen = []
+    for odd in (9001, 9002, 9003):
+        found = rules.judge(documents([*rows, (odd, " ".join(f"### w{k} $$$" for k in range(60)), "en", "a")]), labels.withColumn("doc_id", F.when(F.col("doc_id") == 9001, odd).otherwise(F.col("doc_id")))).collect()
+        seen.append({r.doc_id: r.kept for r in found})
+    for odd, kept in zip((9001, 9002, 9003), seen, strict=True):
+        assert not kept[odd] and sum(kept.values()) > 8900
