@@ -17,9 +17,8 @@ def count_copies(edges: DataFrame) -> DataFrame:
 
 
 def node_set(edges: DataFrame) -> DataFrame:
-    """Distinct ids of either side."""
-    ids = edges.select(F.col("src").alias("id")).union(edges.select(F.col("dst").alias("id")))
-    return ids.distinct()
+    """Distinct ids of either side; the edges are computed once."""
+    return edges.select(F.explode(F.array("src", "dst")).alias("id")).distinct()
 
 
 def node_count(edges: DataFrame) -> DataFrame:

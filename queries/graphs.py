@@ -6,9 +6,14 @@ both SQL dialects and are shared.
 
 from __future__ import annotations
 
+from math import ceil
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+# Line items that one task of a join sorts.
+ROWS_PER_TASK = 2_000_000
+
 # Each line item as a line of an edge list, in the seven shapes an edge list may contain.
 EDGE_LINE = """CASE l_linenumber
     WHEN 1 THEN concat('P', l_partkey, chr(9), 'S', l_suppkey)
@@ -37,6 +42,12 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def join_tasks(rows: DataFrame) -> int:
+    """Tasks for a join of a table as large as this, so that what one of them sorts doesn't grow with the table; 0 for a table that one task can hold."""
+    wanted = ceil(rows.count() / ROWS_PER_TASK)
+    return max(wanted, int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))) if wanted > 1 else 0
+
+
 def item_lines(spark: SparkSession, folder: str, expression: str) -> DataFrame:
     return table(spark, folder, "lineitem").select(F.expr(expression).alias("value"))
 
@@ -61,6 +72,9 @@ def trade(spark: SparkSession, folder: str) -> DataFrame:
     """Customer to part to supplier to nation, and nation back to its customers and to its region."""
     lineitem = table(spark, folder, "lineitem").select("l_orderkey", "l_partkey")
     orders = table(spark, folder, "orders").select("o_orderkey", "o_custkey")
+    tasks = join_tasks(lineitem)
+    if tasks:
+        lineitem, orders = lineitem.repartition(tasks, "l_orderkey"), orders.repartition(tasks, "o_orderkey")
     bought = lineitem.join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
     supplier = table(spark, folder, "supplier")
     customer = table(spark, folder, "customer")
