@@ -36,6 +36,8 @@ from linkrank.plans.workspace import Workspace, shuffle_partitions
 # Partition sizes: small graphs get few partitions, large ones stay within a task's memory.
 EDGES_PER_PARTITION_SMALL = 50_000
 EDGES_PER_PARTITION = 32_000_000
+# Edges that one task merges and sorts at a time; several tasks then write to one bucket.
+EDGES_PER_TASK = 2_000_000
 NODES_PER_PARTITION = 2_000_000
 # Fixed value: Spark's default for spark.sql.sources.bucketing.maxBuckets.
 MAX_BUCKETS = 100_000
@@ -185,6 +187,11 @@ def partition_count(default: int, n_edges: int, n_nodes: int) -> int:
     return min(wanted, MAX_BUCKETS)
 
 
+def merge_tasks(buckets: int, n_edges: int) -> int:
+    """Tasks that merge and sort the edges: so many for each bucket that a task's share does not grow with the graph."""
+    return buckets * max(1, ceil(n_edges / (buckets * EDGES_PER_TASK)))
+
+
 def bounded_hash(df: DataFrame, buckets: int) -> DataFrame:
     """Ask for a hash join as long as the buckets keep one side within a task's memory; past their highest number, don't."""
     return df.hint("shuffle_hash") if buckets < MAX_BUCKETS else df
@@ -238,7 +245,7 @@ def prepare(
 
     buckets = partition_count(default, n_raw, seen["ids"])
     with shuffle_partitions(spark, buckets):
-        links = _store_links(workspace, staged, heavy, key, dedupe, buckets, tables, names)
+        links = _store_links(workspace, staged, heavy, key, dedupe, buckets, merge_tasks(buckets, n_raw), tables, names)
         counted = Observation()
         stored = workspace.save(
             _with_degrees(ids, links, dedupe, buckets).observe(counted, *_totals()),
@@ -330,6 +337,7 @@ def _store_links(
     key: Callable[[Column], Column],
     dedupe: bool,
     buckets: int,
+    tasks: int,
     tables: dict[str, str],
     names: bool,
 ) -> Links:
@@ -342,10 +350,11 @@ def _store_links(
     groups = [c for c in columns if c != "copies"]
     light, large = split_by_source(edges, heavy)
 
-    # Partitioning by source alone also serves the merging of copies and the buckets: one exchange.
+    # Partitioning by source alone also serves the merging of copies and the buckets: one exchange. As the number of tasks is a multiple
+    # of that of the buckets, the sources of a task are all of one bucket.
     merged = (
         light.select(*keyed)
-        .repartition(buckets, "src")
+        .repartition(tasks, "src")
         .groupBy(*groups)
         .agg(copies.alias("copies"))
         .select(*columns)
