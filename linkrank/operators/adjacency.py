@@ -7,6 +7,8 @@ nodes have one record, with part 0. The parts of a node one after the other give
 
 from __future__ import annotations
 
+from math import ceil
+
 from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
@@ -15,6 +17,8 @@ from linkrank.operators.edges import out_degrees
 from linkrank.plans.workspace import Workspace
 
 LIST_LIMIT = 100_000
+# Edges whose lists one task builds at a time.
+EDGES_PER_TASK = 2_000_000
 
 
 def adjacency_lists(
@@ -29,8 +33,8 @@ def adjacency_lists(
     With ``dedupe=False`` a neighbour is repeated as often as its edge is. Neighbours are ordered by value
     if all of a node's are whole numbers, else by text. The edges are read once and written as they come; ``stage=False`` reads them
     three times instead, for edges that are stored already. A first pass counts them by node, merged before the exchange. Then edges move once, to the
-    task of their source, where copies are merged and lists are built. Edges of sources with more than ``list_limit`` of them are
-    merged by both ends instead, which spreads any hub, and their lists are numbered by ranges of their order.
+    task of their source, where copies are merged and lists are built, and cut if need be. Edges of sources with more than ``LIST_LIMIT``
+    of them, and more than ``list_limit``, are merged by both ends instead, which spreads any hub, and their lists are numbered by ranges of their order.
     """
     if list_limit < 1:
         raise ValueError(f"list_limit must be greater than zero, not {list_limit}")
@@ -38,18 +42,21 @@ def adjacency_lists(
     edges = edges.select("src", "dst").dropna()
     if stage:
         edges = workspace.save(edges, workspace.new_name("pairs"))
-    large_ones = F.count_if(F.col("out_degree") > list_limit).alias("rows")
+    is_large = F.col("out_degree") > max(list_limit, LIST_LIMIT)
+    totals = [F.count_if(is_large).alias("rows"), F.sum("out_degree").alias("edges")]
     counted = Observation()
-    nodes = workspace.save(out_degrees(edges).observe(counted, large_ones), workspace.new_name("counts"))
-    some = counted.get["rows"]
-    large = nodes.where(F.col("out_degree") > list_limit).select("id")
+    nodes = workspace.save(out_degrees(edges).observe(counted, *totals), workspace.new_name("counts"))
+    some, n_edges = counted.get["rows"], counted.get["edges"] or 0
+    large = nodes.where(is_large).select("id")
     linked = edges.select(F.col("src").alias("id"), F.col("dst").alias("neighbor"))
     copies = (F.lit(1).cast("long") if dedupe else F.count(F.lit(1))).alias("copies")
 
     small = linked.join(large, "id", "left_anti") if some else linked
-    lists = small.repartition("id").groupBy("id", "neighbor").agg(copies).groupBy("id").agg(order_neighbors(repeated_neighbors()).alias("neighbors"))
+    tasks = ceil(n_edges / EDGES_PER_TASK)
+    spread = small.repartition(max(tasks, int(edges.sparkSession.conf.get("spark.sql.shuffle.partitions"))), "id") if tasks > 1 else small.repartition("id")
+    lists = spread.groupBy("id", "neighbor").agg(copies).groupBy("id").agg(order_neighbors(repeated_neighbors()).alias("neighbors"))
     whole = lists.unionByName(nodes.where("out_degree = 0").select("id", F.array().cast("array<string>").alias("neighbors")))
-    whole = whole.select("id", F.lit(0).cast("long").alias("part"), "neighbors")
+    whole = pieces_of(whole.select("id", F.lit(0).cast("long").alias("part"), "neighbors"), list_limit)
     if not some:
         return whole
     merged = linked.join(large, "id", "left_semi").groupBy("id", "neighbor").agg(copies)
@@ -63,6 +70,15 @@ def repeated_neighbors() -> Column:
     return F.flatten(F.collect_list(F.array_repeat("neighbor", F.col("copies").cast("int"))))
 
 
+def pieces_of(lists: DataFrame, list_limit: int) -> DataFrame:
+    """Whole lists ``(id, part, neighbors)`` of up to ``LIST_LIMIT`` as pieces of at most ``list_limit``, numbered from 0; each list is cut where it was built."""
+    if list_limit >= LIST_LIMIT:
+        return lists
+    starts = F.sequence(F.lit(0), F.greatest(F.floor((F.size("neighbors") - 1) / list_limit), F.lit(0)).cast("int"))
+    pieces = F.transform(starts, lambda k: F.slice("neighbors", k * list_limit + 1, list_limit))
+    return lists.select("id", F.posexplode(pieces).alias("part", "neighbors")).select("id", F.col("part").cast("long").alias("part"), "neighbors")
+
+
 def cut_lists(linked: DataFrame, large: DataFrame, list_limit: int, workspace: Workspace) -> DataFrame:
     """Parts of the lists of the nodes ``large(id, numbers)``, from ``linked(id, neighbor, copies)``. No task holds more than a range of one node's neighbours."""
     order = ["id", F.when(F.col("numbers"), integer_order(F.col("neighbor"))), "neighbor"]
@@ -92,14 +108,14 @@ def cut_lists(linked: DataFrame, large: DataFrame, list_limit: int, workspace: W
 def order_neighbors(neighbors: Column) -> Column:
     """By value if every id of the list is a whole number, else by text."""
     by_value = F.transform(
-        F.array_sort(
+        F.sort_array(
             F.transform(
                 neighbors, lambda x: F.struct(integer_order(x).alias("order"), x.alias("id"))
             )
         ),
         lambda x: x["id"],
     )
-    return F.when(F.forall(neighbors, is_integer), by_value).otherwise(F.array_sort(neighbors))
+    return F.when(F.forall(neighbors, is_integer), by_value).otherwise(F.sort_array(neighbors))
 
 
 def explode_adjacency(records: DataFrame) -> DataFrame:

@@ -23,7 +23,7 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from linkrank.functions import is_integer
-from linkrank.operators.adjacency import LIST_LIMIT, cut_lists, explode_adjacency, order_neighbors, repeated_neighbors, validate_unique
+from linkrank.operators.adjacency import LIST_LIMIT, cut_lists, explode_adjacency, order_neighbors, pieces_of, repeated_neighbors, validate_unique
 from linkrank.operators.skew import (
     HEAVY_ROWS,
     MAX_HEAVY,
@@ -115,7 +115,8 @@ class Graph:
         columns = [F.col("src").alias("id"), F.col("dst_id").alias("neighbor"), F.lit(1).cast("long").alias("copies") if "once" in self.tables else "copies"]
         light = self.workspace.table(self.tables["links"]).select(*columns)
         heavy = self.workspace.table(self.tables["heavy_links"]).select(*columns) if "heavy_links" in self.tables else None
-        large = self.nodes.where(F.col("out_degree") > list_limit).select(F.col("key").alias("id"))
+        # A list of up to LIST_LIMIT is built in one task, and cut there if need be.
+        large = self.nodes.where(F.col("out_degree") > max(list_limit, LIST_LIMIT)).select(F.col("key").alias("id"))
         cut = not large.isEmpty()
         first = F.lit(0).cast("long").alias("part")
 
@@ -124,6 +125,7 @@ class Graph:
             return rest.groupBy("id").agg(order_neighbors(repeated_neighbors()).alias("neighbors")).select("id", first, "neighbors")
 
         lists = whole(light) if heavy is None else whole(light).unionByName(whole(heavy))
+        lists = pieces_of(lists, list_limit)
         if cut:
             linked = light if heavy is None else light.unionByName(heavy)
             of_large = linked.join(large, "id")
